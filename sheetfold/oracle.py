@@ -188,3 +188,314 @@ ts_register("ts_alert_summary", """select * from (
 where suma_alertas >= 1""")
 ts_register("ts_consolidated", """select archivo_origen, nombre, consecutivo, "Fecha", "Día", "Category", "Sub-Category",
   "Proyecto", "Descripción", "Cantidad de horas", "Mes", "Costo interno", costo_rate_interno, "Sector_Origen" from costed""")
+
+
+# ---- grids --------------------------------------------------------------------------------
+
+def has_kw(cells: str, kws: list[str]) -> str:
+    cond = " or ".join(f"contains(upper(c), '{k}')" for k in kws)
+    return f"(len(list_filter({cells}, lambda c: {cond})) > 0)"
+
+
+def dedupe_checked(h: str) -> str:
+    base = f"(case when {strip('x')} <> '' then {strip('x')} else 'column_' || (i - 1) end)"
+    pick = (f"case when not list_contains(acc, {base}) then {base} else {base} || '_' || "
+            f"list_filter(range(1, len(acc) + 2), lambda k: not list_contains(acc, {base} || '_' || k))[1] end")
+    return f"list_reduce({h}, lambda acc, x, i: list_append(acc, {pick}), []::varchar[])"
+
+
+def dedupe_counter(bases: str) -> str:
+    n = f"len(list_filter(list_slice({bases}, 1, i - 1), lambda y: y = b))"
+    return f"list_transform({bases}, lambda b, i: case when {n} = 0 then b else b || '_' || {n} end)"
+
+
+def counter_bases(h: str) -> str:
+    return f"list_transform({h}, lambda x: case when {strip('x')} <> '' then {strip('x')} else 'Unnamed' end)"
+
+
+def canonical(names: str, tipo: str) -> str:
+    dct = (f"(case when {tipo} = 'Ingreso' then (case c when 'Proyecto / Cuenta analítica' then 'Proyecto' "
+           f"when '2' then 'Proyecto' end) else (case c when 'Monto Total / (Monto sin Impuestos)' then "
+           f"'Monto sin Impuestos' when 'SItuación' then 'Situación' end) end)")
+    rule = ("(case when starts_with(upper(c), 'PROYECTO') then 'Proyecto' "
+            "when c = '2' or starts_with(upper(c), 'MONTO SIN') then 'Monto sin Impuestos' "
+            "when starts_with(upper(c), 'MONTO CON') then 'Monto con Impuestos' "
+            "when starts_with(upper(c), 'SITUACI') then 'Situación' else c end)")
+    tgt = f"coalesce({dct}, {rule})"
+    pick = (f"case when not list_contains(acc, {tgt}) then {tgt} when not list_contains(acc, c) then c "
+            f"else c || '_dup' || list_filter(range(1, len(acc) + 2), lambda k: not list_contains(acc, c || '_dup' || k))[1] end")
+    return f"list_reduce({names}, lambda acc, c: list_append(acc, {pick}), []::varchar[])"
+
+
+def pad(h: str, w: str) -> str:
+    return f"list_concat({h}, list_transform(range(greatest({w} - len({h}), 0)), lambda z: ''))"
+
+
+def fit(cells: str, w: str) -> str:
+    return f"list_transform(range(1, {w} + 1), lambda k: coalesce({cells}[k], ''))"
+
+
+BUDGET_GRID_CTES = f"""
+gb as (select file_name, file_ord, row_idx, string_split(line, '|') as cells from fx_grid_budget),
+gbc as (select file_name, file_ord, row_idx,
+  list_transform(cells, lambda c: case when starts_with({strip('c')}, '#') then '' else c end) as cells from gb),
+tl0 as (select file_ord, count(*) as n_rows, max(row_idx) as last_row,
+  min(row_idx) filter (where row_idx < 30 and {has_kw('cells', ['NOMBRE COMPLETO'])}) as header_idx
+  from gbc group by file_ord),
+tl1 as (select t.*, (select min(g.row_idx) from gbc g where g.file_ord = t.file_ord and g.row_idx > t.header_idx
+    and {has_kw('g.cells', ['TOTAL', 'EQUIPO EXTERNO'])}) as stop_idx
+  from tl0 t where t.header_idx is not null and t.n_rows >= 2),
+tl as (select t.*, h.cells as header, cast(coalesce(t.stop_idx, t.last_row + 1) - t.header_idx - 1 as integer) as n_data
+  from tl1 t join gbc h on h.file_ord = t.file_ord and h.row_idx = t.header_idx),
+tln as (select *, {dedupe_checked('header')} as names from tl),
+tlk as (select *, list_filter(names, lambda n: contains(upper(n), 'NOMBRE COMPLETO'))[1] as col_nombre,
+  list_filter(names, lambda n: contains(upper(n), 'CANTIDAD DE HORAS') or contains(upper(n), 'HORAS PRESUPUESTADAS'))[1] as col_horas
+  from tln),
+tlp as (select *, cast(list_position(names, col_nombre) - 1 as integer) as i_nombre,
+  cast(list_position(names, col_horas) - 1 as integer) as i_horas from tlk),
+grid_people as (select g.file_name, g.file_ord, g.row_idx, coalesce(g.cells[p.i_nombre + 1], '') as nombre,
+    coalesce(g.cells[p.i_horas + 1], '') as horas_txt
+  from gbc g join tlp p on g.file_ord = p.file_ord and g.row_idx > p.header_idx
+    and (p.stop_idx is null or g.row_idx < p.stop_idx)
+  where p.n_data > 0 and p.i_nombre is not null and p.i_horas is not null),
+grid_kept as (select file_ord, row_idx, file_name as archivo_origen, nombre, {hours('horas_txt')} as h,
+    {strip("replace(file_name, 'Productividad: ', '')")} as "Proyecto"
+  from grid_people where {strip('nombre')} <> '' and not contains(upper(nombre), 'INSERTAR'))"""
+
+register("grid_blank_errors", ["fx_grid_budget"],
+         "select file_ord, row_idx, array_to_string(cells, '|') as line_clean from gbc", BUDGET_GRID_CTES)
+register("grid_header_required", ["fx_grid_budget"],
+         "select file_ord, header_idx, array_to_string(header, '|') as header_line from tl", BUDGET_GRID_CTES)
+register("grid_carve_until", ["fx_grid_budget"], "select file_ord, header_idx, stop_idx, n_data from tl", BUDGET_GRID_CTES)
+register("grid_min_rows", ["fx_grid_budget"], "select file_ord, n_rows, n_data from tl where n_data > 0", BUDGET_GRID_CTES)
+register("hdr_keyword_lookup", ["fx_grid_budget"],
+         "select file_ord, col_nombre, i_nombre, col_horas, i_horas from tlp", BUDGET_GRID_CTES)
+register("hdr_dedupe_counter", ["fx_grid_budget"], f"""
+select file_ord, array_to_string(nm, '|') as names_line, len(list_distinct(nm)) < len(nm) as rejected
+from (select file_ord, {dedupe_counter('bs')} as nm from (select file_ord, {counter_bases('header')} as bs from tl))""",
+         BUDGET_GRID_CTES)
+register("grid_pad_widen", ["fx_grid_budget"], f"""
+select file_ord, width, array_to_string({dedupe_checked(pad('header', 'width'))}, '|') as names_line from (
+  select t.file_ord, t.header, cast(greatest(len(t.header), coalesce(max(len(g.cells)), 0)) as integer) as width
+  from tl t join gbc g on g.file_ord = t.file_ord and g.row_idx > t.header_idx and (t.stop_idx is null or g.row_idx < t.stop_idx)
+  where t.n_data > 0 group by t.file_ord, t.header)""", BUDGET_GRID_CTES)
+
+FIRST_ROW_CTES = f"""
+gb as (select file_name, file_ord, row_idx, string_split(line, '|') as cells from fx_grid_budget),
+fr0 as (select file_ord, count(*) as n_rows from gb group by file_ord having count(*) >= 2),
+frh as (select f.file_ord, g.cells as header from fr0 f join gb g on g.file_ord = f.file_ord and g.row_idx = 0)"""
+
+register("grid_pad_truncate", ["fx_grid_budget"], f"""
+select g.file_ord, g.row_idx, array_to_string({fit('g.cells', 'len(h.header)')}, '|') as line_fit
+from gb g join frh h on g.file_ord = h.file_ord where g.row_idx > 0""", FIRST_ROW_CTES)
+
+register("grid_to_table_ts", ["fx_grid_budget"], f"""
+select g.file_ord, g.row_idx, cast(k - 1 as integer) as col_idx, n.names[k] as col_name, coalesce(g.cells[k], '') as value
+from gb g join (select file_ord, {dedupe_counter('bs')} as names from (select file_ord, {counter_bases('header')} as bs from frh)) n
+  on g.file_ord = n.file_ord, range(1, len(n.names) + 1) r(k)
+where g.row_idx > 0 and len(list_distinct(n.names)) = len(n.names)""", FIRST_ROW_CTES)
+
+register("src_range_a2i", ["fx_grid_budget"], """
+select file_ord, cast(row_idx - 1 as integer) as row_idx, cast(len(list_slice(cells, 1, 9)) as integer) as n_cells,
+  array_to_string(list_slice(cells, 1, 9), '|') as line from gb where row_idx >= 1""", FIRST_ROW_CTES)
+
+TS_GRID_CTES = f"""
+gb as (select file_name, file_ord, row_idx, string_split(line, '|') as cells from fx_grid_budget),
+ra as (select file_name, file_ord, cast(row_idx - 1 as integer) as row_idx, list_slice(cells, 1, 9) as cells from gb where row_idx >= 1),
+rl as (select r.file_ord, r.cells as header from ra r join (select file_ord from ra group by file_ord having count(*) >= 2) k
+  on r.file_ord = k.file_ord where r.row_idx = 0),
+rn as (select file_ord, {dedupe_counter('bs')} as names from (select file_ord, {counter_bases('header')} as bs from rl)),
+rok as (select *, coalesce(list_position(names, 'consecutivo'), list_position(names, '...1'), list_position(names, 'Unnamed')) as p_seq,
+  coalesce(list_position(names, 'Proyecto'), list_position(names, 'Nombre de Proyecto')) as p_proj,
+  list_position(names, 'Cantidad de horas') as p_hours from rn
+  where len(list_distinct(names)) = len(names) and not (list_contains(names, 'Proyecto') and list_contains(names, 'Nombre de Proyecto')))"""
+
+register("ts_rename_if_present", ["fx_grid_budget"], f"""
+select r.file_ord, r.row_idx,
+  case when k.p_seq is not null then coalesce(({fit('r.cells', 'len(k.names)')})[k.p_seq], '') end as consecutivo,
+  case when k.p_proj is not null then coalesce(({fit('r.cells', 'len(k.names)')})[k.p_proj], '') end as "Proyecto",
+  case when k.p_hours is not null then coalesce(({fit('r.cells', 'len(k.names)')})[k.p_hours], '') end as "Cantidad de horas"
+from ra r join rok k on r.file_ord = k.file_ord where r.row_idx > 0""", TS_GRID_CTES)
+
+# ---- budget -------------------------------------------------------------------------------
+
+def budget_pid(p: str) -> str:
+    pid = project_id(p)
+    return f"(case when {pid} is not null and regexp_full_match({pid}, '[0-9]+') then '''' || {pid} else {pid} end)"
+
+
+BUDGET_CTES = f"""
+bp as (select file_ord, row_idx, file_name as archivo_origen, "Nombre completo" as nombre, {hours('"Cantidad de horas"')} as h,
+  {strip("replace(file_name, 'Productividad: ', '')")} as "Proyecto" from fx_budget),
+people as (select * from bp where {strip('nombre')} <> '' and not contains(upper(nombre), 'INSERTAR') and h is not null),
+numbered as (select *, {budget_pid('"Proyecto"')} as proyecto_id,
+  cast(row_number() over (order by file_ord, row_idx) as bigint) as "ID_Presupuesto" from people),
+rates_b as (select {strip('"Nombre"')} as nombre_costo,
+  {try_double(first_comma_to_dot("regexp_replace(\"Costo interno\", '[^0-9.,]', '', 'g')"))} as "Costo_interno" from fx_rates),
+costed_b as (select n.*, r."Costo_interno", (n.h / 8) * r."Costo_interno" as "Costo_Total_Proyecto"
+  from numbered n left join rates_b r on lower({strip('n.nombre')}) = lower({strip('r.nombre_costo')}))"""
+
+_BV = ["fx_budget", "fx_rates"]
+register("budget_person_filter", _BV, 'select file_ord, row_idx, nombre, h as "Horas_Presupuestadas" from people', BUDGET_CTES)
+register("tag_literals", _BV, 'select file_ord, row_idx, archivo_origen, "Proyecto" from people', BUDGET_CTES)
+register("budget_project_id", _BV, f'select distinct file_ord, "Proyecto", {budget_pid(chr(34) + "Proyecto" + chr(34))} as proyecto_id from bp',
+         BUDGET_CTES)
+register("budget_row_id", _BV, 'select "ID_Presupuesto", file_ord, row_idx, proyecto_id from numbered', BUDGET_CTES)
+register("dim_rates_budget", _BV, 'select nombre_costo, "Costo_interno" from rates_b', BUDGET_CTES)
+register("join_rates_normalised", _BV, 'select "ID_Presupuesto", nombre, "Costo_interno" from costed_b', BUDGET_CTES)
+register("budget_cost", _BV, '''select "ID_Presupuesto", nombre, h as "Horas_Presupuestadas", "Costo_interno",
+  "Costo_Total_Proyecto" from costed_b''', BUDGET_CTES)
+register("join_rates_missing", _BV, '''select "ID_Presupuesto", proyecto_id, "Proyecto", nombre, h as "Horas_Presupuestadas",
+  cast(null as double) as "Costo_interno", cast(null as double) as "Costo_Total_Proyecto", archivo_origen from numbered''',
+         BUDGET_CTES)
+
+register("budget_fact", ["fx_grid_budget", "fx_rates"], f"""
+select n."ID_Presupuesto", n.proyecto_id, n."Proyecto", n.nombre, n.h as "Horas_Presupuestadas", r."Costo_interno",
+  (n.h / 8) * r."Costo_interno" as "Costo_Total_Proyecto", n.archivo_origen
+from (select *, {budget_pid('"Proyecto"')} as proyecto_id,
+        cast(row_number() over (order by file_ord, row_idx) as bigint) as "ID_Presupuesto"
+      from grid_kept where h is not null) n
+left join (select {strip('"Nombre"')} as nombre_costo,
+  {try_double(first_comma_to_dot("regexp_replace(\"Costo interno\", '[^0-9.,]', '', 'g')"))} as "Costo_interno" from fx_rates) r
+  on lower({strip('n.nombre')}) = lower({strip('r.nombre_costo')})""", BUDGET_GRID_CTES)
+
+register("dq_missing_files", ["fx_grid_budget", "fx_budget"], """
+select distinct file_ord, file_name from fx_budget
+where file_ord not in (select file_ord from grid_kept where h is not null)""", BUDGET_GRID_CTES)
+
+# ---- finance ------------------------------------------------------------------------------
+
+def _v(name: str) -> str:
+    return f"(case when list_position(canon, '{name}') is not null then coalesce(cells[list_position(canon, '{name}')], '') end)"
+
+
+_FIN_COLS = ["Proyecto", "País de facturación", "Categoría", "Tipo de gasto", "Descripción",
+             "Producto/Entregable/Servicio", "Monto sin Impuestos", "IGV/IVA/Otros", "Monto con Impuestos",
+             "Moneda", "TC", "USD", "Fecha de entrega del producto", "Fecha de emisión del comprobante",
+             "Situación", "Fecha de factura proveedor"]
+_FIN_KW = ["PROYECTO", "MONTO", "SITUACI", "FACTURA"]
+
+FIN_GRID_CTES = f"""
+gf as (select archivo_origen, tipo, row_idx, string_split(line, '|') as cells from fx_grid_finance),
+fl0 as (select archivo_origen, tipo, count(*) as n_rows, max(row_idx) as last_row,
+  min(row_idx) filter (where row_idx < 15 and {has_kw('cells', _FIN_KW)}) as h
+  from gf group by archivo_origen, tipo),
+fl1 as (select archivo_origen, tipo, n_rows, last_row, coalesce(h, 0) as header_idx from fl0 where n_rows >= 2),
+fl2 as (select f.*, g.cells as header from fl1 f join gf g on g.archivo_origen = f.archivo_origen and g.tipo = f.tipo
+  and g.row_idx = f.header_idx),
+fw as (select f.archivo_origen, f.tipo, max(len(g.cells)) as w from fl1 f join gf g
+  on g.archivo_origen = f.archivo_origen and g.tipo = f.tipo and g.row_idx > f.header_idx group by f.archivo_origen, f.tipo),
+fl as (select f.*, cast(greatest(len(f.header), coalesce(w.w, 0)) as integer) as width from fl2 f
+  left join fw w on w.archivo_origen = f.archivo_origen and w.tipo = f.tipo where f.last_row - f.header_idx > 0),
+fln as (select *, {dedupe_checked(pad('header', 'width'))} as names from fl),
+flc as (select *, {canonical('names', 'tipo')} as canon from fln),
+fr as (select l.archivo_origen, l.tipo, g.row_idx, g.cells, l.canon from flc l join gf g
+  on g.archivo_origen = l.archivo_origen and g.tipo = l.tipo and g.row_idx > l.header_idx),
+fv0 as (select archivo_origen, tipo, row_idx, {', '.join(f'{_v(c)} as "{c}"' for c in _FIN_COLS)} from fr),
+fv1 as (select * exclude ("USD"), "USD" as usd_text, {amount_eu('"USD"')} as "USD",
+  case when tipo = 'Ingreso' and "Fecha de emisión del comprobante" is not null then "Fecha de emisión del comprobante"
+       when tipo = 'Gasto' and "Fecha de factura proveedor" is not null then "Fecha de factura proveedor" else '' end as "Fecha"
+  from fv0),
+fv as (select *,
+  (coalesce({strip('"Proyecto"')} <> '', false) or coalesce({strip('"Situación"')} <> '', false)
+   or coalesce({strip('"Monto con Impuestos"')} <> '', false) or coalesce({strip('"Descripción"')} <> '', false)
+   or coalesce({strip('"Fecha"')} <> '', false)) as is_real,
+  ("Situación" is null or upper({strip('"Situación"')}) in ('REAL', 'PROYECTADO')) as st_ok,
+  (usd_text is null or coalesce("USD" > 0, false)) as usd_ok,
+  ("Monto con Impuestos" is null or coalesce({amount_eu_text('"Monto con Impuestos"')} <> ''
+     and {try_double(amount_eu_text('"Monto con Impuestos"'))} > 0, false)) as gross_ok,
+  (tipo <> 'Gasto' or coalesce({strip('"Fecha"')} <> '' and "Fecha" is not null, false)) as date_ok
+  from fv1),
+fvalid as (select * from fv where is_real and st_ok and usd_ok and gross_ok and date_ok)"""
+
+_FG = ["fx_grid_finance"]
+register("grid_header_radar", _FG, "select archivo_origen, tipo, header_idx, array_to_string(header, '|') as header_line from fl",
+         FIN_GRID_CTES)
+register("hdr_dedupe_checked", _FG, "select archivo_origen, tipo, width, array_to_string(names, '|') as names_line from fln",
+         FIN_GRID_CTES)
+register("hdr_canonical", _FG, "select archivo_origen, tipo, array_to_string(canon, '|') as canon_line from flc", FIN_GRID_CTES)
+register("grid_to_table_fin", _FG, f"""
+select l.archivo_origen, l.tipo, g.row_idx, cast(k - 1 as integer) as col_idx, l.canon[k] as col_name,
+  coalesce(g.cells[k], '') as value
+from flc l join gf g on g.archivo_origen = l.archivo_origen and g.tipo = l.tipo and g.row_idx > l.header_idx,
+  range(1, l.width + 1) r(k)""", FIN_GRID_CTES)
+register("src_range_az", _FG, """select archivo_origen, tipo, row_idx, cast(len(list_slice(cells, 1, 26)) as integer) as n_cells,
+  array_to_string(list_slice(cells, 1, 26), '|') as line from gf""", FIN_GRID_CTES)
+register("fin_unified_date", _FG, 'select archivo_origen, tipo as "Tipo_Movimiento", row_idx, "Fecha" from fv', FIN_GRID_CTES)
+register("fin_optional_columns", _FG,
+         'select archivo_origen, tipo as "Tipo_Movimiento", row_idx, "USD", "Monto con Impuestos" from fvalid', FIN_GRID_CTES)
+register("fin_clean", _FG, '''select archivo_origen, tipo as "Tipo_Movimiento", row_idx, "Fecha", "Proyecto", "Situación",
+  "Monto con Impuestos", "USD", "Fecha de emisión del comprobante", "Fecha de factura proveedor" from fvalid''', FIN_GRID_CTES)
+register("audit_counts", _FG, '''select archivo_origen, tipo as "Tipo_Movimiento", tipo,
+  count(*) filter (where is_real) as n_real, count(*) filter (where is_real and st_ok and usd_ok and gross_ok and date_ok) as n_valid
+  from fv group by archivo_origen, tipo''', FIN_GRID_CTES)
+
+_INC = ["Fecha", "Proyecto", "País de facturación", "Producto/Entregable/Servicio", "Monto sin Impuestos", "IGV/IVA/Otros",
+        "Monto con Impuestos", "Moneda", "TC", "USD", "Fecha de entrega del producto", "Fecha de emisión del comprobante",
+        "Situación"]
+_EXP = ["Fecha", "Proyecto", "País de facturación", "Categoría", "Tipo de gasto", "Descripción", "Fecha de factura proveedor",
+        "Monto sin Impuestos", "IGV/IVA/Otros", "Monto con Impuestos", "Moneda", "TC", "USD", "Situación"]
+_MASTER = ["archivo_origen", "Tipo_Movimiento", "Fecha", "Proyecto", "País de facturación", "Categoría", "Tipo de gasto",
+           "Descripción", "Producto/Entregable/Servicio", "Monto sin Impuestos", "IGV/IVA/Otros", "Monto con Impuestos",
+           "Moneda", "TC", "USD", "Fecha de entrega del producto", "Fecha de emisión del comprobante", "Situación",
+           "Fecha de factura proveedor"]
+
+
+def _q(cols: list[str]) -> str:
+    return ", ".join(f'"{c}"' for c in cols)
+
+
+register("fin_master_order", _FG, f"""
+select {_q(_MASTER)} from (
+  select {_q(_INC)}, tipo as "Tipo_Movimiento", archivo_origen from fvalid where tipo = 'Ingreso'
+  union all by name
+  select {_q(_EXP)}, tipo as "Tipo_Movimiento", archivo_origen from fvalid where tipo = 'Gasto')""", FIN_GRID_CTES)
+
+FX_FIN_CTES = f"""
+ff as (select o_orderkey, archivo_origen, "Tipo_Movimiento", "Proyecto", "Situación", "Monto con Impuestos" as gross, has_usd,
+  case when has_usd then "USD" end as usd_text,
+  case when "Tipo_Movimiento" in ('Ingreso', 'Gasto') and fecha_doc is not null then fecha_doc else '' end as "Fecha"
+  from fx_finance),
+ff2 as (select *, {amount_eu('usd_text')} as "USD",
+  (coalesce({strip('"Proyecto"')} <> '', false) or coalesce({strip('"Situación"')} <> '', false)
+   or coalesce({strip('gross')} <> '', false) or coalesce({strip('"Fecha"')} <> '', false)) as r,
+  ("Situación" is null or upper({strip('"Situación"')}) in ('REAL', 'PROYECTADO')) as st
+  from ff),
+ff3 as (select *, ((not has_usd or coalesce("USD" > 0, false))
+   and (gross is null or coalesce({amount_eu_text('gross')} <> '' and {try_double(amount_eu_text('gross'))} > 0, false))) as am,
+  ("Tipo_Movimiento" <> 'Gasto' or coalesce({strip('"Fecha"')} <> '' and "Fecha" is not null, false)) as dt
+  from ff2)"""
+
+_FF = ["fx_finance"]
+register("fin_ghost_rows", _FF, "select o_orderkey, archivo_origen from ff3 where r", FX_FIN_CTES)
+register("fin_status_in", _FF, 'select o_orderkey, "Situación" from ff3 where r and st', FX_FIN_CTES)
+register("fin_amount_positive", _FF, 'select o_orderkey, "USD" from ff3 where r and st and am', FX_FIN_CTES)
+register("fin_expense_date", _FF, 'select o_orderkey, "Tipo_Movimiento", "Fecha" from ff3 where r and st and am and dt',
+         FX_FIN_CTES)
+register("union_by_name_missing", _FF, """
+select o_orderkey, "Tipo_Movimiento", fecha_doc as "Fecha de emisión del comprobante", "Proyecto" from fx_finance
+  where "Tipo_Movimiento" = 'Ingreso'
+union all by name
+select o_orderkey, "Tipo_Movimiento", fecha_doc as "Fecha de factura proveedor", "Situación" from fx_finance
+  where "Tipo_Movimiento" = 'Gasto'""")
+
+# ---- listings -----------------------------------------------------------------------------
+
+register("src_listing", ["fx_listing"], "select 'finance' as folder, file_id, file_ord, file_name from fx_listing")
+register("src_dedupe_by_id", ["fx_listing"],
+         "select file_id, min(file_ord) as file_ord, arg_max(file_name, file_ord) as file_name from fx_listing group by file_id")
+register("src_name_filter_ci", ["fx_listing"], """
+select * from (select file_id, min(file_ord) as file_ord, arg_max(file_name, file_ord) as file_name from fx_listing group by file_id)
+where starts_with(upper(file_name), 'NUEVO') and not contains(upper(file_name), 'COPIA')""")
+register("src_name_filter_cs", ["fx_listing"], """
+select * from fx_listing where starts_with(file_name, 'Timesheet 2026 -') and not contains(file_name, 'Plantilla')""")
+
+# ---- sinks --------------------------------------------------------------------------------
+
+_DETAIL = ["archivo_origen", "nombre", "consecutivo", "Fecha", "Día", "Category", "Sub-Category", "Proyecto",
+           "Descripción", "Cantidad de horas", "Mes", "alerta_category", "alerta_subcat", "alerta_proyectos",
+           "alerta_horas", "alerta_desc", "alerta_proyecto_nomb", "suma_alertas"]
+ts_register("sink_null_to_blank", "select " + ", ".join(f'coalesce(cast("{c}" as varchar), \'\') as "{c}"' for c in _DETAIL)
+            + " from flagged where suma_alertas > 0")
+register("sink_dates_to_text", ["fx_timesheet"], f"""
+select event_id, cast({parse_date('"Fecha"')} as varchar) as fecha_date from fx_timesheet""")

@@ -175,3 +175,348 @@ def ts_alert_summary(spark, sf):
 def ts_consolidated(spark, sf):
     costed = TS.cost_rows(_ts_clean(spark, sf), TS.staff_rates(fx(spark, sf, "fx_rates")))
     return TS.consolidated(costed)
+
+
+# ---- grids: shared stand-ins --------------------------------------------------------------
+
+from sheetfold.operators import headers as H  # noqa: E402
+from sheetfold.operators import layout as L  # noqa: E402
+from sheetfold.operators.joins import missing_from  # noqa: E402
+from sheetfold.plans import budget as BU  # noqa: E402
+from sheetfold.plans import finance as FI  # noqa: E402
+from sheetfold.sources import listing as LS  # noqa: E402
+from sheetfold.sources import sinks as SK  # noqa: E402
+from sheetfold.sources.fixtures import lines_to_cells  # noqa: E402
+
+BUDGET_KEYS = ["file_ord"]
+FINANCE_KEYS = ["archivo_origen", "tipo"]
+
+
+def _grid_budget(spark, sf):
+    return lines_to_cells(fx(spark, sf, "fx_grid_budget"))
+
+
+def _grid_finance(spark, sf):
+    return lines_to_cells(fx(spark, sf, "fx_grid_finance"))
+
+
+def _line(c):
+    return F.array_join(c, "|")
+
+
+def _team_layout(spark, sf, require_data=True):
+    return BU.team_layout(L.blank_error_cells(_grid_budget(spark, sf)), BUDGET_KEYS, require_data=require_data)
+
+
+# ---- sources ------------------------------------------------------------------------------
+
+@query("src_listing")
+def src_listing(spark, sf):
+    """A configured folder's listing tagged with the folder id taken from its URL or id."""
+    lst = LS.append_listings([fx(spark, sf, "fx_listing").withColumn("folder", F.lit(LS.folder_id("finance")))])
+    return lst.select("folder", "file_id", "file_ord", "file_name")
+
+
+@query("src_dedupe_by_id")
+def src_dedupe_by_id(spark, sf):
+    return LS.dedupe_by_id(fx(spark, sf, "fx_listing"))
+
+
+@query("src_name_filter_ci")
+def src_name_filter_ci(spark, sf):
+    return FI.finance_file_filter(LS.dedupe_by_id(fx(spark, sf, "fx_listing")))
+
+
+@query("src_name_filter_cs")
+def src_name_filter_cs(spark, sf):
+    return TS.timesheet_file_filter(fx(spark, sf, "fx_listing"))
+
+
+@query("src_range_az")
+def src_range_az(spark, sf):
+    g = L.slice_range(_grid_finance(spark, sf), n_cols=26)
+    return g.select(*FINANCE_KEYS, "row_idx", F.size("cells").alias("n_cells"), _line("cells").alias("line"))
+
+
+@query("src_range_a2i")
+def src_range_a2i(spark, sf):
+    g = L.slice_range(_grid_budget(spark, sf), first_row=1, n_cols=9)
+    return g.select(*BUDGET_KEYS, "row_idx", F.size("cells").alias("n_cells"), _line("cells").alias("line"))
+
+
+# ---- grid layout --------------------------------------------------------------------------
+
+@query("grid_blank_errors")
+def grid_blank_errors(spark, sf):
+    g = L.blank_error_cells(_grid_budget(spark, sf))
+    return g.select(*BUDGET_KEYS, "row_idx", _line("cells").alias("line_clean"))
+
+
+@query("grid_header_radar")
+def grid_header_radar(spark, sf):
+    lay = FI.finance_layout(_grid_finance(spark, sf), FINANCE_KEYS, "tipo")
+    return lay.select(*FINANCE_KEYS, "header_idx", _line("header").alias("header_line"))
+
+
+@query("grid_header_required")
+def grid_header_required(spark, sf):
+    lay = _team_layout(spark, sf, require_data=False)
+    return lay.select(*BUDGET_KEYS, "header_idx", _line("header").alias("header_line"))
+
+
+@query("grid_carve_until")
+def grid_carve_until(spark, sf):
+    lay = _team_layout(spark, sf, require_data=False)
+    return lay.select(*BUDGET_KEYS, "header_idx", "stop_idx", "n_data")
+
+
+@query("grid_min_rows")
+def grid_min_rows(spark, sf):
+    lay = _team_layout(spark, sf, require_data=True)
+    return lay.select(*BUDGET_KEYS, "n_rows", "n_data")
+
+
+@query("grid_pad_widen")
+def grid_pad_widen(spark, sf):
+    g = L.blank_error_cells(_grid_budget(spark, sf))
+    lay = L.carved_width(g, BU.team_layout(g, BUDGET_KEYS), BUDGET_KEYS)
+    names = H.dedupe_checked(H.pad_header(F.col("header"), F.col("width")))
+    return lay.select(*BUDGET_KEYS, "width", _line(names).alias("names_line"))
+
+
+@query("grid_pad_truncate")
+def grid_pad_truncate(spark, sf):
+    g = _grid_budget(spark, sf)
+    lay = L.first_row_layout(g, BUDGET_KEYS)
+    rows = L.table_rows(g, lay.select(*BUDGET_KEYS, "header_idx", "stop_idx", F.size("header").alias("_w")), BUDGET_KEYS)
+    return rows.select(*BUDGET_KEYS, "row_idx", _line(L.fit_cells(F.col("cells"), F.col("_w"))).alias("line_fit"))
+
+
+def _long_table(rows, keys, names_col, width_col):
+    cells = L.fit_cells(F.col("cells"), F.col(width_col))
+    z = F.arrays_zip(F.col(names_col).alias("name"), cells.alias("value"))
+    return rows.select(*keys, "row_idx", F.posexplode(z).alias("col_idx", "nv")).select(
+        *keys, "row_idx", "col_idx", F.col("nv.name").alias("col_name"), F.col("nv.value").alias("value"))
+
+
+@query("grid_to_table_ts")
+def grid_to_table_ts(spark, sf):
+    """Whole tab, header in row 0, counter names, rows fitted to the header (long form)."""
+    g = _grid_budget(spark, sf)
+    lay = L.first_row_layout(g, BUDGET_KEYS).withColumn("names", H.dedupe_counter(F.col("header")))
+    lay = lay.where(~H.has_duplicates(F.col("names")))
+    rows = L.table_rows(g, lay.select(*BUDGET_KEYS, "header_idx", "stop_idx", "names",
+                                      F.size("names").alias("_w")), BUDGET_KEYS)
+    return _long_table(rows, BUDGET_KEYS, "names", "_w")
+
+
+@query("grid_to_table_fin")
+def grid_to_table_fin(spark, sf):
+    """Finance tabs as (row, canonical column, value) — every data row, padded to the width."""
+    g = _grid_finance(spark, sf)
+    lay = FI.finance_layout(g, FINANCE_KEYS, "tipo")
+    rows = L.table_rows(g, lay.select(*FINANCE_KEYS, "header_idx", "stop_idx", "canon", "width"), FINANCE_KEYS)
+    return _long_table(rows, FINANCE_KEYS, "canon", "width")
+
+
+# ---- header naming ------------------------------------------------------------------------
+
+@query("hdr_dedupe_checked")
+def hdr_dedupe_checked(spark, sf):
+    lay = FI.finance_layout(_grid_finance(spark, sf), FINANCE_KEYS, "tipo")
+    return lay.select(*FINANCE_KEYS, "width", _line("names").alias("names_line"))
+
+
+@query("hdr_dedupe_counter")
+def hdr_dedupe_counter(spark, sf):
+    lay = _team_layout(spark, sf, require_data=False)
+    names = H.dedupe_counter(F.col("header"))
+    return lay.select(*BUDGET_KEYS, _line(names).alias("names_line"), H.has_duplicates(names).alias("rejected"))
+
+
+@query("hdr_canonical")
+def hdr_canonical(spark, sf):
+    lay = FI.finance_layout(_grid_finance(spark, sf), FINANCE_KEYS, "tipo")
+    return lay.select(*FINANCE_KEYS, _line("canon").alias("canon_line"))
+
+
+@query("hdr_keyword_lookup")
+def hdr_keyword_lookup(spark, sf):
+    lay = _team_layout(spark, sf, require_data=False)
+    return lay.select(*BUDGET_KEYS, "col_nombre", "i_nombre", "col_horas", "i_horas")
+
+
+@query("ts_rename_if_present")
+def ts_rename_if_present(spark, sf):
+    """Timesheet range read (A2:I) with the project / sequence renames, on raw grids."""
+    rows, _ = TS.read_timesheet_grids(_grid_budget(spark, sf), BUDGET_KEYS)
+    return rows.select(*BUDGET_KEYS, "row_idx", "consecutivo", "Proyecto", _c("Cantidad de horas"))
+
+
+# ---- budget -------------------------------------------------------------------------------
+
+def _budget_people(spark, sf):
+    b = fx(spark, sf, "fx_budget")
+    return BU.people_rows(b, _c("Nombre completo"), _c("Cantidad de horas"), "file_name",
+                          keep_cols=["file_ord", "row_idx"])
+
+
+def _budget_rates(spark, sf):
+    return BU.budget_rates(fx(spark, sf, "fx_rates"))
+
+
+@query("budget_person_filter")
+def budget_person_filter(spark, sf):
+    return _budget_people(spark, sf).select("file_ord", "row_idx", "nombre", "Horas_Presupuestadas")
+
+
+@query("budget_project_id")
+def budget_project_id(spark, sf):
+    b = fx(spark, sf, "fx_budget").select("file_ord", "file_name").distinct()
+    p = BU.project_from_title(F.col("file_name"))
+    return b.select("file_ord", p.alias("Proyecto"), BU.budget_project_id(p).alias("proyecto_id"))
+
+
+@query("tag_literals")
+def tag_literals(spark, sf):
+    return _budget_people(spark, sf).select("file_ord", "row_idx", "archivo_origen", "Proyecto")
+
+
+@query("budget_row_id")
+def budget_row_id(spark, sf):
+    return BU.number_rows(_budget_people(spark, sf), ["file_ord", "row_idx"]).select(
+        "ID_Presupuesto", "file_ord", "row_idx", "proyecto_id")
+
+
+@query("dim_rates_budget")
+def dim_rates_budget(spark, sf):
+    return _budget_rates(spark, sf)
+
+
+@query("join_rates_normalised")
+def join_rates_normalised(spark, sf):
+    numbered = BU.number_rows(_budget_people(spark, sf), ["file_ord", "row_idx"])
+    return BU.cost(numbered, _budget_rates(spark, sf)).select("ID_Presupuesto", "nombre", "Costo_interno")
+
+
+@query("budget_cost")
+def budget_cost(spark, sf):
+    numbered = BU.number_rows(_budget_people(spark, sf), ["file_ord", "row_idx"])
+    return BU.cost(numbered, _budget_rates(spark, sf)).select(
+        "ID_Presupuesto", "nombre", "Horas_Presupuestadas", "Costo_interno", "Costo_Total_Proyecto")
+
+
+@query("join_rates_missing")
+def join_rates_missing(spark, sf):
+    return BU.fact_table(_budget_people(spark, sf), None, ["file_ord", "row_idx"])
+
+
+@query("budget_fact")
+def budget_fact(spark, sf):
+    """Fact_Presupuesto_Horas end to end from raw ``Equipo`` grids and the rates table."""
+    people = BU.extract_team(_grid_budget(spark, sf), BUDGET_KEYS, "file_name", ["file_ord", "row_idx"])
+    return BU.fact_table(people, _budget_rates(spark, sf), ["file_ord", "row_idx"])
+
+
+@query("dq_missing_files")
+def dq_missing_files(spark, sf):
+    """Listed budget workbooks that produced no table."""
+    listed = fx(spark, sf, "fx_budget").select("file_ord", "file_name").distinct()
+    people = BU.extract_team(_grid_budget(spark, sf), BUDGET_KEYS, "file_name", ["file_ord", "row_idx"])
+    return missing_from(listed, people, "file_ord")
+
+
+# ---- finance ------------------------------------------------------------------------------
+
+def _fin_clean(spark, sf):
+    return FI.clean_grids(_grid_finance(spark, sf), FINANCE_KEYS, "tipo", "archivo_origen")
+
+
+def _fx_fin_flags(spark, sf):
+    """Filters on the typed finance stand-in (``fecha_doc`` is the type's own date column)."""
+    f = fx(spark, sf, "fx_finance")
+    tipo = F.col("Tipo_Movimiento")
+    fecha = FI.unified_date(tipo, F.col("fecha_doc"), F.col("fecha_doc"))
+    usd_text = F.when(F.col("has_usd"), F.col("USD"))
+    usd = T.amount_eu(usd_text)
+    real = FI.ghost_keep([_c("Proyecto"), _c("Situación"), _c("Monto con Impuestos"), fecha])
+    return f.select("o_orderkey", "archivo_origen", "Tipo_Movimiento", fecha.alias("Fecha"), _c("Situación"),
+                    usd.alias("USD"), real.alias("_real"),
+                    FI.status_ok(_c("Situación")).alias("_status"),
+                    (FI.usd_ok(usd, F.col("has_usd")) & FI.gross_ok(_c("Monto con Impuestos"))).alias("_amount"),
+                    FI.expense_date_ok(tipo, fecha).alias("_date"))
+
+
+@query("fin_ghost_rows")
+def fin_ghost_rows(spark, sf):
+    return _fx_fin_flags(spark, sf).where("_real").select("o_orderkey", "archivo_origen")
+
+
+@query("fin_status_in")
+def fin_status_in(spark, sf):
+    return _fx_fin_flags(spark, sf).where("_real and _status").select("o_orderkey", _c("Situación"))
+
+
+@query("fin_amount_positive")
+def fin_amount_positive(spark, sf):
+    return _fx_fin_flags(spark, sf).where("_real and _status and _amount").select("o_orderkey", "USD")
+
+
+@query("fin_expense_date")
+def fin_expense_date(spark, sf):
+    return (_fx_fin_flags(spark, sf).where("_real and _status and _amount and _date")
+            .select("o_orderkey", "Tipo_Movimiento", "Fecha"))
+
+
+@query("fin_unified_date")
+def fin_unified_date(spark, sf):
+    return _fin_clean(spark, sf).select("archivo_origen", "Tipo_Movimiento", "row_idx", "Fecha")
+
+
+@query("fin_optional_columns")
+def fin_optional_columns(spark, sf):
+    """Per-sheet presence: tabs without a USD column skip the USD filter and carry null USD."""
+    return (_fin_clean(spark, sf).where("_valid")
+            .select("archivo_origen", "Tipo_Movimiento", "row_idx", "USD", _c("Monto con Impuestos")))
+
+
+@query("fin_clean")
+def fin_clean(spark, sf):
+    return (_fin_clean(spark, sf).where("_valid")
+            .select("archivo_origen", "Tipo_Movimiento", "row_idx", "Fecha", "Proyecto", _c("Situación"),
+                    _c("Monto con Impuestos"), "USD", _c("Fecha de emisión del comprobante"),
+                    _c("Fecha de factura proveedor")))
+
+
+@query("fin_master_order")
+def fin_master_order(spark, sf):
+    return FI.masters(_fin_clean(spark, sf))["Base_Looker"]
+
+
+@query("union_by_name_missing")
+def union_by_name_missing(spark, sf):
+    """Income and expense frames with different columns, unioned by name (absent → null)."""
+    f = fx(spark, sf, "fx_finance")
+    inc = f.where(F.col("Tipo_Movimiento") == FI.INCOME).select(
+        "o_orderkey", "Tipo_Movimiento", F.col("fecha_doc").alias(FI.INCOME_DATE), "Proyecto")
+    exp = f.where(F.col("Tipo_Movimiento") == FI.EXPENSE).select(
+        "o_orderkey", "Tipo_Movimiento", F.col("fecha_doc").alias(FI.EXPENSE_DATE), _c("Situación"))
+    return inc.unionByName(exp, allowMissingColumns=True)
+
+
+@query("audit_counts")
+def audit_counts(spark, sf):
+    return FI.audit(_fin_clean(spark, sf), FINANCE_KEYS)
+
+
+# ---- sinks --------------------------------------------------------------------------------
+
+@query("sink_null_to_blank")
+def sink_null_to_blank(spark, sf):
+    return SK.null_to_blank(TS.alert_detail(_ts_flagged(spark, sf)))
+
+
+@query("sink_dates_to_text")
+def sink_dates_to_text(spark, sf):
+    t = fx(spark, sf, "fx_timesheet")
+    return SK.dates_to_text(t.select("event_id", T.parse_date_multi(_c("Fecha")).alias("fecha_date")))
