@@ -151,10 +151,57 @@ def last_dash_part(c) -> Column:
 
 # ---- dates ----------------------------------------------------------------------------------
 
-def parse_date_multi(c, formats: list[str] | None = None) -> Column:
-    """First format (in priority order) that parses the text with all whitespace removed."""
-    squeezed = F.regexp_replace(strip(c), r"(?U)\s+", "")
-    return F.coalesce(*[F.try_to_date(squeezed, f) for f in (formats or DATE_FORMATS)])
+def _year_signed(shape: str, year_at_start: bool) -> list[str]:
+    if year_at_start:
+        return [shape, "-" + shape, "+" + shape]
+    head, tail = shape.rsplit("9", 1)
+    return [shape, head + "-9" + tail, head + "+9" + tail]
+
+
+#: Digit-run shape (every run of ASCII digits → ``9``) each format can possibly parse; a year
+#: may carry a sign. Used only to skip attempts that must fail: each list is a superset of what
+#: Spark's parser accepts for that pattern, so results never change.
+DATE_SHAPES = {
+    "yyyy-M-d": _year_signed("9-9-9", True),
+    "d/M/yyyy": _year_signed("9/9/9", False),
+    "M/d/yyyy": _year_signed("9/9/9", False),
+    "yyyy-M-dHH:mm:ss": _year_signed("9-9-9:9:9", True),
+    "d-M-yyyy": _year_signed("9-9-9", False),
+    "d.M.yyyy": _year_signed("9.9.9", False),
+    "d/M/yy": ["9/9/9"],
+}
+
+
+def squeeze_whitespace(c) -> Column:
+    """Strip, then remove every whitespace run (the text the date formats are tried on)."""
+    return F.regexp_replace(strip(c), r"(?U)\s+", "")
+
+
+def parse_date_multi(c, formats: list[str] | None = None, squeezed: bool = False) -> Column:
+    """First format (in priority order) that parses the text with all whitespace removed.
+
+    A format is only attempted when the text's digit-run shape fits it (a failed parse is
+    expensive; the shape test is one regex replace shared by all formats). Pass
+    ``squeezed=True`` when ``c`` already went through :func:`squeeze_whitespace`.
+    """
+    sq = _col(c) if squeezed else squeeze_whitespace(c)
+    shape = F.regexp_replace(sq, "[0-9]+", "9")
+    tries = []
+    for f in formats or DATE_FORMATS:
+        shapes = DATE_SHAPES.get(f)
+        attempt = F.try_to_date(sq, f)
+        tries.append(F.when(shape.isin(*shapes), attempt) if shapes else attempt)
+    return F.coalesce(*tries)
+
+
+def with_parsed_date(df, src: str, out: str):
+    """``df`` plus ``out`` = :func:`parse_date_multi` of column ``src``; the squeezed text and its
+    shape are computed once in their own projection instead of once per format."""
+    df = df.withColumn("_date_sq", squeeze_whitespace(F.col(f"`{src}`")))
+    df = df.withColumn("_date_shape", F.regexp_replace(F.col("_date_sq"), "[0-9]+", "9"))
+    tries = [F.when(F.col("_date_shape").isin(*DATE_SHAPES[f]), F.try_to_date(F.col("_date_sq"), f))
+             for f in DATE_FORMATS]
+    return df.withColumn(out, F.coalesce(*tries)).drop("_date_sq", "_date_shape")
 
 
 def parse_iso_date(c) -> Column:

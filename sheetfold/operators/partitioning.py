@@ -1,0 +1,14 @@
+"""Partition-count helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin rows over ``target`` partitions (default: the session's parallelism) when the
+    input arrives in fewer — CPU-heavy per-row work (regexes, date parsing) on a handful of
+    large splits would otherwise use a handful of cores. An input that already has enough
+    partitions passes through untouched, so at cluster scale this adds no shuffle."""
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

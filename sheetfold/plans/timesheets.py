@@ -14,6 +14,7 @@ from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
 from sheetfold.operators.joins import flag_membership, left_join_small
+from sheetfold.operators.partitioning import spread
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
@@ -95,13 +96,12 @@ def clean_sector(df: DataFrame) -> DataFrame:
     All derived columns read the *input* columns (one projection): ``proyecto_id`` comes from the
     unstripped project text, ``Mes`` and ``Fecha`` from the original date text.
     """
-    fecha_tmp = T.parse_date_multi(_c("Fecha"))
+    df = T.with_parsed_date(spread(df), "Fecha", "_fecha_tmp")
     df = df.withColumns({
         "nombre": T.last_dash_part(F.col("archivo_origen")),
         "Proyecto": T.strip(_c("Proyecto")),
         "proyecto_id": T.project_id(_c("Proyecto")),
         "Cantidad de horas": T.hours(_c("Cantidad de horas")),
-        "_fecha_tmp": fecha_tmp,
     })
     df = df.withColumns({
         "Mes": F.when(F.col("_fecha_tmp").isNotNull(), T.month_label(F.col("_fecha_tmp"))).otherwise(_c("Mes")),

@@ -120,13 +120,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Session setting naming a folder where :func:`materialize_views` stored the stand-ins.
+STORED_VIEWS_CONF = "sheetfold.fixtures.dir"
+
+
 def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build a stand-in view as a Spark DataFrame."""
+    """A stand-in view as a Spark DataFrame: read from the stored copy when the session names
+    one (``sheetfold.fixtures.dir``, written for the same ``sf_dir``), else derived by SQL."""
+    stored = spark.conf.get(STORED_VIEWS_CONF, None)
+    if stored:
+        path = os.path.join(stored, os.path.basename(os.path.normpath(sf_dir)), f"{name}.parquet")
+        if os.path.exists(path):
+            return spark.read.parquet(path)
     deps, sql = FX_VIEWS[name]
     frames = {d: (fx(spark, sf_dir, d) if d in FX_VIEWS else table(spark, sf_dir, d)) for d in deps}
     return spark.sql(sql.replace('"', "`"), **frames)
 
 
+def materialize_views(spark: SparkSession, sf_dir: str, out_dir: str) -> None:
+    """Write every stand-in view for ``sf_dir`` as Parquet under ``out_dir`` (as stored inputs
+    would be) and point the session at them."""
+    spark.conf.unset(STORED_VIEWS_CONF)
+    base = os.path.join(out_dir, os.path.basename(os.path.normpath(sf_dir)))
+    for name in FX_VIEWS:
+        fx(spark, sf_dir, name).write.mode("overwrite").parquet(os.path.join(base, f"{name}.parquet"))
+    spark.conf.set(STORED_VIEWS_CONF, out_dir)
+
+
 @lru_cache(maxsize=None)
 def _closure(names: tuple[str, ...]) -> list[str]:
     out: list[str] = []
