@@ -84,7 +84,7 @@ def finance_file_filter(listing: DataFrame, name_col: str = "file_name") -> Data
 def finance_layout(grid: DataFrame, keys: list[str], tipo_col: str) -> DataFrame:
     """Per sheet: header position (radar), width, names, canonical names, and the 0-based position
     ``i_<k>`` of every canonical column the rows need (null = column absent in that sheet)."""
-    lay = L.sheet_layout(grid, keys, HEADER_KEYWORDS, HEADER_SEARCH_ROWS, fallback_first_row=True)
+    lay = L.sheet_layout(grid, _with_tipo(keys, tipo_col), HEADER_KEYWORDS, HEADER_SEARCH_ROWS, fallback_first_row=True)
     lay = lay.withColumn("names", H.dedupe_checked(H.pad_header(F.col("header"), F.col("width"))))
     lay = lay.withColumn("canon", canonical(F.col("names"), F.col(tipo_col)))
     for k, c in enumerate(_NEEDED):
@@ -92,6 +92,11 @@ def finance_layout(grid: DataFrame, keys: list[str], tipo_col: str) -> DataFrame
     return lay
 
 
+def _with_tipo(keys: list[str], tipo_col: str) -> list[str]:
+    """Sheet keys plus the tab-type column (constant within a sheet)."""
+    return keys if tipo_col in keys else keys + [tipo_col]
+
+
 def _present(name: str) -> Column:
     return F.col(f"i_{_NEEDED.index(name)}").isNotNull()
 
@@ -164,8 +169,9 @@ def clean_rows(rows: DataFrame, keys: list[str], tipo_col: str, title_col: str)
 def clean_grids(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str) -> DataFrame:
     """Raw projection tabs → flagged rows (see :func:`clean_rows`)."""
     lay = finance_layout(grid, keys, tipo_col)
-    slim = lay.select(*keys, "header_idx", "stop_idx", *[f"i_{k}" for k in range(len(_NEEDED))])
-    rows = L.table_rows(grid, slim, keys)
+    gkeys = _with_tipo(keys, tipo_col)
+    slim = lay.select(*gkeys, "header_idx", "stop_idx", *[f"i_{k}" for k in range(len(_NEEDED))])
+    rows = L.table_rows(grid, slim, gkeys)
     return clean_rows(rows, keys, tipo_col, title_col)
 
 
