@@ -155,9 +155,15 @@ def alert_flags(df: DataFrame, projects: DataFrame) -> DataFrame:
     return df.withColumn("suma_alertas", total.cast("int"))
 
 
+#: Tie-breakers after the person in the detail sort: keep one file's rows together and let the
+#: range partitioner split a person who holds a large share of all rows across sort tasks.
+DETAIL_TIEBREAK = ["archivo_origen", "consecutivo", "Fecha"]
+
+
 def alert_detail(flagged: DataFrame) -> DataFrame:
-    """Rows with at least one alert, sorted by person."""
-    return flagged.where(F.col("suma_alertas") > 0).select(*[_c(c) for c in DETAIL_COLUMNS]).orderBy("nombre")
+    """Rows with at least one alert, sorted by person (then file, row number, date)."""
+    return (flagged.where(F.col("suma_alertas") > 0).select(*[_c(c) for c in DETAIL_COLUMNS])
+            .orderBy("nombre", *DETAIL_TIEBREAK))
 
 
 def alert_summary(flagged: DataFrame, review_date: str = REVIEW_DATE) -> DataFrame:

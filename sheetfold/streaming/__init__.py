@@ -1,0 +1,8 @@
+"""Incremental runs: apply the batch jobs to grid files as they land (see ``incremental``).
+
+The original jobs are scheduled batch passes; there is no watermark, window or state to keep.
+"""
+
+from sheetfold.streaming.incremental import GRID_SCHEMA, run_on_new_grids
+
+__all__ = ["GRID_SCHEMA", "run_on_new_grids"]

@@ -1,0 +1,33 @@
+"""Incremental runs over a landing folder."""
+
+import os
+import tempfile
+
+from conftest import grid_df
+from sheetfold.plans import budget as BU
+from sheetfold.streaming import GRID_SCHEMA, run_on_new_grids
+
+
+def _land(spark, path, sheets, title):
+    g = grid_df(spark, sheets, key="file_id", extra={"file_name": lambda k: title})
+    g = g.selectExpr("'f' as folder", "file_id", "file_name", "1 as file_ord", "'Equipo' as tab", "row_idx", "cells")
+    spark.createDataFrame(g.rdd, GRID_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def job(grid):
+    people = BU.extract_team(grid, ["file_id"], "file_name", ["file_id", "row_idx"])
+    return {"people": people.select("archivo_origen", "nombre", "Horas_Presupuestadas")}
+
+
+def test_only_new_files_are_processed(spark):
+    land = tempfile.mkdtemp(prefix="land-", dir="/tmp")
+    out = tempfile.mkdtemp(prefix="out-", dir="/tmp")
+    header = ["Nombre completo", "Cantidad de horas"]
+    _land(spark, os.path.join(land, "a"), {"wa": [header, ["ANA", "8"], ["TOTAL", "8"]]}, "Productividad: 2024-01 A")
+    name = os.path.basename(out)
+    run_on_new_grids(spark, os.path.join(land, "*"), job, out, name)
+    assert spark.read.parquet(os.path.join(out, "people")).count() == 1
+    _land(spark, os.path.join(land, "b"), {"wb": [header, ["LUIS", "4"], ["EVA", "2,5"]]}, "Productividad: 2024-02 B")
+    run_on_new_grids(spark, os.path.join(land, "*"), job, out, name)
+    got = sorted(r["nombre"] for r in spark.read.parquet(os.path.join(out, "people")).collect())
+    assert got == ["ANA", "EVA", "LUIS"]
