@@ -96,7 +96,9 @@ select event_id, {hours('"Cantidad de horas"')} as horas from fx_timesheet""")
 
 _TS_VIEWS = ["fx_timesheet", "fx_rates", "fx_projects"]
 
-TS_CTES = f"""
+def ts_ctes(src: str) -> str:
+    """The timesheet CTE chain (clean → cost → flags) over the relation ``src``."""
+    return f"""
 ts_parsed as (
   select t.* exclude ("Proyecto", "Cantidad de horas", "Mes", "Fecha"),
     {strip("string_split(archivo_origen, '-')[-1]")} as nombre,
@@ -105,7 +107,7 @@ ts_parsed as (
     {hours('t."Cantidad de horas"')} as "Cantidad de horas",
     case when fd is not null then {month_label('fd')} else t."Mes" end as "Mes",
     case when fd is not null then strftime(fd, '%Y-%m-%d') else t."Fecha" end as "Fecha"
-  from (select *, {parse_date('"Fecha"')} as fd from fx_timesheet) t
+  from (select *, {parse_date('"Fecha"')} as fd from {src}) t
 ),
 ts_clean as (
   select * exclude (fd) from ts_parsed
@@ -141,6 +143,9 @@ flagged as (
 )"""
 
 
+TS_CTES = ts_ctes("fx_timesheet")
+
+
 def ts_register(name: str, select: str) -> None:
     ORACLE[name] = duck_with(_TS_VIEWS, select, TS_CTES)
 
@@ -169,7 +174,7 @@ ts_register("ts_alert_flags", """select event_id, alerta_category, alerta_subcat
 ts_register("ts_alert_detail", """select archivo_origen, nombre, consecutivo, "Fecha", "Día", "Category", "Sub-Category",
   "Proyecto", "Descripción", "Cantidad de horas", "Mes", alerta_category, alerta_subcat, alerta_proyectos,
   alerta_horas, alerta_desc, alerta_proyecto_nomb, suma_alertas from flagged where suma_alertas > 0""")
-ts_register("ts_alert_summary", """select * from (
+SUMMARY_SELECT = """select * from (
   select nombre, alerta_category, alerta_subcat, alerta_proyectos, alerta_horas, alerta_desc, alerta_fecha,
     alerta_proyecto_nomb, max_fecha,
     cast(alerta_category + alerta_subcat + alerta_proyectos + alerta_horas + alerta_desc + alerta_proyecto_nomb
@@ -185,7 +190,8 @@ ts_register("ts_alert_summary", """select * from (
       max("Fecha") as max_fecha,
       coalesce(cast(cast(try_strptime(max("Fecha"), '%Y-%m-%d') as date) < date '2025-02-28' as integer), 0) as alerta_fecha
     from flagged group by nombre) g) s
-where suma_alertas >= 1""")
+where suma_alertas >= 1"""
+ts_register("ts_alert_summary", SUMMARY_SELECT)
 ts_register("ts_consolidated", """select archivo_origen, nombre, consecutivo, "Fecha", "Día", "Category", "Sub-Category",
   "Proyecto", "Descripción", "Cantidad de horas", "Mes", "Costo interno", costo_rate_interno, "Sector_Origen" from costed""")
 
@@ -499,3 +505,34 @@ ts_register("sink_null_to_blank", "select " + ", ".join(f'coalesce(cast("{c}" as
             + " from flagged where suma_alertas > 0")
 register("sink_dates_to_text", ["fx_timesheet"], f"""
 select event_id, cast({parse_date('"Fecha"')} as varchar) as fecha_date from fx_timesheet""")
+
+# ---- timesheets from raw grids ------------------------------------------------------------
+
+_TSG_COLS = {"consecutivo": ["consecutivo", "...1", "Unnamed"], "Fecha": ["Fecha"], "Día": ["Día"],
+             "Category": ["Category"], "Sub-Category": ["Sub-Category"], "Proyecto": ["Proyecto", "Nombre de Proyecto"],
+             "Descripción": ["Descripción"], "Cantidad de horas": ["Cantidad de horas"], "Mes": ["Mes"]}
+
+
+def _tsg_value(col: str) -> str:
+    p = "coalesce(" + ", ".join(f"list_position(k.names, '{a}')" for a in _TSG_COLS[col]) + ")"
+    return f'case when {p} is not null then coalesce(a.cells[{p}], \'\') end as "{col}"'
+
+
+TS_GRID_CTES = f"""
+gt as (select file_name, sector, row_idx, string_split(line, '|') as cells from fx_grid_timesheet
+  where starts_with(file_name, 'Timesheet 2026 -') and not contains(file_name, 'Plantilla')),
+ta as (select file_name, sector, row_idx - 1 as row_idx, list_slice(cells, 1, 9) as cells from gt where row_idx >= 1),
+th as (select a.file_name, a.cells as header from ta a
+  join (select file_name from ta group by file_name having count(*) >= 2) n on a.file_name = n.file_name where a.row_idx = 0),
+tn as (select file_name, {dedupe_counter('bs')} as names from (select file_name, {counter_bases('header')} as bs from th)),
+tk as (select * from tn where len(list_distinct(names)) = len(names)
+  and not (list_contains(names, 'Proyecto') and list_contains(names, 'Nombre de Proyecto'))),
+trows as (select a.file_name as archivo_origen, a.sector as "Sector_Origen", {', '.join(_tsg_value(c) for c in _TSG_COLS)}
+  from ta a join tk k on a.file_name = k.file_name where a.row_idx > 0),
+{ts_ctes("trows").strip()}"""
+
+_TSG_VIEWS = ["fx_grid_timesheet", "fx_rates", "fx_projects"]
+register("ts_grid_consolidated", _TSG_VIEWS, """select archivo_origen, nombre, consecutivo, "Fecha", "Día", "Category",
+  "Sub-Category", "Proyecto", "Descripción", "Cantidad de horas", "Mes", "Costo interno", costo_rate_interno, "Sector_Origen"
+  from costed""", TS_GRID_CTES)
+register("ts_grid_alert_summary", _TSG_VIEWS, SUMMARY_SELECT, TS_GRID_CTES)

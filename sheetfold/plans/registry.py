@@ -520,3 +520,28 @@ def sink_null_to_blank(spark, sf):
 def sink_dates_to_text(spark, sf):
     t = fx(spark, sf, "fx_timesheet")
     return SK.dates_to_text(t.select("event_id", T.parse_date_multi(_c("Fecha")).alias("fecha_date")))
+
+
+# ---- timesheets from raw grids ------------------------------------------------------------
+
+def _ts_grid_rows(spark, sf):
+    """Listing filter (case-sensitive prefix, no templates) before any sheet work, then the
+    ``A2:I`` read with header naming and renames; the folder gives ``Sector_Origen``."""
+    grid = lines_to_cells(fx(spark, sf, "fx_grid_timesheet"))
+    grid = TS.timesheet_file_filter(grid, "file_name")
+    rows, _ = TS.read_timesheet_grids(grid, ["file_name"], "file_name", sector_col="sector")
+    return rows.drop("file_name")
+
+
+@query("ts_grid_consolidated")
+def ts_grid_consolidated(spark, sf):
+    """Consolidated timesheet table end to end from raw ``Timesheet`` tabs."""
+    costed = TS.cost_rows(TS.clean_sector(_ts_grid_rows(spark, sf)), TS.staff_rates(fx(spark, sf, "fx_rates")))
+    return TS.consolidated(costed)
+
+
+@query("ts_grid_alert_summary")
+def ts_grid_alert_summary(spark, sf):
+    """Per-person alert summary end to end from raw ``Timesheet`` tabs."""
+    costed = TS.cost_rows(TS.clean_sector(_ts_grid_rows(spark, sf)), TS.staff_rates(fx(spark, sf, "fx_rates")))
+    return TS.alert_summary(TS.alert_flags(costed, fx(spark, sf, "fx_projects")))

@@ -102,6 +102,19 @@ select case when c_custkey % 10 = 9 then c_custkey - 1 else c_custkey end as fil
     || case when c_custkey % 7 = 0 then ' (Copia)' when c_custkey % 11 = 0 then ' Plantilla' else '' end as file_name from {customer}
 """
 
+FX_GRID_TIMESHEET = """
+select file_name, sector, cast(row_number() over (partition by file_name order by ord) - 1 as int) as row_idx, line from (
+  select distinct archivo_origen as file_name, "Sector_Origen" as sector, cast(-2 as bigint) as ord, 'Registro de horas 2026' as line from {fx_timesheet}
+  union all select distinct archivo_origen, "Sector_Origen", cast(-1 as bigint),
+    case when user_id % 4 = 0 then ' ' when user_id % 4 = 1 then '...1' else 'consecutivo' end
+    || '|Fecha|Día|Category|Sub-Category|' || case when user_id % 5 = 2 then 'Nombre de Proyecto' else 'Proyecto' end
+    || '|Descripción|Cantidad de horas|Mes' || case when user_id % 7 = 3 then '|Notas' else '' end from {fx_timesheet}
+  union all select archivo_origen, "Sector_Origen", event_id,
+    consecutivo || '|' || "Fecha" || '|' || "Día" || '|' || coalesce("Category", '') || '|' || "Sub-Category" || '|' || "Proyecto"
+    || '|' || "Descripción" || '|' || "Cantidad de horas" || '|' || "Mes" || case when event_id % 17 = 0 then '|nota|extra' else '' end
+  from {fx_timesheet}) g
+"""
+
 #: view name -> (tables it reads, SQL text)
 FX_VIEWS: dict[str, tuple[list[str], str]] = {
     "fx_timesheet": (["events", "customer"], FX_TIMESHEET),
@@ -112,6 +125,7 @@ FX_VIEWS: dict[str, tuple[list[str], str]] = {
     "fx_grid_budget": (["fx_budget"], FX_GRID_BUDGET),
     "fx_grid_finance": (["fx_finance"], FX_GRID_FINANCE),
     "fx_listing": (["customer"], FX_LISTING),
+    "fx_grid_timesheet": (["fx_timesheet"], FX_GRID_TIMESHEET),
 }
 
 
