@@ -194,3 +194,14 @@ def audit(clean: DataFrame, keys: list[str]) -> DataFrame:
     return clean.groupBy("archivo_origen", "Tipo_Movimiento", *key_cols).agg(
         F.count(F.when(F.col("_real"), 1)).alias("n_real"),
         F.count(F.when(F.col("_valid"), 1)).alias("n_valid"))
+
+
+def run(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str) -> dict[str, DataFrame]:
+    """Whole job on raw projection tabs: the three masters plus the audit table. The flagged rows
+    feed all four outputs and are checkpointed once."""
+    from sheetfold.operators.joins import materialize
+
+    clean = materialize(clean_grids(grid, keys, tipo_col, title_col))
+    out = masters(clean)
+    out["Auditoria"] = audit(clean, keys)
+    return out

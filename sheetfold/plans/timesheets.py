@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
-from sheetfold.operators.joins import flag_membership, left_join_small
+from sheetfold.operators.joins import flag_membership, left_join_small, materialize
 from sheetfold.operators.partitioning import spread
 
 # ---------------------------------------------------------------------------------------------
@@ -187,10 +187,20 @@ def consolidated(costed: DataFrame) -> DataFrame:
 def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame) -> dict[str, DataFrame]:
     """Whole job: clean → cost → flag; returns the three export tables.
 
-    The flagged table feeds all three outputs; on a cluster, persist or checkpoint it once per
-    run (callers decide, see :func:`sheetfold.operators.joins.materialize`).
+    The flagged table feeds all three outputs (and the detail sort samples its input), so it is
+    checkpointed once: each output reads it instead of re-running cleaning and joins.
     """
     costed = cost_rows(clean_sector(timesheet_rows), staff_rates(rates))
-    flagged = alert_flags(costed, projects)
+    flagged = materialize(alert_flags(costed, projects))
     return {"Resumen Alertas": alert_summary(flagged), "Detalle Alertas": alert_detail(flagged),
-            "Productividad Equi Consolidado": consolidated(costed)}
+            "Productividad Equi Consolidado": consolidated(flagged)}
+
+
+def run_from_grids(grid: DataFrame, keys: list[str], rates: DataFrame, projects: DataFrame,
+                   name_col: str = "file_name", sector_col: str | None = None) -> dict[str, DataFrame]:
+    """Raw ``Timesheet`` tabs (all sectors in one grid) → the three export tables + rejects."""
+    grid = timesheet_file_filter(grid, name_col)
+    rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col)
+    out = run(rows, rates, projects)
+    out["Rechazados"] = rejects
+    return out

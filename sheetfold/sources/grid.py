@@ -31,7 +31,7 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
         cells = F.when(last.isNull(), F.array().cast("array<string>")).otherwise(F.slice(cells, 1, last + 1))
     raw = raw.select("file_id", "file_name", "_mono", cells.alias("cells"))
     first = raw.groupBy("file_id").agg(F.min("_mono").alias("_first"))
-    return (raw.join(sized_side(first), "file_id")
+    return (raw.join(sized_side(first, checkpoint=True), "file_id")
             .select("file_id", "file_name", (F.col("_mono") - F.col("_first")).cast("int").alias("row_idx"), "cells"))
 
 

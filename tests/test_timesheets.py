@@ -93,3 +93,29 @@ def test_run_returns_three_tables(spark):
     out = TS.run(fx(spark, SF_MID, "fx_timesheet"), fx(spark, SF_MID, "fx_rates"), fx(spark, SF_MID, "fx_projects"))
     assert set(out) == {"Resumen Alertas", "Detalle Alertas", "Productividad Equi Consolidado"}
     assert out["Productividad Equi Consolidado"].columns == TS.CONSOLIDATED_COLUMNS
+
+
+def test_run_from_grids(spark):
+    from sheetfold.sources.fixtures import lines_to_cells
+    grid = lines_to_cells(fx(spark, SF_MID, "fx_grid_timesheet"))
+    out = TS.run_from_grids(grid, ["file_name"], fx(spark, SF_MID, "fx_rates"), fx(spark, SF_MID, "fx_projects"),
+                            sector_col="sector")
+    assert out["Rechazados"].count() == 0
+    assert out["Resumen Alertas"].count() == 136
+    assert out["Productividad Equi Consolidado"].count() > 10_000 - 53
+
+
+def test_finance_and_budget_run(spark):
+    from sheetfold.plans import finance as FI
+    from sheetfold.sources.fixtures import lines_to_cells
+    fin = FI.run(lines_to_cells(fx(spark, SF_MID, "fx_grid_finance")), ["archivo_origen", "tipo"], "tipo", "archivo_origen")
+    n_in, n_out, n_base = (fin[k].count() for k in ("Ingresos", "Gastos", "Base_Looker"))
+    assert n_base == n_in + n_out > 0
+    audit = fin["Auditoria"].agg(F.sum("n_valid")).first()[0]
+    assert audit == n_base
+    listed = fx(spark, SF_MID, "fx_budget").select("file_ord", "file_name").distinct()
+    bud = BU.run(lines_to_cells(fx(spark, SF_MID, "fx_grid_budget")), ["file_ord"], "file_name", ["file_ord", "row_idx"],
+                 fx(spark, SF_MID, "fx_rates"), listed, "file_ord")
+    ids = [r[0] for r in bud["Fact_Presupuesto_Horas"].select("ID_Presupuesto").distinct().collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
+    assert bud["Archivos_sin_tabla"].count() == 3
