@@ -180,12 +180,29 @@ def _select(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def masters(clean: DataFrame) -> dict[str, DataFrame]:
-    """``Ingresos``, ``Gastos`` and ``Base_Looker`` (master order) from flagged rows."""
+    """``Ingresos``, ``Gastos`` and ``Base_Looker`` (master order) from flagged rows.
+
+    ``Base_Looker`` is the by-name union of the two masters written as one projection (a column
+    only one tab type exports is null on the other type's rows), so the cleaned rows are read
+    once rather than once per union branch.
+    """
     valid = clean.where("_valid")
-    income = _select(valid.where(F.col("Tipo_Movimiento") == INCOME), INCOME_COLUMNS + ["Tipo_Movimiento", "archivo_origen"])
-    expense = _select(valid.where(F.col("Tipo_Movimiento") == EXPENSE), EXPENSE_COLUMNS + ["Tipo_Movimiento", "archivo_origen"])
-    base = income.unionByName(expense, allowMissingColumns=True)
-    return {"Ingresos": income, "Gastos": expense, "Base_Looker": _select(base, MASTER_ORDER)}
+    tipo = F.col("Tipo_Movimiento")
+    income = _select(valid.where(tipo == INCOME), INCOME_COLUMNS + ["Tipo_Movimiento", "archivo_origen"])
+    expense = _select(valid.where(tipo == EXPENSE), EXPENSE_COLUMNS + ["Tipo_Movimiento", "archivo_origen"])
+
+    def pick(c: str) -> Column:
+        col = F.col(f"`{c}`")
+        if c in ("Tipo_Movimiento", "archivo_origen") or (c in INCOME_COLUMNS and c in EXPENSE_COLUMNS):
+            return col.alias(c)
+        if c in INCOME_COLUMNS:
+            return F.when(tipo == INCOME, col).alias(c)
+        if c in EXPENSE_COLUMNS:
+            return F.when(tipo == EXPENSE, col).alias(c)
+        return F.lit(None).cast("string").alias(c)
+
+    base = valid.where(tipo.isin(INCOME, EXPENSE)).select(*[pick(c) for c in MASTER_ORDER])
+    return {"Ingresos": income, "Gastos": expense, "Base_Looker": base}
 
 
 def audit(clean: DataFrame, keys: list[str]) -> DataFrame:
