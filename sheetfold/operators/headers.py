@@ -30,14 +30,13 @@ def dedupe_checked(header: Column, blank_prefix: str = "column_") -> Column:
 
     ``X, X_1, X, '', X`` → ``X, X_1, X_2, column_3, X_3``.
     """
-    def step(acc, h):
-        s = strip(h)
-        base = F.when(F.coalesce(s, F.lit("")) != "", s).otherwise(
-            F.concat(F.lit(blank_prefix), F.size(acc).cast("string")))
-        name = F.when(~F.array_contains(acc, base), base).otherwise(_first_free(acc, base, "_"))
-        return F.array_append(acc, name)
+    bases = F.transform(header, lambda h, i: F.when(F.coalesce(strip(h), F.lit("")) != "", strip(h))
+                        .otherwise(F.concat(F.lit(blank_prefix), i.cast("string"))))
+
+    def step(acc, b):
+        return F.array_append(acc, F.when(~F.array_contains(acc, b), b).otherwise(_first_free(acc, b, "_")))
 
-    return F.aggregate(header, F.array().cast("array<string>"), step)
+    return F.aggregate(bases, F.array().cast("array<string>"), step)
 
 
 def dedupe_counter(header: Column, blank_name: str = "Unnamed") -> Column:
@@ -67,14 +66,16 @@ def canonical_names(names: Column, dictionary: Column, rules: list[tuple[Column,
         ruled = expr.otherwise(c) if expr is not None else c
         return F.coalesce(F.try_element_at(dictionary, c), ruled)
 
-    def step(acc, c):
-        t = target(c)
+    pairs = F.transform(names, lambda c: F.struct(c.alias("n"), target(c).alias("t")))
+
+    def step(acc, p):
+        n, t = p["n"], p["t"]
         name = (F.when(~F.array_contains(acc, t), t)
-                .when(~F.array_contains(acc, c), c)
-                .otherwise(_first_free(acc, c, "_dup")))
+                .when(~F.array_contains(acc, n), n)
+                .otherwise(_first_free(acc, n, "_dup")))
         return F.array_append(acc, name)
 
-    return F.aggregate(names, F.array().cast("array<string>"), step)
+    return F.aggregate(pairs, F.array().cast("array<string>"), step)
 
 
 def first_matching(names: Column, keywords: list[str]) -> Column:

@@ -87,9 +87,7 @@ def finance_layout(grid: DataFrame, keys: list[str], tipo_col: str) -> DataFrame
     lay = L.sheet_layout(grid, _with_tipo(keys, tipo_col), HEADER_KEYWORDS, HEADER_SEARCH_ROWS, fallback_first_row=True)
     lay = lay.withColumn("names", H.dedupe_checked(H.pad_header(F.col("header"), F.col("width"))))
     lay = lay.withColumn("canon", canonical(F.col("names"), F.col(tipo_col)))
-    for k, c in enumerate(_NEEDED):
-        lay = lay.withColumn(f"i_{k}", H.position_of(F.col("canon"), F.lit(c)))
-    return lay
+    return lay.withColumns({f"i_{k}": H.position_of(F.col("canon"), F.lit(c)) for k, c in enumerate(_NEEDED)})
 
 
 def _with_tipo(keys: list[str], tipo_col: str) -> list[str]:
