@@ -35,9 +35,15 @@ def _norm(v):
     return v
 
 
+_SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                  "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                  "timestamp_ntz": "TIMESTAMP"}
+
+
 def rows_of_spark(df):
     cols = sorted(df.columns)
-    return cols, [tuple(_norm(r[c]) for c in cols) for r in df.collect()]
+    types = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    return cols, [types[c] for c in cols], [tuple(_norm(r[c]) for c in cols) for r in df.collect()]
 
 
 def rows_of_duck(con, sql):
@@ -45,15 +51,19 @@ def rows_of_duck(con, sql):
     names = rel.columns
     cols = sorted(names)
     idx = [names.index(c) for c in cols]
-    return cols, [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
+    types = [str(rel.types[i]) for i in idx]
+    return cols, types, [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
 
 
 def compare(spark, con, name, fn, sql, sf_dir):
-    scols, srows = rows_of_spark(fn(spark, sf_dir))
-    dcols, drows = rows_of_duck(con, sql)
+    scols, stypes, srows = rows_of_spark(fn(spark, sf_dir))
+    dcols, dtypes, drows = rows_of_duck(con, sql)
     problems = []
     if scols != dcols:
         problems.append(f"columns spark={scols} duck={dcols}")
+    elif stypes != dtypes:
+        diff = [(c, a, b) for c, a, b in zip(scols, stypes, dtypes) if a != b]
+        problems.append(f"types differ {diff}")
     if len(srows) != len(drows):
         problems.append(f"rows spark={len(srows)} duck={len(drows)}")
     if not problems:
