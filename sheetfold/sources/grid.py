@@ -39,3 +39,36 @@ def read_parquet_grid(spark: SparkSession, path: str) -> DataFrame:
     """A grid already stored as Parquet (``folder, file_id, file_name, file_ord, tab, row_idx,
     cells``); column pruning and filters reach the scan."""
     return spark.read.parquet(path)
+
+
+def _decoded_path(c):
+    # a URI keeps '+' literal, so protect it before form-style decoding
+    return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
+
+
+def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int = 26, tabs: list[str] | None = None) -> DataFrame:
+    """Read workbooks exported as ``<root>/<folder>/<workbook>/<tab>.csv`` into one grid:
+    ``folder, file_id (workbook path), file_name (workbook title), tab, row_idx, cells``.
+
+    Folder, workbook and tab names are percent-encoded path segments (titles may hold ``:`` or
+    ``/``, which file systems reject); they are decoded here. ``tabs`` prunes by file name before
+    anything is opened (only those tabs are read).
+    """
+    from urllib.parse import quote
+
+    pattern = "*.csv" if not tabs else "{" + ",".join(f"{quote(t, safe='')}.csv" for t in tabs) + "}"
+    paths = [f"{r.rstrip('/')}/*/*/{pattern}" for r in roots]
+    g = read_csv_grids(spark, paths, max_cols=max_cols)
+    on_disk = _decoded_path(F.col("file_id"))
+    parts = F.split(on_disk, "/")
+    return g.select(
+        _decoded_path(F.element_at(parts, -3)).alias("folder"),
+        F.regexp_replace(on_disk, r"/[^/]*$", "").alias("file_id"),
+        _decoded_path(F.element_at(parts, -2)).alias("file_name"),
+        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"),
+        "row_idx", "cells")
+
+
+def read_table_export(spark: SparkSession, path: str) -> DataFrame:
+    """A tab exported with its header row (rates, project master): every column as text."""
+    return spark.read.option("header", True).option("multiLine", True).option("inferSchema", False).csv(path)

@@ -50,6 +50,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool
         out = out.coalesce(num_files)
     writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("emptyValue", "")
     writer.format(fmt).save(path)
     return True
