@@ -51,6 +51,7 @@ def flag_membership(df: DataFrame, value_col: str, members: DataFrame, member_co
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_member_key")
 
 
-def missing_from(listed: DataFrame, processed: DataFrame, key: str) -> DataFrame:
-    """Rows of ``listed`` whose ``key`` never shows up in ``processed`` (set difference by id)."""
-    return listed.join(processed.select(key).distinct(), key, "left_anti")
+def missing_from(listed: DataFrame, processed: DataFrame, key: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``listed`` whose ``key`` never shows up in ``processed`` (set difference by id;
+    the distinct processed ids — one per file — are broadcast behind the size check)."""
+    return listed.join(sized_side(processed.select(key).distinct(), max_rows), key, "left_anti")

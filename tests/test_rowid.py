@@ -16,3 +16,12 @@ def test_dense_index_skewed(spark):
     assert sorted(r["rid"] for r in rows) == list(range(1, 30_001))
     by_order = [r["rid"] for r in sorted(rows, key=lambda r: (r["file_ord"], r["row_idx"]))]
     assert by_order == list(range(1, 30_001))
+
+
+def test_sort_splits_a_hot_file_across_partitions(spark):
+    # the range-partitioned sort behind dense_index must not put one file in one task
+    df = spark.range(0, 40_000).select(
+        F.when(F.col("id") < 30_000, F.lit(1)).otherwise(F.lit(2)).alias("file_ord"), F.col("id").alias("row_idx"))
+    parts = (df.repartition(8).sort("file_ord", "row_idx").select("file_ord", F.spark_partition_id().alias("p"))
+             .where("file_ord = 1").select("p").distinct().count())
+    assert parts >= 2
