@@ -30,7 +30,7 @@ from sheetfold.sources import listing as LS
 from sheetfold.sources.sinks import write_table
 
 
-def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: list[str]) -> dict[str, bool]:
+def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: list[str]) -> dict[str, int | None]:
     return {name: write_table(df, os.path.join(out_dir, name), fmt=fmt, protected=protected)
             for name, df in outputs.items()}
 
@@ -77,8 +77,8 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
-def run_cli(spark, argv: list[str]) -> dict[str, bool]:
-    """Run one job with an existing session; returns {table: written?}."""
+def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
+    """Run one job with an existing session; returns {table: rows written, None if skipped}."""
     ap = parser()
     a = ap.parse_args(argv)
     if a.job == "finance":
@@ -96,8 +96,8 @@ def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = build_session(a.master, app=f"sheetfold-{a.job}")
     try:
-        for name, ok in run_cli(spark, argv).items():
-            print(f"{name}: {'written' if ok else 'empty, previous output kept'}")
+        for name, n in run_cli(spark, argv).items():
+            print(f"{name}: {n} rows" if n is not None else f"{name}: empty, previous output kept")
     finally:
         spark.stop()
 

@@ -39,6 +39,10 @@ CONSOLIDATED_COLUMNS = ["archivo_origen", "nombre", "consecutivo", "Fecha", "Dí
 #: Columns a timesheet tab is read with (range A2:I): nine text columns.
 TIMESHEET_TEXT_COLUMNS = ["consecutivo", "Fecha", "Día", "Category", "Sub-Category", "Proyecto",
                           "Descripción", "Cantidad de horas", "Mes"]
+#: Columns read without a presence check: a sector where no file has one of these fails the run;
+#: the next three must exist in some file of any sector.
+REQUIRED_PER_SECTOR = ["Proyecto", "Cantidad de horas", "Fecha", "Mes", "Descripción", "Category"]
+REQUIRED_ANYWHERE = ["Sub-Category", "consecutivo", "Día"]
 #: Header renames: the project column's other name; the unnamed first column.
 PROJECT_ALIASES = ["Proyecto", "Nombre de Proyecto"]
 SEQUENCE_ALIASES = ["consecutivo", "...1", "Unnamed"]
@@ -56,14 +60,42 @@ def timesheet_file_filter(listing: DataFrame, name_col: str = "file_name",
     return listing.where(n.startswith(prefix) & ~n.contains(TEMPLATE_MARKER))
 
 
+class MissingColumns(ValueError):
+    """A required timesheet column is absent in every file of a sector (or of the run)."""
+
+
+def _check_required(slim: DataFrame, names: list[str], keys: list[str], grid: DataFrame,
+                    sector_col: str | None) -> None:
+    """Raise :class:`MissingColumns` like the original run would (one small aggregate over the
+    per-sheet layout: one row per sector comes back to the driver)."""
+    lay = slim
+    if sector_col:
+        sectors = grid.select(*keys, sector_col).distinct()
+        lay = slim.join(sectors, keys)
+    by = [sector_col] if sector_col else []
+    present = {n: F.max(F.col(f"_i{k}").isNotNull().cast("int")).alias(n) for k, n in enumerate(names)}
+    rows = lay.groupBy(*by).agg(*present.values()).collect()
+    problems = []
+    for r in rows:
+        missing = [c for c in REQUIRED_PER_SECTOR if not r[c]]
+        if missing:
+            problems.append(f"{r[sector_col] if sector_col else 'all'}: {missing}")
+    anywhere = [c for c in REQUIRED_ANYWHERE if rows and not any(r[c] for r in rows)]
+    if anywhere:
+        problems.append(f"every sector: {anywhere}")
+    if problems:
+        raise MissingColumns("; ".join(problems))
+
+
 def read_timesheet_grids(grid: DataFrame, keys: list[str], name_col: str = "file_name",
-                         sector_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                         sector_col: str | None = None, require_columns: bool = False) -> tuple[DataFrame, DataFrame]:
     """Raw ``Timesheet`` tabs → timesheet rows, plus a rejects table (one row per sheet).
 
     Per sheet: range ``A2:I`` (row 1 skipped, nine columns), header = first row of the range,
     names stripped with blanks → ``Unnamed`` and repeats → ``_n``; rows padded or cut to the
     header width. A sheet whose names collide (``X, X_1, X``, or both project names present) is
-    rejected instead of read.
+    rejected instead of read. With ``require_columns`` a sector lacking a column the job reads
+    unconditionally raises :class:`MissingColumns` (the original run fails there).
     """
     g = L.slice_range(grid, first_row=1, n_cols=9)
     lay = L.first_row_layout(g, keys)
@@ -81,6 +113,8 @@ def read_timesheet_grids(grid: DataFrame, keys: list[str], name_col: str = "file
     slim = lay.where(~F.col("rejected")).select(
         *keys, "header_idx", "stop_idx", F.size("names").alias("_w"),
         *[e.alias(f"_i{k}") for k, e in enumerate(idx.values())])
+    if require_columns:
+        _check_required(slim, list(idx), keys, grid, sector_col)
     rows = L.table_rows(g, slim, keys)
     fitted = L.fit_cells(F.col("cells"), F.col("_w"))
     cols = [L.cell_at(fitted, F.col(f"_i{k}")).alias(name) for k, name in enumerate(idx.keys())]
@@ -184,6 +218,15 @@ def consolidated(costed: DataFrame) -> DataFrame:
     return costed.select(*[_c(c) for c in CONSOLIDATED_COLUMNS])
 
 
+def audit(timesheet_rows: DataFrame) -> DataFrame:
+    """Per sector: rows read and rows kept by the non-empty-row rule (one pass)."""
+    hours = T.hours(_c("Cantidad de horas"))
+    filled = [_c(n).isNotNull() & (T.strip(_c(n)) != "") for n in ("Proyecto", "Descripción", "Category")]
+    keep = hours.isNotNull() | filled[0] | filled[1] | filled[2]
+    return timesheet_rows.groupBy("Sector_Origen").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(keep, 1)).alias("n_valid"))
+
+
 def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame) -> dict[str, DataFrame]:
     """Whole job: clean → cost → flag; returns the three export tables.
 
@@ -200,7 +243,9 @@ def run_from_grids(grid: DataFrame, keys: list[str], rates: DataFrame, projects:
                    name_col: str = "file_name", sector_col: str | None = None) -> dict[str, DataFrame]:
     """Raw ``Timesheet`` tabs (all sectors in one grid) → the three export tables + rejects."""
     grid = timesheet_file_filter(grid, name_col)
-    rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col)
+    rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col, require_columns=True)
     out = run(rows, rates, projects)
     out["Rechazados"] = rejects
+    if sector_col:
+        out["Auditoria"] = audit(rows)
     return out

@@ -33,23 +33,28 @@ def export_frame(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool = True,
-                protected: list[str] | None = None, num_files: int | None = None) -> bool:
+                protected: list[str] | None = None, num_files: int | None = None) -> int | None:
     """Replace the table at ``path`` with ``df`` (export rules applied for text formats).
 
     * refuses protected destinations (``ProtectedDestination``);
-    * an empty ``df`` leaves the previous output untouched when ``skip_empty`` (returns False);
-    * write errors propagate (no silent give-up).
+    * an empty ``df`` leaves the previous output untouched when ``skip_empty`` (returns None);
+    * write errors propagate (no silent give-up);
+    * returns the number of rows written, observed during the write (no second pass).
     """
+    from pyspark.sql import Observation
+
     for p in protected or []:
         if path.rstrip("/") == p.rstrip("/") or path.startswith(p.rstrip("/") + "/"):
             raise ProtectedDestination(path)
     if skip_empty and df.isEmpty():
-        return False
+        return None
     out = export_frame(df) if fmt == "csv" else dates_to_text(df)
+    obs = Observation(f"rows_{abs(hash(path))}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if num_files:
         out = out.coalesce(num_files)
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True).option("emptyValue", "")
     writer.format(fmt).save(path)
-    return True
+    return int(obs.get["rows"])

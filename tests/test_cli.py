@@ -33,7 +33,7 @@ def test_finance_job(spark):
     _csv(os.path.join(root, "Presupuestos", "NUEVO P1 (Copia)", "Proyección - Ingresos.csv"), inc)
     _csv(os.path.join(root, "Presupuestos", "NUEVO P1", "Notas.csv"), [["x"]])
     written = run_cli(spark, ["finance", "--input", root, "--out", out, "--format", "csv"])
-    assert written == {"Ingresos": True, "Gastos": True, "Base_Looker": True, "Auditoria": True}
+    assert written == {"Ingresos": 1, "Gastos": 1, "Base_Looker": 2, "Auditoria": 2}
     base = spark.read.option("header", True).csv(os.path.join(out, "Base_Looker")).collect()
     assert sorted((r["Tipo_Movimiento"], r["Fecha"], r["USD"]) for r in base) == [("Gasto", "2025-02-01", None), ("Ingreso", "2025-01-05", "250.5")]
     lines = [r[0] for r in spark.read.text(os.path.join(out, "Base_Looker")).collect()]
@@ -51,7 +51,7 @@ def test_budget_and_timesheet_jobs(spark):
     _csv(os.path.join(root, "books", "Productividad: 2024-01 X", "Equipo.csv"), team)
     _csv(os.path.join(root, "books", "Productividad: 0005 Y", "Resumen.csv"), [["nada"]])
     written = run_cli(spark, ["budget", "--input", os.path.join(root), "--rates", rates, "--out", out])
-    assert written["Fact_Presupuesto_Horas"] is True
+    assert written["Fact_Presupuesto_Horas"] == 2
     fact = {r["nombre"]: r for r in spark.read.parquet(os.path.join(out, "Fact_Presupuesto_Horas")).collect()}
     assert fact[" Ana "]["Costo_Total_Proyecto"] == 200.0 and fact["LUIS"]["Costo_Total_Proyecto"] == 85.0
     assert sorted(r["ID_Presupuesto"] for r in fact.values()) == [1, 2]
@@ -68,7 +68,8 @@ def test_budget_and_timesheet_jobs(spark):
     ts_out = tempfile.mkdtemp(prefix="tsout-", dir="/tmp")
     written = run_cli(spark, ["timesheets", "--input", ts_root, "--sector", "dev=Desarrollo", "--rates", rates,
                               "--projects", projects, "--out", ts_out])
-    assert written["Rechazados"] is False and written["Productividad Equi Consolidado"] is True
+    assert written["Rechazados"] is None and written["Productividad Equi Consolidado"] == 2
+    assert written["Auditoria"] == 1
     cons = spark.read.parquet(os.path.join(ts_out, "Productividad Equi Consolidado")).collect()
     assert len(cons) == 2 and {r["Sector_Origen"] for r in cons} == {"Desarrollo"}
     row = [r for r in cons if r["consecutivo"] == "1"][0]

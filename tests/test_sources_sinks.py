@@ -60,11 +60,11 @@ def test_sink_rules(spark):
     out = SK.export_frame(df).first()
     assert out.asDict() == {"x": "a", "y": "", "d": "2025-01-05", "v": "1.5"}
     path = os.path.join(d, "table")
-    assert SK.write_table(df, path, fmt="csv") is True
+    assert SK.write_table(df, path, fmt="csv") == 1
     first = spark.read.option("header", True).csv(path).first()
     assert first["d"] == "2025-01-05" and first["x"] == "a"
     # empty result: previous output stays
-    assert SK.write_table(df.limit(0), path, fmt="csv") is False
+    assert SK.write_table(df.limit(0), path, fmt="csv") is None
     assert spark.read.option("header", True).csv(path).count() == 1
     # protected destinations are refused
     with pytest.raises(SK.ProtectedDestination):

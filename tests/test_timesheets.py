@@ -119,3 +119,19 @@ def test_finance_and_budget_run(spark):
     ids = [r[0] for r in bud["Fact_Presupuesto_Horas"].select("ID_Presupuesto").distinct().collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
     assert bud["Archivos_sin_tabla"].count() == 3
+
+
+def test_missing_required_column_fails_the_run(spark):
+    import pytest
+    from conftest import grid_df
+    header = ["", "Fecha", "Día", "Category", "Sub-Category", "Proyecto", "Descripción", "Cantidad de horas", "Mes"]
+    ok = [["t"], header, ["1", "05/01/2025", "lun", "Interno", "s", "P1", "d", "8", ""]]
+    no_hours = [["t"], header[:7] + ["Horas", "Mes"], ["1", "05/01/2025", "lun", "Interno", "s", "P1", "d", "8", ""]]
+    g = grid_df(spark, {"Timesheet 2026 - A": ok, "Timesheet 2026 - B": no_hours}, key="file_name",
+                extra={"sector": lambda k: "E" if k.endswith("A") else "D"})
+    with pytest.raises(TS.MissingColumns, match="D: \\['Cantidad de horas'\\]"):
+        TS.read_timesheet_grids(g, ["file_name"], sector_col="sector", require_columns=True)
+    rows, _ = TS.read_timesheet_grids(g, ["file_name"], sector_col="sector")
+    assert rows.where("file_name like '%B'").first()["Cantidad de horas"] is None
+    audit = {r["Sector_Origen"]: (r["n_rows"], r["n_valid"]) for r in TS.audit(rows).collect()}
+    assert audit == {"E": (1, 1), "D": (1, 1)}
