@@ -94,14 +94,3 @@ def position_of(names: Column, name: Column) -> Column:
     """0-based position of ``name`` in ``names``; null when absent."""
     p = F.array_position(names, name)
     return F.when(p > 0, (p - 1).cast("int"))
-
-
-def rename_in(names: Column, mapping: dict[str, str]) -> Column:
-    """Rename elements equal to a mapping key (others unchanged)."""
-    def ren(n):
-        expr = None
-        for old, new in mapping.items():
-            expr = F.when(n == old, F.lit(new)) if expr is None else expr.when(n == old, F.lit(new))
-        return expr.otherwise(n)
-
-    return F.transform(names, ren)

@@ -10,5 +10,9 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     input arrives in fewer — CPU-heavy per-row work (regexes, date parsing) on a handful of
     large splits would otherwise use a handful of cores. An input that already has enough
     partitions passes through untouched, so at cluster scale this adds no shuffle."""
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = target or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view; leave partitioning to the server
+        return df
+    return df.repartition(target) if current < target else df

@@ -37,13 +37,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point ``checkpoint()`` at the cluster's shared folder (``spark.checkpoint.dir``).
 
     Only a local-mode session without that setting (tests, the bench) gets a fresh temp folder;
-    on a cluster a missing setting is an error, never a machine-local fallback.
+    on a cluster a missing setting is an error, never a machine-local fallback. A session
+    without a local SparkContext (Spark Connect) uses the server's setting as is.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")

@@ -17,9 +17,6 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
 FX_TIMESHEET = """
 select event_id, user_id,
   'Timesheet 2026 - ' || c_name || case when user_id % 10 = 0 then '-B ' else '' end as archivo_origen,
