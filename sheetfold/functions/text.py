@@ -6,6 +6,8 @@ whole-stage codegen: no Python UDF on any path.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,10 +63,13 @@ def is_blank(c) -> Column:
 
 
 def replace_first(c, old: str, new: str) -> Column:
-    """Replace the first occurrence of a literal (Spark's ``replace`` replaces all)."""
-    c = _col(c)
-    pos = F.instr(c, old)
-    return F.when(pos > 0, F.overlay(c, F.lit(new), pos, F.lit(len(old)))).otherwise(c)
+    """Replace the first occurrence of a literal (Spark's ``replace`` replaces all).
+
+    One anchored regex replace, so the input expression is referenced once (nested parsers stay
+    linear in size and inside codegen limits)."""
+    pattern = r"(?s)^(.*?)" + re.escape(old)
+    replacement = "$1" + new.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(_col(c), pattern, replacement)
 
 
 def replace_all(c, old: str, new: str) -> Column:
@@ -90,9 +95,11 @@ def contains(c, text: str) -> Column:
 
 
 def try_double(c) -> Column:
-    """Non-strict cast to double: null unless the text has a plain numeric shape."""
-    c = _col(c)
-    return F.when(c.rlike(NUMERIC_SHAPE), c.try_cast("double"))
+    """Non-strict cast to double: null unless the text has a plain numeric shape.
+
+    The whole-string match is extracted ('' when the shape does not match, which casts to
+    null), so the input expression is referenced once."""
+    return F.regexp_extract(_col(c), "^(" + NUMERIC_SHAPE[1:-1] + ")$", 1).try_cast("double")
 
 
 def extract_or_null(c, pattern: str, group: int = 1) -> Column:
