@@ -24,7 +24,7 @@ from sheetfold.operators.rowid import dense_index
 from sheetfold.plans import budget as BU
 from sheetfold.plans import finance as FI
 from sheetfold.plans import timesheets as TS
-from sheetfold.session import build_session
+from sheetfold.session import build_session, scale_conf
 from sheetfold.sources import grid as G
 from sheetfold.sources import listing as LS
 from sheetfold.sources.sinks import write_table
@@ -92,10 +92,23 @@ def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
     return _write(outputs, a.out, a.format, protected=[os.path.abspath(p) for p in a.input])
 
 
+def size_partitions(spark, inputs: list[str]) -> None:
+    """Set shuffle/split sizes from the bytes actually listed under the inputs (file metadata
+    only, no content is read)."""
+    total = 0
+    for root in inputs:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        total += listed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cores = spark.sparkContext.defaultParallelism
+    for k, v in scale_conf(total, cores).items():
+        spark.conf.set(k, v)
+
+
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = build_session(a.master, app=f"sheetfold-{a.job}")
     try:
+        size_partitions(spark, a.input)
         for name, n in run_cli(spark, argv).items():
             print(f"{name}: {n} rows" if n is not None else f"{name}: empty, previous output kept")
     finally:

@@ -19,26 +19,39 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, checkpoint: bool = False) -> DataFrame:
-    """Return ``df`` marked for broadcast only if its row count is within ``max_rows``.
+#: Session setting that overrides :data:`BROADCAST_MAX_ROWS`.
+BROADCAST_MAX_ROWS_CONF = "sheetfold.broadcast.maxRows"
+
+
+def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:
+    if max_rows is not None:
+        return max_rows
+    return int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
+
+
+def sized_side(df: DataFrame, max_rows: int | None = None, checkpoint: bool = False) -> DataFrame:
+    """Return ``df`` marked for broadcast only if its row count is within the bound
+    (``max_rows``, else the session's ``sheetfold.broadcast.maxRows``, else
+    :data:`BROADCAST_MAX_ROWS`).
 
     ``checkpoint=True`` first materialises it, so counting does not run its plan twice (use it
     for sides computed from large inputs, such as per-sheet layouts).
     """
+    max_rows = broadcast_bound(df, max_rows)
     if checkpoint:
         df = materialize(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
-def left_join_small(big: DataFrame, small: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS,
+def left_join_small(big: DataFrame, small: DataFrame, on, max_rows: int | None = None,
                     checkpoint: bool = False) -> DataFrame:
     """Left join that keeps every row of ``big``; duplicates on ``small`` fan out."""
     return big.join(sized_side(small, max_rows, checkpoint), on, "left")
 
 
 def flag_membership(df: DataFrame, value_col: str, members: DataFrame, member_col: str,
-                    flag: str = "_is_member", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    flag: str = "_is_member", max_rows: int | None = None) -> DataFrame:
     """Add a boolean ``flag``: ``value_col`` appears in ``members[member_col]`` (nulls never do).
 
     A left join with the distinct member list, never ``isin(collect())``: the list is reduced
@@ -51,7 +64,7 @@ def flag_membership(df: DataFrame, value_col: str, members: DataFrame, member_co
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_member_key")
 
 
-def missing_from(listed: DataFrame, processed: DataFrame, key: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def missing_from(listed: DataFrame, processed: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
     """Rows of ``listed`` whose ``key`` never shows up in ``processed`` (set difference by id;
     the distinct processed ids — one per file — are broadcast behind the size check)."""
     return listed.join(sized_side(processed.select(key).distinct(), max_rows), key, "left_anti")

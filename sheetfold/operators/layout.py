@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetfold.functions.text import strip, upper
-from sheetfold.operators.joins import BROADCAST_MAX_ROWS, sized_side
+from sheetfold.operators.joins import sized_side
 
 
 def _any_keyword(keywords: list[str], strip_cells: bool = False):
@@ -101,7 +101,7 @@ def first_row_layout(grid: DataFrame, keys: list[str], min_rows: int = 2) -> Dat
 
 
 def table_rows(grid: DataFrame, layout: DataFrame, keys: list[str],
-               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows strictly between the header and the stop row, with the layout's columns attached.
 
     The layout (one row per sheet) is checkpointed and broadcast only when its row count is

@@ -69,3 +69,25 @@ def test_sink_rules(spark):
     # protected destinations are refused
     with pytest.raises(SK.ProtectedDestination):
         SK.write_table(df, os.path.join(d, "src", "t"), protected=[os.path.join(d, "src")])
+
+
+def test_scale_conf():
+    from sheetfold.session import scale_conf
+    assert scale_conf(100 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"] == "100000"   # capped
+    assert scale_conf(10 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"] == "88000"     # 81,920 splits → 11 waves
+    assert scale_conf(0, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_broadcast_bound_setting(spark):
+    from sheetfold.operators.joins import broadcast_bound, sized_side
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+    df = spark.range(3)
+    assert broadcast_bound(df) == 200_000 and hinted(sized_side(df))
+    spark.conf.set("sheetfold.broadcast.maxRows", "2")
+    try:
+        assert broadcast_bound(df) == 2 and not hinted(sized_side(df))
+    finally:
+        spark.conf.unset("sheetfold.broadcast.maxRows")
