@@ -30,3 +30,26 @@ def test_pushdown_and_pruning(spark):
     p = plan(fx(spark, SF_SMALL, "fx_rates"))
     assert "PushedFilters: [IsNotNull(c_custkey), LessThan(c_custkey,140)" in p
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in p or "ReadSchema: struct<c_custkey:bigint,c_name:string,c_acctbal:double>" in p
+
+
+def test_no_single_partition_exchange_over_rows(spark):
+    """The only single-partition step allowed is the dense-id prefix sum over one row per
+    partition (``_part``); no query funnels its rows into one task."""
+    for name, fn in Q.items():
+        p = plan(fn(spark, SF_SMALL))
+        if "Exchange SinglePartition" in p or "SinglePartition" in p:
+            assert "_part" in p, name
+
+
+def test_filters_only_remove_rows(spark):
+    n = {k: Q[k](spark, SF_SMALL).count() for k in
+         ["fin_ghost_rows", "fin_status_in", "fin_amount_positive", "fin_expense_date",
+          "fin_unified_date", "fin_clean", "ts_nonempty_rows", "ts_person_name",
+          "budget_person_filter", "fn_title_clean", "budget_row_id", "ts_alert_detail", "ts_alert_flags"]}
+    from sheetfold.sources.fixtures import fx
+    total = fx(spark, SF_SMALL, "fx_finance").count()
+    assert total >= n["fin_ghost_rows"] >= n["fin_status_in"] >= n["fin_amount_positive"] >= n["fin_expense_date"]
+    assert n["fin_unified_date"] >= n["fin_clean"]
+    assert n["ts_person_name"] >= n["ts_nonempty_rows"]
+    assert fx(spark, SF_SMALL, "fx_budget").count() >= n["budget_person_filter"] == n["budget_row_id"]
+    assert n["ts_alert_flags"] >= n["ts_alert_detail"]
