@@ -101,13 +101,14 @@ def first_row_layout(grid: DataFrame, keys: list[str], min_rows: int = 2) -> Dat
 
 
 def table_rows(grid: DataFrame, layout: DataFrame, keys: list[str],
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               max_broadcast_rows: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Rows strictly between the header and the stop row, with the layout's columns attached.
 
-    The layout (one row per sheet) is checkpointed and broadcast only when its row count is
-    within bound; otherwise it is a shuffle join whose hot sheets AQE splits.
+    The layout (one row per sheet) is checkpointed (unless the caller already materialised it)
+    and broadcast only when its row count is within bound; otherwise it is a shuffle join whose
+    hot sheets AQE splits.
     """
-    lay = sized_side(layout, max_broadcast_rows, checkpoint=True)
+    lay = sized_side(layout, max_broadcast_rows, checkpoint=checkpoint)
     ri = F.col("row_idx")
     return (grid.join(lay, keys, "inner")
             .where((ri > F.col("header_idx")) & (F.col("stop_idx").isNull() | (ri < F.col("stop_idx")))))

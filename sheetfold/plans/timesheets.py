@@ -64,17 +64,12 @@ class MissingColumns(ValueError):
     """A required timesheet column is absent in every file of a sector (or of the run)."""
 
 
-def _check_required(slim: DataFrame, names: list[str], keys: list[str], grid: DataFrame,
-                    sector_col: str | None) -> None:
-    """Raise :class:`MissingColumns` like the original run would (one small aggregate over the
-    per-sheet layout: one row per sector comes back to the driver)."""
-    lay = slim
-    if sector_col:
-        sectors = grid.select(*keys, sector_col).distinct()
-        lay = slim.join(sectors, keys)
+def _check_required(slim: DataFrame, names: list[str], sector_col: str | None) -> None:
+    """Raise :class:`MissingColumns` like the original run would. ``slim`` is the materialised
+    per-sheet layout; one row per sector comes back to the driver."""
     by = [sector_col] if sector_col else []
-    present = {n: F.max(F.col(f"_i{k}").isNotNull().cast("int")).alias(n) for k, n in enumerate(names)}
-    rows = lay.groupBy(*by).agg(*present.values()).collect()
+    present = [F.max(F.col(f"_i{k}").isNotNull().cast("int")).alias(n) for k, n in enumerate(names)]
+    rows = slim.groupBy(*by).agg(*present).collect()
     problems = []
     for r in rows:
         missing = [c for c in REQUIRED_PER_SECTOR if not r[c]]
@@ -98,7 +93,8 @@ def read_timesheet_grids(grid: DataFrame, keys: list[str], name_col: str = "file
     unconditionally raises :class:`MissingColumns` (the original run fails there).
     """
     g = L.slice_range(grid, first_row=1, n_cols=9)
-    lay = L.first_row_layout(g, keys)
+    gkeys = keys + [sector_col] if sector_col and sector_col not in keys else keys  # sector: constant per sheet
+    lay = L.first_row_layout(g, gkeys)
     names = H.dedupe_counter(F.col("header"))
     lay = lay.withColumn("names", names)
     has_both_projects = F.array_contains("names", "Proyecto") & F.array_contains("names", "Nombre de Proyecto")
@@ -110,12 +106,12 @@ def read_timesheet_grids(grid: DataFrame, keys: list[str], name_col: str = "file
     for c in TIMESHEET_TEXT_COLUMNS:
         if c not in idx:
             idx[c] = H.position_of(F.col("names"), F.lit(c))
-    slim = lay.where(~F.col("rejected")).select(
-        *keys, "header_idx", "stop_idx", F.size("names").alias("_w"),
-        *[e.alias(f"_i{k}") for k, e in enumerate(idx.values())])
+    slim = materialize(lay.where(~F.col("rejected")).select(
+        *gkeys, "header_idx", "stop_idx", F.size("names").alias("_w"),
+        *[e.alias(f"_i{k}") for k, e in enumerate(idx.values())]))
     if require_columns:
-        _check_required(slim, list(idx), keys, grid, sector_col)
-    rows = L.table_rows(g, slim, keys)
+        _check_required(slim, list(idx), sector_col)
+    rows = L.table_rows(g, slim, gkeys, checkpoint=False)
     fitted = L.fit_cells(F.col("cells"), F.col("_w"))
     cols = [L.cell_at(fitted, F.col(f"_i{k}")).alias(name) for k, name in enumerate(idx.keys())]
     extra = [F.col(sector_col).alias("Sector_Origen")] if sector_col else []
