@@ -88,3 +88,15 @@ def test_strip_unicode(spark):
 def test_replace_first(spark):
     assert one(spark, lambda c: T.replace_first(c, ",", "."), "1,2,3") == "1.2,3"
     assert one(spark, lambda c: T.replace_first(c, ",", "."), "123") == "123"
+
+
+def test_shape_guard_never_changes_results(spark):
+    tricky = ["5/1/-25", "5/1/+25", "5/1/25", "5-1--2024", "5.1.-2024", "-2024-1-510:00:00", "5/1/-2024",
+              "05/01/0025", "+2024-1-5", "-2024-1-5", "12345-1-5", "2024-001-5", "005/1/2025", "٢٠٢٤-1-5",
+              "2024-1-5+10:00:00", "31/02/2025", "2024 - 1 - 5", " 5 . 1 . 2024 ", "1/13/2025", "pendiente", "", None]
+    df = spark.createDataFrame([(v,) for v in tricky], "v string")
+    sq = T.squeeze_whitespace(F.col("v"))
+    plain = F.coalesce(*[F.try_to_date(sq, f) for f in T.DATE_FORMATS])
+    rows = df.select("v", T.parse_date_multi(F.col("v")).alias("guarded"), plain.alias("plain")).collect()
+    assert [(r["v"], r["guarded"]) for r in rows] == [(r["v"], r["plain"]) for r in rows]
+    assert T.with_parsed_date(df, "v", "d").select("d").collect() == df.select(plain.alias("d")).collect()
