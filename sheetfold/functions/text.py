@@ -24,6 +24,9 @@ UNICODE_WHITESPACE = "".join(chr(cp) for cp in [
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ])
 
+#: What a plain Python ``str.strip()`` removes: the characters above plus U+001C..U+001F.
+PYTHON_WHITESPACE = UNICODE_WHITESPACE + "".join(chr(cp) for cp in [0x001C, 0x001D, 0x001E, 0x001F])
+
 #: Spanish month abbreviations, January first.
 MONTH_ABBREVIATIONS = ["ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic"]
 
@@ -49,6 +52,12 @@ def strip(c) -> Column:
     return F.btrim(_col(c), F.lit(UNICODE_WHITESPACE))
 
 
+def strip_py(c) -> Column:
+    """Strip as Python's ``str.strip()`` does (used where headers, error cells and workbook titles
+    are stripped: it also removes the U+001C..U+001F separators)."""
+    return F.btrim(_col(c), F.lit(PYTHON_WHITESPACE))
+
+
 def upper(c) -> Column:
     return F.upper(_col(c))
 

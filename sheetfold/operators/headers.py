@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheetfold.functions.text import strip, upper
+from sheetfold.functions.text import strip_py, upper
 
 
 def _first_free(acc: Column, base: Column, sep: str) -> Column:
@@ -30,7 +30,7 @@ def dedupe_checked(header: Column, blank_prefix: str = "column_") -> Column:
 
     ``X, X_1, X, '', X`` → ``X, X_1, X_2, column_3, X_3``.
     """
-    bases = F.transform(header, lambda h, i: F.when(F.coalesce(strip(h), F.lit("")) != "", strip(h))
+    bases = F.transform(header, lambda h, i: F.when(F.coalesce(strip_py(h), F.lit("")) != "", strip_py(h))
                         .otherwise(F.concat(F.lit(blank_prefix), i.cast("string"))))
 
     def step(acc, b):
@@ -42,7 +42,7 @@ def dedupe_checked(header: Column, blank_prefix: str = "column_") -> Column:
 def dedupe_counter(header: Column, blank_name: str = "Unnamed") -> Column:
     """Strip each name; blank → ``Unnamed``; the n-th repeat of a base becomes ``base_n`` without
     checking that the result is free (``X, X_1, X`` → ``X, X_1, X_1``: see :func:`has_duplicates`)."""
-    bases = F.transform(header, lambda h: F.when(F.coalesce(strip(h), F.lit("")) != "", strip(h))
+    bases = F.transform(header, lambda h: F.when(F.coalesce(strip_py(h), F.lit("")) != "", strip_py(h))
                         .otherwise(F.lit(blank_name)))
     return F.transform(bases, lambda b, i: F.when(
         F.size(F.filter(bases, lambda x, j: (j < i) & (x == b))) == 0, b

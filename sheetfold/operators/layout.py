@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetfold.functions.text import strip, upper
+from sheetfold.functions.text import strip, strip_py, upper
 from sheetfold.operators.joins import sized_side
 
 
@@ -29,7 +29,7 @@ def _any_keyword(keywords: list[str], strip_cells: bool = False):
 def blank_error_cells(grid: DataFrame, cells: str = "cells") -> DataFrame:
     """Cells whose stripped text starts with '#' (``#REF!``, ``#N/A``…) become ''."""
     return grid.withColumn(cells, F.transform(F.col(cells), lambda c: F.when(
-        F.coalesce(strip(c).startswith("#"), F.lit(False)), F.lit("")).otherwise(c)))
+        F.coalesce(strip_py(c).startswith("#"), F.lit(False)), F.lit("")).otherwise(c)))
 
 
 def row_has_keyword(cells: Column, keywords: list[str], strip_cells: bool = False) -> Column:

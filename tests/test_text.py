@@ -103,3 +103,8 @@ def test_shape_guard_never_changes_results(spark):
     assert sum(r["plain"] is not None for r in rows) >= 12
     via_columns = T.with_parsed_date(df, "v", "d").select(F.col("d").cast("string")).collect()
     assert via_columns == df.select(plain.cast("string")).collect()
+
+
+def test_python_strip_variant(spark):
+    assert one(spark, T.strip_py, "\x1c ab \x1f") == "ab"
+    assert one(spark, T.strip, "\x1c ab \x1f") == "\x1c ab \x1f"
