@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetfold.functions import text as T
+from sheetfold.operators import headers as H
+from sheetfold.operators import layout as L
+from sheetfold.operators.joins import missing_from
+from sheetfold.plans import budget as BU
+from sheetfold.plans import finance as FI
 from sheetfold.plans import timesheets as TS
-from sheetfold.sources.fixtures import fx
+from sheetfold.sources import listing as LS
+from sheetfold.sources import sinks as SK
+from sheetfold.sources.fixtures import fx, lines_to_cells
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -179,15 +186,6 @@ def ts_consolidated(spark, sf):
 
 # ---- grids: shared stand-ins --------------------------------------------------------------
 
-from sheetfold.operators import headers as H  # noqa: E402
-from sheetfold.operators import layout as L  # noqa: E402
-from sheetfold.operators.joins import missing_from  # noqa: E402
-from sheetfold.plans import budget as BU  # noqa: E402
-from sheetfold.plans import finance as FI  # noqa: E402
-from sheetfold.sources import listing as LS  # noqa: E402
-from sheetfold.sources import sinks as SK  # noqa: E402
-from sheetfold.sources.fixtures import lines_to_cells  # noqa: E402
-
 BUDGET_KEYS = ["file_ord"]
 FINANCE_KEYS = ["archivo_origen", "tipo"]
 
