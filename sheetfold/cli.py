@@ -1,7 +1,7 @@
 """Command line: run the three jobs on folders of exported workbooks.
 
     python -m sheetfold finance    --input ROOT [--input ROOT ...] --out DIR
-    python -m sheetfold budget     --input ROOT --rates RATES.csv --out DIR
+    python -m sheetfold budget     --input ROOT --rates RATES.csv [--workbook TITLE ...] --out DIR
     python -m sheetfold timesheets --input ROOT --sector FOLDER=LABEL ... --rates RATES.csv
                                    --projects PROJECTS.csv --out DIR
 
@@ -49,8 +49,16 @@ def finance(spark, inputs: list[str]) -> dict[str, DataFrame]:
     return FI.run(grid, ["file_id", "tab"], "tipo", "file_name")
 
 
-def budget(spark, inputs: list[str], rates_path: str | None) -> dict[str, DataFrame]:
-    grid = _with_file_order(G.read_workbook_exports(spark, inputs, tabs=[BU.TEAM_TAB]))
+def _with_listed_order(grid: DataFrame, titles: list[str]) -> DataFrame:
+    """Keep only the listed workbooks; ``file_ord`` is the position in the list."""
+    spark = grid.sparkSession
+    order = spark.createDataFrame(list(enumerate(titles, start=1)), "file_ord int, file_name string")
+    return grid.join(F.broadcast(order), "file_name")
+
+
+def budget(spark, inputs: list[str], rates_path: str | None, workbooks: list[str] | None = None) -> dict[str, DataFrame]:
+    grid = G.read_workbook_exports(spark, inputs, tabs=[BU.TEAM_TAB])
+    grid = _with_listed_order(grid, workbooks) if workbooks else _with_file_order(grid)
     rates = G.read_table_export(spark, rates_path) if rates_path else None
     listed = grid.select("file_id", "file_name").distinct()
     return BU.run(grid, ["file_id"], "file_name", ["file_ord", "row_idx"], rates, listed, "file_id")
@@ -73,6 +81,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--rates")
     ap.add_argument("--projects")
     ap.add_argument("--sector", action="append", default=[], help="FOLDER=LABEL (timesheets)")
+    ap.add_argument("--workbook", action="append", default=[],
+                    help="budget: only these workbook titles, numbered in this order")
     ap.add_argument("--master", default=None)
     return ap
 
@@ -84,7 +94,7 @@ def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
     if a.job == "finance":
         outputs = finance(spark, a.input)
     elif a.job == "budget":
-        outputs = budget(spark, a.input, a.rates)
+        outputs = budget(spark, a.input, a.rates, a.workbook)
     else:
         if not (a.rates and a.projects):
             ap.error("timesheets needs --rates and --projects")

@@ -57,6 +57,15 @@ def test_budget_and_timesheet_jobs(spark):
     assert sorted(r["ID_Presupuesto"] for r in fact.values()) == [1, 2]
     assert fact["LUIS"]["proyecto_id"] == "2024_01"
 
+    # a fixed list of workbooks: only those, numbered in list order
+    team2 = [["Nombre completo", "Cantidad de horas"], ["EVA", "4"]]
+    _csv(os.path.join(root, "books", "Productividad: 2024-02 Z", "Equipo.csv"), team2)
+    out2 = tempfile.mkdtemp(prefix="budout2-", dir="/tmp")
+    run_cli(spark, ["budget", "--input", root, "--rates", rates, "--out", out2,
+                    "--workbook", "Productividad: 2024-02 Z", "--workbook", "Productividad: 2024-01 X"])
+    ids = {r["nombre"]: r["ID_Presupuesto"] for r in spark.read.parquet(os.path.join(out2, "Fact_Presupuesto_Horas")).collect()}
+    assert ids == {"EVA": 1, " Ana ": 2, "LUIS": 3}
+
     ts_root = tempfile.mkdtemp(prefix="ts-", dir="/tmp")
     projects = os.path.join(ts_root, "proyectos.csv")
     _csv(projects, [["Tipo de proyecto", "Nombre de Proyecto", "Activo"], ["Interno", "2024-01 - X", "Si"]])
