@@ -42,8 +42,22 @@ def _with_file_order(grid: DataFrame) -> DataFrame:
     return grid.join(books.select("file_id", "file_ord"), "file_id")
 
 
-def finance(spark, inputs: list[str]) -> dict[str, DataFrame]:
-    grid = G.read_workbook_exports(spark, inputs, max_cols=26, tabs=[FI.INCOME_TAB, FI.EXPENSE_TAB])
+def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int = 26) -> DataFrame:
+    """Grids from CSV exports (``<root>/<folder>/<workbook>/<tab>.csv``) or from Parquet grid
+    tables (``folder, file_id, file_name, tab, row_idx, cells``); only ``tabs`` are kept (for
+    Parquet the predicate reaches the scan)."""
+    if grid_format == "csv":
+        return G.read_workbook_exports(spark, inputs, max_cols=max_cols, tabs=tabs)
+    grid = None
+    for path in inputs:
+        g = G.read_parquet_grid(spark, path).select("folder", "file_id", "file_name", "tab", "row_idx", "cells")
+        grid = g if grid is None else grid.unionByName(g)
+    return (grid.where(F.col("tab").isin(*tabs))
+            .withColumn("cells", F.slice("cells", 1, max_cols)))
+
+
+def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
+    grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format)
     grid = FI.finance_file_filter(grid, "file_name")
     grid = grid.withColumn("tipo", F.when(F.col("tab") == FI.INCOME_TAB, F.lit(FI.INCOME)).otherwise(F.lit(FI.EXPENSE)))
     return FI.run(grid, ["file_id", "tab"], "tipo", "file_name")
@@ -56,16 +70,18 @@ def _with_listed_order(grid: DataFrame, titles: list[str]) -> DataFrame:
     return grid.join(F.broadcast(order), "file_name")
 
 
-def budget(spark, inputs: list[str], rates_path: str | None, workbooks: list[str] | None = None) -> dict[str, DataFrame]:
-    grid = G.read_workbook_exports(spark, inputs, tabs=[BU.TEAM_TAB])
+def budget(spark, inputs: list[str], rates_path: str | None, workbooks: list[str] | None = None,
+           grid_format: str = "csv") -> dict[str, DataFrame]:
+    grid = load_grid(spark, inputs, [BU.TEAM_TAB], grid_format)
     grid = _with_listed_order(grid, workbooks) if workbooks else _with_file_order(grid)
     rates = G.read_table_export(spark, rates_path) if rates_path else None
     listed = grid.select("file_id", "file_name").distinct()
     return BU.run(grid, ["file_id"], "file_name", ["file_ord", "row_idx"], rates, listed, "file_id")
 
 
-def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: str, projects_path: str) -> dict[str, DataFrame]:
-    grid = G.read_workbook_exports(spark, inputs, max_cols=26, tabs=["Timesheet"])
+def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: str, projects_path: str,
+               grid_format: str = "csv") -> dict[str, DataFrame]:
+    grid = load_grid(spark, inputs, ["Timesheet"], grid_format)
     mapping = F.create_map(*[F.lit(x) for kv in sectors.items() for x in kv]) if sectors else None
     grid = grid.withColumn("sector", F.try_element_at(mapping, F.col("folder")) if mapping is not None else F.col("folder"))
     return TS.run_from_grids(grid, ["file_id"], G.read_table_export(spark, rates_path),
@@ -77,7 +93,9 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("job", choices=["finance", "budget", "timesheets"])
     ap.add_argument("--input", action="append", required=True, help="root folder of exported workbooks")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="output format")
+    ap.add_argument("--grid-format", default="csv", choices=["csv", "parquet"],
+                    help="inputs are CSV exports or Parquet grid tables")
     ap.add_argument("--rates")
     ap.add_argument("--projects")
     ap.add_argument("--sector", action="append", default=[], help="FOLDER=LABEL (timesheets)")
@@ -92,13 +110,14 @@ def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
     ap = parser()
     a = ap.parse_args(argv)
     if a.job == "finance":
-        outputs = finance(spark, a.input)
+        outputs = finance(spark, a.input, a.grid_format)
     elif a.job == "budget":
-        outputs = budget(spark, a.input, a.rates, a.workbook)
+        outputs = budget(spark, a.input, a.rates, a.workbook, a.grid_format)
     else:
         if not (a.rates and a.projects):
             ap.error("timesheets needs --rates and --projects")
-        outputs = timesheets(spark, a.input, dict(s.split("=", 1) for s in a.sector), a.rates, a.projects)
+        outputs = timesheets(spark, a.input, dict(s.split("=", 1) for s in a.sector), a.rates, a.projects,
+                             a.grid_format)
     return _write(outputs, a.out, a.format, protected=[os.path.abspath(p) for p in a.input])
 
 

@@ -85,3 +85,20 @@ def test_budget_and_timesheet_jobs(spark):
     assert (row["Fecha"], row["Mes"], row["costo_rate_interno"], row["Proyecto"]) == ("2025-01-05", "ene/2025", 0.0, "2024-01 - X")
     summary = spark.read.parquet(os.path.join(ts_out, "Resumen Alertas")).collect()
     assert summary[0]["nombre"] == "Ana" and summary[0]["max_fecha"] == "pendiente"
+
+
+def test_parquet_grids(spark):
+    from sheetfold.sources.fixtures import fx, lines_to_cells
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    root = tempfile.mkdtemp(prefix="pgrid-", dir="/tmp")
+    g = lines_to_cells(fx(spark, SF_SMALL, "fx_grid_finance"))
+    g = g.select(F.lit("fin").alias("folder"), F.col("archivo_origen").alias("file_id"),
+                 F.col("archivo_origen").alias("file_name"),
+                 F.when(F.col("tipo") == "Ingreso", "Proyección - Ingresos").otherwise("Proyección - Gastos").alias("tab"),
+                 "row_idx", "cells")
+    g.write.parquet(os.path.join(root, "grid.parquet"))
+    out = tempfile.mkdtemp(prefix="pgridout-", dir="/tmp")
+    written = run_cli(spark, ["finance", "--input", os.path.join(root, "grid.parquet"), "--grid-format", "parquet", "--out", out])
+    import __spark_entry__ as E
+    assert written["Base_Looker"] == E.queries()["fin_master_order"](spark, SF_SMALL).count()
