@@ -15,9 +15,9 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
 
     ``multiLine`` keeps quoted newlines and makes every file one split, so rows of a file are
     read in order by one task; ``row_idx`` is the offset of the row's id from the file's first
-    id (one small aggregate per file, joined back behind a size check). Cells beyond
-    ``max_cols`` are not read (range ``A:Z`` for 26). Blank cells become ''; trailing blanks are
-    trimmed as a sheet service does for its value ranges.
+    id (one small aggregate per file, checkpointed and joined back behind a size check). Cells
+    beyond ``max_cols`` are dropped by the reader's fixed schema (range ``A:Z`` for 26). Blank
+    cells become ''; trailing blanks are trimmed as a sheet service does for its value ranges.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cols)])
     raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
