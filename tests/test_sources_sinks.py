@@ -91,3 +91,10 @@ def test_broadcast_bound_setting(spark):
         assert broadcast_bound(df) == 2 and not hinted(sized_side(df))
     finally:
         spark.conf.unset("sheetfold.broadcast.maxRows")
+
+
+def test_csv_grid_keeps_range_width(spark):
+    d = tempfile.mkdtemp(prefix="wide-", dir="/tmp")
+    _write_csv(os.path.join(d, "w.csv"), [[f"c{i}" for i in range(30)], ["a", "b"]])
+    rows = G.read_csv_grids(spark, [os.path.join(d, "w.csv")], max_cols=26).orderBy("row_idx").collect()
+    assert rows[0]["cells"] == [f"c{i}" for i in range(26)] and rows[1]["cells"] == ["a", "b"]
