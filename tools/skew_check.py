@@ -3,9 +3,10 @@
     python tools/skew_check.py [/root/testdata/sf0.1]
 
 Derives skewed stand-ins from ``lineitem`` (600,000 rows at sf0.1): timesheet rows where one
-person owns every third order, and a budget grid where one workbook holds a third of the person
-rows. Runs the alert detail (sorted export), the alert summary (per-person aggregate) and the
-budget fact (dense ids) with AQE partition coalescing off, reads per-task record counts from
+person owns every third order, a budget grid where one workbook holds a third of the person
+rows, and a finance grid where one tab does. Runs the alert detail (sorted export), the alert
+summary (per-person aggregate), the budget fact (dense ids) and the finance masters with AQE
+partition coalescing off, reads per-task record counts from
 Spark's event log (written to a fresh scratch folder), and writes SKEW.md: for every multi-task
 stage, the largest share of the stage's records handled by a single task.
 """
@@ -24,6 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from sheetfold.plans import budget as BU  # noqa: E402
+from sheetfold.plans import finance as FI  # noqa: E402
 from sheetfold.plans import timesheets as TS  # noqa: E402
 from sheetfold.session import build_session  # noqa: E402
 from sheetfold.sources.fixtures import fx, table  # noqa: E402
@@ -47,6 +49,20 @@ select file_ord, 'Productividad: 2024-' || lpad(cast(file_ord as string), 2, '0'
     array('P' || cast(l_suppkey as string), replace(cast(l_quantity as string), '.', ',')) from {lineitem})
 """
 
+FINANCE_GRID = """
+select archivo_origen, tipo, row_idx, cells from (
+  select distinct case when l_orderkey % 3 = 0 then 'NUEVO HOT' else 'NUEVO P' || cast(l_suppkey % 100 as string) end as archivo_origen,
+    'Ingreso' as tipo, 0 as row_idx,
+    array('Fecha de emisión del comprobante', 'Proyecto', 'Situación', 'Monto con Impuestos', 'USD') as cells from {lineitem}
+  union all
+  select case when l_orderkey % 3 = 0 then 'NUEVO HOT' else 'NUEVO P' || cast(l_suppkey % 100 as string) end, 'Ingreso',
+    cast(l_orderkey * 8 + l_linenumber as int),
+    array(date_format(l_shipdate, 'yyyy-MM-dd'), 'P' || cast(l_partkey % 50 as string),
+          case when l_linestatus = 'F' then 'Real' else 'Proyectado' end,
+          'S/ ' || replace(cast(l_extendedprice as string), '.', ','), '$ ' || replace(cast(l_quantity as string), '.', ','))
+  from {lineitem})
+"""
+
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -77,6 +93,12 @@ def main() -> None:
     people = BU.extract_team(grid, ["file_ord"], "file_name", ["file_ord", "row_idx"])
     BU.fact_table(people, BU.budget_rates(rates), ["file_ord", "row_idx"]).write.format("noop").mode("overwrite").save()
     runs.append(name)
+    name = "fin_master_order (hot tab)"
+    spark.sparkContext.setJobGroup(name, name)
+    fgrid = spark.sql(FINANCE_GRID.replace("{lineitem}", "{li}"), li=li)
+    FI.masters(FI.clean_grids(fgrid, ["archivo_origen", "tipo"], "tipo", "archivo_origen"))["Base_Looker"] \
+        .write.format("noop").mode("overwrite").save()
+    runs.append(name)
     spark.stop()
 
     path = [p for p in glob.glob(logs + "/**/*", recursive=True) if os.path.isfile(p)][0]
@@ -100,7 +122,7 @@ def main() -> None:
     out = ["# SKEW — a third of all rows in one group", "",
            f"Generated by `tools/skew_check.py` on `{sf}` (local[8], 32 shuffle partitions, AQE coalescing off).",
            f"Timesheet rows: {n_rows:,}; the hot person owns {hot_rows:,} ({hot_rows / n_rows:.0%}). The budget grid's",
-           "hot workbook holds every third person row.", "",
+           "hot workbook and the finance grid's hot tab each hold every third row.", "",
            "For each stage with more than one task: records read (input + shuffle) and the largest share one",
            "task handled. A stage that funnelled the hot group into one task would show a share ≥ the group's share.",
            "`scan` stages read files: the test tables are single-row-group Parquet files, so one split holds a whole",
