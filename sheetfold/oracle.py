@@ -536,3 +536,12 @@ register("ts_grid_consolidated", _TSG_VIEWS, """select archivo_origen, nombre, c
   "Sub-Category", "Proyecto", "Descripción", "Cantidad de horas", "Mes", "Costo interno", costo_rate_interno, "Sector_Origen"
   from costed""", TS_GRID_CTES)
 register("ts_grid_alert_summary", _TSG_VIEWS, SUMMARY_SELECT, TS_GRID_CTES)
+
+register("audit_counts_ts", ["fx_timesheet"], f"""
+select "Sector_Origen", count(*) as n_rows,
+  count(*) filter (where {hours('"Cantidad de horas"')} is not null
+     or ("Proyecto" is not null and {strip('"Proyecto"')} <> '')
+     or ("Descripción" is not null and {strip('"Descripción"')} <> '')
+     or ("Category" is not null and {strip('"Category"')} <> '')) as n_valid
+from fx_timesheet group by "Sector_Origen"
+""")

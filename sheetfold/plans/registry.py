@@ -543,3 +543,9 @@ def ts_grid_alert_summary(spark, sf):
     """Per-person alert summary end to end from raw ``Timesheet`` tabs."""
     costed = TS.cost_rows(TS.clean_sector(_ts_grid_rows(spark, sf)), TS.staff_rates(fx(spark, sf, "fx_rates")))
     return TS.alert_summary(TS.alert_flags(costed, fx(spark, sf, "fx_projects")))
+
+
+@query("audit_counts_ts")
+def audit_counts_ts(spark, sf):
+    """Per sector: timesheet rows read and rows kept by the non-empty-row rule."""
+    return TS.audit(fx(spark, sf, "fx_timesheet"))
