@@ -30,8 +30,9 @@ from sheetfold.sources import listing as LS
 from sheetfold.sources.sinks import write_table
 
 
-def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: list[str]) -> dict[str, int | None]:
-    return {name: write_table(df, os.path.join(out_dir, name), fmt=fmt, protected=protected)
+def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: list[str],
+           skip_empty: bool = True) -> dict[str, int | None]:
+    return {name: write_table(df, os.path.join(out_dir, name), fmt=fmt, protected=protected, skip_empty=skip_empty)
             for name, df in outputs.items()}
 
 
@@ -101,6 +102,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--sector", action="append", default=[], help="FOLDER=LABEL (timesheets)")
     ap.add_argument("--workbook", action="append", default=[],
                     help="budget: only these workbook titles, numbered in this order")
+    ap.add_argument("--replace-empty", action="store_true",
+                    help="write empty results too (default: an empty result keeps the previous output)")
     ap.add_argument("--master", default=None)
     return ap
 
@@ -118,7 +121,8 @@ def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
             ap.error("timesheets needs --rates and --projects")
         outputs = timesheets(spark, a.input, dict(s.split("=", 1) for s in a.sector), a.rates, a.projects,
                              a.grid_format)
-    return _write(outputs, a.out, a.format, protected=[os.path.abspath(p) for p in a.input])
+    return _write(outputs, a.out, a.format, protected=[os.path.abspath(p) for p in a.input],
+                  skip_empty=not a.replace_empty)
 
 
 def size_partitions(spark, inputs: list[str]) -> None:

@@ -66,6 +66,9 @@ def test_sink_rules(spark):
     # empty result: previous output stays
     assert SK.write_table(df.limit(0), path, fmt="csv") is None
     assert spark.read.option("header", True).csv(path).count() == 1
+    # unless asked to replace it
+    assert SK.write_table(df.limit(0), path, fmt="csv", skip_empty=False) == 0
+    assert spark.read.option("header", True).csv(path).count() == 0
     # protected destinations are refused
     with pytest.raises(SK.ProtectedDestination):
         SK.write_table(df, os.path.join(d, "src", "t"), protected=[os.path.join(d, "src")])
