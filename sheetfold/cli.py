@@ -20,6 +20,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheetfold.operators.joins import sized_side
 from sheetfold.operators.rowid import dense_index
 from sheetfold.plans import budget as BU
 from sheetfold.plans import finance as FI
@@ -57,8 +58,17 @@ def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv
             .withColumn("cells", F.slice("cells", 1, max_cols)))
 
 
+def _dedupe_workbooks(grid: DataFrame) -> DataFrame:
+    """A workbook listed in several folders is read once: the last listed copy (folder order),
+    as a listing de-duplicated by id keeps it."""
+    books = dense_index(grid.select("folder", "file_id", "file_name").distinct(), ["folder", "file_name"], "file_ord")
+    kept = LS.dedupe_by_id(books, "file_id", "file_ord").select("file_id", "folder")
+    return grid.join(sized_side(kept), ["file_id", "folder"], "left_semi")
+
+
 def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
     grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format)
+    grid = _dedupe_workbooks(grid)
     grid = FI.finance_file_filter(grid, "file_name")
     grid = grid.withColumn("tipo", F.when(F.col("tab") == FI.INCOME_TAB, F.lit(FI.INCOME)).otherwise(F.lit(FI.EXPENSE)))
     return FI.run(grid, ["file_id", "tab"], "tipo", "file_name")

@@ -97,6 +97,8 @@ def test_parquet_grids(spark):
                  F.col("archivo_origen").alias("file_name"),
                  F.when(F.col("tipo") == "Ingreso", "Proyección - Ingresos").otherwise("Proyección - Gastos").alias("tab"),
                  "row_idx", "cells")
+    # the same workbooks listed again in a second folder: read once (the last listed copy)
+    g = g.unionByName(g.withColumn("folder", F.lit("fin_copy")))
     g.write.parquet(os.path.join(root, "grid.parquet"))
     out = tempfile.mkdtemp(prefix="pgridout-", dir="/tmp")
     written = run_cli(spark, ["finance", "--input", os.path.join(root, "grid.parquet"), "--grid-format", "parquet", "--out", out])
