@@ -66,12 +66,36 @@ def _dedupe_workbooks(grid: DataFrame) -> DataFrame:
     return grid.join(sized_side(kept), ["file_id", "folder"], "left_semi")
 
 
+def _workbook_tabs(spark, inputs: list[str], grid_format: str) -> DataFrame:
+    """Every listed workbook with each tab it has (``folder, file_id, file_name, tab``)."""
+    if grid_format == "csv":
+        return G.list_workbook_exports(spark, inputs)
+    tabs = None
+    for path in inputs:
+        t = G.read_parquet_grid(spark, path).select("folder", "file_id", "file_name", "tab").distinct()
+        tabs = t if tabs is None else tabs.unionByName(t)
+    return tabs.distinct()
+
+
+def _failed_workbooks(spark, inputs: list[str], grid_format: str) -> DataFrame:
+    """Name-filtered workbooks missing one of the two projection tabs (reading them fails)."""
+    tabs = FI.finance_file_filter(_workbook_tabs(spark, inputs, grid_format), "file_name")
+    has = tabs.groupBy("file_id", "file_name").agg(
+        F.max((F.col("tab") == FI.INCOME_TAB).cast("int")).alias("_in"),
+        F.max((F.col("tab") == FI.EXPENSE_TAB).cast("int")).alias("_out"))
+    return has.where((F.col("_in") == 0) | (F.col("_out") == 0)).select("file_id", "file_name")
+
+
 def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
     grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format)
     grid = _dedupe_workbooks(grid)
+    failed = _failed_workbooks(spark, inputs, grid_format)
+    grid = grid.join(sized_side(failed.select("file_id")), "file_id", "left_anti")
     grid = FI.finance_file_filter(grid, "file_name")
     grid = grid.withColumn("tipo", F.when(F.col("tab") == FI.INCOME_TAB, F.lit(FI.INCOME)).otherwise(F.lit(FI.EXPENSE)))
-    return FI.run(grid, ["file_id", "tab"], "tipo", "file_name")
+    out = FI.run(grid, ["file_id", "tab"], "tipo", "file_name")
+    out["Archivos_con_error"] = failed
+    return out
 
 
 def _with_listed_order(grid: DataFrame, titles: list[str]) -> DataFrame:

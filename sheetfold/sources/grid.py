@@ -69,6 +69,20 @@ def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int =
         "row_idx", "cells")
 
 
+def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """Workbooks and their tabs under ``<root>/<folder>/<workbook>/<tab>.csv`` from file metadata
+    only (no content is read): ``folder, file_id, file_name, tab``."""
+    paths = [f"{r.rstrip('/')}/*/*/*.csv" for r in roots]
+    # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
+    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("p"))
+    parts = F.split(F.col("p"), "/")
+    return files.select(
+        _decoded_path(F.element_at(parts, -3)).alias("folder"),
+        F.regexp_replace(F.col("p"), r"/[^/]*$", "").alias("file_id"),
+        _decoded_path(F.element_at(parts, -2)).alias("file_name"),
+        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"))
+
+
 def read_table_export(spark: SparkSession, path: str) -> DataFrame:
     """A tab exported with its header row (rates, project master): every column as text."""
     return spark.read.option("header", True).option("multiLine", True).option("inferSchema", False).csv(path)

@@ -32,8 +32,11 @@ def test_finance_job(spark):
     _csv(os.path.join(root, "Presupuestos", "NUEVO P1", "Proyección - Gastos.csv"), exp)
     _csv(os.path.join(root, "Presupuestos", "NUEVO P1 (Copia)", "Proyección - Ingresos.csv"), inc)
     _csv(os.path.join(root, "Presupuestos", "NUEVO P1", "Notas.csv"), [["x"]])
+    _csv(os.path.join(root, "Presupuestos", "NUEVO P2 sin gastos", "Proyección - Ingresos.csv"), inc)
     written = run_cli(spark, ["finance", "--input", root, "--out", out, "--format", "csv"])
-    assert written == {"Ingresos": 1, "Gastos": 1, "Base_Looker": 2, "Auditoria": 2}
+    assert written == {"Ingresos": 1, "Gastos": 1, "Base_Looker": 2, "Auditoria": 2, "Archivos_con_error": 1}
+    failed = spark.read.option("header", True).csv(os.path.join(out, "Archivos_con_error")).collect()
+    assert [r["file_name"] for r in failed] == ["NUEVO P2 sin gastos"]
     base = spark.read.option("header", True).csv(os.path.join(out, "Base_Looker")).collect()
     assert sorted((r["Tipo_Movimiento"], r["Fecha"], r["USD"]) for r in base) == [("Gasto", "2025-02-01", None), ("Ingreso", "2025-01-05", "250.5")]
     lines = [r[0] for r in spark.read.text(os.path.join(out, "Base_Looker")).collect()]
