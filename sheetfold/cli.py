@@ -4,6 +4,7 @@
     python -m sheetfold budget     --input ROOT --rates RATES.csv [--workbook TITLE ...] --out DIR
     python -m sheetfold timesheets --input ROOT --sector FOLDER=LABEL ... --rates RATES.csv
                                    --projects PROJECTS.csv --out DIR
+    python -m sheetfold list       --input ROOT [--limit 20]
 
 Workbooks are read from ``ROOT/<folder>/<workbook>/<tab>.csv`` (names percent-encoded as path
 segments, so titles may hold ``:``); rates and project master are
@@ -125,9 +126,10 @@ def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: st
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="sheetfold")
-    ap.add_argument("job", choices=["finance", "budget", "timesheets"])
+    ap.add_argument("job", choices=["finance", "budget", "timesheets", "list"])
     ap.add_argument("--input", action="append", required=True, help="root folder of exported workbooks")
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--out", help="output folder (jobs)")
+    ap.add_argument("--limit", type=int, default=20, help="list: how many workbooks to show")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="output format")
     ap.add_argument("--grid-format", default="csv", choices=["csv", "parquet"],
                     help="inputs are CSV exports or Parquet grid tables")
@@ -142,10 +144,24 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
+def list_books(spark, inputs: list[str], limit: int) -> list[tuple[str, str, int]]:
+    """First ``limit`` workbooks (folder, title, number of tabs) in listing order — a quick check
+    that the export folders are reachable; only file metadata is read."""
+    tabs = G.list_workbook_exports(spark, inputs)
+    books = tabs.groupBy("folder", "file_name").agg(F.count(F.lit(1)).alias("tabs"))
+    return [(r["folder"], r["file_name"], r["tabs"]) for r in books.orderBy("folder", "file_name").limit(limit).collect()]
+
+
 def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
     """Run one job with an existing session; returns {table: rows written, None if skipped}."""
     ap = parser()
     a = ap.parse_args(argv)
+    if a.job == "list":
+        for folder, title, n in list_books(spark, a.input, a.limit):
+            print(f"{folder} | {title} | {n} tabs")
+        return {}
+    if not a.out:
+        ap.error("--out is required")
     if a.job == "finance":
         outputs = finance(spark, a.input, a.grid_format)
     elif a.job == "budget":
@@ -175,7 +191,8 @@ def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = build_session(a.master, app=f"sheetfold-{a.job}")
     try:
-        size_partitions(spark, a.input)
+        if a.job != "list":
+            size_partitions(spark, a.input)
         for name, n in run_cli(spark, argv).items():
             print(f"{name}: {n} rows" if n is not None else f"{name}: empty, previous output kept")
     finally:

@@ -35,6 +35,9 @@ def test_finance_job(spark):
     _csv(os.path.join(root, "Presupuestos", "NUEVO P2 sin gastos", "Proyección - Ingresos.csv"), inc)
     written = run_cli(spark, ["finance", "--input", root, "--out", out, "--format", "csv"])
     assert written == {"Ingresos": 1, "Gastos": 1, "Base_Looker": 2, "Auditoria": 2, "Archivos_con_error": 1}
+    from sheetfold.cli import list_books
+    assert list_books(spark, [root], 20) == [("Presupuestos", "NUEVO P1", 3), ("Presupuestos", "NUEVO P1 (Copia)", 1),
+                                             ("Presupuestos", "NUEVO P2 sin gastos", 1)]
     failed = spark.read.option("header", True).csv(os.path.join(out, "Archivos_con_error")).collect()
     assert [r["file_name"] for r in failed] == ["NUEVO P2 sin gastos"]
     base = spark.read.option("header", True).csv(os.path.join(out, "Base_Looker")).collect()
