@@ -545,3 +545,9 @@ select "Sector_Origen", count(*) as n_rows,
      or ("Category" is not null and {strip('"Category"')} <> '')) as n_valid
 from fx_timesheet group by "Sector_Origen"
 """)
+
+register("src_listing_folders", ["fx_grid_timesheet"], """
+select folder, file_name, cast(row_number() over (order by
+    case folder when 'Empresarial' then 0 when 'Desarrollo' then 1 when 'Directorio' then 2 else 3 end, folder, file_name)
+  as bigint) as file_ord
+from (select distinct sector as folder, file_name from fx_grid_timesheet)""")

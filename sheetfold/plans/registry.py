@@ -549,3 +549,11 @@ def ts_grid_alert_summary(spark, sf):
 def audit_counts_ts(spark, sf):
     """Per sector: timesheet rows read and rows kept by the non-empty-row rule."""
     return TS.audit(fx(spark, sf, "fx_timesheet"))
+
+
+@query("src_listing_folders")
+def src_listing_folders(spark, sf):
+    """The workbooks of the three timesheet folders, listed folder after folder (positions
+    continue across folders)."""
+    books = fx(spark, sf, "fx_grid_timesheet").select(F.col("sector").alias("folder"), "file_name").distinct()
+    return LS.ordered_listing(books, ["Empresarial", "Desarrollo", "Directorio"]).select("folder", "file_name", "file_ord")

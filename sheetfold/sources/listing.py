@@ -35,6 +35,15 @@ def list_workbooks(spark: SparkSession, folders: list[str], glob: str = "*") ->
     return dense_index(out, ["_folder_ord", "file_id"], "file_ord", offset=1).drop("_folder_ord")
 
 
+def ordered_listing(listing: DataFrame, folders: list[str], folder_col: str = "folder",
+                    name_col: str = "file_name") -> DataFrame:
+    """Listings of several folders appended in the given folder order, each folder listed by name;
+    ``file_ord`` numbers the files 1, 2, … across folders (positions continue)."""
+    rank = F.create_map(*[x for k, f in enumerate(folders) for x in (F.lit(f), F.lit(k))])
+    ranked = listing.withColumn("_folder_rank", F.coalesce(F.try_element_at(rank, F.col(folder_col)), F.lit(len(folders))))
+    return dense_index(ranked, ["_folder_rank", folder_col, name_col], "file_ord").drop("_folder_rank")
+
+
 def append_listings(listings: list[DataFrame]) -> DataFrame:
     """Append listings of several folders (positions continue across folders)."""
     out = listings[0]
