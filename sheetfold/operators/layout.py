@@ -134,6 +134,12 @@ def fit_cells(cells: Column, width: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), width - 1), lambda k: F.coalesce(F.get(cells, k), F.lit("")))
 
 
+def row_map(names: Column, cells: Column, width: Column) -> Column:
+    """One row as ``map<name, text>`` over the sheet's (unique) column names, cells padded or cut
+    to ``width`` — every column of any sheet shape in one column type."""
+    return F.map_from_arrays(F.slice(names, 1, width), fit_cells(cells, width))
+
+
 def slice_range(grid: DataFrame, first_row: int = 0, first_col: int = 0, n_cols: int | None = None) -> DataFrame:
     """A1-style range read on a grid: drop rows before ``first_row`` (re-indexed from 0) and keep
     ``n_cols`` columns from ``first_col`` (``A2:I`` = first_row 1, n_cols 9; ``A:Z`` = n_cols 26)."""

@@ -75,3 +75,12 @@ def test_slice_range_a2i(spark):
     g = grid_df(spark, {"s": [["t"], [str(i) for i in range(12)], ["x"]]})
     out = {r["row_idx"]: r["cells"] for r in L.slice_range(g, first_row=1, n_cols=9).collect()}
     assert out == {0: [str(i) for i in range(9)], 1: ["x"]}
+
+
+def test_row_map(spark):
+    from sheetfold.operators import headers as H
+    g = grid_df(spark, {"s": [["Proyecto", "", "Proyecto"], ["P1", "x"], ["P2", "y", "z", "extra"]]})
+    lay = L.first_row_layout(g, ["sheet"]).withColumn("names", H.dedupe_checked(F.col("header")))
+    rows = L.table_rows(g, lay.select("sheet", "header_idx", "stop_idx", "names"), ["sheet"])
+    got = {r["row_idx"]: r["m"] for r in rows.select("row_idx", L.row_map(F.col("names"), F.col("cells"), F.size("names")).alias("m")).collect()}
+    assert got == {1: {"Proyecto": "P1", "column_1": "x", "Proyecto_1": ""}, 2: {"Proyecto": "P2", "column_1": "y", "Proyecto_1": "z"}}
