@@ -130,8 +130,10 @@ def cell_at(cells: Column, idx: Column) -> Column:
 
 
 def fit_cells(cells: Column, width: Column) -> Column:
-    """Pad with '' or cut to exactly ``width`` cells."""
-    return F.transform(F.sequence(F.lit(0), width - 1), lambda k: F.coalesce(F.get(cells, k), F.lit("")))
+    """Pad with '' or cut to exactly ``width`` cells (``width`` 0 gives an empty row; Spark's
+    ``sequence(0, -1)`` would count down)."""
+    fitted = F.transform(F.sequence(F.lit(0), width - 1), lambda k: F.coalesce(F.get(cells, k), F.lit("")))
+    return F.when(width > 0, fitted).otherwise(F.array().cast("array<string>"))
 
 
 def row_map(names: Column, cells: Column, width: Column) -> Column:

@@ -69,6 +69,7 @@ def test_fit_cells_pads_and_cuts(spark):
     df = spark.createDataFrame([(["a"],), (["a", "b", "c"],)], "c array<string>")
     got = [r[0] for r in df.select(L.fit_cells(F.col("c"), F.lit(2))).collect()]
     assert got == [["a", ""], ["a", "b"]]
+    assert [r[0] for r in df.select(L.fit_cells(F.col("c"), F.lit(0))).collect()] == [[], []]
 
 
 def test_slice_range_a2i(spark):
