@@ -13,7 +13,8 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
                    trim_trailing_blanks: bool = True) -> DataFrame:
     """Read sheets exported as headerless CSV files (one file per sheet) into a grid.
 
-    ``multiLine`` keeps quoted newlines and makes every file one split, so rows of a file are
+    Quoting follows RFC 4180 (``""`` inside a quoted field). ``multiLine`` keeps quoted newlines
+    and makes every file one split, so rows of a file are
     read in order by one task; ``row_idx`` is the offset of the row's id from the file's first
     id (one small aggregate per file, checkpointed and joined back behind a size check). Cells
     beyond ``max_cols`` are dropped by the reader's fixed schema (range ``A:Z`` for 26). Blank
@@ -21,7 +22,7 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cols)])
     raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
-           .option("mode", "PERMISSIVE").csv(paths)
+           .option("mode", "PERMISSIVE").option("escape", '"').csv(paths)
            .select("*", F.col("_metadata.file_path").alias("file_id"),
                    F.col("_metadata.file_name").alias("file_name"))
            .withColumn("_mono", F.monotonically_increasing_id()))
@@ -85,4 +86,5 @@ def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 def read_table_export(spark: SparkSession, path: str) -> DataFrame:
     """A tab exported with its header row (rates, project master): every column as text."""
-    return spark.read.option("header", True).option("multiLine", True).option("inferSchema", False).csv(path)
+    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            .option("inferSchema", False).csv(path))

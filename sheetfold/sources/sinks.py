@@ -55,6 +55,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool
         out = out.coalesce(num_files)
     writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("emptyValue", "")
+        # values exactly as computed: RFC 4180 quotes, blanks written empty, no whitespace trimming
+        writer = (writer.option("header", True).option("emptyValue", "").option("escape", '"')
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     writer.format(fmt).save(path)
     return int(obs.get["rows"])

@@ -56,13 +56,13 @@ def test_csv_grid_reader_and_listing(spark):
 
 def test_sink_rules(spark):
     d = tempfile.mkdtemp(prefix="sink-", dir="/tmp")
-    df = spark.createDataFrame([("a", None, dt.date(2025, 1, 5), 1.5)], "x string, y string, d date, v double")
+    df = spark.createDataFrame([(" a ", None, dt.date(2025, 1, 5), 1.5)], "x string, y string, d date, v double")
     out = SK.export_frame(df).first()
-    assert out.asDict() == {"x": "a", "y": "", "d": "2025-01-05", "v": "1.5"}
+    assert out.asDict() == {"x": " a ", "y": "", "d": "2025-01-05", "v": "1.5"}
     path = os.path.join(d, "table")
     assert SK.write_table(df, path, fmt="csv") == 1
     first = spark.read.option("header", True).csv(path).first()
-    assert first["d"] == "2025-01-05" and first["x"] == "a"
+    assert first["d"] == "2025-01-05" and first["x"] == " a "      # values exported untrimmed
     # empty result: previous output stays
     assert SK.write_table(df.limit(0), path, fmt="csv") is None
     assert spark.read.option("header", True).csv(path).count() == 1
@@ -101,3 +101,9 @@ def test_csv_grid_keeps_range_width(spark):
     _write_csv(os.path.join(d, "w.csv"), [[f"c{i}" for i in range(30)], ["a", "b"]])
     rows = G.read_csv_grids(spark, [os.path.join(d, "w.csv")], max_cols=26).orderBy("row_idx").collect()
     assert rows[0]["cells"] == [f"c{i}" for i in range(26)] and rows[1]["cells"] == ["a", "b"]
+
+
+def test_csv_grid_rfc_quotes(spark):
+    d = tempfile.mkdtemp(prefix="quotes-", dir="/tmp")
+    _write_csv(os.path.join(d, "q.csv"), [['{"k": 23}', 'say "hi", ok', "a\nb"]])
+    assert G.read_csv_grids(spark, [os.path.join(d, "q.csv")]).first()["cells"] == ['{"k": 23}', 'say "hi", ok', "a\nb"]
