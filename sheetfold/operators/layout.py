@@ -91,13 +91,17 @@ def sheet_layout(grid: DataFrame, keys: list[str], header_keywords: list[str], s
 
 
 def first_row_layout(grid: DataFrame, keys: list[str], min_rows: int = 2) -> DataFrame:
-    """Layout of a sheet whose header is its first row and whose table runs to the end."""
+    """Layout of a sheet whose header is its first row and whose table runs to the end.
+
+    Positions are contiguous from 0, so "at least ``min_rows`` rows" means rows ``0..min_rows-1``
+    exist: only those rows are aggregated (the filter reaches the scan)."""
     ri = F.col("row_idx")
-    agg = grid.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max(ri).alias("_last"),
-                                  F.min(F.when(ri == 0, F.struct(ri.alias("i"), F.col("cells").alias("c")))).alias("_row0"))
-    return (agg.where((F.col("n_rows") >= min_rows) & F.col("_row0").isNotNull())
-            .select(*keys, "n_rows", F.lit(0).alias("header_idx"), F.col("_row0.c").alias("header"),
-                    F.lit(None).cast("int").alias("stop_idx"), (F.col("_last")).cast("int").alias("n_data")))
+    agg = (grid.where(ri < min_rows).groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("_n"),
+                F.min(F.when(ri == 0, F.struct(ri.alias("i"), F.col("cells").alias("c")))).alias("_row0")))
+    return (agg.where((F.col("_n") >= min_rows) & F.col("_row0").isNotNull())
+            .select(*keys, F.lit(0).alias("header_idx"), F.col("_row0.c").alias("header"),
+                    F.lit(None).cast("int").alias("stop_idx")))
 
 
 def table_rows(grid: DataFrame, layout: DataFrame, keys: list[str],
