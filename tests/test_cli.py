@@ -110,3 +110,17 @@ def test_parquet_grids(spark):
     written = run_cli(spark, ["finance", "--input", os.path.join(root, "grid.parquet"), "--grid-format", "parquet", "--out", out])
     import __spark_entry__ as E
     assert written["Base_Looker"] == E.queries()["fin_master_order"](spark, SF_SMALL).count()
+
+
+def test_size_partitions_from_listed_bytes(spark):
+    from sheetfold.cli import size_partitions
+    root = tempfile.mkdtemp(prefix="sized-", dir="/tmp")
+    _csv(os.path.join(root, "f", "NUEVO A", "Proyección - Ingresos.csv"), [["x"] * 10] * 100)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size_partitions(spark, [root])
+        cores = spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores)       # tiny input: one wave
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 * 1024 * 1024)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
