@@ -124,3 +124,5 @@ def test_size_partitions_from_listed_bytes(spark):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 * 1024 * 1024)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
