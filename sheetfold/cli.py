@@ -38,86 +38,86 @@ def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: lis
             for name, df in outputs.items()}
 
 
-def _with_file_order(grid: DataFrame) -> DataFrame:
-    """Listing order of the workbooks (folder, then title) as ``file_ord``."""
-    books = grid.select("folder", "file_id", "file_name").distinct()
-    books = dense_index(books, ["folder", "file_name", "file_id"], "file_ord")
-    return grid.join(books.select("file_id", "file_ord"), "file_id")
-
-
-def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int = 26) -> DataFrame:
-    """Grids from CSV exports (``<root>/<folder>/<workbook>/<tab>.csv``) or from Parquet grid
-    tables (``folder, file_id, file_name, tab, row_idx, cells``); only ``tabs`` are kept (for
-    Parquet the predicate reaches the scan)."""
+def _tab_listing(spark, inputs: list[str], grid_format: str, tabs: list[str] | None = None) -> DataFrame:
+    """Every workbook tab under the inputs: ``folder, file_id, file_name, tab``. CSV exports are
+    listed from file metadata only; Parquet grids by their key columns."""
     if grid_format == "csv":
-        return G.read_workbook_exports(spark, inputs, max_cols=max_cols, tabs=tabs)
+        listing = G.list_workbook_exports(spark, inputs).drop("path")
+    else:
+        listing = None
+        for path in inputs:
+            t = G.read_parquet_grid(spark, path).select("folder", "file_id", "file_name", "tab").distinct()
+            listing = t if listing is None else listing.unionByName(t)
+        listing = listing.distinct()
+    return listing.where(F.col("tab").isin(*tabs)) if tabs else listing
+
+
+def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int = 26,
+              title_filter=None) -> DataFrame:
+    """The ``tabs`` of the workbooks under the inputs whose title passes ``title_filter``. For CSV
+    exports both prune files before they are opened (file pattern, predicate on file metadata);
+    for Parquet grids the tab predicate reaches the scan."""
+    if grid_format == "csv":
+        return G.read_workbook_exports(spark, inputs, max_cols=max_cols, tabs=tabs, title_filter=title_filter)
     grid = None
     for path in inputs:
         g = G.read_parquet_grid(spark, path).select("folder", "file_id", "file_name", "tab", "row_idx", "cells")
         grid = g if grid is None else grid.unionByName(g)
-    return (grid.where(F.col("tab").isin(*tabs))
-            .withColumn("cells", F.slice("cells", 1, max_cols)))
-
+    grid = grid.where(F.col("tab").isin(*tabs))
+    if title_filter is not None:
+        grid = grid.where(title_filter(F.col("file_name")))
+    return grid.withColumn("cells", F.slice("cells", 1, max_cols))
 
-def _dedupe_workbooks(grid: DataFrame) -> DataFrame:
-    """A workbook listed in several folders is read once: the last listed copy (folder order),
-    as a listing de-duplicated by id keeps it."""
-    books = dense_index(grid.select("folder", "file_id", "file_name").distinct(), ["folder", "file_name"], "file_ord")
-    kept = LS.dedupe_by_id(books, "file_id", "file_ord").select("file_id", "folder")
-    return grid.join(sized_side(kept), ["file_id", "folder"], "left_semi")
-
-
-def _workbook_tabs(spark, inputs: list[str], grid_format: str) -> DataFrame:
-    """Every listed workbook with each tab it has (``folder, file_id, file_name, tab``)."""
-    if grid_format == "csv":
-        return G.list_workbook_exports(spark, inputs)
-    tabs = None
-    for path in inputs:
-        t = G.read_parquet_grid(spark, path).select("folder", "file_id", "file_name", "tab").distinct()
-        tabs = t if tabs is None else tabs.unionByName(t)
-    return tabs.distinct()
 
-
-def _failed_workbooks(spark, inputs: list[str], grid_format: str) -> DataFrame:
-    """Name-filtered workbooks missing one of the two projection tabs (reading them fails)."""
-    tabs = FI.finance_file_filter(_workbook_tabs(spark, inputs, grid_format), "file_name")
+def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
+    """Listing first (file metadata): de-duplicate workbooks by id (the last listed copy wins),
+    keep names starting with NUEVO that are not copies, report those missing a projection tab.
+    Only the projection tabs of name-matching workbooks are opened; duplicates and failed
+    workbooks are dropped by size-checked semi/anti joins."""
+    all_tabs = _tab_listing(spark, inputs, grid_format)
+    books = dense_index(all_tabs.select("folder", "file_id", "file_name").distinct(), ["folder", "file_name"], "file_ord")
+    kept = FI.finance_file_filter(LS.dedupe_by_id(books, "file_id", "file_ord"), "file_name")
+    tabs = all_tabs.join(sized_side(kept.select("file_id", "folder")), ["file_id", "folder"], "left_semi")
     has = tabs.groupBy("file_id", "file_name").agg(
         F.max((F.col("tab") == FI.INCOME_TAB).cast("int")).alias("_in"),
         F.max((F.col("tab") == FI.EXPENSE_TAB).cast("int")).alias("_out"))
-    return has.where((F.col("_in") == 0) | (F.col("_out") == 0)).select("file_id", "file_name")
-
-
-def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
-    grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format)
-    grid = _dedupe_workbooks(grid)
-    failed = _failed_workbooks(spark, inputs, grid_format)
-    grid = grid.join(sized_side(failed.select("file_id")), "file_id", "left_anti")
-    grid = FI.finance_file_filter(grid, "file_name")
+    failed = has.where((F.col("_in") == 0) | (F.col("_out") == 0)).select("file_id", "file_name")
+    grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format, title_filter=FI.finance_name_ok)
+    grid = (grid.join(sized_side(kept.select("file_id", "folder")), ["file_id", "folder"], "left_semi")
+            .join(sized_side(failed.select("file_id")), "file_id", "left_anti"))
     grid = grid.withColumn("tipo", F.when(F.col("tab") == FI.INCOME_TAB, F.lit(FI.INCOME)).otherwise(F.lit(FI.EXPENSE)))
     out = FI.run(grid, ["file_id", "tab"], "tipo", "file_name")
     out["Archivos_con_error"] = failed
     return out
 
 
-def _with_listed_order(grid: DataFrame, titles: list[str]) -> DataFrame:
-    """Keep only the listed workbooks; ``file_ord`` is the position in the list."""
-    spark = grid.sparkSession
-    order = spark.createDataFrame(list(enumerate(titles, start=1)), "file_ord int, file_name string")
-    return grid.join(F.broadcast(order), "file_name")
-
-
 def budget(spark, inputs: list[str], rates_path: str | None, workbooks: list[str] | None = None,
            grid_format: str = "csv") -> dict[str, DataFrame]:
-    grid = load_grid(spark, inputs, [BU.TEAM_TAB], grid_format)
-    grid = _with_listed_order(grid, workbooks) if workbooks else _with_file_order(grid)
+    """The team tab of every workbook (or only the ``workbooks`` titles, numbered in that order;
+    else folder-then-title order), then the budget fact and the report of listed workbooks that
+    gave no table."""
+    books = _tab_listing(spark, inputs, grid_format).select("folder", "file_id", "file_name").distinct()
+    title_filter = None
+    if workbooks:
+        order = spark.createDataFrame(list(enumerate(workbooks, start=1)), "file_ord int, file_name string")
+        books = books.join(F.broadcast(order), "file_name")      # the list comes from the command line
+
+        def title_filter(t):  # prunes the files of other workbooks
+            return t.isin(*workbooks)
+    else:
+        books = dense_index(books, ["folder", "file_name", "file_id"], "file_ord")
+    grid = load_grid(spark, inputs, [BU.TEAM_TAB], grid_format, title_filter=title_filter)
+    grid = grid.join(sized_side(books.select("file_id", "file_ord")), "file_id")
     rates = G.read_table_export(spark, rates_path) if rates_path else None
-    listed = grid.select("file_id", "file_name").distinct()
-    return BU.run(grid, ["file_id"], "file_name", ["file_ord", "row_idx"], rates, listed, "file_id")
+    return BU.run(grid, ["file_id"], "file_name", ["file_ord", "row_idx"], rates,
+                  books.select("file_id", "file_name"), "file_id")
 
 
 def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: str, projects_path: str,
                grid_format: str = "csv") -> dict[str, DataFrame]:
-    grid = load_grid(spark, inputs, ["Timesheet"], grid_format)
+    """Only ``Timesheet`` tabs of workbooks whose names pass the case-sensitive filter are
+    opened; the folder gives the sector."""
+    grid = load_grid(spark, inputs, ["Timesheet"], grid_format, title_filter=TS.timesheet_name_ok)
     mapping = F.create_map(*[F.lit(x) for kv in sectors.items() for x in kv]) if sectors else None
     grid = grid.withColumn("sector", F.try_element_at(mapping, F.col("folder")) if mapping is not None else F.col("folder"))
     return TS.run_from_grids(grid, ["file_id"], G.read_table_export(spark, rates_path),

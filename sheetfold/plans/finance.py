@@ -76,10 +76,15 @@ def canonical(names: Column, tipo: Column) -> Column:
     return H.canonical_names(names, dictionary, prefix_rules())
 
 
+def finance_name_ok(name: Column) -> Column:
+    """Case-insensitive: the workbook name starts with ``NUEVO`` and is not a copy."""
+    u = T.upper(name)
+    return u.startswith(FINANCE_NAME_PREFIX) & ~u.contains(COPY_MARKER)
+
+
 def finance_file_filter(listing: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Case-insensitive name filter: starts with ``NUEVO`` and is not a copy."""
-    u = T.upper(F.col(name_col))
-    return listing.where(u.startswith(FINANCE_NAME_PREFIX) & ~u.contains(COPY_MARKER))
+    """Keep the listing rows whose workbook name passes :func:`finance_name_ok`."""
+    return listing.where(finance_name_ok(F.col(name_col)))
 
 
 def finance_layout(grid: DataFrame, keys: list[str], tipo_col: str) -> DataFrame:

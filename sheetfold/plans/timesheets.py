@@ -53,11 +53,15 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
+def timesheet_name_ok(name, prefix: str = TIMESHEET_NAME_PREFIX):
+    """Case-sensitive: the workbook name starts with the prefix and is not a template."""
+    return name.startswith(prefix) & ~name.contains(TEMPLATE_MARKER)
+
+
 def timesheet_file_filter(listing: DataFrame, name_col: str = "file_name",
                           prefix: str = TIMESHEET_NAME_PREFIX) -> DataFrame:
-    """Case-sensitive name filter: starts with the prefix and is not a template."""
-    n = F.col(name_col)
-    return listing.where(n.startswith(prefix) & ~n.contains(TEMPLATE_MARKER))
+    """Keep the listing rows whose workbook name passes :func:`timesheet_name_ok`."""
+    return listing.where(timesheet_name_ok(F.col(name_col), prefix))
 
 
 class MissingColumns(ValueError):

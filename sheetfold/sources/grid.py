@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,7 @@ from sheetfold.operators.joins import sized_side
 
 
 def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
-                   trim_trailing_blanks: bool = True) -> DataFrame:
+                   trim_trailing_blanks: bool = True, file_filter=None) -> DataFrame:
     """Read sheets exported as headerless CSV files (one file per sheet) into a grid.
 
     Quoting follows RFC 4180 (``""`` inside a quoted field). ``multiLine`` keeps quoted newlines
@@ -19,13 +19,17 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
     id (one small aggregate per file, checkpointed and joined back behind a size check). Cells
     beyond ``max_cols`` are dropped by the reader's fixed schema (range ``A:Z`` for 26). Blank
     cells become ''; trailing blanks are trimmed as a sheet service does for its value ranges.
+    ``file_filter`` (a function of the file's URI column) prunes whole files before they are
+    opened.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cols)])
     raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
            .option("mode", "PERMISSIVE").option("escape", '"').csv(paths)
            .select("*", F.col("_metadata.file_path").alias("file_id"),
-                   F.col("_metadata.file_name").alias("file_name"))
-           .withColumn("_mono", F.monotonically_increasing_id()))
+                   F.col("_metadata.file_name").alias("file_name")))
+    if file_filter is not None:
+        raw = raw.where(file_filter(F.col("_metadata.file_path")))
+    raw = raw.withColumn("_mono", F.monotonically_increasing_id())
     cells = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(max_cols)])
     if trim_trailing_blanks:
         last = F.array_max(F.transform(cells, lambda c, i: F.when(c != "", i)))
@@ -47,32 +51,43 @@ def _decoded_path(c):
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
 
-def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int = 26, tabs: list[str] | None = None) -> DataFrame:
+def _export_names(g: DataFrame) -> DataFrame:
+    on_disk = _decoded_path(F.col("file_id"))
+    parts = F.split(on_disk, "/")
+    return g.select(
+        _decoded_path(F.element_at(parts, -3)).alias("folder"),
+        F.regexp_replace(on_disk, r"/[^/]*$", "").alias("file_id"),
+        _decoded_path(F.element_at(parts, -2)).alias("file_name"),
+        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"),
+        "row_idx", "cells")
+
+
+def workbook_title(file_uri) -> Column:
+    """Workbook title of an exported tab file: its parent folder name, decoded."""
+    return _decoded_path(F.element_at(F.split(_decoded_path(file_uri), "/"), -2))
+
+
+def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int = 26, tabs: list[str] | None = None,
+                          title_filter=None) -> DataFrame:
     """Read workbooks exported as ``<root>/<folder>/<workbook>/<tab>.csv`` into one grid:
     ``folder, file_id (workbook path), file_name (workbook title), tab, row_idx, cells``.
 
     Folder, workbook and tab names are percent-encoded path segments (titles may hold ``:`` or
-    ``/``, which file systems reject); they are decoded here. ``tabs`` prunes by file name before
-    anything is opened (only those tabs are read).
+    ``/``, which file systems reject); they are decoded here. ``tabs`` (in the file pattern) and
+    ``title_filter`` (a predicate on the workbook title, evaluated on file metadata) prune files
+    before anything is opened.
     """
     from urllib.parse import quote
 
     pattern = "*.csv" if not tabs else "{" + ",".join(f"{quote(t, safe='')}.csv" for t in tabs) + "}"
     paths = [f"{r.rstrip('/')}/*/*/{pattern}" for r in roots]
-    g = read_csv_grids(spark, paths, max_cols=max_cols)
-    on_disk = _decoded_path(F.col("file_id"))
-    parts = F.split(on_disk, "/")
-    return g.select(
-        _decoded_path(F.element_at(parts, -3)).alias("folder"),
-        F.regexp_replace(on_disk, r"/[^/]*$", "").alias("file_id"),
-        _decoded_path(F.element_at(parts, -2)).alias("file_name"),
-        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"),
-        "row_idx", "cells")
+    file_filter = (lambda uri: title_filter(workbook_title(uri))) if title_filter is not None else None
+    return _export_names(read_csv_grids(spark, paths, max_cols=max_cols, file_filter=file_filter))
 
 
 def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Workbooks and their tabs under ``<root>/<folder>/<workbook>/<tab>.csv`` from file metadata
-    only (no content is read): ``folder, file_id, file_name, tab``."""
+    only (no content is read): ``folder, file_id, file_name, tab, path``."""
     paths = [f"{r.rstrip('/')}/*/*/*.csv" for r in roots]
     # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
     files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("p"))
@@ -81,7 +96,8 @@ def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
         _decoded_path(F.element_at(parts, -3)).alias("folder"),
         F.regexp_replace(F.col("p"), r"/[^/]*$", "").alias("file_id"),
         _decoded_path(F.element_at(parts, -2)).alias("file_name"),
-        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"))
+        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"),
+        F.col("p").alias("path"))
 
 
 def read_table_export(spark: SparkSession, path: str) -> DataFrame:

@@ -107,3 +107,42 @@ def test_csv_grid_rfc_quotes(spark):
     d = tempfile.mkdtemp(prefix="quotes-", dir="/tmp")
     _write_csv(os.path.join(d, "q.csv"), [['{"k": 23}', 'say "hi", ok', "a\nb"]])
     assert G.read_csv_grids(spark, [os.path.join(d, "q.csv")]).first()["cells"] == ['{"k": 23}', 'say "hi", ok', "a\nb"]
+
+
+def _scan_files(df):
+    """``numFiles`` of every file scan in the final (adaptive) plan."""
+    found = []
+
+    def walk(p):
+        name = p.nodeName()
+        if "Scan" in name and p.metrics().contains("numFiles"):
+            found.append(p.metrics().apply("numFiles").value())
+        if name.startswith("AdaptiveSparkPlan"):
+            walk(p.executedPlan())
+        elif "QueryStage" in name:
+            walk(p.plan())
+        ch = p.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_title_filter_prunes_files_before_reading(spark):
+    from urllib.parse import quote
+    from sheetfold.plans import finance as FI
+    root = tempfile.mkdtemp(prefix="prune-", dir="/tmp")
+    for book in ["NUEVO a", "nuevo b", "viejo c", "NUEVO d (Copia)"]:
+        for tab in [FI.INCOME_TAB, FI.EXPENSE_TAB]:
+            d = os.path.join(root, "f", quote(book, safe=""))
+            os.makedirs(d, exist_ok=True)
+            _write_csv(os.path.join(d, quote(tab, safe="") + ".csv"), [["Proyecto"], [book]])
+    g = G.read_workbook_exports(spark, [root], tabs=[FI.INCOME_TAB], title_filter=FI.finance_name_ok)
+    rows = g.select("file_name", "tab", "row_idx").collect()
+    assert sorted({r["file_name"] for r in rows}) == ["NUEVO a", "nuevo b"] and {r["tab"] for r in rows} == {FI.INCOME_TAB}
+    raw = G.read_csv_grids(spark, [f"{root}/*/*/{quote(FI.INCOME_TAB, safe='')}.csv"],
+                           file_filter=lambda uri: FI.finance_name_ok(G.workbook_title(uri)))
+    raw = raw.select("file_id").distinct()
+    raw.collect()
+    assert _scan_files(raw) == [2]       # two of the four income files were opened
