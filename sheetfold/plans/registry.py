@@ -48,12 +48,14 @@ def fn_strip_unicode(spark, sf):
 
 @query("fn_case")
 def fn_case(spark, sf):
+    """Upper and lower case of the finance status text."""
     f = fx(spark, sf, "fx_finance")
     return f.select("o_orderkey", T.upper(_c("Situación")).alias("up"), T.lower(_c("Situación")).alias("low"))
 
 
 @query("fn_startswith_contains")
 def fn_startswith_contains(spark, sf):
+    """Prefix test on budget workbook titles; substring test on upper-cased person names."""
     b = fx(spark, sf, "fx_budget")
     n = _c("Nombre completo")
     return b.select("row_idx", T.starts_with(F.col("file_name"), "Productividad: 2024").alias("starts"),
@@ -62,6 +64,7 @@ def fn_startswith_contains(spark, sf):
 
 @query("fn_replace_first")
 def fn_replace_first(spark, sf):
+    """First ',' → '.' in USD text and first '.' → ',' in gross-amount text."""
     f = fx(spark, sf, "fx_finance")
     return f.select("o_orderkey", T.replace_first(F.col("USD"), ",", ".").alias("usd_first"),
                     T.replace_first(_c("Monto con Impuestos"), ".", ",").alias("gross_first"))
@@ -69,6 +72,7 @@ def fn_replace_first(spark, sf):
 
 @query("fn_replace_all")
 def fn_replace_all(spark, sf):
+    """Regex removal of non-amount characters from USD text; literal removal of every '.' in gross amounts."""
     f = fx(spark, sf, "fx_finance")
     return f.select("o_orderkey",
                     T.regex_replace_all(F.col("USD"), r"[^0-9,.]", "").alias("usd_kept"),
@@ -77,18 +81,21 @@ def fn_replace_all(spark, sf):
 
 @query("fn_title_clean")
 def fn_title_clean(spark, sf):
+    """Budget project name from the workbook title (prefix removed everywhere, stripped)."""
     b = fx(spark, sf, "fx_budget").select("file_ord", "file_name").distinct()
     return b.select("file_ord", T.strip(T.remove_literal(F.col("file_name"), "Productividad: ")).alias("Proyecto"))
 
 
 @query("fn_try_double")
 def fn_try_double(spark, sf):
+    """Non-strict numeric cast of the raw hours text."""
     t = fx(spark, sf, "fx_timesheet")
     return t.select("event_id", T.try_double(_c("Cantidad de horas")).alias("raw_double"))
 
 
 @query("fn_amount_eu")
 def fn_amount_eu(spark, sf):
+    """European amounts parsed from USD and gross-amount text."""
     f = fx(spark, sf, "fx_finance")
     return f.select("o_orderkey", T.amount_eu(F.col("USD")).alias("usd"),
                     T.amount_eu(_c("Monto con Impuestos")).alias("gross"))
@@ -96,6 +103,7 @@ def fn_amount_eu(spark, sf):
 
 @query("fn_hours")
 def fn_hours(spark, sf):
+    """Hours text with a decimal comma parsed to double."""
     t = fx(spark, sf, "fx_timesheet")
     return t.select("event_id", T.hours(_c("Cantidad de horas")).alias("horas"))
 
@@ -113,6 +121,7 @@ def _ts_flagged(spark, sf):
 
 @query("ts_parse_dates")
 def ts_parse_dates(spark, sf):
+    """Timesheet dates parsed with the seven formats; ISO text, else the original text."""
     t = fx(spark, sf, "fx_timesheet")
     d = T.parse_date_multi(_c("Fecha"))
     return t.select("event_id", d.alias("fecha_date"), T.iso_or_text(d, _c("Fecha")).alias("Fecha"))
@@ -120,6 +129,7 @@ def ts_parse_dates(spark, sf):
 
 @query("ts_month_label")
 def ts_month_label(spark, sf):
+    """Month label ('ene/2025') of the parsed date, else the original month text."""
     t = fx(spark, sf, "fx_timesheet")
     d = T.parse_date_multi(_c("Fecha"))
     return t.select("event_id", F.when(d.isNotNull(), T.month_label(d)).otherwise(_c("Mes")).alias("Mes"))
@@ -127,59 +137,70 @@ def ts_month_label(spark, sf):
 
 @query("ts_project_id")
 def ts_project_id(spark, sf):
+    """Stripped project and the project id taken from the unstripped text."""
     return _ts_clean(spark, sf).select("event_id", "Proyecto", "proyecto_id")
 
 
 @query("ts_person_name")
 def ts_person_name(spark, sf):
+    """Person from the workbook title (text after the last '-')."""
     t = fx(spark, sf, "fx_timesheet")
     return t.select("event_id", T.last_dash_part(F.col("archivo_origen")).alias("nombre"))
 
 
 @query("ts_nonempty_rows")
 def ts_nonempty_rows(spark, sf):
+    """Cleaned timesheet rows that survive the non-empty-row rule."""
     return _ts_clean(spark, sf).select("event_id", "nombre", "Fecha", "Mes", _c("Cantidad de horas"))
 
 
 @query("dim_rates_ts")
 def dim_rates_ts(spark, sf):
+    """Timesheet rates dimension (exact names, unusable rates → 0.0)."""
     return TS.staff_rates(fx(spark, sf, "fx_rates"))
 
 
 @query("join_rates_exact")
 def join_rates_exact(spark, sf):
+    """Left join of cleaned rows with rates on the exact name (duplicates fan out)."""
     out = TS.cost_rows(_ts_clean(spark, sf), TS.staff_rates(fx(spark, sf, "fx_rates")))
     return out.select("event_id", "nombre", _c("Costo interno"))
 
 
 @query("ts_cost")
 def ts_cost(spark, sf):
+    """Row cost (hours / 8) × rate, with an unmatched rate counted as 0."""
     out = TS.cost_rows(_ts_clean(spark, sf), TS.staff_rates(fx(spark, sf, "fx_rates")))
     return out.select("event_id", "nombre", _c("Cantidad de horas"), _c("Costo interno"), "costo_rate_interno")
 
 
 @query("ts_membership_check")
 def ts_membership_check(spark, sf):
+    """Project-name alert from membership in the project master."""
     return _ts_flagged(spark, sf).select("event_id", "Proyecto", "alerta_proyecto_nomb")
 
 
 @query("ts_alert_flags")
 def ts_alert_flags(spark, sf):
+    """The six row alerts and their sum."""
     return _ts_flagged(spark, sf).select("event_id", *TS.ALERT_COLUMNS, "suma_alertas")
 
 
 @query("ts_alert_detail")
 def ts_alert_detail(spark, sf):
+    """Rows with at least one alert, sorted by person."""
     return TS.alert_detail(_ts_flagged(spark, sf))
 
 
 @query("ts_alert_summary")
 def ts_alert_summary(spark, sf):
+    """Per-person alert counts, latest date text and stale-date alert, sorted by alert count."""
     return TS.alert_summary(_ts_flagged(spark, sf))
 
 
 @query("ts_consolidated")
 def ts_consolidated(spark, sf):
+    """The consolidated timesheet table with rates and costs."""
     costed = TS.cost_rows(_ts_clean(spark, sf), TS.staff_rates(fx(spark, sf, "fx_rates")))
     return TS.consolidated(costed)
 
@@ -217,27 +238,32 @@ def src_listing(spark, sf):
 
 @query("src_dedupe_by_id")
 def src_dedupe_by_id(spark, sf):
+    """Workbook listing de-duplicated by id (last record, first position)."""
     return LS.dedupe_by_id(fx(spark, sf, "fx_listing"))
 
 
 @query("src_name_filter_ci")
 def src_name_filter_ci(spark, sf):
+    """Finance name filter (case-insensitive) applied after de-duplication by id."""
     return FI.finance_file_filter(LS.dedupe_by_id(fx(spark, sf, "fx_listing")))
 
 
 @query("src_name_filter_cs")
 def src_name_filter_cs(spark, sf):
+    """Timesheet name filter (case-sensitive prefix, no templates)."""
     return TS.timesheet_file_filter(fx(spark, sf, "fx_listing"))
 
 
 @query("src_range_az")
 def src_range_az(spark, sf):
+    """Finance grids read as range A:Z (first 26 columns)."""
     g = L.slice_range(_grid_finance(spark, sf), n_cols=26)
     return g.select(*FINANCE_KEYS, "row_idx", F.size("cells").alias("n_cells"), _line("cells").alias("line"))
 
 
 @query("src_range_a2i")
 def src_range_a2i(spark, sf):
+    """Budget grids read as range A2:I (row 1 skipped, nine columns)."""
     g = L.slice_range(_grid_budget(spark, sf), first_row=1, n_cols=9)
     return g.select(*BUDGET_KEYS, "row_idx", F.size("cells").alias("n_cells"), _line("cells").alias("line"))
 
@@ -246,36 +272,42 @@ def src_range_a2i(spark, sf):
 
 @query("grid_blank_errors")
 def grid_blank_errors(spark, sf):
+    """Budget grid rows with error cells ('#…') blanked."""
     g = L.blank_error_cells(_grid_budget(spark, sf))
     return g.select(*BUDGET_KEYS, "row_idx", _line("cells").alias("line_clean"))
 
 
 @query("grid_header_radar")
 def grid_header_radar(spark, sf):
+    """Finance header row found by the keyword radar (first 15 rows, else row 0)."""
     lay = FI.finance_layout(_grid_finance(spark, sf), FINANCE_KEYS, "tipo")
     return lay.select(*FINANCE_KEYS, "header_idx", _line("header").alias("header_line"))
 
 
 @query("grid_header_required")
 def grid_header_required(spark, sf):
+    """Budget header row: first of 30 rows holding NOMBRE COMPLETO; sheets without one dropped."""
     lay = _team_layout(spark, sf, require_data=False)
     return lay.select(*BUDGET_KEYS, "header_idx", _line("header").alias("header_line"))
 
 
 @query("grid_carve_until")
 def grid_carve_until(spark, sf):
+    """Budget table carved from the header to the first TOTAL / EQUIPO EXTERNO row."""
     lay = _team_layout(spark, sf, require_data=False)
     return lay.select(*BUDGET_KEYS, "header_idx", "stop_idx", "n_data")
 
 
 @query("grid_min_rows")
 def grid_min_rows(spark, sf):
+    """Budget sheets that have a table (at least two rows and a row under the header)."""
     lay = _team_layout(spark, sf, require_data=True)
     return lay.select(*BUDGET_KEYS, "n_rows", "n_data")
 
 
 @query("grid_pad_widen")
 def grid_pad_widen(spark, sf):
+    """Budget table width (header vs longest carved row) and the padded, de-duplicated names."""
     g = L.blank_error_cells(_grid_budget(spark, sf))
     lay = L.carved_width(g, BU.team_layout(g, BUDGET_KEYS), BUDGET_KEYS)
     names = H.dedupe_checked(H.pad_header(F.col("header"), F.col("width")))
@@ -284,6 +316,7 @@ def grid_pad_widen(spark, sf):
 
 @query("grid_pad_truncate")
 def grid_pad_truncate(spark, sf):
+    """Rows padded or cut to the first-row header width."""
     g = _grid_budget(spark, sf)
     lay = L.first_row_layout(g, BUDGET_KEYS)
     rows = L.table_rows(g, lay.select(*BUDGET_KEYS, "header_idx", "stop_idx", F.size("header").alias("_w")), BUDGET_KEYS)
@@ -321,12 +354,14 @@ def grid_to_table_fin(spark, sf):
 
 @query("hdr_dedupe_checked")
 def hdr_dedupe_checked(spark, sf):
+    """Finance header names: stripped, blanks named column_i, collisions suffixed with the first free _n."""
     lay = FI.finance_layout(_grid_finance(spark, sf), FINANCE_KEYS, "tipo")
     return lay.select(*FINANCE_KEYS, "width", _line("names").alias("names_line"))
 
 
 @query("hdr_dedupe_counter")
 def hdr_dedupe_counter(spark, sf):
+    """Counter naming of budget headers (_n by occurrence) and whether names collide."""
     lay = _team_layout(spark, sf, require_data=False)
     names = H.dedupe_counter(F.col("header"))
     return lay.select(*BUDGET_KEYS, _line(names).alias("names_line"), H.has_duplicates(names).alias("rejected"))
@@ -334,12 +369,14 @@ def hdr_dedupe_counter(spark, sf):
 
 @query("hdr_canonical")
 def hdr_canonical(spark, sf):
+    """Finance canonical column names (dictionary, prefix rules, _dupN)."""
     lay = FI.finance_layout(_grid_finance(spark, sf), FINANCE_KEYS, "tipo")
     return lay.select(*FINANCE_KEYS, _line("canon").alias("canon_line"))
 
 
 @query("hdr_keyword_lookup")
 def hdr_keyword_lookup(spark, sf):
+    """Budget name and hours columns found by keyword, with their positions."""
     lay = _team_layout(spark, sf, require_data=False)
     return lay.select(*BUDGET_KEYS, "col_nombre", "i_nombre", "col_horas", "i_horas")
 
@@ -365,11 +402,13 @@ def _budget_rates(spark, sf):
 
 @query("budget_person_filter")
 def budget_person_filter(spark, sf):
+    """Budget person rows: non-blank, no INSERTAR, hours that parse."""
     return _budget_people(spark, sf).select("file_ord", "row_idx", "nombre", "Horas_Presupuestadas")
 
 
 @query("budget_project_id")
 def budget_project_id(spark, sf):
+    """Budget project and project id (dashes → '_', all-digit ids quoted)."""
     b = fx(spark, sf, "fx_budget").select("file_ord", "file_name").distinct()
     p = BU.project_from_title(F.col("file_name"))
     return b.select("file_ord", p.alias("Proyecto"), BU.budget_project_id(p).alias("proyecto_id"))
@@ -377,28 +416,33 @@ def budget_project_id(spark, sf):
 
 @query("tag_literals")
 def tag_literals(spark, sf):
+    """Workbook title and project tags on budget person rows."""
     return _budget_people(spark, sf).select("file_ord", "row_idx", "archivo_origen", "Proyecto")
 
 
 @query("budget_row_id")
 def budget_row_id(spark, sf):
+    """Dense budget row ids in file-then-row order."""
     return BU.number_rows(_budget_people(spark, sf), ["file_ord", "row_idx"]).select(
         "ID_Presupuesto", "file_ord", "row_idx", "proyecto_id")
 
 
 @query("dim_rates_budget")
 def dim_rates_budget(spark, sf):
+    """Budget rates dimension (keyword-picked columns, stripped names, cleaned rates)."""
     return _budget_rates(spark, sf)
 
 
 @query("join_rates_normalised")
 def join_rates_normalised(spark, sf):
+    """Left join of numbered budget rows with rates on lower(strip(name))."""
     numbered = BU.number_rows(_budget_people(spark, sf), ["file_ord", "row_idx"])
     return BU.cost(numbered, _budget_rates(spark, sf)).select("ID_Presupuesto", "nombre", "Costo_interno")
 
 
 @query("budget_cost")
 def budget_cost(spark, sf):
+    """Budget cost (hours / 8) × rate, null when unmatched."""
     numbered = BU.number_rows(_budget_people(spark, sf), ["file_ord", "row_idx"])
     return BU.cost(numbered, _budget_rates(spark, sf)).select(
         "ID_Presupuesto", "nombre", "Horas_Presupuestadas", "Costo_interno", "Costo_Total_Proyecto")
@@ -406,6 +450,7 @@ def budget_cost(spark, sf):
 
 @query("join_rates_missing")
 def join_rates_missing(spark, sf):
+    """Budget fact without a usable rates table (both cost columns null)."""
     return BU.fact_table(_budget_people(spark, sf), None, ["file_ord", "row_idx"])
 
 
@@ -447,27 +492,32 @@ def _fx_fin_flags(spark, sf):
 
 @query("fin_ghost_rows")
 def fin_ghost_rows(spark, sf):
+    """Finance rows with some non-blank key column."""
     return _fx_fin_flags(spark, sf).where("_real").select("o_orderkey", "archivo_origen")
 
 
 @query("fin_status_in")
 def fin_status_in(spark, sf):
+    """Finance rows (after the ghost purge) whose status is REAL or PROYECTADO."""
     return _fx_fin_flags(spark, sf).where("_real and _status").select("o_orderkey", _c("Situación"))
 
 
 @query("fin_amount_positive")
 def fin_amount_positive(spark, sf):
+    """Finance rows (after ghost and status filters) whose USD, when present, and gross amount parse positive."""
     return _fx_fin_flags(spark, sf).where("_real and _status and _amount").select("o_orderkey", "USD")
 
 
 @query("fin_expense_date")
 def fin_expense_date(spark, sf):
+    """Finance rows after every filter, including the expense-date requirement."""
     return (_fx_fin_flags(spark, sf).where("_real and _status and _amount and _date")
             .select("o_orderkey", "Tipo_Movimiento", "Fecha"))
 
 
 @query("fin_unified_date")
 def fin_unified_date(spark, sf):
+    """Unified Fecha of every finance data row (per tab type, else '')."""
     return _fin_clean(spark, sf).select("archivo_origen", "Tipo_Movimiento", "row_idx", "Fecha")
 
 
@@ -480,6 +530,7 @@ def fin_optional_columns(spark, sf):
 
 @query("fin_clean")
 def fin_clean(spark, sf):
+    """Cleaned finance rows from raw tabs."""
     return (_fin_clean(spark, sf).where("_valid")
             .select("archivo_origen", "Tipo_Movimiento", "row_idx", "Fecha", "Proyecto", _c("Situación"),
                     _c("Monto con Impuestos"), "USD", _c("Fecha de emisión del comprobante"),
@@ -488,6 +539,7 @@ def fin_clean(spark, sf):
 
 @query("fin_master_order")
 def fin_master_order(spark, sf):
+    """Base_Looker: income and expense masters in master column order."""
     return FI.masters(_fin_clean(spark, sf))["Base_Looker"]
 
 
@@ -504,6 +556,7 @@ def union_by_name_missing(spark, sf):
 
 @query("audit_counts")
 def audit_counts(spark, sf):
+    """Per finance tab: rows after the ghost purge and valid rows."""
     return FI.audit(_fin_clean(spark, sf), FINANCE_KEYS)
 
 
@@ -511,11 +564,13 @@ def audit_counts(spark, sf):
 
 @query("sink_null_to_blank")
 def sink_null_to_blank(spark, sf):
+    """Alert detail in export form (all text, null as '')."""
     return SK.null_to_blank(TS.alert_detail(_ts_flagged(spark, sf)))
 
 
 @query("sink_dates_to_text")
 def sink_dates_to_text(spark, sf):
+    """Parsed timesheet dates exported as text."""
     t = fx(spark, sf, "fx_timesheet")
     return SK.dates_to_text(t.select("event_id", T.parse_date_multi(_c("Fecha")).alias("fecha_date")))
 
