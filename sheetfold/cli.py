@@ -133,8 +133,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="output format")
     ap.add_argument("--grid-format", default="csv", choices=["csv", "parquet"],
                     help="inputs are CSV exports or Parquet grid tables")
-    ap.add_argument("--rates")
-    ap.add_argument("--projects")
+    ap.add_argument("--rates", help="rates tab exported with its header (Nombre, Costo interno)")
+    ap.add_argument("--projects", help="timesheets: project master exported with its header")
     ap.add_argument("--sector", action="append", default=[], help="FOLDER=LABEL (timesheets)")
     ap.add_argument("--workbook", action="append", default=[],
                     help="budget: only these workbook titles, numbered in this order")
