@@ -5,6 +5,7 @@
     python -m sheetfold timesheets --input ROOT --sector FOLDER=LABEL ... --rates RATES.csv
                                    --projects PROJECTS.csv --out DIR
     python -m sheetfold list       --input ROOT [--limit 20]
+    python -m sheetfold ingest     --input ROOT --out GRID.parquet   (CSV exports → Parquet grid)
 
 Workbooks are read from ``ROOT/<folder>/<workbook>/<tab>.csv`` (names percent-encoded as path
 segments, so titles may hold ``:``); rates and project master are
@@ -126,7 +127,7 @@ def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: st
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="sheetfold")
-    ap.add_argument("job", choices=["finance", "budget", "timesheets", "list"])
+    ap.add_argument("job", choices=["finance", "budget", "timesheets", "list", "ingest"])
     ap.add_argument("--input", action="append", required=True, help="root folder of exported workbooks")
     ap.add_argument("--out", help="output folder (jobs)")
     ap.add_argument("--limit", type=int, default=20, help="list: how many workbooks to show")
@@ -152,10 +153,23 @@ def list_books(spark, inputs: list[str], limit: int) -> list[tuple[str, str, int
     return [(r["folder"], r["file_name"], r["tabs"]) for r in books.orderBy("folder", "file_name").limit(limit).collect()]
 
 
+def ingest(spark, inputs: list[str], out: str) -> int | None:
+    """CSV workbook exports → one Parquet grid table (``folder, file_id, file_name, tab,
+    row_idx, cells``), clustered by workbook, tab and position so row-group statistics help
+    later tab / workbook predicates. Returns the rows written."""
+    grid = G.read_workbook_exports(spark, inputs)
+    grid = grid.repartitionByRange("file_id", "tab", "row_idx").sortWithinPartitions("file_id", "tab", "row_idx")
+    return write_table(grid, out, fmt="parquet", protected=[os.path.abspath(p) for p in inputs])
+
+
 def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
     """Run one job with an existing session; returns {table: rows written, None if skipped}."""
     ap = parser()
     a = ap.parse_args(argv)
+    if a.job == "ingest":
+        if not a.out:
+            ap.error("--out is required")
+        return {"grid": ingest(spark, a.input, a.out)}
     if a.job == "list":
         for folder, title, n in list_books(spark, a.input, a.limit):
             print(f"{folder} | {title} | {n} tabs")

@@ -28,6 +28,13 @@ def test_cli_on_exports_matches_queries(spark):
     run_cli(spark, ["finance", "--input", os.path.join(root, "finance"), "--out", out])
     assert rows(spark.read.parquet(os.path.join(out, "Base_Looker"))) == rows(q["fin_master_order"](spark, SF_SMALL))
 
+    # the same exports ingested as a Parquet grid give the same finance masters
+    grid_path = os.path.join(tempfile.mkdtemp(prefix="exp-grid-", dir="/tmp"), "grid.parquet")
+    run_cli(spark, ["ingest", "--input", os.path.join(root, "finance"), "--out", grid_path])
+    out2 = tempfile.mkdtemp(prefix="exp-fin2-", dir="/tmp")
+    run_cli(spark, ["finance", "--input", grid_path, "--grid-format", "parquet", "--out", out2])
+    assert rows(spark.read.parquet(os.path.join(out2, "Base_Looker"))) == rows(spark.read.parquet(os.path.join(out, "Base_Looker")))
+
     titles = [r["file_name"] for r in
               fx(spark, SF_SMALL, "fx_budget").select("file_ord", "file_name").distinct().orderBy("file_ord").collect()]
     out = tempfile.mkdtemp(prefix="exp-bud-", dir="/tmp")
