@@ -1,5 +1,7 @@
 """Plan checks: no Python UDF anywhere; dimensions broadcast; filters reach the scan."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -53,3 +55,30 @@ def test_filters_only_remove_rows(spark):
     assert n["ts_person_name"] >= n["ts_nonempty_rows"]
     assert fx(spark, SF_SMALL, "fx_budget").count() >= n["budget_person_filter"] == n["budget_row_id"]
     assert n["ts_alert_flags"] >= n["ts_alert_detail"]
+
+
+def test_detail_sort_splits_hot_persons(spark):
+    p = plan(Q["ts_alert_detail"](spark, SF_SMALL))
+    assert re.search(r"rangepartitioning\(nombre[^)]*archivo_origen[^)]*consecutivo[^)]*Fecha", p)
+
+
+def test_cluster_session_needs_a_shared_checkpoint_dir():
+    from sheetfold.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+    class Ctx:
+        master = "yarn"
+        def getCheckpointDir(self):
+            return None
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError, match="shared folder"):
+        ensure_checkpoint_dir(Session())
