@@ -36,6 +36,10 @@ MONTH_ABBREVIATIONS = ["ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "
 #: blank because every whitespace run is removed before parsing.
 DATE_FORMATS = ["yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "yyyy-M-dHH:mm:ss", "d-M-yyyy", "d.M.yyyy", "d/M/yy"]
 
+#: Two-digit years at or above this pivot belong to the 1900s (POSIX ``%y``: 69-99 → 1969-1999,
+#: 00-68 → 2000-2068). Spark's ``yy`` alone would read every two-digit year as 20xx.
+TWO_DIGIT_YEAR_PIVOT = 69
+
 #: Text accepted by the non-strict numeric cast: optional sign, digits with an optional
 #: fraction (or a bare fraction), optional exponent. Anything else is null.
 NUMERIC_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -188,6 +192,14 @@ DATE_SHAPES = {
 }
 
 
+def _attempt(squeezed: Column, fmt: str) -> Column:
+    """One format's parse; a two-digit year at or above the pivot moves back a century."""
+    d = F.try_to_date(squeezed, fmt)
+    if "yyyy" not in fmt and "yy" in fmt:
+        d = F.when(F.year(d) >= 2000 + TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)
+    return d
+
+
 def squeeze_whitespace(c) -> Column:
     """Strip, then remove every whitespace run (the text the date formats are tried on)."""
     return F.regexp_replace(strip(c), r"(?U)\s+", "")
@@ -205,7 +217,7 @@ def parse_date_multi(c, formats: list[str] | None = None, squeezed: bool = False
     tries = []
     for f in formats or DATE_FORMATS:
         shapes = DATE_SHAPES.get(f)
-        attempt = F.try_to_date(sq, f)
+        attempt = _attempt(sq, f)
         tries.append(F.when(shape.isin(*shapes), attempt) if shapes else attempt)
     return F.coalesce(*tries)
 
@@ -215,7 +227,7 @@ def with_parsed_date(df, src: str, out: str):
     shape are computed once in their own projection instead of once per format."""
     df = df.withColumn("_date_sq", squeeze_whitespace(F.col(f"`{src}`")))
     df = df.withColumn("_date_shape", F.regexp_replace(F.col("_date_sq"), "[0-9]+", "9"))
-    tries = [F.when(F.col("_date_shape").isin(*DATE_SHAPES[f]), F.try_to_date(F.col("_date_sq"), f))
+    tries = [F.when(F.col("_date_shape").isin(*DATE_SHAPES[f]), _attempt(F.col("_date_sq"), f))
              for f in DATE_FORMATS]
     return df.withColumn(out, F.coalesce(*tries)).drop("_date_sq", "_date_shape")
 

@@ -42,6 +42,8 @@ def test_hours_and_numeric_shape(spark, text, expected):
     ("2025-1-5", dt.date(2025, 1, 5)), ("31/02/2025", None), ("2024-01-05 10:00:00", dt.date(2024, 1, 5)),
     (" 05.01.2024", dt.date(2024, 1, 5)), ("05/01/25", dt.date(2025, 1, 5)), ("05-01-2024", dt.date(2024, 1, 5)),
     ("pendiente", None), ("", None), ("2024 - 01 - 05", dt.date(2024, 1, 5)),
+    ("05/01/75", dt.date(1975, 1, 5)), ("05/01/68", dt.date(2068, 1, 5)), ("05/01/69", dt.date(1969, 1, 5)),
+    ("29/02/72", dt.date(1972, 2, 29)),
 ])
 def test_parse_date_multi(spark, text, expected):
     assert one(spark, T.parse_date_multi, text) == expected
@@ -96,7 +98,7 @@ def test_shape_guard_never_changes_results(spark):
               "2024-1-5+10:00:00", "31/02/2025", "2024 - 1 - 5", " 5 . 1 . 2024 ", "1/13/2025", "pendiente", "", None]
     df = spark.createDataFrame([(v,) for v in tricky], "v string")
     sq = T.squeeze_whitespace(F.col("v"))
-    plain = F.coalesce(*[F.try_to_date(sq, f) for f in T.DATE_FORMATS])
+    plain = F.coalesce(*[T._attempt(sq, f) for f in T.DATE_FORMATS])
     rows = df.select("v", T.parse_date_multi(F.col("v")).cast("string").alias("guarded"),
                      plain.cast("string").alias("plain")).collect()
     assert [(r["v"], r["guarded"]) for r in rows] == [(r["v"], r["plain"]) for r in rows]
@@ -108,3 +110,18 @@ def test_shape_guard_never_changes_results(spark):
 def test_python_strip_variant(spark):
     assert one(spark, T.strip_py, "\x1c ab \x1f") == "ab"
     assert one(spark, T.strip, "\x1c ab \x1f") == "\x1c ab \x1f"
+
+
+def test_date_parser_agrees_with_duckdb(spark):
+    import duckdb
+    from sheetfold import oracle as O
+    texts = ["05/01/2025", "01/13/2025", "5.1.2025", "2025-1-5", "31/02/2025", "2024-01-05 10:00:00", " 05.01.2024",
+             "05/01/25", "05-01-2024", "pendiente", "", "2024 - 01 - 05", "05/01/75", "05/01/68", "05/01/69",
+             "29/02/72", "29/02/2023", "1/1/2000", "12/31/1999", "31-12-1999", "2000-2-29", "7/7/07"]
+    con = duckdb.connect()
+    con.execute("create table t (v varchar)")
+    con.executemany("insert into t values (?)", [(t,) for t in texts])
+    want = dict(con.sql(f"select v, cast({O.parse_date('v')} as varchar) from t").fetchall())
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = {r["v"]: r["d"] for r in df.select("v", T.parse_date_multi(F.col("v")).cast("string").alias("d")).collect()}
+    assert got == want
