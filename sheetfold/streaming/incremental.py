@@ -32,8 +32,9 @@ def run_on_new_grids(spark: SparkSession, landing_dir: str, job: Callable[[DataF
                      output_dir: str, name: str, max_files_per_batch: int | None = None):
     """Process every grid file not yet seen under ``landing_dir`` and stop.
 
-    ``job`` maps a grid DataFrame to named output tables; each table is appended to
-    ``output_dir/<table>`` as Parquet. Returns the finished ``StreamingQuery``.
+    ``job`` maps a grid DataFrame to named output tables; each micro-batch's table is written to
+    ``output_dir/<table>/batch=<id>`` (read ``output_dir/<table>`` for all batches). Returns the
+    finished ``StreamingQuery``.
     """
     ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
     reader = spark.readStream.schema(GRID_SCHEMA).format("parquet")
@@ -42,8 +43,10 @@ def run_on_new_grids(spark: SparkSession, landing_dir: str, job: Callable[[DataF
     stream = reader.load(landing_dir)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        # foreachBatch is at-least-once: a retried batch overwrites its own partition instead of
+        # appending the same rows twice
         for table, df in job(batch).items():
-            df.write.mode("append").parquet(os.path.join(output_dir, table))
+            df.write.mode("overwrite").parquet(os.path.join(output_dir, table, f"batch={batch_id}"))
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())

@@ -31,3 +31,16 @@ def test_only_new_files_are_processed(spark):
     run_on_new_grids(spark, os.path.join(land, "*"), job, out, name)
     got = sorted(r["nombre"] for r in spark.read.parquet(os.path.join(out, "people")).collect())
     assert got == ["ANA", "EVA", "LUIS"]
+
+
+def test_retried_batch_does_not_duplicate(spark):
+    import os
+    from sheetfold.streaming.incremental import run_on_new_grids as run
+    land = tempfile.mkdtemp(prefix="land2-", dir="/tmp")
+    out = tempfile.mkdtemp(prefix="out2-", dir="/tmp")
+    _land(spark, os.path.join(land, "a"), {"wa": [["Nombre completo", "Cantidad de horas"], ["ANA", "8"]]}, "T")
+    run(spark, os.path.join(land, "*"), job, out, os.path.basename(out))
+    # replaying batch 0's output (as a retry would) leaves one copy
+    job(spark.read.schema(GRID_SCHEMA).parquet(os.path.join(land, "a")))["people"] \
+        .write.mode("overwrite").parquet(os.path.join(out, "people", "batch=0"))
+    assert spark.read.parquet(os.path.join(out, "people")).count() == 1
