@@ -23,8 +23,11 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
     opened.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cols)])
-    raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
-           .option("mode", "PERMISSIVE").option("escape", '"').csv(paths)
+    reader = (spark.read.schema(schema).option("header", False).option("multiLine", True)
+              .option("mode", "PERMISSIVE").option("escape", '"'))
+    if not _any_match(spark, paths):
+        return spark.createDataFrame([], "file_id string, file_name string, row_idx int, cells array<string>")
+    raw = (reader.csv(paths)
            .select("*", F.col("_metadata.file_path").alias("file_id"),
                    F.col("_metadata.file_name").alias("file_name")))
     if file_filter is not None:
@@ -40,6 +43,19 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
             .select("file_id", "file_name", (F.col("_mono") - F.col("_first")).cast("int").alias("row_idx"), "cells"))
 
 
+def _any_match(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether any of the (glob) paths matches a file — a folder without matching files gives
+    an empty grid instead of a failed read. Only file-system metadata is consulted."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        found = path.getFileSystem(conf).globStatus(path)
+        if found is not None and len(found) > 0:
+            return True
+    return False
+
+
 def read_parquet_grid(spark: SparkSession, path: str) -> DataFrame:
     """A grid already stored as Parquet (``folder, file_id, file_name, file_ord, tab, row_idx,
     cells``); column pruning and filters reach the scan."""
@@ -89,6 +105,8 @@ def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Workbooks and their tabs under ``<root>/<folder>/<workbook>/<tab>.csv`` from file metadata
     only (no content is read): ``folder, file_id, file_name, tab, path``."""
     paths = [f"{r.rstrip('/')}/*/*/*.csv" for r in roots]
+    if not _any_match(spark, paths):
+        return spark.createDataFrame([], "folder string, file_id string, file_name string, tab string, path string")
     # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
     files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("p"))
     parts = F.split(F.col("p"), "/")

@@ -126,3 +126,13 @@ def test_size_partitions_from_listed_bytes(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_no_matching_tabs_writes_nothing(spark):
+    root = tempfile.mkdtemp(prefix="notabs-", dir="/tmp")
+    _csv(os.path.join(root, "f", "NUEVO x", "Otra.csv"), [["a", "b"]])
+    out = tempfile.mkdtemp(prefix="notabs-out-", dir="/tmp")
+    written = run_cli(spark, ["finance", "--input", root, "--out", out])
+    assert written == {"Ingresos": None, "Gastos": None, "Base_Looker": None, "Auditoria": None, "Archivos_con_error": 1}
+    empty = tempfile.mkdtemp(prefix="noworkbooks-", dir="/tmp")
+    assert run_cli(spark, ["finance", "--input", empty, "--out", out])["Base_Looker"] is None
