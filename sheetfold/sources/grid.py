@@ -46,8 +46,11 @@ def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
 def _any_match(spark: SparkSession, paths: list[str]) -> bool:
     """Whether any of the (glob) paths matches a file — a folder without matching files gives
     an empty grid instead of a failed read. Only file-system metadata is consulted."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no local JVM (Spark Connect): let the reader decide
+        return True
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         found = path.getFileSystem(conf).globStatus(path)
