@@ -196,7 +196,7 @@ def _attempt(squeezed: Column, fmt: str) -> Column:
     """One format's parse; a two-digit year at or above the pivot moves back a century."""
     d = F.try_to_date(squeezed, fmt)
     if "yyyy" not in fmt and "yy" in fmt:
-        d = F.when(F.year(d) >= 2000 + TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)
+        d = F.add_months(d, F.when(F.year(d) >= 2000 + TWO_DIGIT_YEAR_PIVOT, F.lit(-1200)).otherwise(F.lit(0)))
     return d
 
 
