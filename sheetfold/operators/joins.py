@@ -19,8 +19,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-#: Session setting that overrides :data:`BROADCAST_MAX_ROWS`.
+#: Byte bound (JSON-encoded size of the rows) a broadcast side must also stay within.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+#: Session settings that override :data:`BROADCAST_MAX_ROWS` / :data:`BROADCAST_MAX_BYTES`.
 BROADCAST_MAX_ROWS_CONF = "sheetfold.broadcast.maxRows"
+BROADCAST_MAX_BYTES_CONF = "sheetfold.broadcast.maxBytes"
 
 
 def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:
@@ -30,18 +34,22 @@ def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:
 
 
 def sized_side(df: DataFrame, max_rows: int | None = None, checkpoint: bool = False) -> DataFrame:
-    """Return ``df`` marked for broadcast only if its row count is within the bound
-    (``max_rows``, else the session's ``sheetfold.broadcast.maxRows``, else
-    :data:`BROADCAST_MAX_ROWS`).
+    """Return ``df`` marked for broadcast only if it is within both bounds: rows (``max_rows``,
+    else ``sheetfold.broadcast.maxRows``, else :data:`BROADCAST_MAX_ROWS`) and bytes
+    (``sheetfold.broadcast.maxBytes``, else :data:`BROADCAST_MAX_BYTES`, measured as the
+    JSON-encoded size of the rows). One job that reads at most ``max_rows + 1`` rows.
 
-    ``checkpoint=True`` first materialises it, so counting does not run its plan twice (use it
+    ``checkpoint=True`` first materialises it, so measuring does not run its plan twice (use it
     for sides computed from large inputs, such as per-sheet layouts).
     """
     max_rows = broadcast_bound(df, max_rows)
+    max_bytes = int(df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES)))
     if checkpoint:
         df = materialize(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    row_bytes = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    stats = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                       F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if stats["n"] <= max_rows and stats["b"] <= max_bytes else df
 
 
 def left_join_small(big: DataFrame, small: DataFrame, on, max_rows: int | None = None,

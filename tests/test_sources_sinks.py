@@ -94,6 +94,11 @@ def test_broadcast_bound_setting(spark):
         assert broadcast_bound(df) == 2 and not hinted(sized_side(df))
     finally:
         spark.conf.unset("sheetfold.broadcast.maxRows")
+    spark.conf.set("sheetfold.broadcast.maxBytes", "10")       # three rows of {"id":n} are 24 bytes
+    try:
+        assert not hinted(sized_side(df))
+    finally:
+        spark.conf.unset("sheetfold.broadcast.maxBytes")
 
 
 def test_csv_grid_keeps_range_width(spark):
