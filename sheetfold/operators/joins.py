@@ -18,7 +18,6 @@ BROADCAST_MAX_ROWS_CONF = "sheetfold.broadcast.maxRows"
 BROADCAST_MAX_BYTES_CONF = "sheetfold.broadcast.maxBytes"
 
 
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage (survives executor loss;
     later reads see the same rows even when the plan is non-deterministic)."""
