@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin rows over ``target`` partitions (default: the session's parallelism) when the
-    input arrives in fewer — CPU-heavy per-row work (regexes, date parsing) on a handful of
-    large splits would otherwise use a handful of cores. An input that already has enough
-    partitions passes through untouched, so at cluster scale this adds no shuffle."""
+#: Smallest share of the input worth a task of its own when spreading rows.
+MIN_SPREAD_PARTITION_BYTES = 256 * 1024
+
+
+def spread(df: DataFrame, target: int | None = None,
+           min_partition_bytes: int = MIN_SPREAD_PARTITION_BYTES) -> DataFrame:
+    """Round-robin rows over up to ``target`` partitions (default: the session's parallelism) when
+    the input arrives in fewer — CPU-heavy per-row work (regexes, date parsing) on a handful of
+    large splits would otherwise use a handful of cores. The target is capped by the plan's size
+    estimate (at least ``min_partition_bytes`` per partition), so a small input is not scattered
+    over a whole cluster; an input that already has enough partitions passes through untouched,
+    so at cluster scale this adds no shuffle."""
     try:
         target = target or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect has no RDD view; leave partitioning to the server
         return df
+    try:
+        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        target = max(1, min(target, estimate // min_partition_bytes + 1))
+    except Exception:  # noqa: BLE001 - no estimate: keep the parallelism target
+        pass
     return df.repartition(target) if current < target else df
