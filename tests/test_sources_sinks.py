@@ -151,3 +151,13 @@ def test_title_filter_prunes_files_before_reading(spark):
     raw = raw.select("file_id").distinct()
     raw.collect()
     assert _scan_files(raw) == [2]       # two of the four income files were opened
+
+
+def test_list_workbooks_appends_folders_in_order(spark):
+    a, b = (tempfile.mkdtemp(prefix=f"lst{k}-", dir="/tmp") for k in (1, 2))
+    for d, names in [(a, ["z.csv", "m.csv"]), (b, ["a.csv"])]:
+        for n in names:
+            _write_csv(os.path.join(d, n), [["x"]])
+    got = [(r["folder"], r["file_name"], r["file_ord"]) for r in
+           LS.list_workbooks(spark, [b, a], glob="*.csv").orderBy("file_ord").collect()]
+    assert got == [(b, "a.csv", 1), (a, "m.csv", 2), (a, "z.csv", 3)]
