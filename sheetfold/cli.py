@@ -120,7 +120,8 @@ def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: st
     opened; the folder gives the sector."""
     grid = load_grid(spark, inputs, ["Timesheet"], grid_format, title_filter=TS.timesheet_name_ok)
     mapping = F.create_map(*[F.lit(x) for kv in sectors.items() for x in kv]) if sectors else None
-    grid = grid.withColumn("sector", F.try_element_at(mapping, F.col("folder")) if mapping is not None else F.col("folder"))
+    sector = F.coalesce(F.try_element_at(mapping, F.col("folder")), F.col("folder")) if mapping is not None else F.col("folder")
+    grid = grid.withColumn("sector", sector)      # unmapped folders keep their own name
     return TS.run_from_grids(grid, ["file_id"], G.read_table_export(spark, rates_path),
                              G.read_table_export(spark, projects_path), name_col="file_name", sector_col="sector")
 
