@@ -241,7 +241,9 @@ def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame) -> dic
 
 def run_from_grids(grid: DataFrame, keys: list[str], rates: DataFrame, projects: DataFrame,
                    name_col: str = "file_name", sector_col: str | None = None) -> dict[str, DataFrame]:
-    """Raw ``Timesheet`` tabs (all sectors in one grid) → the three export tables + rejects."""
+    """Raw ``Timesheet`` tabs (all sectors in one grid) → the three export tables, the rejects
+    table and, with a sector column, the per-sector audit. Fails with :class:`MissingColumns`
+    when a sector lacks a column the job reads unconditionally."""
     grid = timesheet_file_filter(grid, name_col)
     rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col, require_columns=True)
     out = run(rows, rates, projects)
