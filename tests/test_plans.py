@@ -82,3 +82,27 @@ def test_cluster_session_needs_a_shared_checkpoint_dir():
 
     with pytest.raises(RuntimeError, match="shared folder"):
         ensure_checkpoint_dir(Session())
+
+
+def test_checkpoint_dir_is_read_from_the_session():
+    from sheetfold.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+    class Ctx:
+        master = "yarn"
+        _dir = None
+        def getCheckpointDir(self):
+            return self._dir
+        def setCheckpointDir(self, d):
+            self._dir = d
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf({"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+        sparkContext = Ctx()
+
+    assert ensure_checkpoint_dir(Session()) == "hdfs:///shared/ckpt"
