@@ -1,5 +1,8 @@
 """Run registered queries in Spark and their DuckDB twins; compare like the driver does
-(row count, sorted column names, order-insensitive values)."""
+(row count, sorted column names and types, order-insensitive values).
+
+    python tests/oracle_compare.py [SF_DIR] [QUERY ...] [--json REPORT.json]
+"""
 
 from __future__ import annotations
 
@@ -80,8 +83,14 @@ def main(argv):
     import __spark_entry__ as E
     from sheetfold.session import build_session
 
+    report_path = None
+    if "--json" in argv:
+        k = argv.index("--json")
+        report_path = argv[k + 1]
+        argv = argv[:k] + argv[k + 2:]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
+    report = {}
     spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     con = duck_conn(sf_dir)
     qs, osql = E.queries(), E.oracle_sql()
@@ -98,8 +107,13 @@ def main(argv):
         except Exception as e:  # noqa: BLE001
             n, problems = -1, [f"error {type(e).__name__}: {str(e)[:400]}"]
         bad += bool(problems)
+        report[name] = {"rows": n, "match": not problems, "problems": problems}
         print(f"{name:28s} {'OK ' if not problems else 'BAD'} {n} {'; '.join(problems)}")
     print(f"{len(qs)} queries, {len(osql)} with oracle, {bad} mismatched")
+    if report_path:
+        import json
+        with open(report_path, "w", encoding="utf-8") as f:
+            json.dump({"sf_dir": sf_dir, "queries": report, "mismatched": bad}, f, indent=1, sort_keys=True)
     return bad
 
 
