@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
+from sheetfold.llm import near_dedup as ND
 from sheetfold.sources.fixtures import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,9 @@ def op3_fingerprints(spark, sf):
                     MT.serialised(F.col("edited_tree")).alias("edited_fingerprint"),
                     MT.likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
                     MT.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"))
+
+
+@query("op1_near_dedup")
+def op1_near_dedup(spark, sf):
+    """Near-duplicate groups of ``documents``: five-word shingles, similarity 0.75 and more."""
+    return ND.near_groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
