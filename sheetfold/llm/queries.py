@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
 from sheetfold.llm import near_dedup as ND
+from sheetfold.llm import substring_dedup as SD
 from sheetfold.sources.fixtures import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,9 @@ def op3_fingerprints(spark, sf):
 def op1_near_dedup(spark, sf):
     """Near-duplicate groups of ``documents``: five-word shingles, similarity 0.75 and more."""
     return ND.near_groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark, sf):
+    """Spans of ``documents`` that occur earlier: each with its original offsets and the document that keeps it."""
+    return SD.removed_spans(table(spark, sf, "documents"))
