@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
 from sheetfold.llm import near_dedup as ND
+from sheetfold.llm import packing as PK
 from sheetfold.llm import substring_dedup as SD
 from sheetfold.sources.fixtures import table
 
@@ -82,3 +84,12 @@ def op1_near_dedup(spark, sf):
 def op10_substring_dedup(spark, sf):
     """Spans of ``documents`` that occur earlier: each with its original offsets and the document that keeps it."""
     return SD.removed_spans(table(spark, sf, "documents"))
+
+
+@query("op4_packing")
+def op4_packing(spark, sf):
+    """``documents`` as token pieces packed into sequences of at most 2048."""
+    pieces = PK.token_pieces(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    # the digest of a piece's ids is all that the result keeps of them
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return PK.pack(digests).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -33,6 +33,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def digests_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit digests of the byte ranges ``starts`` to ``ends`` (none empty, none overlapping)."""
+    lengths = ends - starts
+    before = np.cumsum(lengths) - lengths
+    at = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
+    power = np.full(int(lengths.max(initial=1)), np.uint64(_STEP))
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    values = ((_LOWER if lower else np.arange(256)) + 1).astype(np.uint64)
+    found = values[buf[at + np.repeat(starts, lengths)]] * power[at]
+    return mix64(np.add.reduceat(found, before) + lengths.astype(np.uint64))
+
+
 class Words(NamedTuple):
     starts: np.ndarray  # byte offset of each word in the joined buffer
     ends: np.ndarray    # one past its last byte
@@ -42,27 +55,20 @@ class Words(NamedTuple):
     buffer: np.ndarray
 
 
-def words_of(texts: list[bytes], lower: bool = True) -> Words:
-    """All words of ``texts``; digests ignore the case of A-Z if ``lower``."""
+def words_of(texts: list[bytes], digests: bool = True) -> Words:
+    """All words of ``texts``. Their digests, if wanted, ignore the case of A-Z."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if texts else np.zeros(0, np.int64)
     space = _SPACE[buf]
-    inside = np.flatnonzero(~space)
     edge = np.flatnonzero(np.diff(space.view(np.int8), prepend=np.int8(1)))
     starts, ends = edge[0::2], edge[1::2]
     if not len(starts):
         none = np.zeros(0, np.int64)
         return Words(none, none, none.astype(np.uint64), np.zeros(len(texts) + 1, np.int64), base, buf)
-    lengths = ends - starts
-    at = inside - np.repeat(starts, lengths)
-    power = np.ones(int(lengths.max()), np.uint64)
-    power[1:] = np.uint64(_STEP)
-    power = np.multiply.accumulate(power)
-    values = ((_LOWER if lower else np.arange(256)) + 1).astype(np.uint64)
-    digests = np.add.reduceat(values[buf[inside]] * power[at], np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+    found = digests_of(buf, starts, ends, lower=True) if digests else np.zeros(0, np.uint64)
     first = np.searchsorted(starts, np.append(base, len(buf)))
-    return Words(starts, ends, mix64(digests), first, base, buf)
+    return Words(starts, ends, found, first, base, buf)
 
 
 def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
