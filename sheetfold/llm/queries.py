@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheetfold.llm import merkle_text as MT
@@ -13,6 +13,7 @@ from sheetfold.llm import mixing as MX
 from sheetfold.llm import near_dedup as ND
 from sheetfold.llm import packing as PK
 from sheetfold.llm import substring_dedup as SD
+from sheetfold.llm import warc_fixity as WF
 from sheetfold.sources.fixtures import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,45 @@ def op4_packing(spark, sf):
     # the digest of a piece's ids is all that the result keeps of them
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return PK.pack(digests).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+#: Pages of a stand-in archive; its records' offsets follow from their lengths in order of id.
+PAGES_PER_ARCHIVE = 256
+
+
+def page_replicas(spark, sf):
+    """Stand-in replicas of archives of ``pages``: records with their offsets; in the second one the
+    bytes of some records differ and some records are gone, at unchanged offsets."""
+    pages = table(spark, sf, "pages")
+    records = pages.select("page_id", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).cast("long").alias("archive"),
+                           WF.warc_record(F.col("url"), F.col("html")).alias("record"))
+    order = Window.partitionBy("archive").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.octet_length("record").cast("long")
+    first = records.withColumn("offset", F.coalesce(F.sum(size).over(order), F.lit(0)).cast("long"))
+    turn = F.conv(F.substring(F.md5(F.col("page_id").cast("string")), 1, 4), 16, 10).cast("long") % 100
+    flipped = F.when(turn == 1, F.concat(F.lit(b"w"), F.substring("record", F.lit(2), F.octet_length("record")))).otherwise(F.col("record"))
+    second = first.where(turn != 2).withColumn("record", flipped)
+    return first.drop("page_id"), second.drop("page_id")
+
+
+OP9_SQL = r"""
+with records as (
+  select page_id, page_id // 256 as archive,
+    concat_ws(chr(13) || chr(10), 'WARC/1.1', 'WARC-Type: resource', 'WARC-Target-URI: ' || coalesce(url, ''), 'Content-Type: text/html',
+      'Content-Length: ' || strlen(coalesce(html, '')), '', coalesce(html, ''), '', '') as record
+  from pages),
+placed as (
+  select archive, record, strlen(record)::bigint as n,
+    coalesce(sum(strlen(record)) over (partition by archive order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint as "offset",
+    ('0x' || substr(md5(page_id::varchar), 1, 4))::bigint % 100 as turn
+  from records)
+select archive, "offset", case turn when 1 then 'altered' else 'missing' end as status, n as first_length, sha256(record) as first_digest,
+  case turn when 1 then n end as second_length, case turn when 1 then sha256('w' || substr(record, 2)) end as second_digest
+from placed where turn in (1, 2)
+"""
+
+
+@query("op9_warc_fixity", OP9_SQL)
+def op9_warc_fixity(spark, sf):
+    """Merkle fixity audit of two replicas of the archives of ``pages``: the records that differ."""
+    return WF.fixity_audit(*page_replicas(spark, sf))
