@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sheetfold.llm import language_id as LI
 from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
 from sheetfold.llm import near_dedup as ND
@@ -136,3 +137,12 @@ from placed where turn in (1, 2)
 def op9_warc_fixity(spark, sf):
     """Merkle fixity audit of two replicas of the archives of ``pages``: the records that differ."""
     return WF.fixity_audit(*page_replicas(spark, sf))
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf):
+    """The language of every text of ``documents``, learned from two thirds of them."""
+    docs = table(spark, sf, "documents")
+    model = LI.train(docs.where(~LI.held_out(F.col("doc_id"))))
+    found = LI.identify(docs, model)
+    return found.select("doc_id", LI.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
