@@ -13,6 +13,7 @@ from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
 from sheetfold.llm import near_dedup as ND
 from sheetfold.llm import packing as PK
+from sheetfold.llm import quality as QU
 from sheetfold.llm import substring_dedup as SD
 from sheetfold.llm import warc_fixity as WF
 from sheetfold.sources.fixtures import table
@@ -146,3 +147,10 @@ def op6_language_id(spark, sf):
     model = LI.train(docs.where(~LI.held_out(F.col("doc_id"))))
     found = LI.identify(docs, model)
     return found.select("doc_id", LI.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_quality")
+def op7_quality(spark, sf):
+    """Co-trained quality scores of all ``documents``: by content, by metadata and by both."""
+    docs = table(spark, sf, "documents")
+    return QU.scores(docs, QU.train(docs, table(spark, sf, "labels")))
