@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sheetfold.llm import hash_forest as HF
 from sheetfold.llm import language_id as LI
 from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
@@ -154,3 +155,9 @@ def op7_quality(spark, sf):
     """Co-trained quality scores of all ``documents``: by content, by metadata and by both."""
     docs = table(spark, sf, "documents")
     return QU.scores(docs, QU.train(docs, table(spark, sf, "labels")))
+
+
+@query("op8_hash_forest")
+def op8_hash_forest(spark, sf):
+    """The ten nearest neighbours found of every hundredth vector of ``embeddings``."""
+    return HF.nearest_neighbours(table(spark, sf, "embeddings"))
