@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sheetfold.llm import hash_forest as HF
 from sheetfold.llm import language_id as LI
+from sheetfold.llm import licenses as LC
 from sheetfold.llm import merkle_text as MT
 from sheetfold.llm import mixing as MX
 from sheetfold.llm import near_dedup as ND
@@ -161,3 +162,9 @@ def op7_quality(spark, sf):
 def op8_hash_forest(spark, sf):
     """The ten nearest neighbours found of every hundredth vector of ``embeddings``."""
     return HF.nearest_neighbours(table(spark, sf, "embeddings"))
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark, sf):
+    """Licenses found in the texts of ``documents``, with coverage and place."""
+    return LC.license_scan(table(spark, sf, "documents"))
