@@ -6,10 +6,11 @@ a pair's signatures are compared batch by batch, and the pair is dropped as soon
 probability that its similarity reaches the threshold falls below ``miss``; survivors are
 confirmed on the full shingle sets. Groups are the connected components of the confirmed links.
 
-Within a bucket not all pairs are formed. First every member meets the bucket's smallest and
-largest member; then the members still in different components meet, so that a bucket whose
-members turned out to be one group costs nothing more and no link that could join two
-components is left out.
+Within a bucket not all pairs are formed. First every member meets the bucket's best connected
+member, the one with most neighbours over all buckets. Then only members still in different
+components are compared, inside tasks over blocks of bounded size, and only pairs that pass the
+Bayesian comparison leave them; a bucket whose members turned out to be one group costs nothing
+more, and no link that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetfold.llm.common import WORD_PATTERN, free_name, store
@@ -29,21 +30,25 @@ from sheetfold.operators.joins import sized_side
 
 #: 32 bands of 4 values: a pair at similarity 0.75 shares no band with probability 5e-6.
 BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
+#: Values of a signature (the first BANDS * ROWS make the bands; all are compared) and their bytes:
+#: the low 16 bits of a MinHash value, which differ for different values but once in 65536.
+HASHES, WIDTH = 320, 2
 #: Values compared at a time, and the posterior probability below which a pair is dropped.
-BATCH, MISS = 16, 1e-6
+BATCH, MISS = 16, 1e-4
+#: Members of a bucket compared with each other by one task.
+BLOCK = 512
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _A = _RNG.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values (32 bits each) of a set of 64-bit shingle digests."""
+    """MinHash values (16 bits each) of a set of 64-bit shingle digests."""
     least = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    for i in range(0, len(x), 1024):
-        np.minimum(least, (x[i:i + 1024, None] * _A + _B).min(axis=0), out=least)
-    return least
+    for i in range(0, len(x), 512):
+        np.minimum(least, (x[i:i + 512, None] * _A + _B).min(axis=0), out=least)
+    return least.astype(np.uint16)
 
 
 @lru_cache(maxsize=None)
@@ -62,31 +67,27 @@ def fewest_matches(threshold: float, miss: float = MISS) -> tuple[int, ...]:
 
 def _features(k: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()),
-                        ("node", pa.int64()), ("sig", pa.binary()), ("sketch_lo", pa.int64()), ("sketch_hi", pa.int64())])
+                        ("node", pa.int64()), ("sig", pa.binary())])
 
     def run(batches):
         for batch in batches:
             ids, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-            n, node, sig, lo, hi = [], [], [], [], []
+            n, node, sig = [], [], []
             for _, run_texts in chunks(texts):
                 for s in shingle_sets(words_of(run_texts), k):
                     n.append(len(s))
                     if not len(s):
-                        node.append(None), sig.append(None), lo.append(None), hi.append(None)
+                        node.append(None), sig.append(None)
                         continue
-                    values = signature(s)
                     # the sum of a set's digests, times its size's digest: equal for equal sets
                     node.append(int((s.sum(dtype=np.uint64) * np.uint64(2 * len(s) + 1)).view(np.int64)))
-                    sig.append(values.tobytes())
-                    bits = np.packbits((values >> np.uint32(7)) & np.uint32(1)).view(np.int64)
-                    lo.append(int(bits[0])), hi.append(int(bits[1]))
+                    sig.append(signature(s).tobytes())
             yield pa.RecordBatch.from_arrays([ids, keys, pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                                              pa.array(sig, pa.binary()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())],
-                                             schema=schema)
+                                              pa.array(sig, pa.binary())], schema=schema)
     return run
 
 
-FEATURES = "doc_id long, text_key long, n_shingles long, node long, sig binary, sketch_lo long, sketch_hi long"
+FEATURES = "doc_id long, text_key long, n_shingles long, node long, sig binary"
 
 
 def _text_rows(docs: DataFrame) -> DataFrame:
@@ -94,21 +95,74 @@ def _text_rows(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("binary").alias("text"))
 
 
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES)
+
+
+def passing(a: np.ndarray, b: np.ndarray, limits: tuple[int, ...]) -> np.ndarray:
+    """Which of the paired rows of two signature tables outlast the comparison batch by batch."""
+    alive = np.arange(len(a))
+    matches = np.zeros(len(a), np.int64)
+    for i, least in enumerate(limits):
+        part = slice(i * BATCH, (i + 1) * BATCH)
+        matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
+        alive = alive[matches[alive] >= least]
+    return alive
+
+
 def _bayes(threshold: float):
     limits = fewest_matches(threshold)
 
     def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                alive = passing(_signatures(batch.column("sig_a")), _signatures(batch.column("sig_b")), limits)
+                yield batch.select(["a", "b"]).take(pa.array(alive))
+    return run
+
+
+def _compare_blocks(percent: int):
+    """Rows sorted by block pair (``key, low, high``) → the pairs ``(a, b)`` of members of its two
+    blocks (or of its one block) that are in different components, whose sizes allow the
+    similarity, whose first common band is this one, and that pass the Bayesian comparison."""
+    limits = fewest_matches(percent / 100)
+
+    def compare(t: pa.Table):
+        part, block, node, root, n, band = (t.column(c).to_numpy() for c in ("part", "block", "node", "root", "n_shingles", "band"))
+        sig, single = _signatures(t.column("sig")), t.column("single").to_numpy()
+        bands = np.ascontiguousarray(sig[:, :BANDS * ROWS]).view(np.uint64)
+        for d in range(1, len(part)):
+            i = np.flatnonzero(part[d:] == part[:-d])
+            if not len(i):
+                break
+            j = i + d
+            fit = ((root[i] != root[j]) & (single[i] | (block[i] != block[j]))
+                   & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])))
+            i, j = i[fit], j[fit]
+            if len(i):
+                kept = passing(sig[i], sig[j], limits)
+                i, j = i[kept], j[kept]
+                first = (bands[i] == bands[j]).argmax(axis=1) == band[i]
+                i, j = i[first], j[first]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))],
+                                                 names=["a", "b"])
+
+    def run(batches):
+        held, rows = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
-            alive = np.arange(len(a))
-            matches = np.zeros(len(a), np.int64)
-            for i, least in enumerate(limits):
-                part = slice(i * BATCH, (i + 1) * BATCH)
-                matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
-                alive = alive[matches[alive] >= least]
-            yield batch.select(["a", "b"]).take(pa.array(alive))
+            held.append(batch)
+            rows += batch.num_rows
+            t = pa.Table.from_batches(held)
+            part = t.column("part").to_numpy()
+            if rows >= 4 * BLOCK and part[0] != part[-1]:  # the last block pair may go on in the next batch
+                whole = int(np.flatnonzero(part != part[-1])[-1]) + 1
+                yield from compare(t.slice(0, whole))
+                held = t.slice(whole).to_batches()
+                rows -= whole
+        if rows:
+            yield from compare(pa.Table.from_batches(held))
     return run
 
 
@@ -131,11 +185,31 @@ def _exact(k: int, percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The candidate ``(a, b)`` pairs whose classes really are as similar as ``percent``."""
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``(a, b)`` pairs that pass the Bayesian comparison."""
     side = lambda c: classes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b")
-    likely = store(likely.mapInArrow(_bayes(percent / 100), "a long, b long"), "near-likely")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b")
+    return both.mapInArrow(_bayes(percent / 100), "a long, b long")
+
+
+def _likely_across(members: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``(a, b)`` pairs of a bucket's members in different components that pass the Bayesian
+    comparison. A bucket is cut by a digest into blocks of about ``BLOCK`` members, and every two
+    of its blocks meet in one task; pairs that fail never leave it."""
+    named = members.select("key", "band", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = (named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+             .where("_lo <> _hi").select("key", F.ceil(F.col("_n") / BLOCK).cast("long").alias("_blocks")))
+    rest = named.join(mixed, "key").join(classes.select("node", "n_shingles", "sig"), "node")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+    rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    rest = rest.select(F.xxhash64("key", F.least("block", "_other"), F.greatest("block", "_other")).alias("part"),
+                       "block", (F.col("block") == F.col("_other")).alias("single"), "band", "node", "root", "n_shingles", "sig")
+    return rest.repartition("part").sortWithinPartitions("part").mapInArrow(_compare_blocks(percent), "a long, b long")
+
+
+def _confirm(likely: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The ``(a, b)`` pairs whose classes really are as similar as ``percent``, by their full sets."""
+    likely = store(likely, "near-likely")
     needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     rows = classes.join(needed, "node", "left_semi").select("node", "rep_id", "rep_key")
     texts = _text_rows(docs)
@@ -143,30 +217,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
     texts = store(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
     of = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     both = likely.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
-    return store(both.mapInArrow(_exact(k, percent), "a long, b long").distinct(), "near-links")
-
-
-@lru_cache(maxsize=None)
-def most_differing_bits(threshold: float, miss: float = MISS) -> int:
-    """Of 128 one-bit MinHash values, differing with probability ``(1 - similarity) / 2`` each,
-    the number that a pair at the threshold exceeds with a probability below ``miss``."""
-    p, tail, bits = (1 - threshold) / 2, 1.0, -1
-    while tail >= miss:
-        bits += 1
-        tail -= math.comb(128, bits) * p ** bits * (1 - p) ** (128 - bits)
-    return bits
-
-
-def _could_match(a: str, b: str, percent: int) -> Column:
-    """The sizes allow the similarity, and so do the one-bit sketches (at the miss probability)."""
-    n_a, n_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    bits = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("sketch_lo", "sketch_hi")), F.lit(0))
-    return ((100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
-            & (bits <= most_differing_bits(percent / 100)))
-
-
-def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    return store(both.mapInArrow(_exact(k, percent), "a long, b long"), "near-links")
 
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -182,26 +233,26 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     features = store(_text_rows(docs).mapInArrow(_features(k), FEATURES), "near-features")
     classes = store(features.where("n_shingles > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("least_id"),
-        *[F.first(c).alias(c) for c in ("n_shingles", "sig", "sketch_lo", "sketch_hi")])
+        F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
         .select("node", "least_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"),
-                "n_shingles", "sig", "sketch_lo", "sketch_hi"), "near-classes")
-    band = lambda i: F.xxhash64(i, F.substring("sig", i * (4 * ROWS) + 1, F.lit(4 * ROWS)))
-    bands = classes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("_last")).where("centre <> _last")
-    members = store(bands.join(shared.drop("_last"), "key"), "near-members")
-
-    stars = members.where("node <> centre").select(*_pair(F.col("node"), F.col("centre"))).distinct()
-    links = _confirm(stars, classes, docs, k, percent)
+                "n_shingles", "sig"), "near-classes")
+    size = ROWS * WIDTH
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * size + 1, F.lit(size))))
+    bands = classes.select("node", F.posexplode(keys).alias("band", "key"))
+    shared = (bands.groupBy("key").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"), F.count(F.lit(1)).alias("in_bucket"))
+              .where("_lo <> _hi").select("key", "in_bucket"))
+    members = store(bands.join(shared, "key"), "near-members")
+
+    # the best connected member of each bucket meets the others
+    scores = members.groupBy("node").agg(F.sum("in_bucket").alias("score"))
+    centres = (members.select("key", "node").join(scores, "node").groupBy("key")
+               .agg(F.max(F.struct("score", "node")).alias("best")).select("key", F.col("best.node").alias("centre")))
+    stars = (members.select("key", "node").join(centres, "key").where("node <> centre")
+             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+    links = _confirm(_likely(stars, classes, percent), classes, docs, k, percent)
     groups = connected_components(links)
-    # what is still in several components of a bucket meets once more
-    named = members.select("key", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
-    rest = store(named.join(mixed, "key").join(classes.select("node", "n_shingles", "sketch_lo", "sketch_hi"), "node"),
-                 "near-rest")
-    others = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                                  & (F.col("x.root") != F.col("y.root")) & _could_match("x", "y", percent))
-    pairs = others.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = _confirm(pairs.join(stars, ["a", "b"], "left_anti"), classes, docs, k, percent)
+    # what is still in different components of a bucket is compared all over
+    more = _confirm(_likely_across(members, groups, classes, percent), classes, docs, k, percent)
     groups = connected_components(links.union(more))
 
     named = classes.select("node", "least_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))

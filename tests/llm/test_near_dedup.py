@@ -49,6 +49,13 @@ def test_groups_equal_all_pairs(spark, rows):
     assert got == brute.near_groups(rows)
 
 
+def test_blocks_split_hot_buckets(spark, rows, monkeypatch):
+    monkeypatch.setattr(ND, "BLOCK", 7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in ND.near_groups(df).collect()), key=str)
+    assert got == brute.near_groups(rows)
+
+
 def test_real_documents(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(x.doc_id, x.text) for x in df.select("doc_id", "text").collect()]
@@ -93,6 +100,9 @@ def test_pruning_is_monotone_and_safe():
     limits = ND.fewest_matches(0.75)
     assert list(limits) == sorted(limits) and len(limits) == ND.HASHES // ND.BATCH
     assert limits[-1] < 0.75 * ND.HASHES
+    low, high = (np.zeros((1, ND.HASHES), np.uint16), np.arange(ND.HASHES, dtype=np.uint16)[None] < 0.8 * ND.HASHES)
+    assert len(ND.passing(low, low, limits)) == 1 and len(ND.passing(low, 1 - low, limits)) == 0
+    assert len(ND.passing(low, (1 - high).astype(np.uint16), limits)) == 1
 
 
 def test_components(spark):
