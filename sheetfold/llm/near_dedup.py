@@ -32,7 +32,7 @@ from sheetfold.operators.joins import sized_side
 BANDS, ROWS = 32, 4
 #: Values of a signature (the first BANDS * ROWS make the bands; all are compared) and their bytes:
 #: the low 16 bits of a MinHash value, which differ for different values but once in 65536.
-HASHES, WIDTH = 320, 2
+HASHES, WIDTH = 512, 2
 #: Values compared at a time, and the posterior probability below which a pair is dropped.
 BATCH, MISS = 16, 1e-4
 #: Members of a bucket compared with each other by one task.
