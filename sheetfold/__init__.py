@@ -8,7 +8,6 @@ Sub-packages:
 * ``operators`` — sheet layout (header discovery, carve, widths), header naming, joins with
   a size-checked broadcast, dense row ids, alert flags, audit counts.
 * ``plans``     — the three end-to-end jobs: finance, budget, timesheets.
-* ``streaming`` — incremental runs over a landing folder (the batch plans per micro-batch).
 """
 
 from sheetfold.session import build_session, ensure_checkpoint_dir

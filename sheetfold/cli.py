@@ -22,7 +22,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetfold.operators.joins import sized_side
+from sheetfold.operators.joins import missing_from, sized_side
 from sheetfold.operators.rowid import dense_index
 from sheetfold.plans import budget as BU
 from sheetfold.plans import finance as FI
@@ -53,11 +53,12 @@ def _tab_listing(spark, inputs: list[str], grid_format: str, tabs: list[str] | N
     return listing.where(F.col("tab").isin(*tabs)) if tabs else listing
 
 
-def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int = 26,
+def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int | None = None,
               title_filter=None) -> DataFrame:
     """The ``tabs`` of the workbooks under the inputs whose title passes ``title_filter``. For CSV
     exports both prune files before they are opened (file pattern, predicate on file metadata);
-    for Parquet grids the tab predicate reaches the scan."""
+    for Parquet grids the tab predicate reaches the scan. ``max_cols`` is the job's own range (26
+    for ``A:Z``); without it rows are whole."""
     if grid_format == "csv":
         return G.read_workbook_exports(spark, inputs, max_cols=max_cols, tabs=tabs, title_filter=title_filter)
     grid = None
@@ -67,7 +68,7 @@ def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv
     grid = grid.where(F.col("tab").isin(*tabs))
     if title_filter is not None:
         grid = grid.where(title_filter(F.col("file_name")))
-    return grid.withColumn("cells", F.slice("cells", 1, max_cols))
+    return grid.withColumn("cells", F.slice("cells", 1, max_cols)) if max_cols else grid
 
 
 def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
@@ -83,7 +84,8 @@ def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, Dat
         F.max((F.col("tab") == FI.INCOME_TAB).cast("int")).alias("_in"),
         F.max((F.col("tab") == FI.EXPENSE_TAB).cast("int")).alias("_out"))
     failed = has.where((F.col("_in") == 0) | (F.col("_out") == 0)).select("file_id", "file_name")
-    grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format, title_filter=FI.finance_name_ok)
+    grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format, max_cols=FI.RANGE_COLUMNS,
+                     title_filter=FI.finance_name_ok)
     grid = (grid.join(sized_side(kept.select("file_id", "folder")), ["file_id", "folder"], "left_semi")
             .join(sized_side(failed.select("file_id")), "file_id", "left_anti"))
     grid = grid.withColumn("tipo", F.when(F.col("tab") == FI.INCOME_TAB, F.lit(FI.INCOME)).otherwise(F.lit(FI.EXPENSE)))
@@ -117,13 +119,17 @@ def budget(spark, inputs: list[str], rates_path: str | None, workbooks: list[str
 def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: str, projects_path: str,
                grid_format: str = "csv") -> dict[str, DataFrame]:
     """Only ``Timesheet`` tabs of workbooks whose names pass the case-sensitive filter are
-    opened; the folder gives the sector."""
+    opened; the folder gives the sector. Workbooks with such a name and no row in that tab are reported."""
+    books = _tab_listing(spark, inputs, grid_format).where(TS.timesheet_name_ok(F.col("file_name")))
+    books = books.select("folder", "file_id", "file_name").distinct()
     grid = load_grid(spark, inputs, ["Timesheet"], grid_format, title_filter=TS.timesheet_name_ok)
     mapping = F.create_map(*[F.lit(x) for kv in sectors.items() for x in kv]) if sectors else None
     sector = F.coalesce(F.try_element_at(mapping, F.col("folder")), F.col("folder")) if mapping is not None else F.col("folder")
     grid = grid.withColumn("sector", sector)      # unmapped folders keep their own name
-    return TS.run_from_grids(grid, ["file_id"], G.read_table_export(spark, rates_path),
-                             G.read_table_export(spark, projects_path), name_col="file_name", sector_col="sector")
+    out = TS.run_from_grids(grid, ["file_id"], G.read_table_export(spark, rates_path),
+                            G.read_table_export(spark, projects_path), name_col="file_name", sector_col="sector")
+    out["Archivos_sin_tabla"] = missing_from(books, grid, "file_id")
+    return out
 
 
 def parser() -> argparse.ArgumentParser:
@@ -160,7 +166,7 @@ def ingest(spark, inputs: list[str], out: str) -> int | None:
     later tab / workbook predicates. Returns the rows written."""
     grid = G.read_workbook_exports(spark, inputs)
     grid = grid.repartitionByRange("file_id", "tab", "row_idx").sortWithinPartitions("file_id", "tab", "row_idx")
-    return write_table(grid, out, fmt="parquet", protected=[os.path.abspath(p) for p in inputs])
+    return write_table(grid, out, fmt="parquet", protected=inputs)
 
 
 def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
@@ -186,7 +192,7 @@ def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
             ap.error("timesheets needs --rates and --projects")
         outputs = timesheets(spark, a.input, dict(s.split("=", 1) for s in a.sector), a.rates, a.projects,
                              a.grid_format)
-    return _write(outputs, a.out, a.format, protected=[os.path.abspath(p) for p in a.input],
+    return _write(outputs, a.out, a.format, protected=a.input,
                   skip_empty=not a.replace_empty)
 
 

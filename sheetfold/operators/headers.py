@@ -90,6 +90,23 @@ def first_matching(names: Column, keywords: list[str]) -> Column:
     return F.try_element_at(F.filter(names, pred), F.lit(1))
 
 
+def first_name_with(names: list[str], keyword: str) -> str | None:
+    """:func:`first_matching` for the column names of a table."""
+    found = [n for n in names if keyword in n.upper()]
+    return found[0] if found else None
+
+
+def counted_names(header: list[str]) -> list[str]:
+    """:func:`dedupe_counter` for one header row: stripped, blanks ``Unnamed``, repeats ``_1``, ``_2``, …"""
+    seen: dict[str, int] = {}
+    out = []
+    for cell in header:
+        name = cell.strip() or "Unnamed"
+        out.append(name if name not in seen else f"{name}_{seen[name]}")
+        seen[name] = seen.get(name, 0) + 1
+    return out
+
+
 def position_of(names: Column, name: Column) -> Column:
     """0-based position of ``name`` in ``names``; null when absent."""
     p = F.array_position(names, name)

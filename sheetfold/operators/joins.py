@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,12 @@ BROADCAST_MAX_BYTES_CONF = "sheetfold.broadcast.maxBytes"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage (survives executor loss;
-    later reads see the same rows even when the plan is non-deterministic)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: the plan runs once,
+    its lineage is cut (survives executor loss; later reads see the same rows even when the plan
+    is non-deterministic), and readers take only the columns they need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:

@@ -73,14 +73,14 @@ def sheet_layout(grid: DataFrame, keys: list[str], header_keywords: list[str], s
         hdr_idx = F.coalesce(hdr_idx, F.when(F.col("_row0").isNotNull(), F.lit(0)))
         hdr = F.coalesce(hdr, F.col("_row0.c"))
     out = agg.select(*keys, "n_rows", "_last", *(["_early_stops", "_late_stop"] if stop_keywords else ["_early_w", "_late_w"]),
-                     hdr_idx.cast("int").alias("header_idx"), hdr.alias("header"))
+                     hdr_idx.cast("long").alias("header_idx"), hdr.alias("header"))
     h = F.col("header_idx")
     if stop_keywords:
         first_early = F.array_min(F.filter("_early_stops", lambda s: s > h))
-        out = out.withColumn("stop_idx", F.least(first_early, F.col("_late_stop")).cast("int"))
+        out = out.withColumn("stop_idx", F.least(first_early, F.col("_late_stop")).cast("long"))
     else:
         later = F.transform(F.filter("_early_w", lambda e: e["i"] > h), lambda e: e["w"])
-        out = (out.withColumn("stop_idx", F.lit(None).cast("int"))
+        out = (out.withColumn("stop_idx", F.lit(None).cast("long"))
                .withColumn("width", F.greatest(F.size("header"), F.coalesce(F.array_max(later), F.lit(0)),
                                                F.coalesce(F.col("_late_w"), F.lit(0)))))
     out = out.withColumn("n_data", (F.coalesce(F.col("stop_idx"), F.col("_last") + 1) - h - 1).cast("int"))
@@ -100,8 +100,8 @@ def first_row_layout(grid: DataFrame, keys: list[str], min_rows: int = 2) -> Dat
            .agg(F.count(F.lit(1)).alias("_n"),
                 F.min(F.when(ri == 0, F.struct(ri.alias("i"), F.col("cells").alias("c")))).alias("_row0")))
     return (agg.where((F.col("_n") >= min_rows) & F.col("_row0").isNotNull())
-            .select(*keys, F.lit(0).alias("header_idx"), F.col("_row0.c").alias("header"),
-                    F.lit(None).cast("int").alias("stop_idx")))
+            .select(*keys, F.lit(0).cast("long").alias("header_idx"), F.col("_row0.c").alias("header"),
+                    F.lit(None).cast("long").alias("stop_idx")))
 
 
 def table_rows(grid: DataFrame, layout: DataFrame, keys: list[str],
@@ -151,7 +151,7 @@ def slice_range(grid: DataFrame, first_row: int = 0, first_col: int = 0, n_cols:
     ``n_cols`` columns from ``first_col`` (``A2:I`` = first_row 1, n_cols 9; ``A:Z`` = n_cols 26)."""
     out = grid.where(F.col("row_idx") >= first_row)
     if first_row:
-        out = out.withColumn("row_idx", (F.col("row_idx") - first_row).cast("int"))
+        out = out.withColumn("row_idx", F.col("row_idx") - first_row)
     if n_cols is not None or first_col:
         length = F.lit(n_cols) if n_cols is not None else F.size("cells")
         out = out.withColumn("cells", F.slice("cells", first_col + 1, length))

@@ -302,12 +302,12 @@ from gb g join (select file_ord, {dedupe_counter('bs')} as names from (select fi
 where g.row_idx > 0 and len(list_distinct(n.names)) = len(n.names)""", FIRST_ROW_CTES)
 
 register("src_range_a2i", ["fx_grid_budget"], """
-select file_ord, cast(row_idx - 1 as integer) as row_idx, cast(len(list_slice(cells, 1, 9)) as integer) as n_cells,
+select file_ord, row_idx - 1 as row_idx, cast(len(list_slice(cells, 1, 9)) as integer) as n_cells,
   array_to_string(list_slice(cells, 1, 9), '|') as line from gb where row_idx >= 1""", FIRST_ROW_CTES)
 
 TS_GRID_CTES = f"""
 gb as (select file_name, file_ord, row_idx, string_split(line, '|') as cells from fx_grid_budget),
-ra as (select file_name, file_ord, cast(row_idx - 1 as integer) as row_idx, list_slice(cells, 1, 9) as cells from gb where row_idx >= 1),
+ra as (select file_name, file_ord, row_idx - 1 as row_idx, list_slice(cells, 1, 9) as cells from gb where row_idx >= 1),
 rl as (select r.file_ord, r.cells as header from ra r join (select file_ord from ra group by file_ord having count(*) >= 2) k
   on r.file_ord = k.file_ord where r.row_idx = 0),
 rn as (select file_ord, {dedupe_counter('bs')} as names from (select file_ord, {counter_bases('header')} as bs from rl)),
@@ -487,7 +487,9 @@ select o_orderkey, "Tipo_Movimiento", fecha_doc as "Fecha de factura proveedor",
 
 # ---- listings -----------------------------------------------------------------------------
 
-register("src_listing", ["fx_listing"], "select 'finance' as folder, file_id, file_ord, file_name from fx_listing")
+register("src_listing", ["fx_listing"], """
+select case file_ord % 2 when 0 then 'finance-a' else 'finance-b' end as folder, file_id,
+  row_number() over (order by file_ord % 2, file_name) as file_ord, file_name from fx_listing""")
 register("src_dedupe_by_id", ["fx_listing"],
          "select file_id, min(file_ord) as file_ord, arg_max(file_name, file_ord) as file_name from fx_listing group by file_id")
 register("src_name_filter_ci", ["fx_listing"], """

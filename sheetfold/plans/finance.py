@@ -45,6 +45,7 @@ EXPENSE_COLUMNS = [
 ]
 HEADER_KEYWORDS = ["PROYECTO", "MONTO", "SITUACI", "FACTURA"]
 HEADER_SEARCH_ROWS = 15
+RANGE_COLUMNS = 26  # the projection tabs are read as A:Z
 VALID_STATUS = ["REAL", "PROYECTADO"]
 INCOME_DATE, EXPENSE_DATE = "Fecha de emisión del comprobante", "Fecha de factura proveedor"
 GHOST_KEY_COLUMNS = ["Proyecto", "Situación", "Monto con Impuestos", "Descripción", "Fecha"]

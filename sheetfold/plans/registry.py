@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
-from sheetfold.operators.joins import missing_from
+from sheetfold.operators.joins import materialize, missing_from
 from sheetfold.plans import budget as BU
 from sheetfold.plans import finance as FI
 from sheetfold.plans import timesheets as TS
@@ -231,8 +231,11 @@ def _team_layout(spark, sf, require_data=True):
 
 @query("src_listing")
 def src_listing(spark, sf):
-    """A configured folder's listing tagged with the folder id taken from its URL or id."""
-    lst = LS.append_listings([fx(spark, sf, "fx_listing").withColumn("folder", F.lit(LS.folder_id("finance")))])
+    """The listings of two configured folders, one given by its URL, one by its id, appended in that order."""
+    rows = fx(spark, sf, "fx_listing")
+    folders = ["https://files.example.org/drive/folders/finance-a?usp=sharing", "finance-b"]
+    parts = [rows.where(F.col("file_ord") % 2 == k).withColumn("folder", F.lit(LS.folder_id(f))) for k, f in enumerate(folders)]
+    lst = LS.ordered_listing(LS.append_listings(parts).drop("file_ord"), [LS.folder_id(f) for f in folders])
     return lst.select("folder", "file_id", "file_ord", "file_name")
 
 
@@ -257,7 +260,7 @@ def src_name_filter_cs(spark, sf):
 @query("src_range_az")
 def src_range_az(spark, sf):
     """Finance grids read as range A:Z (first 26 columns)."""
-    g = L.slice_range(_grid_finance(spark, sf), n_cols=26)
+    g = L.slice_range(_grid_finance(spark, sf), n_cols=FI.RANGE_COLUMNS)
     return g.select(*FINANCE_KEYS, "row_idx", F.size("cells").alias("n_cells"), _line("cells").alias("line"))
 
 
@@ -465,7 +468,7 @@ def budget_fact(spark, sf):
 def dq_missing_files(spark, sf):
     """Listed budget workbooks that produced no table."""
     listed = fx(spark, sf, "fx_budget").select("file_ord", "file_name").distinct()
-    people = BU.extract_team(_grid_budget(spark, sf), BUDGET_KEYS, "file_name", ["file_ord", "row_idx"])
+    people = materialize(BU.extract_team(_grid_budget(spark, sf), BUDGET_KEYS, "file_name", ["file_ord", "row_idx"]))
     return missing_from(listed, people, "file_ord")
 
 

@@ -14,7 +14,6 @@ from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
 from sheetfold.operators.joins import flag_membership, left_join_small, materialize
-from sheetfold.operators.partitioning import spread
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
@@ -68,18 +67,26 @@ class MissingColumns(ValueError):
     """A required timesheet column is absent in every file of a sector (or of the run)."""
 
 
+#: Sectors named in a missing-column error, at most.
+REPORTED_SECTORS = 20
+
+
 def _check_required(slim: DataFrame, names: list[str], sector_col: str | None) -> None:
     """Raise :class:`MissingColumns` like the original run would. ``slim`` is the materialised
-    per-sheet layout; one row per sector comes back to the driver."""
+    per-sheet layout; only sectors with a gap (the first :data:`REPORTED_SECTORS` by name) and one
+    row for the whole run come back to the driver."""
+    def present(columns):
+        return [F.max(F.col(f"_i{names.index(c)}").isNotNull()).alias(c) for c in columns]
+
+    gap = F.lit(False)
+    for c in REQUIRED_PER_SECTOR:
+        gap = gap | ~F.col(f"`{c}`")
     by = [sector_col] if sector_col else []
-    present = [F.max(F.col(f"_i{k}").isNotNull().cast("int")).alias(n) for k, n in enumerate(names)]
-    rows = slim.groupBy(*by).agg(*present).collect()
-    problems = []
-    for r in rows:
-        missing = [c for c in REQUIRED_PER_SECTOR if not r[c]]
-        if missing:
-            problems.append(f"{r[sector_col] if sector_col else 'all'}: {missing}")
-    anywhere = [c for c in REQUIRED_ANYWHERE if rows and not any(r[c] for r in rows)]
+    sectors = slim.groupBy(*by).agg(*present(REQUIRED_PER_SECTOR)).where(gap)
+    problems = [f"{r[sector_col] if sector_col else 'all'}: {[c for c in REQUIRED_PER_SECTOR if not r[c]]}"
+                for r in sectors.orderBy(*by).limit(REPORTED_SECTORS).collect()]
+    run = slim.agg(F.count(F.lit(1)).alias("_n"), *present(REQUIRED_ANYWHERE)).first()
+    anywhere = [c for c in REQUIRED_ANYWHERE if run["_n"] and not run[c]]
     if anywhere:
         problems.append(f"every sector: {anywhere}")
     if problems:
@@ -130,7 +137,7 @@ def clean_sector(df: DataFrame) -> DataFrame:
     All derived columns read the *input* columns (one projection): ``proyecto_id`` comes from the
     unstripped project text, ``Mes`` and ``Fecha`` from the original date text.
     """
-    df = T.with_parsed_date(spread(df), "Fecha", "_fecha_tmp")
+    df = T.with_parsed_date(df, "Fecha", "_fecha_tmp")
     df = df.withColumns({
         "nombre": T.last_dash_part(F.col("archivo_origen")),
         "Proyecto": T.strip(_c("Proyecto")),
@@ -203,8 +210,11 @@ def alert_detail(flagged: DataFrame) -> DataFrame:
 def alert_summary(flagged: DataFrame, review_date: str = REVIEW_DATE) -> DataFrame:
     """Per person: alert counts, the latest ``Fecha`` *as text*, and a stale-date alert when that
     text parses as ``yyyy-MM-dd`` before the review date (unparsable → 0)."""
-    aggs = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ALERT_COLUMNS]
-    g = flagged.groupBy("nombre").agg(*aggs, F.max(_c("Fecha")).alias("max_fecha"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ALERT_COLUMNS]
+    # per person and date first: integer sums stay in a hash aggregate, and only the few rows left
+    # meet the maximum of a text, which Spark aggregates by sorting
+    daily = flagged.groupBy("nombre", "Fecha").agg(*sums)
+    g = daily.groupBy("nombre").agg(*sums, F.max("Fecha").alias("max_fecha"))
     stale = T.parse_iso_date(F.col("max_fecha")) < F.to_date(F.lit(review_date))
     g = g.withColumn("alerta_fecha", F.coalesce(stale.cast("int"), F.lit(0)))
     total = sum((F.col(c) for c in ALERT_COLUMNS), F.lit(0).cast("long")) + F.col("alerta_fecha")
@@ -227,8 +237,20 @@ def audit(timesheet_rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.count(F.when(keep, 1)).alias("n_valid"))
 
 
-def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame) -> dict[str, DataFrame]:
-    """Whole job: clean → cost → flag; returns the three export tables.
+class NoData(ValueError):
+    """The run has no timesheet rows, or no usable project master."""
+
+
+def check_projects(projects: DataFrame) -> None:
+    """The project master must name a project; an empty one would flag every named project."""
+    if "Nombre de Proyecto" not in projects.columns or projects.limit(1).isEmpty():
+        raise NoData("the project master is empty or has no column 'Nombre de Proyecto'")
+
+
+def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame,
+        consolidated_name: str = "Consolidado") -> dict[str, DataFrame]:
+    """Whole job: clean → cost → flag; returns the three export tables. ``consolidated_name``
+    names the flat one.
 
     The flagged table feeds all three outputs (and the detail sort samples its input), so it is
     checkpointed once: each output reads it instead of re-running cleaning and joins.
@@ -236,17 +258,22 @@ def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame) -> dic
     costed = cost_rows(clean_sector(timesheet_rows), staff_rates(rates))
     flagged = materialize(alert_flags(costed, projects))
     return {"Resumen Alertas": alert_summary(flagged), "Detalle Alertas": alert_detail(flagged),
-            "Productividad Equi Consolidado": consolidated(flagged)}
+            consolidated_name: consolidated(flagged)}
 
 
 def run_from_grids(grid: DataFrame, keys: list[str], rates: DataFrame, projects: DataFrame,
-                   name_col: str = "file_name", sector_col: str | None = None) -> dict[str, DataFrame]:
+                   name_col: str = "file_name", sector_col: str | None = None,
+                   consolidated_name: str = "Consolidado") -> dict[str, DataFrame]:
     """Raw ``Timesheet`` tabs (all sectors in one grid) → the three export tables, the rejects
     table and, with a sector column, the per-sector audit. Fails with :class:`MissingColumns`
-    when a sector lacks a column the job reads unconditionally."""
+    when a sector lacks a column the job reads unconditionally, and with :class:`NoData` without a
+    project master or without a timesheet row in any folder."""
+    check_projects(projects)
     grid = timesheet_file_filter(grid, name_col)
     rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col, require_columns=True)
-    out = run(rows, rates, projects)
+    if rows.limit(1).isEmpty():
+        raise NoData("no folder holds a timesheet row")
+    out = run(rows, rates, projects, consolidated_name)
     out["Rechazados"] = rejects
     if sector_col:
         out["Auditoria"] = audit(rows)

@@ -62,14 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 #: Target bytes per input split and per shuffle partition.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-#: Upper bound on shuffle partitions (map-output bookkeeping grows with maps × partitions).
+#: Upper bound on shuffle partitions (map-output bookkeeping grows with maps × partitions). Inputs
+#: beyond 12.8 TB meet it: their partitions are larger than the target (1 GB at 100 TB) and sort
+#: and aggregate steps may spill.
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Partition sizing for an input of ``input_bytes`` on ``total_cores`` cores: ~128 MB per
-    split and per shuffle partition (rounded up to whole waves of tasks), so no task has to
-    spill; AQE then coalesces small partitions and splits skewed ones at run time."""
+    split and per shuffle partition (rounded up to whole waves of tasks) up to
+    :data:`MAX_SHUFFLE_PARTITIONS`; AQE then coalesces small partitions and splits skewed ones at run time."""
     waves = max(1, math.ceil(input_bytes / TARGET_PARTITION_BYTES / max(total_cores, 1)))
     return {
         "spark.sql.shuffle.partitions": str(min(waves * max(total_cores, 1), MAX_SHUFFLE_PARTITIONS)),

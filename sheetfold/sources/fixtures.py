@@ -17,6 +17,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetfold.operators.joins import materialize, sized_side
+from sheetfold.operators.rowid import dense_index
+from sheetfold.sources.grid import any_match
+
 FX_TIMESHEET = """
 select event_id, user_id,
   'Timesheet 2026 - ' || c_name || case when user_id % 10 = 0 then '-B ' else '' end as archivo_origen,
@@ -41,9 +45,9 @@ FX_RATES = """
 select c_name as "Nombre",
   case when c_custkey % 13 = 0 then '' when c_custkey % 17 = 0 then '$ ' || replace(cast(c_acctbal as string),'.',',')
     else replace(cast(c_acctbal as string),'.',',') end as "Costo interno"
-from {customer} where c_custkey < 140
-union all select upper(c_name) as "Nombre", '100,5' as "Costo interno" from {customer} where c_custkey < 140 and c_custkey % 29 = 0
-union all select c_name, '7' from {customer} where c_custkey < 140 and c_custkey % 31 = 0
+from {customer} where c_custkey % 10 <> 3
+union all select upper(c_name) as "Nombre", '100,5' as "Costo interno" from {customer} where c_custkey % 29 = 0
+union all select c_name, '7' from {customer} where c_custkey % 31 = 0
 """
 
 FX_PROJECTS = """
@@ -73,24 +77,32 @@ from (select o.*, case when u >= 1000 then cast(cast(floor(u/1000) as bigint) as
       from (select *, cast(floor(cents/100) as bigint) as u from (select *, cast(round(o_totalprice*100) as bigint) as cents from {orders}) a) o) b
 """
 
+# Grid views give rows with their order in the sheet: ``part`` (before, in or behind the data), ``ord``
+# and the line itself. Each engine numbers a sheet's rows in its own way (see GRID_VIEWS).
 FX_GRID_BUDGET = """
-select file_name, file_ord, cast(row_number() over (partition by file_ord order by ord, line) - 1 as int) as row_idx, line from (
-  select distinct file_name, file_ord, cast(-3 as bigint) as ord, ' #REF!|Resumen' as line from {fx_budget}
-  union all select distinct file_name, file_ord, cast(-2 as bigint), '' from {fx_budget} where file_ord % 2 = 0
-  union all select distinct file_name, file_ord, cast(-1 as bigint), ' Nombre completo |Cantidad de horas||Cantidad de horas' from {fx_budget} where file_ord % 7 <> 6
-  union all select file_name, file_ord, row_idx, "Nombre completo" || '|' || "Cantidad de horas" || case when row_idx % 10 = 0 then '|#N/A|z|extra' else '' end from {fx_budget}
-  union all select distinct file_name, file_ord, cast(500000000 as bigint), case when file_ord % 2 = 0 then 'Total|999' else 'x|Equipo externo' end from {fx_budget} where file_ord % 5 <> 4
-  union all select distinct file_name, file_ord, cast(500000001 as bigint), 'Externo|1,5' from {fx_budget}) g
+select distinct file_name, file_ord, 0 as part, cast(1 as bigint) as ord, ' #REF!|Resumen' as line from {fx_budget}
+  union all select distinct file_name, file_ord, 0, cast(2 as bigint), '' from {fx_budget} where file_ord % 2 = 0
+  union all select distinct file_name, file_ord, 0, cast(3 as bigint), ' Nombre completo |Cantidad de horas||Cantidad de horas'
+      || case when file_ord % 9 = 2 then '|Nota|Nota_1|Nota' else '' end from {fx_budget} where file_ord % 7 <> 6
+  union all select file_name, file_ord, 1, row_idx, "Nombre completo" || '|' || "Cantidad de horas"
+      || case when row_idx % 10 = 0 then '|#N/A|z|extra' when row_idx % 17 = 0 then '|||e|f|g|h|i|j|k|l' else '' end from {fx_budget}
+  union all select distinct file_name, file_ord, 2, cast(1 as bigint), case when file_ord % 2 = 0 then 'Total|999' else 'x|Equipo externo' end from {fx_budget} where file_ord % 5 <> 4
+  union all select distinct file_name, file_ord, 2, cast(2 as bigint), 'Externo|1,5' from {fx_budget}
+  union all select 'Productividad: corto ' || r_name, 1000 + r_regionkey, 0, cast(1 as bigint), 'Nombre completo|Cantidad de horas' from {region}
+  union all select 'Productividad: corto ' || r_name, 1000 + r_regionkey, 2, cast(1 as bigint), 'Total' from {region} where r_regionkey % 2 = 0
 """
 
 FX_GRID_FINANCE = """
-select archivo_origen, tipo, cast(row_number() over (partition by archivo_origen, tipo order by ord, line) - 1 as int) as row_idx, line from (
-  select distinct archivo_origen, "Tipo_Movimiento" as tipo, cast(-2 as bigint) as ord, 'Reporte||' as line from {fx_finance}
-  union all select distinct archivo_origen, "Tipo_Movimiento", cast(-1 as bigint),
-    case when "Tipo_Movimiento" = 'Ingreso' then 'Fecha de emisión del comprobante|Proyecto / Cuenta analítica|Situación del pago|Monto con Impuestos|Monto con Impuestos' || case when has_usd then '|USD' else '' end
-         else 'Fecha de factura proveedor|Proyecto|SItuación|MONTO CON IGV|2' || case when has_usd then '|USD' else '' end end from {fx_finance}
-  union all select archivo_origen, "Tipo_Movimiento", o_orderkey, fecha_doc || '|' || "Proyecto" || '|' || "Situación" || '|' || "Monto con Impuestos" || '|dup' || case when has_usd then '|' || "USD" else '' end from {fx_finance}
-  union all select distinct archivo_origen, "Tipo_Movimiento", cast(500000000 as bigint), ' | | | |' from {fx_finance}) g
+select distinct archivo_origen, "Tipo_Movimiento" as tipo, 0 as part, cast(1 as bigint) as ord, 'Reporte||' as line from {fx_finance}
+  union all select distinct archivo_origen, "Tipo_Movimiento", 0, cast(2 as bigint) + n_nationkey, 'nota' from {fx_finance}, {nation}
+    where n_nationkey < case when archivo_origen = 'NUEVO P07' then 13 when archivo_origen = 'NUEVO P08' then 14 else 0 end
+  union all select distinct archivo_origen, "Tipo_Movimiento", 0, cast(90 as bigint),
+    case when archivo_origen = 'NUEVO P09' then 'Columna|Otra' when "Tipo_Movimiento" = 'Ingreso' then 'Fecha de emisión del comprobante|Proyecto / Cuenta analítica|Situación del pago|Monto con Impuestos|Monto con Impuestos' || case when has_usd then '|USD' else '' end
+         else 'Fecha de factura proveedor|Proyecto|SItuación|MONTO CON IGV|2' || case when has_usd then '|USD' else '' end end
+      || case when archivo_origen = 'NUEVO P05' then '|Proyecto B||Proyecto C' else '' end from {fx_finance}
+  union all select archivo_origen, "Tipo_Movimiento", 1, o_orderkey, fecha_doc || '|' || "Proyecto" || '|' || "Situación" || '|' || "Monto con Impuestos" || '|dup' || case when has_usd then '|' || "USD" else '' end
+      || case when archivo_origen = 'NUEVO P06' and o_orderkey % 5 = 0 then '|g|h|i|j|k|l|m|n|o|p|q|r|s|t|u|v|w|x|y|z|aa|ab|ac' else '' end from {fx_finance}
+  union all select distinct archivo_origen, "Tipo_Movimiento", 2, cast(1 as bigint), ' | | | |' from {fx_finance}
 """
 
 FX_LISTING = """
@@ -100,16 +112,15 @@ select case when c_custkey % 10 = 9 then c_custkey - 1 else c_custkey end as fil
 """
 
 FX_GRID_TIMESHEET = """
-select file_name, sector, cast(row_number() over (partition by file_name order by ord) - 1 as int) as row_idx, line from (
-  select distinct archivo_origen as file_name, "Sector_Origen" as sector, cast(-2 as bigint) as ord, 'Registro de horas 2026' as line from {fx_timesheet}
-  union all select distinct archivo_origen, "Sector_Origen", cast(-1 as bigint),
+select distinct archivo_origen as file_name, "Sector_Origen" as sector, 0 as part, cast(1 as bigint) as ord, 'Registro de horas 2026' as line from {fx_timesheet}
+  union all select distinct archivo_origen, "Sector_Origen", 0, cast(2 as bigint),
     case when user_id % 4 = 0 then ' ' when user_id % 4 = 1 then '...1' else 'consecutivo' end
     || '|Fecha|Día|Category|Sub-Category|' || case when user_id % 5 = 2 then 'Nombre de Proyecto' else 'Proyecto' end
     || '|Descripción|Cantidad de horas|Mes' || case when user_id % 7 = 3 then '|Notas' else '' end from {fx_timesheet}
-  union all select archivo_origen, "Sector_Origen", event_id,
+  union all select archivo_origen, "Sector_Origen", 1, event_id,
     consecutivo || '|' || "Fecha" || '|' || "Día" || '|' || coalesce("Category", '') || '|' || "Sub-Category" || '|' || "Proyecto"
     || '|' || "Descripción" || '|' || "Cantidad de horas" || '|' || "Mes" || case when event_id % 17 = 0 then '|nota|extra' else '' end
-  from {fx_timesheet}) g
+  from {fx_timesheet}
 """
 
 #: view name -> (tables it reads, SQL text)
@@ -119,13 +130,31 @@ FX_VIEWS: dict[str, tuple[list[str], str]] = {
     "fx_projects": (["nation"], FX_PROJECTS),
     "fx_budget": (["customer"], FX_BUDGET),
     "fx_finance": (["orders"], FX_FINANCE),
-    "fx_grid_budget": (["fx_budget"], FX_GRID_BUDGET),
-    "fx_grid_finance": (["fx_finance"], FX_GRID_FINANCE),
+    "fx_grid_budget": (["fx_budget", "region"], FX_GRID_BUDGET),
+    "fx_grid_finance": (["fx_finance", "nation"], FX_GRID_FINANCE),
     "fx_listing": (["customer"], FX_LISTING),
     "fx_grid_timesheet": (["fx_timesheet"], FX_GRID_TIMESHEET),
 }
 
 
+#: Grid views: the columns that name a sheet, in output order.
+GRID_VIEWS = {
+    "fx_grid_budget": ["file_name", "file_ord"],
+    "fx_grid_finance": ["archivo_origen", "tipo"],
+    "fx_grid_timesheet": ["file_name", "sector"],
+}
+
+
+def number_grid_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, row_idx long, line``: rows numbered from 0 in each sheet by one range sort of all rows,
+    which splits a large sheet over tasks, minus the number of the sheet's first row."""
+    numbered = dense_index(rows, [*keys, "part", "ord", "line"], "_all", 0)
+    numbered = materialize(numbered.select(*keys, "_all", "line"))
+    first = numbered.groupBy(*keys).agg(F.min("_all").alias("_first"))
+    return (numbered.join(sized_side(first), keys)
+            .select(*keys, (F.col("_all") - F.col("_first")).alias("row_idx"), "line"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base test table (one parquet file per table)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -141,11 +170,12 @@ def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     stored = spark.conf.get(STORED_VIEWS_CONF, None)
     if stored:
         path = os.path.join(stored, os.path.basename(os.path.normpath(sf_dir)), f"{name}.parquet")
-        if os.path.exists(path):
+        if any_match(spark, [path]):
             return spark.read.parquet(path)
     deps, sql = FX_VIEWS[name]
     frames = {d: (fx(spark, sf_dir, d) if d in FX_VIEWS else table(spark, sf_dir, d)) for d in deps}
-    return spark.sql(sql.replace('"', "`"), **frames)
+    rows = spark.sql(sql.replace('"', "`"), **frames)
+    return number_grid_rows(rows, GRID_VIEWS[name]) if name in GRID_VIEWS else rows
 
 
 def materialize_views(spark: SparkSession, sf_dir: str, out_dir: str) -> None:
@@ -181,7 +211,12 @@ def duck_with(views: list[str], query: str, extra_ctes: str = "") -> str:
     ctes = []
     for n in names:
         deps, sql = FX_VIEWS[n]
-        ctes.append(f"{n} as ({sql.format(**{d: d for d in deps}).strip()})")
+        text = sql.format(**{d: d for d in deps}).strip()
+        if n in GRID_VIEWS:
+            keys = ", ".join(GRID_VIEWS[n])
+            text = (f"select {keys}, cast(row_number() over (partition by {keys} order by part, ord, line) - 1 as bigint) as row_idx, line\n"
+                    f"from ({text}) g")
+        ctes.append(f"{n} as ({text})")
     if extra_ctes.strip():
         ctes.append(extra_ctes.strip())
     return ("with " + ",\n".join(ctes) + "\n" + query.strip()) if ctes else query.strip()

@@ -6,44 +6,56 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheetfold.operators.joins import sized_side
+from sheetfold.operators.headers import counted_names
+from sheetfold.operators.joins import materialize, sized_side
 
 
-def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int = 26,
+def widest_row(spark: SparkSession, paths: list[str], file_filter=None) -> int:
+    """The most cells that a record of the CSV files has: quoted cells are blanked, so that every
+    line left is one record, and its separators are counted (one task per file)."""
+    text = spark.read.text(paths, wholetext=True)
+    if file_filter is not None:
+        text = text.where(file_filter(F.col("_metadata.file_path")))
+    plain = F.regexp_replace("value", '"(?:[^"]++|"")*+"', "")
+    cells = F.array_max(F.transform(F.split(plain, r"\r\n|\n|\r"), lambda line: F.regexp_count(line, F.lit(",")) + 1))
+    return text.agg(F.max(cells)).first()[0] or 1
+
+
+def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int | None = None,
                    trim_trailing_blanks: bool = True, file_filter=None) -> DataFrame:
     """Read sheets exported as headerless CSV files (one file per sheet) into a grid.
 
     Quoting follows RFC 4180 (``""`` inside a quoted field). ``multiLine`` keeps quoted newlines
-    and makes every file one split, so rows of a file are
-    read in order by one task; ``row_idx`` is the offset of the row's id from the file's first
-    id (one small aggregate per file, checkpointed and joined back behind a size check). Cells
-    beyond ``max_cols`` are dropped by the reader's fixed schema (range ``A:Z`` for 26). Blank
-    cells become ''; trailing blanks are trimmed as a sheet service does for its value ranges.
-    ``file_filter`` (a function of the file's URI column) prunes whole files before they are
-    opened.
+    and makes every file one split, so rows of a file are read in order by one task. The parsed
+    rows are written once; ``row_idx`` is the offset of the row's id from the file's first id (one
+    small aggregate per file, joined back behind a size check). Rows keep all their cells, or the
+    first ``max_cols`` (a range such as ``A:Z``). Blank cells become ''; trailing blanks are trimmed
+    as a sheet service does for its value ranges. ``file_filter`` (a function of the file's URI
+    column) prunes whole files before they are opened.
     """
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cols)])
+    if not any_match(spark, paths):
+        return spark.createDataFrame([], "file_id string, file_name string, row_idx long, cells array<string>")
+    width = max_cols or widest_row(spark, paths, file_filter)
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
     reader = (spark.read.schema(schema).option("header", False).option("multiLine", True)
               .option("mode", "PERMISSIVE").option("escape", '"'))
-    if not _any_match(spark, paths):
-        return spark.createDataFrame([], "file_id string, file_name string, row_idx int, cells array<string>")
     raw = (reader.csv(paths)
            .select("*", F.col("_metadata.file_path").alias("file_id"),
                    F.col("_metadata.file_name").alias("file_name")))
     if file_filter is not None:
         raw = raw.where(file_filter(F.col("_metadata.file_path")))
     raw = raw.withColumn("_mono", F.monotonically_increasing_id())
-    cells = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(max_cols)])
+    cells = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(width)])
     if trim_trailing_blanks:
         last = F.array_max(F.transform(cells, lambda c, i: F.when(c != "", i)))
         cells = F.when(last.isNull(), F.array().cast("array<string>")).otherwise(F.slice(cells, 1, last + 1))
-    raw = raw.select("file_id", "file_name", "_mono", cells.alias("cells"))
+    raw = materialize(raw.select("file_id", "file_name", "_mono", cells.alias("cells")))
     first = raw.groupBy("file_id").agg(F.min("_mono").alias("_first"))
-    return (raw.join(sized_side(first, checkpoint=True), "file_id")
-            .select("file_id", "file_name", (F.col("_mono") - F.col("_first")).cast("int").alias("row_idx"), "cells"))
+    return (raw.join(sized_side(first), "file_id")
+            .select("file_id", "file_name", (F.col("_mono") - F.col("_first")).alias("row_idx"), "cells"))
 
 
-def _any_match(spark: SparkSession, paths: list[str]) -> bool:
+def any_match(spark: SparkSession, paths: list[str]) -> bool:
     """Whether any of the (glob) paths matches a file — a folder without matching files gives
     an empty grid instead of a failed read. Only file-system metadata is consulted."""
     try:
@@ -86,7 +98,7 @@ def workbook_title(file_uri) -> Column:
     return _decoded_path(F.element_at(F.split(_decoded_path(file_uri), "/"), -2))
 
 
-def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int = 26, tabs: list[str] | None = None,
+def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int | None = None, tabs: list[str] | None = None,
                           title_filter=None) -> DataFrame:
     """Read workbooks exported as ``<root>/<folder>/<workbook>/<tab>.csv`` into one grid:
     ``folder, file_id (workbook path), file_name (workbook title), tab, row_idx, cells``.
@@ -108,7 +120,7 @@ def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Workbooks and their tabs under ``<root>/<folder>/<workbook>/<tab>.csv`` from file metadata
     only (no content is read): ``folder, file_id, file_name, tab, path``."""
     paths = [f"{r.rstrip('/')}/*/*/*.csv" for r in roots]
-    if not _any_match(spark, paths):
+    if not any_match(spark, paths):
         return spark.createDataFrame([], "folder string, file_id string, file_name string, tab string, path string")
     # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
     files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("p"))
@@ -122,6 +134,11 @@ def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 
 def read_table_export(spark: SparkSession, path: str) -> DataFrame:
-    """A tab exported with its header row (rates, project master): every column as text."""
-    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            .option("inferSchema", False).csv(path))
+    """A tab exported with its header row (rates, project master): every column as text, named by
+    the header's stripped names, blanks ``Unnamed`` and repeats numbered; blank cells are ''."""
+    grid = read_csv_grids(spark, [path])
+    head = grid.where("row_idx = 0").select("cells").first()
+    if head is None:
+        return spark.createDataFrame([], "Unnamed string")
+    return grid.where("row_idx > 0").select(*[
+        F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(counted_names(head["cells"]))])

@@ -6,6 +6,9 @@ pruned files are never opened.
 
 from __future__ import annotations
 
+from pathlib import PurePosixPath
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,10 @@ from sheetfold.operators.rowid import dense_index
 
 
 def folder_id(url: str) -> str:
-    """Folder id from a folder URL or a bare id (``…/folders/<id>?x`` → ``<id>``)."""
-    return url.split("/folders/")[-1].split("?")[0].strip()
+    """Folder id from a folder URL (the path segment behind ``folders``), or the bare id or path as it is."""
+    path = urlsplit(url.strip()).path
+    segments = PurePosixPath(path).parts
+    return segments[segments.index("folders") + 1] if "folders" in segments[:-1] else path
 
 
 def list_workbooks(spark: SparkSession, folders: list[str], glob: str = "*") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,30 @@ class ProtectedDestination(ValueError):
     """Raised when a write targets one of the protected (source) folders."""
 
 
+def _location(spark: SparkSession, path: str) -> tuple:
+    """File system and path components of a path, qualified as the cluster's file systems do
+    (relative paths, ``file:`` and ``hdfs:`` forms of one place are equal)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.FileSystem
+    default = fs.getDefaultUri(conf)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if p.toUri().getScheme() == "file" and default.getScheme() != "file":
+        default = jvm.java.net.URI("file:///")
+    q = p.makeQualified(default, fs.get(conf).getWorkingDirectory()).toUri()
+    return (q.getScheme(), q.getAuthority() or "", *[x for x in q.getPath().split("/") if x])
+
+
+def check_destination(spark: SparkSession, path: str, protected: list[str]) -> None:
+    """Refuse a destination that is a protected folder, lies in one or holds one."""
+    to = _location(spark, path)
+    for p in protected:
+        source = _location(spark, p)
+        n = min(len(to), len(source))
+        if to[:n] == source[:n]:
+            raise ProtectedDestination(f"{path} would overwrite {p}")
+
+
 def dates_to_text(df: DataFrame) -> DataFrame:
     """Date and timestamp columns become text (``yyyy-MM-dd`` / ISO); others unchanged."""
     out = []
@@ -36,16 +60,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool
                 protected: list[str] | None = None, num_files: int | None = None) -> int | None:
     """Replace the table at ``path`` with ``df`` (export rules applied for text formats).
 
-    * refuses protected destinations (``ProtectedDestination``);
+    * refuses a destination that is, lies in or holds a protected folder (``ProtectedDestination``);
     * an empty ``df`` leaves the previous output untouched when ``skip_empty`` (returns None);
     * write errors propagate (no silent give-up);
     * returns the number of rows written, observed during the write (no second pass).
     """
     from pyspark.sql import Observation
 
-    for p in protected or []:
-        if path.rstrip("/") == p.rstrip("/") or path.startswith(p.rstrip("/") + "/"):
-            raise ProtectedDestination(path)
+    check_destination(df.sparkSession, path, protected or [])
     if skip_empty and df.isEmpty():
         return None
     out = export_frame(df) if fmt == "csv" else dates_to_text(df)

@@ -83,9 +83,9 @@ def test_budget_and_timesheet_jobs(spark):
     ts_out = tempfile.mkdtemp(prefix="tsout-", dir="/tmp")
     written = run_cli(spark, ["timesheets", "--input", ts_root, "--sector", "dev=Desarrollo", "--rates", rates,
                               "--projects", projects, "--out", ts_out])
-    assert written["Rechazados"] is None and written["Productividad Equi Consolidado"] == 2
+    assert written["Rechazados"] is None and written["Consolidado"] == 2
     assert written["Auditoria"] == 1
-    cons = spark.read.parquet(os.path.join(ts_out, "Productividad Equi Consolidado")).collect()
+    cons = spark.read.parquet(os.path.join(ts_out, "Consolidado")).collect()
     assert len(cons) == 2 and {r["Sector_Origen"] for r in cons} == {"Desarrollo"}
     row = [r for r in cons if r["consecutivo"] == "1"][0]
     assert (row["Fecha"], row["Mes"], row["costo_rate_interno"], row["Proyecto"]) == ("2025-01-05", "ene/2025", 0.0, "2024-01 - X")

@@ -47,6 +47,6 @@ def test_cli_on_exports_matches_queries(spark):
     out = tempfile.mkdtemp(prefix="exp-ts-", dir="/tmp")
     run_cli(spark, ["timesheets", "--input", os.path.join(root, "timesheets"), "--rates", paths["rates"],
                     "--projects", paths["projects"], "--out", out])
-    assert rows(spark.read.parquet(os.path.join(out, "Productividad Equi Consolidado"))) == \
+    assert rows(spark.read.parquet(os.path.join(out, "Consolidado"))) == \
         rows(q["ts_grid_consolidated"](spark, SF_SMALL))
     assert rows(spark.read.parquet(os.path.join(out, "Resumen Alertas"))) == rows(q["ts_grid_alert_summary"](spark, SF_SMALL))

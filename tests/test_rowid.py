@@ -29,11 +29,3 @@ def test_sort_splits_a_hot_file_across_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert parts >= 2
-
-
-def test_spread_caps_by_size(spark):
-    from sheetfold.operators.partitioning import spread
-    tiny = spark.range(10).coalesce(1)
-    assert spread(tiny).rdd.getNumPartitions() == 1                        # not scattered
-    big = spark.range(0, 2_000_000).selectExpr("id", "repeat('x', 50) as pad").coalesce(1)
-    assert spread(big, target=8).rdd.getNumPartitions() == 8

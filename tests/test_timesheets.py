@@ -91,8 +91,8 @@ def test_fixture_branch_counts_and_invariants(spark):
 
 def test_run_returns_three_tables(spark):
     out = TS.run(fx(spark, SF_MID, "fx_timesheet"), fx(spark, SF_MID, "fx_rates"), fx(spark, SF_MID, "fx_projects"))
-    assert set(out) == {"Resumen Alertas", "Detalle Alertas", "Productividad Equi Consolidado"}
-    assert out["Productividad Equi Consolidado"].columns == TS.CONSOLIDATED_COLUMNS
+    assert set(out) == {"Resumen Alertas", "Detalle Alertas", "Consolidado"}
+    assert out["Consolidado"].columns == TS.CONSOLIDATED_COLUMNS
 
 
 def test_run_from_grids(spark):
@@ -102,7 +102,7 @@ def test_run_from_grids(spark):
                             sector_col="sector")
     assert out["Rechazados"].count() == 0
     assert out["Resumen Alertas"].count() == 136
-    assert out["Productividad Equi Consolidado"].count() > 10_000 - 53
+    assert out["Consolidado"].count() > 10_000 - 53
 
 
 def test_finance_and_budget_run(spark):
