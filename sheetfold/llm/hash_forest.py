@@ -142,13 +142,17 @@ def _nearest(keep: int):
         for stored, asks in _answered(batches):
             classes = stored.column("class").to_numpy()
             order = np.argsort(classes)
-            vectors, least = _matrix(stored.column("v"), stored.num_rows), stored.column("least_id").to_numpy()
+            components = _matrix(stored.column("v"), stored.num_rows).T.copy()
+            least = stored.column("least_id").to_numpy()
             q = _matrix(asks.column("v"), asks.num_rows)
             out = []
             for i, (query, some) in enumerate(zip(asks.column("class").to_pylist(), asks.column("classes").to_pylist())):
                 at = order if some is None else order[np.searchsorted(classes, some, sorter=order)]
-                gap = vectors[at] - q[i]
-                far = np.sqrt((gap * gap).sum(axis=1))
+                far = np.zeros(len(at))
+                for part, own in zip(components, q[i]):  # component by component, so sums round alike everywhere
+                    gap = part[at] - own
+                    far += gap * gap
+                far = np.sqrt(far)
                 best = np.lexsort((least[at], far))[:keep]
                 out.append((np.full(len(best), query), classes[at[best]], least[at[best]], far[best]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["query", "class", "least_id", "score"])

@@ -80,7 +80,8 @@ def _features(k: int):
                         node.append(None), sig.append(None)
                         continue
                     # the sum of a set's digests, times its size's digest: equal for equal sets
-                    node.append(int((s.sum(dtype=np.uint64) * np.uint64(2 * len(s) + 1)).view(np.int64)))
+                    total = s.sum(dtype=np.uint64, keepdims=True) * np.uint64(2 * len(s) + 1)
+                    node.append(int(total.view(np.int64)[0]))
                     sig.append(signature(s).tobytes())
             yield pa.RecordBatch.from_arrays([ids, keys, pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                                               pa.array(sig, pa.binary())], schema=schema)

@@ -68,7 +68,37 @@ def op2_mixing(spark, sf):
                        (F.col("size") * F.col("copies")).alias("taken"))
 
 
-@query("op3_fingerprints")
+def _tree_sql(t: str) -> tuple[str, str, str]:
+    """DuckDB expressions over a text: the root, the fingerprint, the distinct blocks."""
+    sections = f"string_split({t}, chr(10) || chr(10))"
+    node = "lambda s: sha256(array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256(p)), ''))"
+    root = f"sha256(array_to_string(list_transform({sections}, {node}), ''))"
+    short = "lambda s: array_to_string(list_transform(string_split(s, chr(10)), lambda p: substr(sha256(p), 1, 8)), '.')"
+    return root, f"{root} || ':' || array_to_string(list_transform({sections}, {short}), '/')", \
+        f"list_distinct(regexp_extract_all({t}, '[^\\n]{{1,{MT.BLOCK}}}'))"
+
+
+def _op3_sql() -> str:
+    columns = ", ".join(f"{e} as {n}_{x}" for n, t in (("own", "t"), ("edited", "e"), ("next", "nt"))
+                        for x, e in zip(("root", "print", "blocks"), _tree_sql(t)))
+
+    def near(n):
+        dice = f"2::double * len(list_intersect(own_blocks, {n}_blocks)) / (len(own_blocks) + len({n}_blocks))"
+        return (f"case when own_root = {n}_root then 1::double when len(own_blocks) + len({n}_blocks) = 0 then 0::double "
+                f"else least({dice}, 0.999999::double) end")
+    return f"""
+with paired as (
+  select doc_id, t, coalesce(lead(t) over (order by doc_id desc), first_value(t) over (order by doc_id desc)) as nt
+  from (select doc_id, coalesce(text, '') as t from documents)),
+edited as (select *, substr(t, 1, length(t) - length(t) // 2) || substr(nt, 1, length(t) // 2) as e from paired),
+trees as (select doc_id, length(t) as n_chars, sha256(e) as edited_sha256, {columns} from edited)
+select doc_id, n_chars, edited_sha256, own_print as fingerprint, edited_print as edited_fingerprint,
+  {near("edited")} as near_edited, {near("next")} as near_next
+from trees
+"""
+
+
+@query("op3_fingerprints", _op3_sql())
 def op3_fingerprints(spark, sf):
     """Merkle fingerprints of every text and of its edited text, and their likenesses."""
     t = MT.fingerprints(table(spark, sf, "documents"))
@@ -79,7 +109,29 @@ def op3_fingerprints(spark, sf):
                     MT.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"))
 
 
-@query("op1_near_dedup")
+OP1_SQL = r"""
+with recursive worded as (
+  select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as w
+  from documents),
+sets as (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
+  from worded),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+links as (
+  select a.doc_id as a, b.doc_id as b from sets a join sets b on a.shingle = b.shingle and a.doc_id < b.doc_id
+  join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (select distinct a as doc_id, a as other from both_ways union select r.doc_id, l.b from reach r join both_ways l on l.a = r.other),
+least as (select doc_id, min(other) as component_id from reach group by doc_id)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, coalesce(l.component_id, d.doc_id) as component_id,
+  coalesce(l.component_id, d.doc_id) = d.doc_id as kept
+from documents d left join sizes s using (doc_id) left join least l using (doc_id)
+"""
+
+
+@query("op1_near_dedup", OP1_SQL)
 def op1_near_dedup(spark, sf):
     """Near-duplicate groups of ``documents``: five-word shingles, similarity 0.75 and more."""
     return ND.near_groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
@@ -158,7 +210,21 @@ def op7_quality(spark, sf):
     return QU.scores(docs, QU.train(docs, table(spark, sf, "labels")))
 
 
-@query("op8_hash_forest")
+OP8_SQL = """
+with usable as (
+  select distinct vec_id, cast(embedding as double[]) as v from embeddings
+  where vec_id is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (
+  select q.vec_id as query_id, c.vec_id,
+    sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) as score
+  from usable q join usable c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+ranked as (select *, cast(row_number() over (partition by query_id order by score, vec_id) as integer) as rank from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
+
+@query("op8_hash_forest", OP8_SQL)
 def op8_hash_forest(spark, sf):
     """The ten nearest neighbours found of every hundredth vector of ``embeddings``."""
     return HF.nearest_neighbours(table(spark, sf, "embeddings"))

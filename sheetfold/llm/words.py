@@ -103,8 +103,7 @@ def shingle_sets(w: Words, k: int = 5) -> list[np.ndarray]:
         if b - a >= k:
             sets.append(np.unique(total[a:b - k + 1]))
         elif b > a:
-            whole = (w.digests[a:b] * _SHINGLE[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            sets.append(mix64(np.array([whole], np.uint64)))
+            sets.append(mix64((w.digests[a:b] * _SHINGLE[:b - a]).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a)))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
