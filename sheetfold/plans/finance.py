@@ -172,8 +172,11 @@ def clean_rows(rows: DataFrame, keys: list[str], tipo_col: str, title_col: str)
 
 
 def clean_grids(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str) -> DataFrame:
-    """Raw projection tabs → flagged rows (see :func:`clean_rows`)."""
-    lay = finance_layout(grid, keys, tipo_col)
+    """Raw projection tabs → flagged rows (see :func:`clean_rows`).
+
+    The positions of the needed columns, and whether a row follows the header, show in the rows of
+    the header search and the one behind; only those are aggregated (the filter reaches the scan)."""
+    lay = finance_layout(grid.where(F.col("row_idx") <= HEADER_SEARCH_ROWS), keys, tipo_col)
     gkeys = _with_tipo(keys, tipo_col)
     slim = lay.select(*gkeys, "header_idx", "stop_idx", *[f"i_{k}" for k in range(len(_NEEDED))])
     rows = L.table_rows(grid, slim, gkeys)

@@ -111,3 +111,11 @@ def test_checkpoint_dir_is_read_from_the_session():
         sparkContext = Ctx()
 
     assert ensure_checkpoint_dir(Session()) == "hdfs:///shared/ckpt"
+
+
+def test_finance_layout_reads_the_first_rows_only(spark, tmp_path):
+    from sheetfold.plans import finance as FI
+    path = str(tmp_path / "grid")
+    spark.createDataFrame([("b", "t", 0, ["x"])], "file_name string, tipo string, row_idx long, cells array<string>").write.parquet(path)
+    p = plan(FI.finance_layout(spark.read.parquet(path).where(f"row_idx <= {FI.HEADER_SEARCH_ROWS}"), ["file_name"], "tipo"))
+    assert f"LessThanOrEqual(row_idx,{FI.HEADER_SEARCH_ROWS})" in p
