@@ -1,8 +1,8 @@
 """Repeated passages: units of lines, hashed and grouped globally.
 
 A text's units are its lines, and a line's words are cut further at content-defined points: after
-a word whose digest is divisible by ``CUT``, unless another such word lies among the two before
-it. A passage thus has the same units wherever it stands, also inside longer lines. Units are
+a word whose digest is divisible by ``CUT``, or that ends ``RUN`` repeats of itself, unless another
+such word lies among the two before it. A passage thus has the same units wherever it stands, also inside longer lines. Units are
 normalised (case of A-Z and white space do not count) and hashed; all documents' digests are
 grouped, the earliest occurrence by (document id, position) stays and the others are marked. Of a
 document's marked units go the runs of at least ``MIN_RUN`` words and the whole lines of at least
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sheetfold.llm.common import free_name
 from sheetfold.llm.words import Words, chunks, mix64, words_of
 
-CUT = 3
+CUT, RUN = 3, 8
 #: Words of adjacent marked units, and of a marked whole line, from which they are removed.
 MIN_RUN, MIN_LINE = 15, 5
 #: The rank of a null id: after every other.
@@ -48,6 +48,8 @@ def units_of(w: Words) -> Units:
     breaks = np.cumsum(w.buffer == ord("\n"))[w.starts]  # line breaks before each word; every text ends with one
     last_of_line = np.append(breaks[1:] != breaks[:-1], True)
     raw = mix64(w.digests) % np.uint64(CUT) == 0
+    fresh = np.append(True, w.digests[1:] != w.digests[:-1])  # a run of one word is cut at every RUN-th
+    raw |= (np.arange(n) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]) % RUN == RUN - 1
     near = np.zeros(n, bool)  # another such word among the two before in the line
     near[1:] |= raw[:-1] & (breaks[1:] == breaks[:-1])
     near[2:] |= raw[:-2] & (breaks[2:] == breaks[:-2])

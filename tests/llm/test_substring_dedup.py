@@ -13,13 +13,16 @@ from sheetfold.llm.words import words_of
 
 def _units(text):
     """Units as (words, start, end, line number), cut by the library's cut points."""
-    out = []
+    out, words, run = [], [], 0
     offset = 0
     for number, line in enumerate((text or "").split("\n")):
         found = list(brute.WORD.finditer(line))
         unit, since = [], 99
         for i, m in enumerate(found):
-            raw = SD.mix64(words_of([m.group().encode()]).digests)[0] % np.uint64(SD.CUT) == 0
+            before = words[-1] if words else None
+            words.append(brute.lower_az(m.group()))
+            run = run + 1 if words[-1] == before else 0
+            raw = run % SD.RUN == SD.RUN - 1 or SD.mix64(words_of([m.group().encode()]).digests)[0] % np.uint64(SD.CUT) == 0
             unit.append(m)
             if raw and since > 2 or i == len(found) - 1:
                 out.append((tuple(brute.lower_az(x.group()) for x in unit), offset + unit[0].start(), offset + unit[-1].end(), number))
@@ -76,7 +79,8 @@ def planted():
             text += "\n" + line + "\n" + prose(5)
         rows.append((i * 3, text))
     rows += [(9001, rows[1][1]), (9002, None), (9003, ""), (9004, " \n "), (None, rows[2][1]), (9005, "in " * 500),
-             (9006, "unique tail " + "\n".join(["again and again and again"] * 20)), (9006, rows[4][1]), (9007, "z" * 200000)]
+             (9006, "unique tail " + "\n".join(["again and again and again"] * 20)), (9006, rows[4][1]), (9007, "z" * 200000),
+             (9008, "x " + "tior, " * 77), (9009, "y " + "tior, " * 90), (9010, "tior, " * 60 + "\n" + "tior, " * 5)]
     return rows, passage
 
 
