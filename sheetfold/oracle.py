@@ -306,22 +306,22 @@ select file_ord, row_idx - 1 as row_idx, cast(len(list_slice(cells, 1, 9)) as in
   array_to_string(list_slice(cells, 1, 9), '|') as line from gb where row_idx >= 1""", FIRST_ROW_CTES)
 
 TS_GRID_CTES = f"""
-gb as (select file_name, file_ord, row_idx, string_split(line, '|') as cells from fx_grid_budget),
-ra as (select file_name, file_ord, row_idx - 1 as row_idx, list_slice(cells, 1, 9) as cells from gb where row_idx >= 1),
-rl as (select r.file_ord, r.cells as header from ra r join (select file_ord from ra group by file_ord having count(*) >= 2) k
-  on r.file_ord = k.file_ord where r.row_idx = 0),
-rn as (select file_ord, {dedupe_counter('bs')} as names from (select file_ord, {counter_bases('header')} as bs from rl)),
+gb as (select file_name, row_idx, string_split(line, '|') as cells from fx_grid_timesheet),
+ra as (select file_name, row_idx - 1 as row_idx, list_slice(cells, 1, 9) as cells from gb where row_idx >= 1),
+rl as (select r.file_name, r.cells as header from ra r join (select file_name from ra group by file_name having count(*) >= 2) k
+  on r.file_name = k.file_name where r.row_idx = 0),
+rn as (select file_name, {dedupe_counter('bs')} as names from (select file_name, {counter_bases('header')} as bs from rl)),
 rok as (select *, coalesce(list_position(names, 'consecutivo'), list_position(names, '...1'), list_position(names, 'Unnamed')) as p_seq,
   coalesce(list_position(names, 'Proyecto'), list_position(names, 'Nombre de Proyecto')) as p_proj,
   list_position(names, 'Cantidad de horas') as p_hours from rn
   where len(list_distinct(names)) = len(names) and not (list_contains(names, 'Proyecto') and list_contains(names, 'Nombre de Proyecto')))"""
 
-register("ts_rename_if_present", ["fx_grid_budget"], f"""
-select r.file_ord, r.row_idx,
+register("ts_rename_if_present", ["fx_grid_timesheet"], f"""
+select r.file_name, r.row_idx,
   case when k.p_seq is not null then coalesce(({fit('r.cells', 'len(k.names)')})[k.p_seq], '') end as consecutivo,
   case when k.p_proj is not null then coalesce(({fit('r.cells', 'len(k.names)')})[k.p_proj], '') end as "Proyecto",
   case when k.p_hours is not null then coalesce(({fit('r.cells', 'len(k.names)')})[k.p_hours], '') end as "Cantidad de horas"
-from ra r join rok k on r.file_ord = k.file_ord where r.row_idx > 0""", TS_GRID_CTES)
+from ra r join rok k on r.file_name = k.file_name where r.row_idx > 0""", TS_GRID_CTES)
 
 # ---- budget -------------------------------------------------------------------------------
 

@@ -387,8 +387,8 @@ def hdr_keyword_lookup(spark, sf):
 @query("ts_rename_if_present")
 def ts_rename_if_present(spark, sf):
     """Timesheet range read (A2:I) with the project / sequence renames, on raw grids."""
-    rows, _ = TS.read_timesheet_grids(_grid_budget(spark, sf), BUDGET_KEYS)
-    return rows.select(*BUDGET_KEYS, "row_idx", "consecutivo", "Proyecto", _c("Cantidad de horas"))
+    rows, _ = TS.read_timesheet_grids(lines_to_cells(fx(spark, sf, "fx_grid_timesheet")), ["file_name"])
+    return rows.select("file_name", "row_idx", "consecutivo", "Proyecto", _c("Cantidad de horas"))
 
 
 # ---- budget -------------------------------------------------------------------------------

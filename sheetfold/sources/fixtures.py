@@ -66,12 +66,13 @@ select 'Productividad: ' || case when c_nationkey % 5 = 0 then lpad(cast(c_natio
 FX_FINANCE = """
 select o_orderkey, 'NUEVO P' || lpad(cast(o_custkey % 40 as string),2,'0') as archivo_origen,
   case when o_orderpriority in ('1-URGENT','2-HIGH') then 'Ingreso' else 'Gasto' end as "Tipo_Movimiento",
-  case when o_orderkey % 11 = 0 then ' ' else cast(year(o_orderdate) as string) || '-' || lpad(cast(month(o_orderdate) as string),2,'0') || '-' || lpad(cast(day(o_orderdate) as string),2,'0') end as fecha_doc,
-  case when o_orderkey % 29 = 0 then '' else 'P' || cast(o_custkey % 40 as string) end as "Proyecto",
-  case o_orderstatus when 'F' then ' real ' when 'O' then 'Proyectado' else 'Anulado' end as "Situación",
+  case when o_orderkey % 11 = 0 or o_orderkey % 83 = 0 then ' ' else cast(year(o_orderdate) as string) || '-' || lpad(cast(month(o_orderdate) as string),2,'0') || '-' || lpad(cast(day(o_orderdate) as string),2,'0') end as fecha_doc,
+  case when o_orderkey % 29 = 0 or o_orderkey % 83 = 0 then '' else 'P' || cast(o_custkey % 40 as string) end as "Proyecto",
+  case when o_orderkey % 83 = 0 then chr(160) || ' ' when o_orderstatus = 'F' and o_orderkey % 3 = 0 then chr(160) || 'real' || chr(9)
+    when o_orderstatus = 'F' then ' real ' when o_orderstatus = 'O' then 'Proyectado' else 'Anulado' end as "Situación",
   case when o_orderkey % 17 = 0 then '' when o_orderkey % 19 = 0 then 'n/a' when o_orderkey % 23 = 0 then '-' || t
        when o_orderkey % 37 = 0 then '0,00' else '$ ' || t end as "USD",
-  case when o_orderkey % 41 = 0 then '' else 'S/ ' || t end as "Monto con Impuestos",
+  case when o_orderkey % 41 = 0 or o_orderkey % 83 = 0 then '' else 'S/ ' || t end as "Monto con Impuestos",
   o_custkey % 40 <> 39 as has_usd
 from (select o.*, case when u >= 1000 then cast(cast(floor(u/1000) as bigint) as string) || '.' || lpad(cast(u % 1000 as string),3,'0') else cast(u as string) end || ',' || lpad(cast(cents % 100 as string),2,'0') as t
       from (select *, cast(floor(cents/100) as bigint) as u from (select *, cast(round(o_totalprice*100) as bigint) as cents from {orders}) a) o) b
