@@ -130,6 +130,8 @@ class Templates:
         words = _normal(w)
         self.words = [[x for x in words[a:b].tolist() if x] for a, b in zip(w.first[:-1], w.first[1:])]
         self.vocabulary = np.unique(np.array([x for t in self.words for x in t], np.uint64))
+        self.counts = np.array([np.bincount(np.searchsorted(self.vocabulary, np.array(t, np.uint64)), minlength=len(self.vocabulary))
+                                for t in self.words]).reshape(len(self.words), len(self.vocabulary))
 
     def scan(self, texts: list[bytes], coverage: float):
         """``(text, name, coverage, start, end)`` with byte offsets, in order of place; where licenses overlap, the one with
@@ -145,12 +147,18 @@ class Templates:
         for d, (a, b) in enumerate(zip(number[:-1].tolist(), number[1:].tolist())):
             if not hit[a:b].any():
                 continue
-            own = words[at[a:b]].tolist()
             hits = np.flatnonzero(hit[a:b])
+            # no alignment can match more of a template than the words that the text holds of it
+            held = np.bincount(found[a + hits], minlength=len(self.vocabulary))
+            most = np.minimum(self.counts, held).sum(axis=1)
+            likely = [i for i, t in enumerate(self.words) if most[i] >= coverage * len(t)]
+            if not likely:
+                continue
+            own = words[at[a:b]].tolist()
             some = words[at[a + hits]]
             matches = []
-            for name, t in zip(self.names, self.words):
-                matches += self._matches(name, t, own, hits, some, coverage)
+            for i in likely:
+                matches += self._matches(self.names[i], self.words[i], own, hits, some, coverage)
             taken: list[tuple[int, int]] = []
             for matched, name, share, i, j in sorted(matches, key=lambda m: (-m[0], m[1], m[3])):
                 if all(j <= x or y <= i for x, y in taken):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sheetfold.llm.common import WORD_PATTERN, free_name, store
 from sheetfold.llm.components import connected_components
-from sheetfold.llm.words import chunks, shingle_sets, words_of
+from sheetfold.llm.words import chunks, shingle_sets, slices, words_of
 from sheetfold.operators.joins import sized_side
 
 #: 32 bands of 4 values: a pair at similarity 0.75 shares no band with probability 5e-6.
@@ -70,7 +70,7 @@ def _features(k: int):
                         ("node", pa.int64()), ("sig", pa.binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             n, node, sig = [], [], []
             for _, run_texts in chunks(texts):
@@ -115,10 +115,9 @@ def _bayes(threshold: float):
     limits = fewest_matches(threshold)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                alive = passing(_signatures(batch.column("sig_a")), _signatures(batch.column("sig_b")), limits)
-                yield batch.select(["a", "b"]).take(pa.array(alive))
+        for batch in slices(batches):
+            alive = passing(_signatures(batch.column("sig_a")), _signatures(batch.column("sig_b")), limits)
+            yield batch.select(["a", "b"]).take(pa.array(alive))
     return run
 
 

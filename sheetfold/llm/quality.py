@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetfold.llm.common import store
-from sheetfold.llm.words import chunks, words_of
+from sheetfold.llm.words import chunks, slices, words_of
 from sheetfold.operators.joins import sized_side
 
 #: Labelled rows fitted to, and unlabelled rows that get pseudo-labels, at most (by digest of the id).
@@ -169,15 +169,15 @@ class CoTrained:
 _INPUT = ("text", "source", "lang", "n_chars")
 
 
-def _features_of(batch: pa.RecordBatch, names: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
-    column = {c: batch.column(names[c]) for c in _INPUT}
+def _features_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    column = {c: batch.column(c) for c in _INPUT}
     return (content_features(column["text"].cast(pa.binary()).to_pylist()),
             metadata_features(*(column[c].to_pylist() for c in ("source", "lang", "n_chars"))))
 
 
 def _feature_rows(batches):
-    for batch in batches:
-        content, metadata = _features_of(batch, {c: c for c in _INPUT})
+    for batch in slices(batches):
+        content, metadata = _features_of(batch)
         arrays = [pa.array(list(x), pa.list_(pa.float64())) for x in (content, metadata)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *arrays], names=["doc_id", "y", "content", "metadata"])
 
@@ -220,8 +220,8 @@ def scores(docs: DataFrame, model: CoTrained) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            p = shared.value.score(*_features_of(batch, {c: c for c in _INPUT}))
+        for batch in slices(batches):
+            p = shared.value.score(*_features_of(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(p[:, j]) for j in range(3)), pa.array(p[:, 2] >= THRESHOLD)],
                                              names=["doc_id", "p_content", "p_metadata", "score", "kept"])
     return _view_columns(docs).mapInArrow(run, "doc_id long, p_content double, p_metadata double, score double, kept boolean")
@@ -230,10 +230,9 @@ def scores(docs: DataFrame, model: CoTrained) -> DataFrame:
 def quality_filter(docs: DataFrame, model: CoTrained) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = {c: next(x for x in docs.columns if x == c) for c in _INPUT}
 
     def run(batches):
-        for batch in batches:
-            p = shared.value.score(*_features_of(batch, names))
+        for batch in slices(batches):
+            p = shared.value.score(*_features_of(batch))
             yield batch.filter(pa.array(p[:, 2] >= THRESHOLD))
     return docs.mapInArrow(run, docs.schema)

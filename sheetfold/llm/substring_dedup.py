@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetfold.llm.common import free_name
-from sheetfold.llm.words import Words, chunks, mix64, words_of
+from sheetfold.llm.words import Words, chunks, mix64, slices, words_of
 
 CUT, RUN = 3, 8
 #: Words of adjacent marked units, and of a marked whole line, from which they are removed.
@@ -65,7 +65,7 @@ def units_of(w: Words) -> Units:
 
 def _unit_rows(batches):
     """A row for each distinct unit of each text, and whether the text repeats it."""
-    for batch in batches:
+    for batch in slices(batches):
         ids, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         for begin, some in chunks(texts):
             u = units_of(words_of(some))
@@ -99,22 +99,23 @@ def marked_units(docs: DataFrame) -> DataFrame:
 
 
 def _removed(w: Words, u: Units, d: int, owners: dict) -> list[tuple[int, int, int]]:
-    """Of text ``d`` the removed runs of units, as (first unit, one past the last, owner or -1)."""
+    """Of text ``d`` the removed runs of units, as (first unit, one past the last, owner). ``owners``
+    has the marked digests; None stands for the text itself."""
     a, b = int(u.first[d]), int(u.first[d + 1])
     seen, marks = set(), []
     for x in u.digests[a:b].view(np.int64).tolist():
-        owner = owners.get(x, -2)
-        marks.append(-2 if owner == -2 or owner == -1 and x not in seen else owner)
+        owner = owners.get(x, False)
+        marks.append(False if owner is None and x not in seen else owner)
         seen.add(x)
     size = (u.end[a:b] - u.begin[a:b]).tolist()
     line = u.line[a:b].tolist()
     out, i, n = [], 0, b - a
     while i < n:
-        if marks[i] == -2:
+        if marks[i] is False:
             i += 1
             continue
         j = i
-        while j < n and marks[j] != -2:
+        while j < n and marks[j] is not False:
             j += 1
         if sum(size[i:j]) >= MIN_RUN:
             out.append((a + i, a + j, marks[i]))
@@ -131,11 +132,10 @@ def _removed(w: Words, u: Units, d: int, owners: dict) -> list[tuple[int, int, i
     return out
 
 
-def _cut(text: bytes, units) -> tuple[bytes, list[dict]]:
+def _cut(text: bytes, owners: dict) -> tuple[bytes, list[dict]]:
     """The text without its marked runs and lines, and these as spans in code points."""
     w = words_of([text])
     u = units_of(w)
-    owners = {x["digest"]: -1 if x["owner"] is None else x["owner"] for x in units}
     runs = _removed(w, u, 0, owners)
     if not runs:
         return text, []
@@ -145,7 +145,7 @@ def _cut(text: bytes, units) -> tuple[bytes, list[dict]]:
         first, last = int(u.begin[p]), int(u.end[q - 1]) - 1
         start, end = int(w.starts[first]), int(w.ends[last])
         spans.append({"start": int(chars[start]), "end": int(chars[end]), "n_words": last - first + 1,
-                      "first_doc": None if owner == -1 else owner})
+                      "first_doc": owner})
         following = int(w.starts[last + 1]) if last + 1 < len(w.starts) else len(text)
         opens_line = first == 0 or u.line[p] != u.line[p - 1]
         if opens_line or b"\n" not in text[end:following]:
@@ -160,8 +160,11 @@ def _cut(text: bytes, units) -> tuple[bytes, list[dict]]:
 SPAN = "struct<start:long,end:long,n_words:long,first_doc:long>"
 
 
-def _cut_all(text: pd.Series, units: pd.Series) -> pd.DataFrame:
-    done = [(None, None) if t is None or m is None else _cut(t, m) for t, m in zip(text, units)]
+def _cut_all(text: pd.Series, digests: pd.Series, owners: pd.Series, others: pd.Series) -> pd.DataFrame:
+    done = []
+    for t, d, o, x in zip(text, digests, owners, others):
+        found = None if d is None else {a: b if c else None for a, b, c in zip(d.tolist(), o.tolist(), x.tolist())}
+        done.append((None, None) if t is None or d is None else _cut(t, found))
     return pd.DataFrame({"text": [x[0] for x in done], "spans": [x[1] for x in done]})
 
 
@@ -174,9 +177,11 @@ def with_cuts(docs: DataFrame, name: str = "cuts") -> DataFrame:
     key = {c: free_name(docs, f"cut_{c}") for c in marks.columns}
     marks = marks.select(*[F.col(c).alias(n) for c, n in key.items()])
     found = docs.join(marks, F.col("doc_id").eqNullSafe(F.col(key["doc_id"])) & (F.xxhash64("text") == F.col(key["text_key"])), "left")
+    units = F.col(key["units"])
+    parts = [units["digest"], F.transform(units, lambda u: F.coalesce(u["owner"], F.lit(0))), F.transform(units, lambda u: u["owner"].isNotNull())]
     # texts without marks need not reach Python
     text = F.when(F.col(key["units"]).isNotNull(), F.col("text").cast("binary"))
-    found = found.withColumn(name, F.pandas_udf(_cut_all, f"struct<text:binary,spans:array<{SPAN}>>")(text, F.col(key["units"])))
+    found = found.withColumn(name, F.pandas_udf(_cut_all, f"struct<text:binary,spans:array<{SPAN}>>")(text, *parts))
     spans = F.col(f"{name}.spans")
     return (found.withColumn(name, F.when(F.size(spans) > 0, F.struct(F.col(f"{name}.text").cast("string").alias("text"), spans.alias("spans"))))
             .drop(*key.values()))

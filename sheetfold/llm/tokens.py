@@ -15,11 +15,15 @@ from itertools import chain
 
 import numpy as np
 
-from sheetfold.llm.words import CHUNK_BYTES, chunks, digests_of, words_of
+from sheetfold.llm.words import chunks, digests_of, words_of
 
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+#: Bytes of text whose pieces are looked up at once.
+PIECE_BYTES = 1 << 20
+
+
 class Encoder:
     """Encodes with one tokenizer file and remembers the ids of pieces: one piece for each of
     ``slots`` places (a later piece takes the place of an earlier one), and at most ``most`` ids."""
@@ -48,7 +52,7 @@ class Encoder:
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of every text (null: none), as ``tokenizers`` gives them without special tokens."""
         out: list[np.ndarray] = []
-        for _, some in chunks(texts, 2 * CHUNK_BYTES):
+        for _, some in chunks(texts, PIECE_BYTES):
             whole = [i for i, t in enumerate(some) if not t.isascii() and _OTHER_SPACE.search(t.decode())]
             ids, sizes = self.plain([some[i].decode() for i in whole])
             odd = dict(zip(whole, np.split(ids, np.cumsum(sizes)[:-1]))) if whole else {}

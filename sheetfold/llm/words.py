@@ -19,7 +19,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 #: An odd multiplier; a byte counts as one more than its value, so a word's zero bytes count too.
 _STEP = 0x9E3779B97F4A7C15 | 1
 #: Bytes of text handled at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -71,6 +71,13 @@ def words_of(texts: list[bytes], digests: bool = True) -> Words:
     return Words(starts, ends, found, first, base, buf)
 
 
+def slices(batches, rows: int = 1024):
+    """Record batches in slices of ``rows``, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """``texts`` in runs of about ``limit`` bytes with the index of each run's first; null as empty."""
     run: list[bytes] = []
