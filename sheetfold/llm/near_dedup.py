@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetfold.llm.common import WORD_PATTERN, free_name, store
+from sheetfold.llm.common import free_name, store
 from sheetfold.llm.components import connected_components
 from sheetfold.llm.words import chunks, shingle_sets, slices, words_of
 from sheetfold.operators.joins import sized_side
@@ -230,6 +230,12 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     own; a null id is never the smallest while another id is in reach. ``text_key`` is the
     ``xxhash64`` of the text. An empty table gives no rows; other columns are ignored.
     """
+    return _rooted_groups(docs, k, percent).drop("root")
+
+
+def _rooted_groups(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The rows of :func:`near_groups` and ``root``, the component's own key (null without words):
+    components of rows that share an id, or have none, differ in it only."""
     features = store(_text_rows(docs).mapInArrow(_features(k), FEATURES), "near-features")
     classes = store(features.where("n_shingles > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("least_id"),
@@ -257,23 +263,28 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
 
     named = classes.select("node", "least_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    ids = named.join(ids, "root").select("node", "component_id")
+    ids = named.join(ids, "root").select("node", "root", "component_id")
     return (features.select("doc_id", "text_key", "n_shingles", "node").join(ids, "node", "left")
             .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
             .select("doc_id", "text_key", "n_shingles", "component_id",
-                    F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept")))
+                    F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"), "root"))
 
 
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest id. Rows without words all
-    stay; of rows repeated with one id and one group, one stays."""
-    groups = store(near_groups(docs, k, percent), "near-groups")
-    key = {c: free_name(docs, f"near_{c}") for c in ("id", "text")}
-    gone = (groups.where("not kept").select(F.col("doc_id").alias(key["id"]), F.col("text_key").alias(key["text"])).distinct())
-    kept = docs.join(sized_side(gone), F.col("doc_id").eqNullSafe(F.col(key["id"]))
-                     & (F.xxhash64("text") == F.col(key["text"])), "left_anti")
+    """``docs`` with one row of each group: the one with the smallest id, and any one of a group's
+    rows that share this id. Rows without words all stay, and so do rows of different groups that
+    share an id or have none."""
+    groups = store(_rooted_groups(docs, k, percent), "near-groups")
+    key = {c: free_name(docs, f"near_{c}") for c in ("id", "text", "root")}
+    own = [F.col("doc_id").alias(key["id"]), F.col("text_key").alias(key["text"])]
+    same = F.col("doc_id").eqNullSafe(F.col(key["id"])) & (F.xxhash64("text") == F.col(key["text"]))
+    kept = docs.join(sized_side(groups.where("not kept").select(*own).distinct()), same, "left_anti")
     kept_rows = groups.where("kept and n_shingles > 0")
-    if kept_rows.groupBy("component_id").count().where("count > 1").limit(1).isEmpty():
+    again = kept_rows.groupBy("root").count().where("count > 1").select("root")
+    if again.limit(1).isEmpty():
         return kept
-    empty = F.coalesce(F.col("text"), F.lit("")).rlike(WORD_PATTERN)
-    return kept.where(empty).dropDuplicates(["doc_id"]).unionByName(kept.where(~empty))
+    again = kept_rows.join(again, "root", "left_semi").select(*own, F.col("root").alias(key["root"])).distinct()
+    named = kept.join(sized_side(again), same, "left").drop(key["id"], key["text"])
+    root = F.col(key["root"])
+    return (named.where(root.isNull()).unionByName(named.where(root.isNotNull()).dropDuplicates([key["root"]]))
+            .drop(key["root"]))

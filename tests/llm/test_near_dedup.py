@@ -116,3 +116,15 @@ def test_components(spark):
     for i, x in enumerate(roots):
         least.setdefault(x, i)
     assert got == {n: least[roots[n]] for e in edges if e[0] != e[1] for n in e}
+
+
+def test_dedup_keeps_unlike_texts_that_share_an_id(spark):
+    texts = [" ".join("w%d_%d" % (i, j) for j in range(30)) for i in range(6)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1].upper()), (1, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[3]),
+            (None, None), (None, None), (4, texts[4]), (5, texts[4]), (5, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("near_root", F.lit("x"))
+    out = ND.near_dedup(df)
+    assert out.columns == df.columns
+    got = sorted(((x.doc_id, x.text and x.text.lower()) for x in out.collect()), key=str)
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (None, None), (None, None),
+                          (4, texts[4]), (5, texts[5])], key=str)
