@@ -3,10 +3,11 @@
 A text's units are its lines, and a line's words are cut further at content-defined points: after
 a word whose digest is divisible by ``CUT``, or that ends ``RUN`` repeats of itself, unless another
 such word lies among the two before it. A passage thus has the same units wherever it stands, also inside longer lines. Units are
-normalised (case of A-Z and white space do not count) and hashed; all documents' digests are
-grouped, the earliest occurrence by (document id, position) stays and the others are marked. Of a
-document's marked units go the runs of at least ``MIN_RUN`` words and the whole lines of at least
-``MIN_LINE`` words; offsets refer to the original text.
+normalised (case of A-Z and white space do not count) and hashed, and so is every pair of
+neighbouring units; all documents' digests are grouped, the earliest occurrence by (document id,
+position) stays and the others are marked. A run goes from a unit to the next only where their pair
+is marked. Of these runs go those of at least ``MIN_RUN`` words, and of shorter ones the whole lines
+of at least ``MIN_LINE`` words; offsets refer to the original text.
 """
 
 from __future__ import annotations
@@ -63,15 +64,23 @@ def units_of(w: Words) -> Units:
     return Units(begins, ends, mix64(total + (ends - begins).astype(np.uint64)), breaks[begins], np.searchsorted(begins, w.first))
 
 
+def pairs_of(digests: np.ndarray) -> np.ndarray:
+    """Digests of each unit with the next one."""
+    return mix64(mix64(digests[:-1] + np.uint64(1)) * np.uint64(0xA0761D6478BD642F) + digests[1:])
+
+
 def _unit_rows(batches):
-    """A row for each distinct unit of each text, and whether the text repeats it."""
+    """A row for each distinct pair of neighbouring units of each text and each distinct unit of at
+    least ``MIN_LINE`` words (a smaller one goes only in a pair), and whether the text repeats it."""
     for batch in slices(batches):
         ids, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         for begin, some in chunks(texts):
             u = units_of(words_of(some))
             which, digests, again = [], [], []
             for d, (a, b) in enumerate(zip(u.first[:-1].tolist(), u.first[1:].tolist())):
-                distinct, count = np.unique(u.digests[a:b], return_counts=True)
+                own = u.digests[a:b]
+                alone = own[u.end[a:b] - u.begin[a:b] >= MIN_LINE]
+                distinct, count = np.unique(np.concatenate([alone, pairs_of(own)]), return_counts=True)
                 digests.append(distinct), again.append(count > 1), which.append(np.full(len(distinct), begin + d))
             rows = pa.array(np.concatenate(which))
             yield pa.RecordBatch.from_arrays(
@@ -80,7 +89,7 @@ def _unit_rows(batches):
 
 
 def marked_units(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, units``: for each document that has any, its units that occur earlier,
+    """``doc_id, text_key, units``: for each document that has any, its units and pairs that occur earlier,
     as ``array<struct<digest, owner>>``. ``owner`` is the earliest document's id if that is
     another one, and null where only repeats inside the document go.
 
@@ -102,23 +111,28 @@ def _removed(w: Words, u: Units, d: int, owners: dict) -> list[tuple[int, int, i
     """Of text ``d`` the removed runs of units, as (first unit, one past the last, owner). ``owners``
     has the marked digests; None stands for the text itself."""
     a, b = int(u.first[d]), int(u.first[d + 1])
-    seen, marks = set(), []
-    for x in u.digests[a:b].view(np.int64).tolist():
-        owner = owners.get(x, False)
-        marks.append(False if owner is None and x not in seen else owner)
-        seen.add(x)
+
+    def marked(digests):
+        seen, marks = set(), []
+        for x in digests.view(np.int64).tolist():
+            owner = owners.get(x, False)
+            marks.append(False if owner is None and x not in seen else owner)
+            seen.add(x)
+        return marks
+    marks, linked = marked(u.digests[a:b]), [*marked(pairs_of(u.digests[a:b])), False]
     size = (u.end[a:b] - u.begin[a:b]).tolist()
     line = u.line[a:b].tolist()
     out, i, n = [], 0, b - a
     while i < n:
-        if marks[i] is False:
+        if linked[i] is False and marks[i] is False:
             i += 1
             continue
-        j = i
-        while j < n and marks[j] is not False:
+        j = i + 1
+        while linked[j - 1] is not False:
             j += 1
+        owner = [marks[i]] if j == i + 1 else [*linked[i:j - 1], linked[j - 2]]
         if sum(size[i:j]) >= MIN_RUN:
-            out.append((a + i, a + j, marks[i]))
+            out.append((a + i, a + j, owner[0]))
         else:
             p = i
             while p < j:  # whole lines inside the run
@@ -126,7 +140,7 @@ def _removed(w: Words, u: Units, d: int, owners: dict) -> list[tuple[int, int, i
                 while q < n and line[q] == line[p]:
                     q += 1
                 if q <= j and (p == 0 or line[p - 1] != line[p]) and sum(size[p:q]) >= MIN_LINE:
-                    out.append((a + p, a + q, marks[p]))
+                    out.append((a + p, a + q, owner[p - i]))
                 p = q
         i = j
     return out

@@ -114,3 +114,28 @@ def test_planted_passages_go_once_and_clean_texts_stay(spark, planted):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert SD.removed_spans(df).count() == 0 and SD.substring_dedup(df).count() == 0
+
+
+def test_common_phrases_of_unrelated_documents_stay(spark):
+    r = random.Random(6)
+    phrases = []
+    while len(phrases) < 12:  # each one unit, wherever it stands
+        words = ["p%d" % r.randrange(10 ** 6) for _ in range(5)]
+        cuts = SD.mix64(words_of([" ".join(words).encode()]).digests) % np.uint64(SD.CUT) == 0
+        if cuts[-1] and not cuts[:-1].any():
+            phrases.append(" ".join(words))
+    rows = [(i, p) for i, p in enumerate(phrases)]
+    rows += [(100, "\n".join(" ".join(phrases[i:i + 6]) for i in (0, 6))), (101, " ".join(phrases[3:9]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(x.doc_id, x.start, x.n_words, x.first_doc) for x in SD.removed_spans(df).collect()]
+    assert got == [(101, 0, 30, 100)]  # 100 repeats every phrase, but no two of them in their order
+
+
+def test_first_doc_holds_the_run(spark, planted):
+    rows, _ = planted
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(reversed(rows))  # of rows that share an id the first
+    plain = lambda t: " ".join(brute.WORD.findall(brute.lower_az(t)))
+    for x in SD.removed_spans(df).where("first_doc < 9000 and (doc_id < 9000 or doc_id is null)").collect():
+        own = [u[0] for u in _units(texts[x.doc_id]) if x.start <= u[1] < x.end]
+        assert " ".join(w for u in own[:2] for w in u) in plain(texts[x.first_doc])
