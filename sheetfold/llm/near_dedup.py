@@ -3,7 +3,7 @@
 Every text becomes its set of word shingles and a MinHash signature. Rows with equal sets form a
 class, and one signature stands for the class. Bands of the signature propose candidate pairs;
 a pair's signatures are compared batch by batch, and the pair is dropped as soon as the posterior
-probability that its similarity reaches the threshold falls below ``miss``; survivors are
+probability that its similarity reaches the threshold falls below its share of ``miss``; survivors are
 confirmed on the full shingle sets. Groups are the connected components of the confirmed links.
 
 Within a bucket not all pairs are formed. First every member meets the bucket's best connected
@@ -33,7 +33,7 @@ BANDS, ROWS = 32, 4
 #: Values of a signature (the first BANDS * ROWS make the bands; all are compared) and their bytes:
 #: the low 16 bits of a MinHash value, which differ for different values but once in 65536.
 HASHES, WIDTH = 512, 2
-#: Values compared at a time, and the posterior probability below which a pair is dropped.
+#: Values compared at a time, and the probability of dropping a pair, spent evenly over all looks.
 BATCH, MISS = 16, 1e-4
 #: Members of a bucket compared with each other by one task.
 BLOCK = 512
@@ -54,9 +54,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=None)
 def fewest_matches(threshold: float, miss: float = MISS) -> tuple[int, ...]:
     """For each batch end ``n`` the fewest matches among ``n`` values with which a pair goes on:
-    ``P(similarity >= threshold | m of n match) >= miss`` under a uniform prior. The posterior is
-    Beta(m + 1, n - m + 1), whose upper tail is a binomial sum."""
+    ``P(similarity >= threshold | m of n match) >= miss / looks`` under a uniform prior. The posterior
+    is Beta(m + 1, n - m + 1), whose upper tail is a binomial sum."""
     out = []
+    miss /= HASHES // BATCH
     for n in range(BATCH, HASHES + 1, BATCH):
         m = 0
         while sum(math.comb(n + 1, j) * threshold ** j * (1 - threshold) ** (n + 1 - j) for j in range(m + 1)) < miss:

@@ -1,5 +1,6 @@
 """Near-duplicate groups against all pairs, and the pieces they are built of."""
 
+import math
 import random
 
 import brute
@@ -128,3 +129,20 @@ def test_dedup_keeps_unlike_texts_that_share_an_id(spark):
     got = sorted(((x.doc_id, x.text and x.text.lower()) for x in out.collect()), key=str)
     assert got == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (None, None), (None, None),
                           (4, texts[4]), (5, texts[5])], key=str)
+
+
+def dropped(similarity, limits):
+    """The probability that a pair is dropped at one of all looks: a dynamic programme over its matches."""
+    step = np.array([math.comb(ND.BATCH, j) * similarity ** j * (1 - similarity) ** (ND.BATCH - j) for j in range(ND.BATCH + 1)])
+    alive, gone = np.ones(1), 0.0
+    for least in limits:
+        alive = np.convolve(alive, step)
+        gone += alive[:least].sum()
+        alive[:least] = 0
+    return gone
+
+
+def test_all_looks_together_keep_the_miss():
+    limits = ND.fewest_matches(0.75)
+    assert dropped(0.75, limits) <= ND.MISS and dropped(0.76, limits) <= dropped(0.75, limits)
+    assert dropped(0.3, limits) > 0.999
