@@ -4,7 +4,8 @@ Byte-level BPE never joins the end of a word to the white space that follows: ev
 white space at its start only, or nothing else. A text may therefore be cut wherever a character
 other than white space is followed by white space, its pieces encoded apart, and each distinct
 piece only once. Texts with white space beyond ASCII are encoded whole, so the cut never has to
-tell such characters from letters.
+tell such characters from letters; so are texts that hold an added token of the file where those
+count.
 """
 
 from __future__ import annotations
@@ -26,14 +27,17 @@ PIECE_BYTES = 1 << 20
 
 class Encoder:
     """Encodes with one tokenizer file and remembers the ids of pieces: one piece for each of
-    ``slots`` places (a later piece takes the place of an earlier one), and at most ``most`` ids."""
+    ``slots`` places (a later piece takes the place of an earlier one), and at most ``most`` ids.
+    With ``added`` the file's added tokens in a text get their own ids, as an unchanged tokenizer
+    gives them; without, special ones are plain text."""
 
-    def __init__(self, path: str, slots: int = 1 << 21, most: int = 1 << 24):
+    def __init__(self, path: str, slots: int = 1 << 21, most: int = 1 << 24, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.slots, self.most = slots, most
         self.ids = np.zeros(1 << 16, np.uint32)
         self._forget()
@@ -53,7 +57,7 @@ class Encoder:
         """Ids of every text (null: none), as ``tokenizers`` gives them without special tokens."""
         out: list[np.ndarray] = []
         for _, some in chunks(texts, PIECE_BYTES):
-            whole = [i for i, t in enumerate(some) if not t.isascii() and _OTHER_SPACE.search(t.decode())]
+            whole = [i for i, t in enumerate(some) if not t.isascii() and _OTHER_SPACE.search(t.decode()) or any(a in t for a in self.added)]
             ids, sizes = self.plain([some[i].decode() for i in whole])
             odd = dict(zip(whole, np.split(ids, np.cumsum(sizes)[:-1]))) if whole else {}
             for i in whole:
@@ -110,5 +114,5 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """This Python worker's encoder for a tokenizer file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, added=True)
     return _ENCODERS[path]

@@ -77,3 +77,18 @@ def test_query_rows(spark, plain):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert PK.pack(PK.token_pieces(df, PATH)).count() == 0
+
+
+def test_added_tokens_get_their_ids(spark):
+    unchanged = Tokenizer.from_file(PATH)
+    r = random.Random(9)
+    parts = ["<|endoftext|>", "<|endoftext|>", " ", "\n", "word", "<|", "|>", "é", "\xa0", "1", "endoftext"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(3000)]
+    want = [e.ids for e in unchanged.encode_batch(texts, add_special_tokens=False)]
+    assert any(50256 in x for x in want)
+    enc = Encoder(PATH, slots=64, most=500, added=True)
+    assert [x.tolist() for x in enc.encode([t.encode() for t in texts])] == want
+    rows = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "plain"]))
+    out = PK.token_pieces(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
+    ids = {d: unchanged.encode(t, add_special_tokens=False).ids + [0] for d, t in rows}
+    assert {x.doc_id: bytes(x.ids) for x in out} == {d: np.array(x, "<u4").tobytes() for d, x in ids.items()}
