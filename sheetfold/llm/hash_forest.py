@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from sheetfold.llm.common import store
 from sheetfold.operators.joins import sized_side
 
-#: Trees, bits of a hash string, and candidates (counted in every tree) at which the ascent stops.
+#: Trees, bits of a hash string, and candidates (counted in every tree) at which the ascent stops at the earliest.
 TREES, BITS, CANDIDATES = 64, 32, 16_000
+#: Candidates as a share of all classes that the ascent needs besides, so recall holds as the table grows.
+SHARE = 0.4
 #: Vectors that the halving thresholds are fitted to, at most.
 SAMPLE = 4096
 #: Vectors per sorted array and per block of vectors, about.
@@ -171,8 +173,9 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, k: int = 10, trees:
 
     What takes part says :func:`usable`; a row repeated with id and vector counts once, and rows
     with the query's own id are no candidates of it. The forest is fitted to at most about
-    ``SAMPLE`` vectors and holds every one. A query whose arrays hold fewer than ``candidates`` at
-    their shortest prefix is compared with all vectors, in blocks.
+    ``SAMPLE`` vectors and holds every one. The ascent stops at ``candidates``, or at ``SHARE`` of
+    all distinct vectors if that is more. A query whose arrays hold fewer at their shortest prefix
+    is compared with all vectors, in blocks.
     """
     spark = vectors.sparkSession
     rows = store(usable(vectors), "forest-rows")
@@ -183,6 +186,7 @@ def nearest_neighbours(vectors: DataFrame, every: int = 100, k: int = 10, trees:
                .join(members.where("nth = 1").select("class", F.col("vec_id").alias("least_id")), "class"))
     classes = store(classes, "forest-classes")
     count = classes.count()
+    candidates = max(candidates, int(np.ceil(SHARE * count)))
     queries = ids.where(F.col("vec_id") % every == 0)
     asking = queries.select("class").distinct()
     if not count:

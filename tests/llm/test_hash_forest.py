@@ -71,3 +71,18 @@ def test_recall(spark):
     recall = hits / (10 * len(got))
     print("recall", recall)
     assert recall >= 0.9
+
+
+def test_recall_holds_whatever_the_least_number_of_candidates(spark):
+    r = np.random.default_rng(7)
+    v = r.normal(size=(12000, 64))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    hits = 0
+    got = {}
+    for x in HF.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), candidates=600).collect():
+        got.setdefault(x.query_id, set()).add(x.vec_id)
+    for q in range(0, 12000, 100):
+        far = ((v - v[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += len(got[q] & set(np.argsort(far)[:10].tolist()))
+    assert hits / 1200 >= 0.85
