@@ -4,13 +4,15 @@ A license text is looked for where enough of its words lie close together. There
 the template are aligned: words that are unique in both anchor the alignment, their longest
 increasing subsequence is kept, and the gaps between anchors are aligned in the same way; a gap
 without anchors matches what its two sides have in common at both ends. Coverage is the share of
-the template's words that are matched.
+the template's words that are matched. What tells a license from its neighbours (name, version,
+variant) has to be matched besides, word after word.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from sheetfold.llm.words import chunks, digests_of, words_of
 
 #: Least share of a template's words that a text must hold.
 COVERAGE = 0.8
+#: Words from which a template is long: its places are then tried in strides, not word by word.
+LONG = 200
 #: Words that a license may stretch over, against the template's own.
 STRETCH = 1.4
 
@@ -59,6 +63,39 @@ TEMPLATES: dict[str, str] = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: Whole licenses: name and "-body" → text.
+BODIES: dict[str, str] = {f"{f.stem}-body": f.read_text() for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+#: Phrases that a place has to hold without a word between, besides the coverage.
+PHRASES: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache License, Version 2.0",),
+    "Apache-2.0-notice": ("Apache License, Version 2.0",),
+    "BSD-3-Clause": ("BSD-style license",),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0",),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0",),
+    "GPL-3.0": ("GNU General Public License", "version 3"),
+    "GPL-3.0-notice": ("GNU General Public", "version 3"),
+    "MIT": ("MIT License",),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0",),
+    "Unlicense": ("unencumbered software", "public domain"),
+    "Apache-2.0-body": ("Apache License Version 2.0",),
+    "Artistic-1.0-Perl-body": ("Artistic License",),
+    "BSD-3-Clause-body": ("Neither the name of",),
+    "BSD-4-Clause-body": ("advertising materials", "Neither the name of"),
+    "CC0-1.0-body": ("CC0 1.0",),
+    "GFDL-1.2-body": ("GNU Free Documentation License Version 1.2",),
+    "GFDL-1.3-body": ("GNU Free Documentation License Version 1.3",),
+    "GPL-1.0-body": ("GNU GENERAL PUBLIC LICENSE Version 1",),
+    "GPL-2.0-body": ("GNU GENERAL PUBLIC LICENSE Version 2",),
+    "GPL-3.0-body": ("GNU GENERAL PUBLIC LICENSE Version 3",),
+    "LGPL-2.0-body": ("GNU LIBRARY GENERAL PUBLIC LICENSE Version 2",),
+    "LGPL-2.1-body": ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1",),
+    "LGPL-3.0-body": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3",),
+    "MPL-1.1-body": ("MOZILLA PUBLIC LICENSE Version 1.1",),
+    "MPL-2.0-body": ("Mozilla Public License Version 2.0",),
+}
+
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Matched positions of two sequences, increasing in both."""
@@ -124,15 +161,24 @@ def _normal(w):
 class Templates:
     """License texts as sequences of words' digests."""
 
-    def __init__(self, texts: dict[str, str]):
+    def __init__(self, texts: dict[str, str], phrases: dict[str, tuple[str, ...]] | None = None):
         self.names = sorted(texts)
-        w = words_of([texts[n].encode() for n in self.names], digests=False)
-        words = _normal(w)
-        self.words = [[x for x in words[a:b].tolist() if x] for a, b in zip(w.first[:-1], w.first[1:])]
+        self.words = self._words([texts[n] for n in self.names])
+        # the places of each phrase in its template, of which one has to be matched
+        self.phrases = [[[range(i, i + len(p)) for i in range(len(t)) if t[i:i + len(p)] == p]
+                         for p in self._words(list((phrases or {}).get(n, ())))] for n, t in zip(self.names, self.words)]
         self.vocabulary = np.unique(np.array([x for t in self.words for x in t], np.uint64))
         self.counts = np.array([np.bincount(np.searchsorted(self.vocabulary, np.array(t, np.uint64)), minlength=len(self.vocabulary))
                                 for t in self.words]).reshape(len(self.words), len(self.vocabulary))
 
+    @staticmethod
+    def _words(texts: list[str]) -> list[list[int]]:
+        if not texts:
+            return []
+        w = words_of([t.encode() for t in texts], digests=False)
+        words = _normal(w)
+        return [[x for x in words[a:b].tolist() if x] for a, b in zip(w.first[:-1], w.first[1:])]
+
     def scan(self, texts: list[bytes], coverage: float):
         """``(text, name, coverage, start, end)`` with byte offsets, in order of place; where licenses overlap, the one with
         most matched words stays."""
@@ -158,7 +204,7 @@ class Templates:
             some = words[at[a + hits]]
             matches = []
             for i in likely:
-                matches += self._matches(self.names[i], self.words[i], own, hits, some, coverage)
+                matches += self._matches(self.names[i], self.words[i], self.phrases[i], own, hits, some, coverage)
             taken: list[tuple[int, int]] = []
             for matched, name, share, i, j in sorted(matches, key=lambda m: (-m[0], m[1], m[3])):
                 if all(j <= x or y <= i for x, y in taken):
@@ -166,7 +212,7 @@ class Templates:
                     yield d, name, share, int(w.starts[at[a + i]] - w.base[d]), int(w.ends[at[a + j - 1]] - w.base[d])
 
     @staticmethod
-    def _matches(name, template, own, hits, some, coverage):
+    def _matches(name, template, phrases, own, hits, some, coverage):
         """Matches of one template: windows that hold enough of its words, aligned from left to right."""
         need = int(np.ceil(coverage * len(template)))
         wide = int(len(template) * STRETCH) + 2
@@ -185,9 +231,16 @@ class Templates:
                 again = patience(own[begin:begin + wide], template)
                 if len(again) >= len(pairs):
                     i, pairs = begin, again
+                at = {q: p for p, q in pairs}
+                if not all(any(all(at.get(q, -1) == at.get(place[0], -2) + q - place[0] for q in place) for place in places)
+                           for places in phrases):
+                    after = i + pairs[-1][0] + 1 if len(template) >= LONG else after  # another license's body
+                    continue
                 first, last = i + pairs[0][0], i + pairs[-1][0] + 1
                 yield len(pairs), name, len(pairs) / len(template), first, last
                 after = last
+            elif len(template) >= LONG:  # a window further by x words holds at most x more of the template
+                after = i + max(1, (need - len(pairs)) // 2)
 
 
 SCHEMA = "doc_id long, license string, coverage double, start long, end long"
@@ -199,8 +252,9 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, cover
 
     Case of A-Z, white space and punctuation around words do not count. A null or empty text
     holds none; rows that share an id are documents of their own; an empty table gives no rows.
-    ``templates`` (name → text) is a bounded list that goes to every task."""
-    known = Templates(TEMPLATES if templates is None else templates)
+    ``templates`` (name → text) is a bounded list that goes to every task; by default it is
+    ``TEMPLATES`` and ``BODIES``, and ``PHRASES`` have to be matched."""
+    known = Templates(TEMPLATES | BODIES, PHRASES) if templates is None else Templates(templates)
 
     def run(batches):
         for batch in batches:

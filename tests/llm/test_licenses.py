@@ -78,3 +78,26 @@ def test_license_lines_of_the_documents(spark):
     lines = docs.where("text rlike 'Released under the MIT License|Licensed under CC BY-NC 4.0|GNU General Public License, version 3|Licensed under the Apache License, Version 2.0'")
     want = {x.doc_id for x in lines.select("doc_id").collect()}
     assert want == {x.doc_id for x in L.license_scan(docs).collect()}
+
+
+def _names(text):
+    return [x[1] for x in L.Templates(L.TEMPLATES | L.BODIES, L.PHRASES).scan([text.encode()], L.COVERAGE)]
+
+
+def test_neighbouring_licenses_are_told_apart():
+    for text in ("Released under the BSD License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.",
+                 "This work is licensed under the GNU General Public License, version 2.",
+                 "This work is licensed under the GNU Lesser General Public License, version 3.",
+                 "Licensed under the Apache License, Version 1.1.",
+                 L.TEMPLATES["GPL-3.0-notice"].replace("version 3", "version 2"),
+                 L.TEMPLATES["GPL-3.0-notice"].replace("GNU General", "GNU Lesser General")):
+        assert _names("some words " + text + " more words") == []
+    for name, phrases in L.PHRASES.items():
+        assert phrases and all(L.Templates({name: (L.TEMPLATES | L.BODIES)[name]}, L.PHRASES).phrases[0]), name
+
+
+def test_every_template_and_body_is_found_as_itself():
+    for name, text in (L.TEMPLATES | L.BODIES).items():
+        assert _names("some words before. " + text + " zz after") == [name]
+    agpl = L.BODIES["GPL-3.0-body"].replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE")
+    assert "GPL-3.0-body" not in _names(agpl)
