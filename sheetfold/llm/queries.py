@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sheetfold.llm import equal_average as EA
+from sheetfold.llm import filter_audit as FA
 from sheetfold.llm import hash_forest as HF
 from sheetfold.llm import language_id as LI
 from sheetfold.llm import licenses as LC
@@ -17,6 +19,7 @@ from sheetfold.llm import near_dedup as ND
 from sheetfold.llm import packing as PK
 from sheetfold.llm import quality as QU
 from sheetfold.llm import substring_dedup as SD
+from sheetfold.llm import tier_packing as TP
 from sheetfold.llm import warc_fixity as WF
 from sheetfold.sources.fixtures import table
 
@@ -234,3 +237,87 @@ def op8_hash_forest(spark, sf):
 def op5_license_scan(spark, sf):
     """Licenses found in the texts of ``documents``, with coverage and place."""
     return LC.license_scan(table(spark, sf, "documents"))
+
+
+def _op11_sql(rounds: int = EA.ROUNDS) -> str:
+    def nearest(book):
+        return f"""(select rid, part, min(d * 64 + entry) % 64 as entry, min(d * 64 + entry) // 64 as d from (
+    select p.rid, p.part, b.entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+    from parts p join {book} b on p.part = b.part) group by rid, part)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""near{r} as {nearest(f'books{r}')},
+means{r} as (select part, entry, list(((total - ((total % n) + n) % n) // n)::bigint order by pos) as x from (
+    select c.part, a.entry, c.pos, sum(c.v)::bigint as total, count(*) as n from cells c join near{r} a on c.rid = a.rid and c.part = a.part
+    group by c.part, a.entry, c.pos) group by part, entry),
+books{r + 1} as (select b.part, b.entry, coalesce(m.x, b.x) as x from books{r} b left join means{r} m on b.part = m.part and b.entry = m.entry),""")
+    return f"""
+with kept as (
+  select row_number() over (order by vec_id nulls last, embedding) as rid, vec_id, label, embedding from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+cells as (
+  select rid, (j - 1) // (len(embedding) // 16) as part, (j - 1) % (len(embedding) // 16) as pos, floor(256 * embedding[j]::double)::bigint as v
+  from (select rid, embedding, unnest(range(1, len(embedding) + 1)) as j from kept)),
+parts as (select rid, part, list(v order by pos) as x from cells group by rid, part),
+books0 as (select part, rid - 1 as entry, x from parts where rid <= 64),
+""" + "\n".join(steps) + f"""
+final as {nearest(f'books{rounds}')},
+codes as (select rid, string_agg(printf('%02x', entry), '' order by part) as code, sum(d)::bigint as error from final group by rid),
+digest as (select sha256(string_agg(v::varchar, ',' order by part, entry, pos)) as h
+  from (select part, entry, unnest(range(len(x))) as pos, unnest(x) as v from books{rounds}))
+select k.vec_id, c.code, c.error, (sum(c.error) over (partition by k.label))::bigint as label_error, (select h from digest) as codebooks_sha256
+from kept k join codes c using (rid)
+"""
+
+
+@query("op11_equal_average", _op11_sql())
+def op11_equal_average(spark, sf):
+    """Codes, errors and codebooks' digest of all ``embeddings``: 16 parts, 64 entries, two rounds."""
+    return EA.vector_codes(table(spark, sf, "embeddings"))
+
+
+@query("op12_tier_packing")
+def op12_tier_packing(spark, sf):
+    """All ids of ``documents`` in sequences of 2048, 1024, 512 and 256, with their step groups."""
+    packed = TP.tier_pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+                         "tier", "step_id")
+
+
+OP13_SQL = r"""
+with words as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+marks as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels where doc_id is not null group by doc_id),
+firsts as (select t, min(doc_id) as first from words group by t),
+failing as (
+  select part, (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int
+    + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t))::int + 8 * regexp_matches(t, '[#$%&*|]')::int
+    + 16 * coalesce(doc_id > first, false)::int as pattern, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+  from words join firsts using (t) left join marks using (doc_id)),
+counts as (select part, pattern, count(*) as n, sum(good) as good, sum(toxic) as toxic from failing group by part, pattern),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 4, 8, 16]) as bit),
+orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps as (
+  select filter_order, unnest([1, 2, 3, 4, 5])::int as step, unnest(bits) as bit,
+    unnest([0, bits[1], bits[1] + bits[2], bits[1] + bits[2] + bits[3], 31 - bits[5]]) as before from orders),
+audited as (
+  select part, filter_order, step, bit,
+    coalesce(sum(n) filter (pattern & (before + bit) = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter (pattern & before = 0 and pattern & bit > 0), 0)::bigint as removed,
+    coalesce(sum(n) filter (pattern & before > 0 and pattern & bit > 0), 0)::bigint as redundant,
+    coalesce(sum(n) filter (pattern = bit), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (pattern & before = 0 and pattern & bit > 0), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (pattern & before = 0 and pattern & bit > 0), 0)::bigint as toxic_lost
+  from counts, steps group by part, filter_order, step, bit)
+select * exclude (bit), sum(removed) over (partition by part, bit)::bigint as shapley from audited
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark, sf):
+    """Five filters over ``documents`` in all 120 orders: what each step keeps, removes and loses, per source."""
+    return FA.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))

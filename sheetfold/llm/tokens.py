@@ -1,118 +1,100 @@
 """Token ids of many texts with a ``tokenizers`` file.
 
+A text is cut into pieces that the tokenizer never joins, and each distinct piece is encoded once.
+
 Byte-level BPE never joins the end of a word to the white space that follows: every token holds
-white space at its start only, or nothing else. A text may therefore be cut wherever a character
-other than white space is followed by white space, its pieces encoded apart, and each distinct
-piece only once. Texts with white space beyond ASCII are encoded whole, so the cut never has to
-tell such characters from letters; so are texts that hold an added token of the file where those
-count.
+white space at its start only, or nothing else, so a piece is a word with the white space before it.
+Texts with white space beyond ASCII are encoded whole, so the cut never has to tell such characters
+from letters. Tokenizers that drop white space take plain words (``spaces=False``). An added token
+of the file holds no white space, so it lies in one piece.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 
-from sheetfold.llm.words import chunks, digests_of, words_of
-
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-#: Bytes of text whose pieces are looked up at once.
-PIECE_BYTES = 1 << 20
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_WITH_SPACE = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+_WORD_END = re.compile(rb"[^\x20\x09-\x0D](?=[\x20\x09-\x0D])")
+#: Bytes of a text whose pieces are looked up at once.
+SEGMENT_BYTES = 1 << 18
 
 
 class Encoder:
-    """Encodes with one tokenizer file and remembers the ids of pieces: one piece for each of
-    ``slots`` places (a later piece takes the place of an earlier one), and at most ``most`` ids.
-    With ``added`` the file's added tokens in a text get their own ids, as an unchanged tokenizer
-    gives them; without, special ones are plain text."""
+    """Encodes with one tokenizer file and remembers the ids of the last ``slots`` pieces (or ``most``
+    ids) that were met, and of as many before them; pieces met again outlast those met once. With
+    ``added`` the file's added tokens in a text get their own ids, as an unchanged tokenizer gives
+    them; without, special ones are plain text. ``spaces``: whether white space counts for the
+    tokenizer."""
 
-    def __init__(self, path: str, slots: int = 1 << 21, most: int = 1 << 24, added: bool = False):
+    def __init__(self, path: str, slots: int = 1 << 18, most: int = 1 << 21, added: bool = False, spaces: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
-        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
-        self.slots, self.most = slots, most
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.digest = np.zeros(self.slots, np.uint64)
-        self.begin, self.size = np.zeros(self.slots, np.int64), np.zeros(self.slots, np.int64)
+        self.slots, self.most, self.spaces = slots, most, spaces
+        # a piece's bytes are the key: unlike pieces never meet
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.used = 0
 
-    def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of whole texts, one after the other, and how many each has."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+    def _segments(self, text: bytes) -> Iterator[bytes]:
+        """``text`` in runs of about ``SEGMENT_BYTES``, cut behind words."""
+        at = 0
+        while len(text) - at > SEGMENT_BYTES and (end := _WORD_END.search(text, at + SEGMENT_BYTES)):
+            yield text[at:end.end()]
+            at = end.end()
+        yield text[at:] if at else text
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        if len(self.known) > self.slots or self.used > self.most:
+            self.known, self.older, self.used = {}, self.known, 0
+        new = []
+        for p in dict.fromkeys(pieces):
+            if p not in self.known:
+                if (ids := self.older.get(p)) is None:
+                    new.append(p)
+                else:
+                    self.known[p] = ids
+        for p, e in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)):
+            ids = e.ids
+            self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
+            self.used += len(ids)
+
+    def _ids(self, segment: bytes) -> bytes:
+        if self.spaces and not segment.isascii() and _OTHER_SPACE.search(segment.decode()):
+            return np.array(self.tokenizer.encode(segment.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        pieces = _WITH_SPACE.findall(segment) if self.spaces else segment.split()
+        try:
+            return b"".join(map(self.known.__getitem__, pieces))
+        except KeyError:
+            self._learn(pieces)
+            return b"".join(map(self.known.__getitem__, pieces))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of every text (null: none), as ``tokenizers`` gives them without special tokens."""
-        out: list[np.ndarray] = []
-        for _, some in chunks(texts, PIECE_BYTES):
-            whole = [i for i, t in enumerate(some) if not t.isascii() and _OTHER_SPACE.search(t.decode()) or any(a in t for a in self.added)]
-            ids, sizes = self.plain([some[i].decode() for i in whole])
-            odd = dict(zip(whole, np.split(ids, np.cumsum(sizes)[:-1]))) if whole else {}
-            for i in whole:
-                some[i] = b""
-            out += [odd.get(i, x) for i, x in enumerate(self._encode(some))]
+        out = []
+        for t in texts:
+            t = t or b""
+            whole = self.spaces and not t.isascii() and _OTHER_SPACE.search(t.decode())
+            found = b"".join(map(self._ids, [t] if whole else self._segments(t)))
+            out.append(np.frombuffer(found, "<u4"))
         return out
 
-    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        w = words_of(texts, digests=False)
-        n = len(texts)
-        # a piece: a word with the white space before it; what is left at a text's end is one more
-        owner = np.repeat(np.arange(n), np.diff(w.first))
-        begins, ends = w.base[owner], w.ends
-        begins[1:] = np.where(owner[1:] == owner[:-1], ends[:-1], begins[1:])
-        text_ends = np.append(w.base[1:], len(w.buffer)) - 1
-        last, has = w.base.copy(), np.diff(w.first) > 0
-        last[has] = w.ends[w.first[1:][has] - 1]
-        tail = np.flatnonzero(last < text_ends)
-        if len(tail):
-            begins, ends = np.concatenate([begins, last[tail]]), np.concatenate([ends, text_ends[tail]])
-            owner = np.concatenate([owner, tail])
-            order = np.argsort(begins, kind="stable")
-            begins, ends, owner = begins[order], ends[order], owner[order]
-        if not len(begins):
-            return [np.zeros(0, np.uint32)] * n
-        digests = digests_of(w.buffer, begins, ends)
-        slot = (digests & np.uint64(self.slots - 1)).astype(np.int64)
-        new = np.flatnonzero(self.digest[slot] != digests)
-        a, sizes = self.begin[slot], self.size[slot]
-        if len(new):
-            distinct, at, which = np.unique(digests[new], return_index=True, return_inverse=True)
-            at = new[at]
-            raw = w.buffer.tobytes()
-            found, count = self.plain([raw[i:j].decode() for i, j in zip(begins[at].tolist(), ends[at].tolist())])
-            if self.used + len(found) > len(self.ids):
-                self.ids = np.concatenate([self.ids[:self.used], found, np.zeros(self.used + len(found), np.uint32)])
-            self.ids[self.used:self.used + len(found)] = found
-            start = self.used + np.cumsum(count) - count
-            a[new], sizes[new] = start[which], count[which]
-            to = slot[at]
-            self.digest[to], self.begin[to], self.size[to] = distinct, start, count
-            self.used += len(found)
-        before = np.cumsum(sizes) - sizes
-        ids = self.ids[np.arange(int(sizes.sum())) + np.repeat(a - before, sizes)]
-        if self.used > self.most:
-            self._forget()
-        per_text = np.bincount(owner, weights=sizes, minlength=n).astype(np.int64)
-        return np.split(ids, np.cumsum(per_text)[:-1])
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """This Python worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, added=True)
-    return _ENCODERS[path]
+
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(path: str, spaces: bool = True) -> Encoder:
+    """This Python worker's encoder for a tokenizer file, with added tokens' own ids. Only the last one
+    used stays in memory."""
+    if (path, spaces) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, spaces] = Encoder(path, added=True, spaces=spaces)
+    return _ENCODERS[path, spaces]
