@@ -22,7 +22,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetfold.operators.joins import missing_from, sized_side
+from sheetfold.operators.joins import materialize, missing_from, sized_side
 from sheetfold.operators.rowid import dense_index
 from sheetfold.plans import budget as BU
 from sheetfold.plans import finance as FI
@@ -43,7 +43,7 @@ def _tab_listing(spark, inputs: list[str], grid_format: str, tabs: list[str] | N
     """Every workbook tab under the inputs: ``folder, file_id, file_name, tab``. CSV exports are
     listed from file metadata only; Parquet grids by their key columns."""
     if grid_format == "csv":
-        listing = G.list_workbook_exports(spark, inputs).drop("path")
+        listing = G.list_workbook_exports(spark, inputs).drop("path").distinct()
     else:
         listing = None
         for path in inputs:
@@ -53,14 +53,19 @@ def _tab_listing(spark, inputs: list[str], grid_format: str, tabs: list[str] | N
     return listing.where(F.col("tab").isin(*tabs)) if tabs else listing
 
 
-def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int | None = None,
-              title_filter=None) -> DataFrame:
-    """The ``tabs`` of the workbooks under the inputs whose title passes ``title_filter``. For CSV
-    exports both prune files before they are opened (file pattern, predicate on file metadata);
+def load_scan(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv", max_cols: int | None = None,
+              title_filter=None) -> tuple[DataFrame, DataFrame]:
+    """The ``tabs`` of the workbooks under the inputs whose title passes ``title_filter``, and the workbooks
+    with a tab that cannot be read (``file_id, file_name, motivo``; none of their rows is in the grid).
+    For CSV exports tabs and titles prune files before they are opened (predicates on file metadata);
     for Parquet grids the tab predicate reaches the scan. ``max_cols`` is the job's own range (26
     for ``A:Z``); without it rows are whole."""
     if grid_format == "csv":
-        return G.read_workbook_exports(spark, inputs, max_cols=max_cols, tabs=tabs, title_filter=title_filter)
+        scan = G.scan_workbook_exports(spark, inputs, max_cols=max_cols, tabs=tabs, title_filter=title_filter)
+        failed = scan.failures.groupBy("file_id", "file_name").agg(
+            F.array_join(F.array_sort(F.collect_set(F.concat_ws(": ", "tab", "reason"))), "; ").alias("motivo"))
+        failed = materialize(failed)
+        return scan.grid.join(sized_side(failed.select("file_id")), "file_id", "left_anti"), failed
     grid = None
     for path in inputs:
         g = G.read_parquet_grid(spark, path).select("folder", "file_id", "file_name", "tab", "row_idx", "cells")
@@ -68,28 +73,35 @@ def load_grid(spark, inputs: list[str], tabs: list[str], grid_format: str = "csv
     grid = grid.where(F.col("tab").isin(*tabs))
     if title_filter is not None:
         grid = grid.where(title_filter(F.col("file_name")))
-    return grid.withColumn("cells", F.slice("cells", 1, max_cols)) if max_cols else grid
+    none = spark.createDataFrame([], "file_id string, file_name string, motivo string")
+    return grid.withColumn("cells", F.slice("cells", 1, max_cols)) if max_cols else grid, none
 
 
 def finance(spark, inputs: list[str], grid_format: str = "csv") -> dict[str, DataFrame]:
     """Listing first (file metadata): de-duplicate workbooks by id (the last listed copy wins),
-    keep names starting with NUEVO that are not copies, report those missing a projection tab.
-    Only the projection tabs of name-matching workbooks are opened; duplicates and failed
-    workbooks are dropped by size-checked semi/anti joins."""
+    keep names starting with NUEVO that are not copies, report those missing a projection tab or
+    with one that cannot be read. Only the projection tabs of name-matching workbooks are opened;
+    duplicates and failed workbooks are dropped by size-checked joins. Exports are in listing order."""
     all_tabs = _tab_listing(spark, inputs, grid_format)
     books = dense_index(all_tabs.select("folder", "file_id", "file_name").distinct(), ["folder", "file_name"], "file_ord")
-    kept = FI.finance_file_filter(LS.dedupe_by_id(books, "file_id", "file_ord"), "file_name")
-    tabs = all_tabs.join(sized_side(kept.select("file_id", "folder")), ["file_id", "folder"], "left_semi")
+    kept = materialize(FI.finance_file_filter(LS.dedupe_by_id(books, "file_id", "file_ord"), "file_name"))
+    kept = kept.select("file_id", "folder", "file_ord")
+    tabs = all_tabs.join(sized_side(kept), ["file_id", "folder"], "left_semi")
     has = tabs.groupBy("file_id", "file_name").agg(
         F.max((F.col("tab") == FI.INCOME_TAB).cast("int")).alias("_in"),
         F.max((F.col("tab") == FI.EXPENSE_TAB).cast("int")).alias("_out"))
-    failed = has.where((F.col("_in") == 0) | (F.col("_out") == 0)).select("file_id", "file_name")
-    grid = load_grid(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format, max_cols=FI.RANGE_COLUMNS,
-                     title_filter=FI.finance_name_ok)
-    grid = (grid.join(sized_side(kept.select("file_id", "folder")), ["file_id", "folder"], "left_semi")
+    lacking = has.where((F.col("_in") == 0) | (F.col("_out") == 0)).select(
+        "file_id", "file_name", F.concat_ws(": ", F.when(F.col("_in") == 0, F.lit(FI.INCOME_TAB)).otherwise(F.lit(FI.EXPENSE_TAB)),
+                                            F.lit("missing tab")).alias("motivo"))
+    grid, broken = load_scan(spark, inputs, [FI.INCOME_TAB, FI.EXPENSE_TAB], grid_format, max_cols=FI.RANGE_COLUMNS,
+                             title_filter=FI.finance_name_ok)
+    broken = broken.join(sized_side(kept.select("file_id")), "file_id", "left_semi")
+    failed = materialize(lacking.unionByName(broken).groupBy("file_id", "file_name").agg(
+        F.array_join(F.array_sort(F.collect_set("motivo")), "; ").alias("motivo")))
+    grid = (grid.join(sized_side(kept), ["file_id", "folder"])
             .join(sized_side(failed.select("file_id")), "file_id", "left_anti"))
     grid = grid.withColumn("tipo", F.when(F.col("tab") == FI.INCOME_TAB, F.lit(FI.INCOME)).otherwise(F.lit(FI.EXPENSE)))
-    out = FI.run(grid, ["file_id", "tab"], "tipo", "file_name")
+    out = FI.run(grid, ["file_id", "tab"], "tipo", "file_name", "file_ord")
     out["Archivos_con_error"] = failed
     return out
 
@@ -109,11 +121,13 @@ def budget(spark, inputs: list[str], rates_path: str | None, workbooks: list[str
             return t.isin(*workbooks)
     else:
         books = dense_index(books, ["folder", "file_name", "file_id"], "file_ord")
-    grid = load_grid(spark, inputs, [BU.TEAM_TAB], grid_format, title_filter=title_filter)
+    grid, failed = load_scan(spark, inputs, [BU.TEAM_TAB], grid_format, title_filter=title_filter)
     grid = grid.join(sized_side(books.select("file_id", "file_ord")), "file_id")
     rates = G.read_table_export(spark, rates_path) if rates_path else None
-    return BU.run(grid, ["file_id"], "file_name", ["file_ord", "row_idx"], rates,
-                  books.select("file_id", "file_name"), "file_id")
+    out = BU.run(grid, ["file_id"], "file_name", ["file_ord", "row_idx"], rates,
+                 books.select("file_id", "file_name"), "file_id")
+    out["Archivos_con_error"] = failed
+    return out
 
 
 def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: str, projects_path: str,
@@ -122,12 +136,17 @@ def timesheets(spark, inputs: list[str], sectors: dict[str, str], rates_path: st
     opened; the folder gives the sector. Workbooks with such a name and no row in that tab are reported."""
     books = _tab_listing(spark, inputs, grid_format).where(TS.timesheet_name_ok(F.col("file_name")))
     books = books.select("folder", "file_id", "file_name").distinct()
-    grid = load_grid(spark, inputs, ["Timesheet"], grid_format, title_filter=TS.timesheet_name_ok)
+    # listing order: the sectors as given, then folders by name, the files of a folder by name
+    listed = LS.ordered_listing(books, list(sectors))
+    grid, failed = load_scan(spark, inputs, ["Timesheet"], grid_format, title_filter=TS.timesheet_name_ok)
+    grid = grid.join(sized_side(listed.select("file_id", "file_ord"), checkpoint=True), "file_id")
     mapping = F.create_map(*[F.lit(x) for kv in sectors.items() for x in kv]) if sectors else None
     sector = F.coalesce(F.try_element_at(mapping, F.col("folder")), F.col("folder")) if mapping is not None else F.col("folder")
     grid = grid.withColumn("sector", sector)      # unmapped folders keep their own name
     out = TS.run_from_grids(grid, ["file_id"], G.read_table_export(spark, rates_path),
-                            G.read_table_export(spark, projects_path), name_col="file_name", sector_col="sector")
+                            G.read_table_export(spark, projects_path), name_col="file_name", sector_col="sector",
+                            order_cols=["file_ord"])
+    out["Archivos_con_error"] = failed
     out["Archivos_sin_tabla"] = missing_from(books, grid, "file_id")
     return out
 

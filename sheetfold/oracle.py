@@ -553,3 +553,50 @@ select folder, file_name, cast(row_number() over (order by
     case folder when 'Empresarial' then 0 when 'Desarrollo' then 1 when 'Directorio' then 2 else 3 end, folder, file_name)
   as bigint) as file_ord
 from (select distinct sector as folder, file_name from fx_grid_timesheet)""")
+
+
+# ---- real files, exports and sinks --------------------------------------------------------
+
+register("src_export_listing", ["fx_grid_timesheet"],
+         "select distinct sector as folder, file_name, 'Timesheet' as tab from fx_grid_timesheet")
+register("src_export_range", _FG, """
+select 'Presupuestos' as folder, archivo_origen as file_name, row_idx, line,
+  cast(case when line = '' then 0 else len(string_split(line, '|')) end as integer) as n_cells
+from (select archivo_origen, row_idx, rtrim(array_to_string(list_slice(cells, 1, 26), '|'), '|') as line from gf where tipo = 'Ingreso'
+  and upper(archivo_origen) like 'NUEVO%' and upper(archivo_origen) not like '%COPIA%')""", FIN_GRID_CTES)
+ORACLE["src_export_table"] = ORACLE["ts_rename_if_present"]
+register("dq_unreadable_files", ["fx_grid_budget"], """
+select file_name, cast(case when max(file_ord) % 10 in (3, 5, 7) then 0 else count(*) end as bigint) as n_rows,
+  case max(file_ord) % 10 when 3 then 'not UTF-8 text' when 5 then 'broken quotes: not a CSV file'
+    when 7 then 'holds NUL bytes: not a text file' end as reason
+from fx_grid_budget group by file_name""")
+
+_PRESENT = ["archivo_origen", "Tipo_Movimiento", "Fecha", "Proyecto", "Monto sin Impuestos", "Monto con Impuestos", "USD",
+            "Fecha de emisión del comprobante", "Situación", "Fecha de factura proveedor"]
+register("fin_present_columns", _FG, f"""
+select {_q(_PRESENT)} from (
+  select {_q(_INC)}, tipo as "Tipo_Movimiento", archivo_origen from fvalid where tipo = 'Ingreso'
+  union all by name
+  select {_q(_EXP)}, tipo as "Tipo_Movimiento", archivo_origen from fvalid where tipo = 'Gasto')""", FIN_GRID_CTES)
+register("fin_export_order", _FG, """
+select archivo_origen, tipo as "Tipo_Movimiento", "Fecha", "Monto con Impuestos",
+  row_number() over (order by tipo <> 'Ingreso', archivo_origen, row_idx) as position from fvalid""", FIN_GRID_CTES)
+ORACLE["ts_run_audit"] = ORACLE["audit_counts_ts"]
+
+_PEOPLE, _RATES = "(select count(*) from people)", "(select count(*) from fx_rates)"
+
+
+def _step_rows(steps: list[tuple[str, str, str]]) -> str:
+    return " union all ".join(f"select '{step}' as step, cast({written} as bigint) as written, cast({held} as bigint) as held"
+                              for step, written, held in steps)
+
+
+register("sink_replace", _BV, _step_rows([
+    ("first", _PEOPLE, _PEOPLE), ("died before publishing", _RATES, _PEOPLE), ("next", _RATES, _RATES)]), BUDGET_CTES)
+register("sink_skip_empty", _BV, _step_rows([
+    ("first", _PEOPLE, _PEOPLE), ("empty", "null", _PEOPLE), ("empty, replacing", "0", "0")]), BUDGET_CTES)
+register("sink_protected", _BV, _step_rows([
+    *[(step, "null", _PEOPLE) for step in ("the folder", "below", "above")], ("beside", "1", _PEOPLE)]), BUDGET_CTES)
+register("sink_find_or_create", _BV, _step_rows([
+    ("a: created", _PEOPLE, _PEOPLE), ("b: created", _RATES, _RATES), ("a again: replaced", _RATES, _RATES),
+    ("a empty: skipped", "0", _RATES)]), BUDGET_CTES)

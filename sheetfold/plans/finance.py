@@ -9,13 +9,14 @@ purge, status filter, amount parsing and positivity, expense date requirement. E
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
 from sheetfold.operators.joins import materialize
+from sheetfold.operators.ranges import parse_range
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
@@ -45,12 +46,13 @@ EXPENSE_COLUMNS = [
 ]
 HEADER_KEYWORDS = ["PROYECTO", "MONTO", "SITUACI", "FACTURA"]
 HEADER_SEARCH_ROWS = 15
-RANGE_COLUMNS = 26  # the projection tabs are read as A:Z
+RANGE = "A:Z"  # of both projection tabs
 VALID_STATUS = ["REAL", "PROYECTADO"]
 INCOME_DATE, EXPENSE_DATE = "Fecha de emisión del comprobante", "Fecha de factura proveedor"
 GHOST_KEY_COLUMNS = ["Proyecto", "Situación", "Monto con Impuestos", "Descripción", "Fecha"]
 # ---------------------------------------------------------------------------------------------
 
+RANGE_COLUMNS = parse_range(RANGE).n_cols
 #: Every canonical column a row projection may need (in master order).
 _NEEDED = [c for c in MASTER_ORDER if c not in ("archivo_origen", "Tipo_Movimiento", "Fecha")]
 
@@ -153,9 +155,10 @@ def expense_date_ok(tipo: Column, fecha: Column) -> Column:
         F.coalesce((T.strip(fecha) != "") & fecha.isNotNull(), F.lit(False)))
 
 
-def clean_rows(rows: DataFrame, keys: list[str], tipo_col: str, title_col: str) -> DataFrame:
+def clean_rows(rows: DataFrame, keys: list[str], tipo_col: str, title_col: str, order_col: str | None = None) -> DataFrame:
     """Project the canonical columns of each data row and flag it:
-    ``_real`` (survives the ghost purge) and ``_valid`` (survives every filter)."""
+    ``_real`` (survives the ghost purge) and ``_valid`` (survives every filter). ``order_col``: the
+    position of a row's workbook in the listing, carried as ``_file_ord``."""
     tipo = F.col(tipo_col)
     fecha = unified_date(tipo, _value(INCOME_DATE), _value(EXPENSE_DATE))
     cols = {c: _value(c) for c in _NEEDED}
@@ -165,13 +168,14 @@ def clean_rows(rows: DataFrame, keys: list[str], tipo_col: str, title_col: str)
     valid = (real & status_ok(cols["Situación"]) & usd_ok(usd, _present("USD"))
              & gross_ok(cols["Monto con Impuestos"]) & expense_date_ok(tipo, fecha))
     key_cols = [k for k in keys if k not in ("archivo_origen", "Tipo_Movimiento")]
-    out = rows.select(*key_cols, "row_idx", tipo.alias("Tipo_Movimiento"), F.col(title_col).alias("archivo_origen"),
+    order = [F.col(order_col).alias("_file_ord")] if order_col else []
+    out = rows.select(*key_cols, *order, "row_idx", tipo.alias("Tipo_Movimiento"), F.col(title_col).alias("archivo_origen"),
                       *[v.alias(k) for k, v in cols.items() if k != "USD"], usd.alias("USD"),
                       real.alias("_real"), valid.alias("_valid"))
     return out
 
 
-def clean_grids(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str) -> DataFrame:
+def clean_grids(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str, order_col: str | None = None) -> DataFrame:
     """Raw projection tabs → flagged rows (see :func:`clean_rows`).
 
     The positions of the needed columns, and whether a row follows the header, show in the rows of
@@ -180,28 +184,57 @@ def clean_grids(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str)
     gkeys = _with_tipo(keys, tipo_col)
     slim = lay.select(*gkeys, "header_idx", "stop_idx", *[f"i_{k}" for k in range(len(_NEEDED))])
     rows = L.table_rows(grid, slim, gkeys)
-    return clean_rows(rows, keys, tipo_col, title_col)
+    return clean_rows(rows, keys, tipo_col, title_col, order_col)
 
 
 def _select(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def masters(clean: DataFrame) -> dict[str, DataFrame]:
-    """``Ingresos``, ``Gastos`` and ``Base_Looker`` (master order) from flagged rows.
+#: A bit per column of the masters.
+_BITS = {c: 1 << i for i, c in enumerate(MASTER_ORDER)}
+
+
+def presence(tipo: str) -> Column:
+    """Aggregate over cleaned rows: the bits of the columns that some sheet of this type with a valid row
+    has. A cell of a column that a sheet lacks is null, and ``USD`` of a valid row is null only then."""
+    own = INCOME_COLUMNS if tipo == INCOME else EXPENSE_COLUMNS
+    bits = F.lit(0)
+    for c in own:
+        bits = bits + F.when(F.col(f"`{c}`").isNotNull(), F.lit(_BITS[c])).otherwise(0)
+    return F.coalesce(F.bit_or(F.when(F.col("_valid") & (F.col("Tipo_Movimiento") == tipo), bits)), F.lit(0))
+
+
+def present_columns(bits: dict[str, int]) -> dict[str, list[str]]:
+    """Columns that each export has: those of its type that some sheet had, in the export's own order,
+    and for ``Base_Looker`` those of either type in master order."""
+    has = {t: [c for c in cols if bits[t] & _BITS[c]] for t, cols in ((INCOME, INCOME_COLUMNS), (EXPENSE, EXPENSE_COLUMNS))}
+    tags = ["Tipo_Movimiento", "archivo_origen"]
+    return {"Ingresos": has[INCOME] + tags, "Gastos": has[EXPENSE] + tags,
+            "Base_Looker": [c for c in MASTER_ORDER if c in tags or c in has[INCOME] or c in has[EXPENSE]]}
+
+
+def masters(clean: DataFrame, present: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """``Ingresos``, ``Gastos`` and ``Base_Looker`` (master order) from flagged rows; with ``present``
+    (:func:`present_columns`) without the columns that no sheet had.
 
     ``Base_Looker`` is the by-name union of the two masters written as one projection (a column
     only one tab type exports is null on the other type's rows), so the cleaned rows are read
-    once rather than once per union branch.
+    once rather than once per union branch. Where rows carry ``_file_ord`` the tables are in the
+    order of the listing: income before expense, workbooks as listed, rows as in their sheet. The sort is
+    range-partitioned on all three, so neither a large workbook nor a large sheet is one task.
     """
+    tags = ["Tipo_Movimiento", "archivo_origen"]
+    present = present or {"Ingresos": INCOME_COLUMNS + tags, "Gastos": EXPENSE_COLUMNS + tags, "Base_Looker": MASTER_ORDER}
     valid = clean.where("_valid")
     tipo = F.col("Tipo_Movimiento")
-    income = _select(valid.where(tipo == INCOME), INCOME_COLUMNS + ["Tipo_Movimiento", "archivo_origen"])
-    expense = _select(valid.where(tipo == EXPENSE), EXPENSE_COLUMNS + ["Tipo_Movimiento", "archivo_origen"])
+
+    def listed(df: DataFrame) -> DataFrame:
+        return df.orderBy(tipo != INCOME, "_file_ord", "row_idx") if "_file_ord" in df.columns else df
 
     def pick(c: str) -> Column:
         col = F.col(f"`{c}`")
-        if c in ("Tipo_Movimiento", "archivo_origen") or (c in INCOME_COLUMNS and c in EXPENSE_COLUMNS):
+        if c in tags or (c in INCOME_COLUMNS and c in EXPENSE_COLUMNS):
             return col.alias(c)
         if c in INCOME_COLUMNS:
             return F.when(tipo == INCOME, col).alias(c)
@@ -209,8 +242,9 @@ def masters(clean: DataFrame) -> dict[str, DataFrame]:
             return F.when(tipo == EXPENSE, col).alias(c)
         return F.lit(None).cast("string").alias(c)
 
-    base = valid.where(tipo.isin(INCOME, EXPENSE)).select(*[pick(c) for c in MASTER_ORDER])
-    return {"Ingresos": income, "Gastos": expense, "Base_Looker": base}
+    base = listed(valid.where(tipo.isin(INCOME, EXPENSE))).select(*[pick(c) for c in present["Base_Looker"]])
+    return {"Ingresos": _select(listed(valid.where(tipo == INCOME)), present["Ingresos"]),
+            "Gastos": _select(listed(valid.where(tipo == EXPENSE)), present["Gastos"]), "Base_Looker": base}
 
 
 def audit(clean: DataFrame, keys: list[str]) -> DataFrame:
@@ -221,10 +255,22 @@ def audit(clean: DataFrame, keys: list[str]) -> DataFrame:
         F.count(F.when(F.col("_valid"), 1)).alias("n_valid"))
 
 
-def run(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str) -> dict[str, DataFrame]:
+def cleaned(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str,
+            order_col: str | None = None) -> tuple[DataFrame, dict[str, list[str]]]:
+    """The flagged rows, written once, and the columns that the exports have: the write itself observes
+    which columns some sheet had (one number per type), so no second pass looks for them."""
+    rows = clean_grids(grid, keys, tipo_col, title_col, order_col)
+    seen = Observation()
+    rows = materialize(rows.observe(seen, presence(INCOME).alias(INCOME), presence(EXPENSE).alias(EXPENSE)))
+    bits = seen.get
+    return rows, present_columns({t: int(bits[t]) for t in (INCOME, EXPENSE)})
+
+
+def run(grid: DataFrame, keys: list[str], tipo_col: str, title_col: str, order_col: str | None = None) -> dict[str, DataFrame]:
     """Whole job on raw projection tabs: the three masters plus the audit table. The flagged rows
-    feed all four outputs and are checkpointed once."""
-    clean = materialize(clean_grids(grid, keys, tipo_col, title_col))
-    out = masters(clean)
+    feed all four outputs and are written once. The masters lack the columns that no sheet had; with
+    ``order_col`` (a workbook's position in the listing) they are in listing order."""
+    clean, present = cleaned(grid, keys, tipo_col, title_col, order_col)
+    out = masters(clean, present)
     out["Auditoria"] = audit(clean, keys)
     return out

@@ -6,6 +6,7 @@ Each reads the driver's test tables through the stand-in views of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,18 @@ from pyspark.sql import functions as F
 from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
-from sheetfold.operators.joins import materialize, missing_from
+from sheetfold.operators.joins import materialize, missing_from, sized_side
 from sheetfold.plans import budget as BU
 from sheetfold.plans import finance as FI
 from sheetfold.plans import timesheets as TS
+from sheetfold.operators.ranges import read_range
+from sheetfold.operators.rowid import dense_index
+from sheetfold.session import ensure_checkpoint_dir
+from sheetfold.sources import grid as G
 from sheetfold.sources import listing as LS
 from sheetfold.sources import sinks as SK
+from sheetfold.sources.catalog import Folder
+from sheetfold.sources.exports import csv_line, write_workbook_exports
 from sheetfold.sources.fixtures import fx, lines_to_cells
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -615,3 +622,159 @@ def src_listing_folders(spark, sf):
     continue across folders)."""
     books = fx(spark, sf, "fx_grid_timesheet").select(F.col("sector").alias("folder"), "file_name").distinct()
     return LS.ordered_listing(books, ["Empresarial", "Desarrollo", "Directorio"]).select("folder", "file_name", "file_ord")
+
+
+# ---- real files: exports written to the shared folder and read back ------------------------
+
+def _shared(spark, tag: str) -> str:
+    """A new folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def _finance_exports(spark, sf) -> str:
+    root = _shared(spark, "exports-finance")
+    write_workbook_exports(_grid_finance(spark, sf).select(
+        F.lit("Presupuestos").alias("folder"), F.col("archivo_origen").alias("file_name"),
+        F.when(F.col("tipo") == FI.INCOME, F.lit(FI.INCOME_TAB)).otherwise(F.lit(FI.EXPENSE_TAB)).alias("tab"),
+        "row_idx", "cells"), root)
+    return root
+
+
+def _timesheet_exports(spark, sf) -> str:
+    root = _shared(spark, "exports-timesheets")
+    write_workbook_exports(lines_to_cells(fx(spark, sf, "fx_grid_timesheet")).select(
+        F.col("sector").alias("folder"), "file_name", F.lit("Timesheet").alias("tab"), "row_idx", "cells"), root)
+    return root
+
+
+@query("src_export_listing")
+def src_export_listing(spark, sf):
+    """Exported timesheet workbooks and their tabs, listed from file metadata."""
+    return G.list_workbook_exports(spark, [_timesheet_exports(spark, sf)]).select("folder", "file_name", "tab").distinct()
+
+
+@query("src_export_range")
+def src_export_range(spark, sf):
+    """The range ``'Proyección - Ingresos'!A:Z`` of exported finance workbooks with a name that the job takes."""
+    grid = G.read_workbook_exports(spark, [_finance_exports(spark, sf)], max_cols=FI.RANGE_COLUMNS, tabs=[FI.INCOME_TAB],
+                                   title_filter=FI.finance_name_ok)
+    rows = read_range(grid, f"'{FI.INCOME_TAB}'!{FI.RANGE}")
+    return rows.select("folder", "file_name", "row_idx", F.size("cells").alias("n_cells"), _line("cells").alias("line"))
+
+
+@query("src_export_table")
+def src_export_table(spark, sf):
+    """Exported timesheet tabs read as ``A2:I`` tables, with the project and sequence renames."""
+    grid = G.read_workbook_exports(spark, [_timesheet_exports(spark, sf)], tabs=["Timesheet"])
+    rows, _ = TS.read_timesheet_grids(grid, ["file_name"])
+    return rows.select("file_name", "row_idx", "consecutivo", "Proyecto", _c("Cantidad de horas"))
+
+
+@query("dq_unreadable_files")
+def dq_unreadable_files(spark, sf):
+    """Exported budget workbooks, some of them broken on disk (NUL bytes, another encoding, an unclosed
+    quote): the rows that each one gives, or the reason why it gives none."""
+    grid = _grid_budget(spark, sf).withColumn("tab", F.lit(BU.TEAM_TAB)).withColumn("folder", F.lit("books"))
+    text, kind = csv_line(F.col("cells")), F.col("file_ord") % 10
+    latin = F.encode(F.concat(text, F.lit("ñ")), "ISO-8859-1").cast("string")
+    line = (F.when(kind == 3, latin).when(kind == 5, F.concat(text, F.lit(',"')))
+            .when(kind == 7, F.concat(text, F.lit("\0"))).otherwise(text))
+    root = _shared(spark, "exports-broken")
+    write_workbook_exports(grid, root, line)
+    scan = G.scan_workbook_exports(spark, [root], tabs=[BU.TEAM_TAB])
+    counts = scan.grid.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = G.list_workbook_exports(spark, [root]).select("file_name").distinct()
+    return (listed.join(sized_side(counts), "file_name", "left")
+            .join(sized_side(scan.failures.select("file_name", "reason")), "file_name", "left")
+            .select("file_name", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "reason"))
+
+
+# ---- finance exports ----------------------------------------------------------------------
+
+@query("fin_present_columns")
+def fin_present_columns(spark, sf):
+    """Base_Looker without the columns that no sheet had."""
+    clean, present = FI.cleaned(_grid_finance(spark, sf), FINANCE_KEYS, "tipo", "archivo_origen")
+    return FI.masters(clean, present)["Base_Looker"]
+
+
+@query("fin_export_order")
+def fin_export_order(spark, sf):
+    """Base_Looker exported in listing order and read back file by file: each row's place in the export."""
+    out = FI.run(_grid_finance(spark, sf), FINANCE_KEYS, "tipo", "archivo_origen", order_col="archivo_origen")
+    path = _shared(spark, "export-order")
+    SK.write_table(out["Base_Looker"], path)
+    back = SK.read_table(spark, path).select("archivo_origen", "Tipo_Movimiento", "Fecha", _c("Monto con Impuestos"),
+                                             F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return dense_index(back, ["_file", "_row"], "position").drop("_file", "_row")
+
+
+@query("ts_run_audit")
+def ts_run_audit(spark, sf):
+    """The timesheet run's per-sector audit, counted from the rows that the run has written."""
+    return TS.run_audit(TS.flagged_rows(fx(spark, sf, "fx_timesheet"), fx(spark, sf, "fx_rates"), fx(spark, sf, "fx_projects")))
+
+
+# ---- sinks: what a table holds after each step ----------------------------------------------
+
+def _steps(spark, steps: list[tuple[str, int | None, int]]) -> DataFrame:
+    """One row per step: what the write said and the rows that the table then holds."""
+    return spark.createDataFrame(steps, "step string, written long, held long")
+
+
+@query("sink_replace")
+def sink_replace(spark, sf):
+    """A table replaced in two phases: written, a run that dies before it publishes, the next run."""
+    people, rates = _budget_people(spark, sf), fx(spark, sf, "fx_rates")
+    path = _shared(spark, "sink-replace")
+
+    def held():
+        return SK.read_table(spark, path).count()
+    steps = [("first", SK.write_table(people, path), held())]
+    steps.append(("died before publishing", SK.stage(rates, f"{path}-staged", "parquet"), held()))
+    steps.append(("next", SK.write_table(rates, path), held()))
+    return _steps(spark, steps)
+
+
+@query("sink_skip_empty")
+def sink_skip_empty(spark, sf):
+    """An empty result leaves the table as it was, unless asked to replace it."""
+    people = _budget_people(spark, sf)
+    none = people.where("file_ord is null")
+    path = _shared(spark, "sink-skip")
+
+    def held():
+        return SK.read_table(spark, path).count()
+    return _steps(spark, [("first", SK.write_table(people, path), held()), ("empty", SK.write_table(none, path), held()),
+                          ("empty, replacing", SK.write_table(none, path, skip_empty=False), held())])
+
+
+@query("sink_protected")
+def sink_protected(spark, sf):
+    """Writes into a protected folder, below it and above it are refused and change nothing."""
+    people = _budget_people(spark, sf)
+    root = _shared(spark, "sink-protected")
+    source = f"{root}/source"
+    SK.write_table(people, f"{source}/table")
+
+    def refused(path):
+        try:
+            return SK.write_table(people.limit(1), path, protected=[source])
+        except SK.ProtectedDestination:
+            return None
+    return _steps(spark, [(step, refused(path), SK.read_table(spark, f"{source}/table").count()) for step, path in
+                          [("the folder", source), ("below", f"{source}/table"), ("above", root), ("beside", f"{root}/other")]])
+
+
+@query("sink_find_or_create")
+def sink_find_or_create(spark, sf):
+    """Exports found by name in two folders: created where missing, replaced where there, apart by folder."""
+    people, rates = _budget_people(spark, sf), fx(spark, sf, "fx_rates")
+    tag = uuid.uuid4().hex
+    a, b = (Folder(spark, f"{k} {tag}", _shared(spark, "folder")) for k in "ab")
+    name = "Fact Presupuesto/Horas"
+    steps = []
+    for label, folder, df in [("a", a, people), ("b", b, rates), ("a again", a, rates), ("a empty", a, rates.limit(0))]:
+        did, rows = folder.save(df, name)
+        steps.append((f"{label}: {did}", rows, folder.find(name).count()))
+    return _steps(spark, steps)

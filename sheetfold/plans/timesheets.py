@@ -7,13 +7,14 @@ Proyecto``, ``Activo``). :func:`read_timesheet_grids` builds the rows from raw g
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetfold.functions import text as T
 from sheetfold.operators import headers as H
 from sheetfold.operators import layout as L
 from sheetfold.operators.joins import flag_membership, left_join_small, materialize
+from sheetfold.operators.ranges import read_range
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
@@ -35,7 +36,8 @@ SUMMARY_COLUMNS = ["nombre", "alerta_category", "alerta_subcat", "alerta_proyect
 CONSOLIDATED_COLUMNS = ["archivo_origen", "nombre", "consecutivo", "Fecha", "Día", "Category",
                         "Sub-Category", "Proyecto", "Descripción", "Cantidad de horas", "Mes",
                         "Costo interno", "costo_rate_interno", "Sector_Origen"]
-#: Columns a timesheet tab is read with (range A2:I): nine text columns.
+RANGE = "A2:I"
+#: Columns a timesheet tab is read with (:data:`RANGE`): nine text columns.
 TIMESHEET_TEXT_COLUMNS = ["consecutivo", "Fecha", "Día", "Category", "Sub-Category", "Proyecto",
                           "Descripción", "Cantidad de horas", "Mes"]
 #: Columns read without a presence check: a sector where no file has one of these fails the run;
@@ -94,16 +96,18 @@ def _check_required(slim: DataFrame, names: list[str], sector_col: str | None) -
 
 
 def read_timesheet_grids(grid: DataFrame, keys: list[str], name_col: str = "file_name",
-                         sector_col: str | None = None, require_columns: bool = False) -> tuple[DataFrame, DataFrame]:
+                         sector_col: str | None = None, require_columns: bool = False,
+                         order_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Raw ``Timesheet`` tabs → timesheet rows, plus a rejects table (one row per sheet).
 
     Per sheet: range ``A2:I`` (row 1 skipped, nine columns), header = first row of the range,
     names stripped with blanks → ``Unnamed`` and repeats → ``_n``; rows padded or cut to the
     header width. A sheet whose names collide (``X, X_1, X``, or both project names present) is
     rejected instead of read. With ``require_columns`` a sector lacking a column the job reads
-    unconditionally raises :class:`MissingColumns` (the original run fails there).
+    unconditionally raises :class:`MissingColumns` (the original run fails there). ``order_cols`` are
+    carried along.
     """
-    g = L.slice_range(grid, first_row=1, n_cols=9)
+    g = read_range(grid, RANGE)
     gkeys = keys + [sector_col] if sector_col and sector_col not in keys else keys  # sector: constant per sheet
     lay = L.first_row_layout(g, gkeys)
     names = H.dedupe_counter(F.col("header"))
@@ -126,13 +130,14 @@ def read_timesheet_grids(grid: DataFrame, keys: list[str], name_col: str = "file
     fitted = L.fit_cells(F.col("cells"), F.col("_w"))
     cols = [L.cell_at(fitted, F.col(f"_i{k}")).alias(name) for k, name in enumerate(idx.keys())]
     extra = [F.col(sector_col).alias("Sector_Origen")] if sector_col else []
-    out = rows.select(*keys, "row_idx", F.col(name_col).alias("archivo_origen"), *extra, *cols)
+    out = rows.select(*dict.fromkeys([*keys, *(order_cols or [])]), "row_idx", F.col(name_col).alias("archivo_origen"), *extra, *cols)
     return out, rejects
 
 
-def clean_sector(df: DataFrame) -> DataFrame:
+def clean_sector(df: DataFrame, keep_all: bool = False) -> DataFrame:
     """Derive ``nombre``, ``proyecto_id``; strip ``Proyecto``; parse hours and dates; relabel
-    ``Mes``; reformat ``Fecha``; drop wholly empty rows.
+    ``Mes``; reformat ``Fecha``; drop wholly empty rows (with ``keep_all`` they stay, marked by a false
+    ``_kept``).
 
     All derived columns read the *input* columns (one projection): ``proyecto_id`` comes from the
     unstripped project text, ``Mes`` and ``Fecha`` from the original date text.
@@ -148,7 +153,7 @@ def clean_sector(df: DataFrame) -> DataFrame:
         "Mes": F.when(F.col("_fecha_tmp").isNotNull(), T.month_label(F.col("_fecha_tmp"))).otherwise(_c("Mes")),
         "Fecha": T.iso_or_text(F.col("_fecha_tmp"), _c("Fecha")),
     }).drop("_fecha_tmp")
-    return df.where(nonempty_row())
+    return df.withColumn("_kept", nonempty_row()) if keep_all else df.where(nonempty_row())
 
 
 def nonempty_row():
@@ -165,11 +170,20 @@ def staff_rates(rates: DataFrame) -> DataFrame:
                         T.rate_timesheet(_c("Costo interno")).alias("Costo interno"))
 
 
-def cost_rows(ts: DataFrame, rates: DataFrame) -> DataFrame:
+def cost_rows(ts: DataFrame, rates: DataFrame, mark_copies: bool = False) -> DataFrame:
     """Exact left join on ``nombre`` (duplicate rates fan out); cost = (hours/8) × rate, where an
-    unmatched person's rate counts as 0 but the ``Costo interno`` column itself stays null."""
-    out = left_join_small(ts, rates, "nombre")
-    return out.withColumn("costo_rate_interno",
+    unmatched person's rate counts as 0 but the ``Costo interno`` column itself stays null. With
+    ``mark_copies`` a row's copies by further rates have ``_copy`` 1, 2, …, the row itself 0."""
+    if mark_copies:     # a person has few rates
+        order = Window.partitionBy("nombre").orderBy("Costo interno")
+        rates = rates.withColumn("_copy", F.row_number().over(order) - 1)
+        ts = left_join_small(ts, rates, "nombre").withColumn("_copy", F.coalesce("_copy", F.lit(0)))
+        return _costed(ts)
+    return _costed(left_join_small(ts, rates, "nombre"))
+
+
+def _costed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("costo_rate_interno",
                           (_c("Cantidad de horas") / F.lit(8)) * F.coalesce(_c("Costo interno"), F.lit(0.0)))
 
 
@@ -247,34 +261,52 @@ def check_projects(projects: DataFrame) -> None:
         raise NoData("the project master is empty or has no column 'Nombre de Proyecto'")
 
 
-def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame,
-        consolidated_name: str = "Consolidado") -> dict[str, DataFrame]:
-    """Whole job: clean → cost → flag; returns the three export tables. ``consolidated_name``
-    names the flat one.
+def flagged_rows(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame) -> DataFrame:
+    """Clean → cost → flag, written once: every output reads this table instead of re-running cleaning
+    and joins. It keeps the empty rows too (``_kept`` false) and tells a row from its copies by
+    further rates (``_copy``), so that the audit counts rows read and kept from it, and not from the
+    grids again."""
+    costed = cost_rows(clean_sector(timesheet_rows, keep_all=True), staff_rates(rates), mark_copies=True)
+    return materialize(alert_flags(costed, projects))
 
-    The flagged table feeds all three outputs (and the detail sort samples its input), so it is
-    checkpointed once: each output reads it instead of re-running cleaning and joins.
-    """
-    costed = cost_rows(clean_sector(timesheet_rows), staff_rates(rates))
-    flagged = materialize(alert_flags(costed, projects))
+
+def run_audit(every: DataFrame) -> DataFrame:
+    """Per sector, from :func:`flagged_rows`: rows read and rows kept by the non-empty-row rule."""
+    return every.where("_copy = 0").groupBy("Sector_Origen").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("_kept"), 1)).alias("n_valid"))
+
+
+def exports(every: DataFrame, consolidated_name: str = "Consolidado", order_cols: list[str] | None = None) -> dict[str, DataFrame]:
+    """The three export tables of :func:`flagged_rows`. ``consolidated_name`` names the flat one; with
+    ``order_cols`` (file, row) it is in listing order by a range-partitioned sort."""
+    flagged = every.where("_kept")
+    flat = flagged.orderBy(*order_cols, "_copy") if order_cols else flagged
     return {"Resumen Alertas": alert_summary(flagged), "Detalle Alertas": alert_detail(flagged),
-            consolidated_name: consolidated(flagged)}
+            consolidated_name: consolidated(flat)}
+
+
+def run(timesheet_rows: DataFrame, rates: DataFrame, projects: DataFrame,
+        consolidated_name: str = "Consolidado") -> dict[str, DataFrame]:
+    """Whole job: clean → cost → flag; returns the three export tables."""
+    return exports(flagged_rows(timesheet_rows, rates, projects), consolidated_name)
 
 
 def run_from_grids(grid: DataFrame, keys: list[str], rates: DataFrame, projects: DataFrame,
-                   name_col: str = "file_name", sector_col: str | None = None,
-                   consolidated_name: str = "Consolidado") -> dict[str, DataFrame]:
+                   name_col: str = "file_name", sector_col: str | None = None, consolidated_name: str = "Consolidado",
+                   order_cols: list[str] | None = None) -> dict[str, DataFrame]:
     """Raw ``Timesheet`` tabs (all sectors in one grid) → the three export tables, the rejects
     table and, with a sector column, the per-sector audit. Fails with :class:`MissingColumns`
     when a sector lacks a column the job reads unconditionally, and with :class:`NoData` without a
-    project master or without a timesheet row in any folder."""
+    project master or without a timesheet row in any folder. ``order_cols``: the columns of ``grid`` that
+    give a file's place in the listing; the flat table is then in listing order."""
     check_projects(projects)
     grid = timesheet_file_filter(grid, name_col)
-    rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col, require_columns=True)
+    rows, rejects = read_timesheet_grids(grid, keys, name_col, sector_col, require_columns=True, order_cols=order_cols)
     if rows.limit(1).isEmpty():
         raise NoData("no folder holds a timesheet row")
-    out = run(rows, rates, projects, consolidated_name)
+    every = flagged_rows(rows, rates, projects)
+    out = exports(every, consolidated_name, [*order_cols, "row_idx"] if order_cols else None)
     out["Rechazados"] = rejects
     if sector_col:
-        out["Auditoria"] = audit(rows)
+        out["Auditoria"] = run_audit(every)
     return out

@@ -2,57 +2,118 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+import io
+from itertools import islice
+from typing import NamedTuple
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sheetfold.operators.headers import counted_names
 from sheetfold.operators.joins import materialize, sized_side
 
 
-def widest_row(spark: SparkSession, paths: list[str], file_filter=None) -> int:
-    """The most cells that a record of the CSV files has: quoted cells are blanked, so that every
-    line left is one record, and its separators are counted (one task per file)."""
-    text = spark.read.text(paths, wholetext=True)
-    if file_filter is not None:
-        text = text.where(file_filter(F.col("_metadata.file_path")))
-    plain = F.regexp_replace("value", '"(?:[^"]++|"")*+"', "")
-    cells = F.array_max(F.transform(F.split(plain, r"\r\n|\n|\r"), lambda line: F.regexp_count(line, F.lit(",")) + 1))
-    return text.agg(F.max(cells)).first()[0] or 1
+#: Files above this size are reported, not read: a file is one value of its task.
+MAX_FILE_BYTES = 1 << 30
+#: Rows of a file sent on at a time.
+_ROWS = 2048
+_PARSED = "uri string, row_idx long, cells array<string>, n_rows long, reason string"
 
 
-def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int | None = None,
-                   trim_trailing_blanks: bool = True, file_filter=None) -> DataFrame:
-    """Read sheets exported as headerless CSV files (one file per sheet) into a grid.
-
-    Quoting follows RFC 4180 (``""`` inside a quoted field). ``multiLine`` keeps quoted newlines
-    and makes every file one split, so rows of a file are read in order by one task. The parsed
-    rows are written once; ``row_idx`` is the offset of the row's id from the file's first id (one
-    small aggregate per file, joined back behind a size check). Rows keep all their cells, or the
-    first ``max_cols`` (a range such as ``A:Z``). Blank cells become ''; trailing blanks are trimmed
-    as a sheet service does for its value ranges. ``file_filter`` (a function of the file's URI
-    column) prunes whole files before they are opened.
+class Scan(NamedTuple):
+    """What a set of files gave: ``grid`` rows of the files that parse, and every other file with its
+    ``reason``; ``files`` has the rows (``n_rows``) of each file that parses."""
+
+    grid: DataFrame
+    failures: DataFrame
+    files: DataFrame
+
+
+def _records(raw: bytes):
+    """The records of a CSV export: RFC 4180 quotes, strict; UTF-8 with or without its mark."""
+    return csv.reader(io.TextIOWrapper(io.BytesIO(raw), encoding="utf-8-sig", newline=""), strict=True)
+
+
+def _failure(raw: bytes) -> tuple[int, str | None]:
+    """``(records, None)`` of a readable export, else ``(0, reason)``."""
+    if b"\0" in raw:
+        return 0, "holds NUL bytes: not a text file"
+    try:
+        return sum(1 for _ in _records(raw)), None
+    except UnicodeDecodeError:
+        return 0, "not UTF-8 text"
+    except csv.Error:
+        return 0, "broken quotes: not a CSV file"
+
+
+def _parse(max_cols: int | None, trim: bool):
+    schema = pa.schema([("uri", pa.string()), ("row_idx", pa.int64()), ("cells", pa.list_(pa.string())),
+                        ("n_rows", pa.int64()), ("reason", pa.string())])
+
+    def run(batches):
+        csv.field_size_limit(MAX_FILE_BYTES)
+        for batch in batches:
+            for uri, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = content.as_py()
+                # a file is read through before its first row leaves: a broken one gives no row
+                n, reason = _failure(raw)
+                yield pa.RecordBatch.from_pylist([{"uri": uri, "n_rows": None if reason else n, "reason": reason}], schema=schema)
+                records = enumerate(_records(raw)) if n else iter(())
+                while some := list(islice(records, _ROWS)):
+                    cells = [row[:max_cols] for _, row in some]
+                    if trim:
+                        for row in cells:
+                            while row and row[-1] == "":
+                                row.pop()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([uri] * len(some)), pa.array([i for i, _ in some], pa.int64()), pa.array(cells, pa.list_(pa.string())),
+                         pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.string())], schema=schema)
+    return run
+
+
+def scan_csv_grids(spark: SparkSession, paths: list[str], max_cols: int | None = None,
+                   trim_trailing_blanks: bool = True, file_filter=None) -> Scan:
+    """Read sheets exported as headerless CSV files in one pass: each file is opened once, its rows keep
+    all their cells (or the first ``max_cols``, a range such as ``A:Z``), however many there are.
+
+    A file that is no UTF-8 text, has broken quotes or NUL bytes, exceeds :data:`MAX_FILE_BYTES` or that
+    Spark cannot read (a bad checksum, no permission) becomes a row of ``failures`` with a reason, and
+    none of its rows is in ``grid``; the other files are not touched by it. An empty file has no rows
+    (Spark passes over it) and is no failure. Blank cells are '';
+    trailing blanks are trimmed as a sheet service does; ``row_idx`` counts a file's records from 0.
+    ``file_filter`` (a function of the file's URI column) prunes files before they are opened.
+    Parsed rows are written once to the shared folder: no later step opens an export again.
     """
+    uri = F.col("_metadata.file_path")
     if not any_match(spark, paths):
-        return spark.createDataFrame([], "file_id string, file_name string, row_idx long, cells array<string>")
-    width = max_cols or widest_row(spark, paths, file_filter)
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    reader = (spark.read.schema(schema).option("header", False).option("multiLine", True)
-              .option("mode", "PERMISSIVE").option("escape", '"'))
-    raw = (reader.csv(paths)
-           .select("*", F.col("_metadata.file_path").alias("file_id"),
-                   F.col("_metadata.file_name").alias("file_name")))
+        grid = spark.createDataFrame([], "file_id string, file_name string, row_idx long, cells array<string>")
+        return Scan(grid, spark.createDataFrame([], "file_id string, file_name string, reason string"),
+                    spark.createDataFrame([], "file_id string, n_rows long"))
+    files = (spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+             .load(existing(spark, paths)))
     if file_filter is not None:
-        raw = raw.where(file_filter(F.col("_metadata.file_path")))
-    raw = raw.withColumn("_mono", F.monotonically_increasing_id())
-    cells = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(width)])
-    if trim_trailing_blanks:
-        last = F.array_max(F.transform(cells, lambda c, i: F.when(c != "", i)))
-        cells = F.when(last.isNull(), F.array().cast("array<string>")).otherwise(F.slice(cells, 1, last + 1))
-    raw = materialize(raw.select("file_id", "file_name", "_mono", cells.alias("cells")))
-    first = raw.groupBy("file_id").agg(F.min("_mono").alias("_first"))
-    return (raw.join(sized_side(first), "file_id")
-            .select("file_id", "file_name", (F.col("_mono") - F.col("_first")).alias("row_idx"), "cells"))
+        files = files.where(file_filter(uri))
+    contents = files.where(F.col("length") <= MAX_FILE_BYTES).select(uri.alias("uri"), "content")
+    parsed = materialize(contents.mapInArrow(_parse(max_cols, trim_trailing_blanks), _PARSED))
+    name = F.element_at(F.split("file_id", "/"), -1)
+    grid = parsed.where("row_idx is not null").select(F.col("uri").alias("file_id"), "row_idx", "cells")
+    status = parsed.where("row_idx is null").select(F.col("uri").alias("file_id"), "n_rows", "reason", F.lit(True).alias("_read"))
+    listed = files.select(uri.alias("file_id"), "length")          # metadata only: nothing is opened
+    failures = (listed.join(sized_side(status), "file_id", "left").where("_read is null or reason is not null")
+                .withColumn("reason", F.coalesce("reason", F.when(F.col("length") > MAX_FILE_BYTES, F.lit("too large"))
+                                                 .otherwise(F.lit("could not be read")))))
+    return Scan(grid.select("file_id", name.alias("file_name"), "row_idx", "cells"),
+                failures.select("file_id", name.alias("file_name"), "reason"),
+                status.where("reason is null").select("file_id", "n_rows"))
+
+
+def read_csv_grids(spark: SparkSession, paths: list[str], max_cols: int | None = None,
+                   trim_trailing_blanks: bool = True, file_filter=None) -> DataFrame:
+    """The rows of :func:`scan_csv_grids`: files that cannot be read are left out."""
+    return scan_csv_grids(spark, paths, max_cols, trim_trailing_blanks, file_filter).grid
 
 
 def any_match(spark: SparkSession, paths: list[str]) -> bool:
@@ -63,12 +124,18 @@ def any_match(spark: SparkSession, paths: list[str]) -> bool:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
     except Exception:  # noqa: BLE001 - no local JVM (Spark Connect): let the reader decide
         return True
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        found = path.getFileSystem(conf).globStatus(path)
-        if found is not None and len(found) > 0:
-            return True
-    return False
+    return any(_matches(jvm, conf, p) for p in paths)
+
+
+def _matches(jvm, conf, p: str) -> bool:
+    path = jvm.org.apache.hadoop.fs.Path(p)
+    found = path.getFileSystem(conf).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the (glob) paths that match a file (a read of one that matches none would fail)."""
+    return [p for p in paths if any_match(spark, [p])]
 
 
 def read_parquet_grid(spark: SparkSession, path: str) -> DataFrame:
@@ -82,63 +149,99 @@ def _decoded_path(c):
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
 
-def _export_names(g: DataFrame) -> DataFrame:
-    on_disk = _decoded_path(F.col("file_id"))
+#: Two layouts of exports: one file per tab, or Spark's partitioned folders with the parts of a tab.
+PLAIN, PARTITIONED = "<root>/<folder>/<workbook>/<tab>.csv", "<root>/folder=<folder>/workbook=<workbook>/tab=<tab>/part-*"
+
+
+def _export_paths(roots: list[str], tabs: list[str] | None = None) -> list[str]:
+    """File patterns of both layouts under ``roots``, of all tabs or the named ones."""
+    plain = "*.csv" if not tabs else "{" + ",".join(f"{quote(t, safe='')}.csv" for t in tabs) + "}"
+    return [f"{r.rstrip('/')}/*/*/{plain}" for r in roots] + [f"{r.rstrip('/')}/folder=*/workbook=*/tab=*/part-*" for r in roots]
+
+
+def export_place(on_disk) -> dict[str, Column]:
+    """``folder, file_id, file_name, tab`` of an export's file from its path as it is on disk."""
     parts = F.split(on_disk, "/")
-    return g.select(
-        _decoded_path(F.element_at(parts, -3)).alias("folder"),
-        F.regexp_replace(on_disk, r"/[^/]*$", "").alias("file_id"),
-        _decoded_path(F.element_at(parts, -2)).alias("file_name"),
-        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"),
-        "row_idx", "cells")
+    parted = F.element_at(parts, -2).startswith("tab=")
+
+    def value(i: int, name: str) -> Column:     # name=value
+        return F.substring(F.element_at(parts, i), len(name) + 2, 10_000)
+    folder = F.when(parted, value(-4, "folder")).otherwise(F.element_at(parts, -3))
+    book = F.when(parted, value(-3, "workbook")).otherwise(F.element_at(parts, -2))
+    tab = F.when(parted, value(-2, "tab")).otherwise(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", ""))
+    return {"folder": _decoded_path(folder), "file_name": _decoded_path(book), "tab": _decoded_path(tab),
+            "file_id": F.when(parted, F.regexp_replace(on_disk, r"/[^/]*/[^/]*$", "")).otherwise(F.regexp_replace(on_disk, r"/[^/]*$", ""))}
 
 
 def workbook_title(file_uri) -> Column:
-    """Workbook title of an exported tab file: its parent folder name, decoded."""
-    return _decoded_path(F.element_at(F.split(_decoded_path(file_uri), "/"), -2))
+    """Workbook title of an exported tab's file, from its URI."""
+    return export_place(_decoded_path(file_uri))["file_name"]
 
 
-def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int | None = None, tabs: list[str] | None = None,
-                          title_filter=None) -> DataFrame:
-    """Read workbooks exported as ``<root>/<folder>/<workbook>/<tab>.csv`` into one grid:
-    ``folder, file_id (workbook path), file_name (workbook title), tab, row_idx, cells``.
+def scan_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int | None = None, tabs: list[str] | None = None,
+                          title_filter=None) -> Scan:
+    """Read workbooks exported in either layout (:data:`PLAIN`, :data:`PARTITIONED`): ``grid`` is ``folder,
+    file_id (workbook path), file_name (workbook title), tab, row_idx, cells``; ``failures`` names the
+    tabs that could not be read, ``folder, file_id, file_name, tab, reason``.
 
-    Folder, workbook and tab names are percent-encoded path segments (titles may hold ``:`` or
-    ``/``, which file systems reject); they are decoded here. ``tabs`` (in the file pattern) and
-    ``title_filter`` (a predicate on the workbook title, evaluated on file metadata) prune files
-    before anything is opened.
+    Folder, workbook and tab names are percent-encoded path segments (titles may hold ``:`` or ``/``, which
+    file systems reject); they are decoded here. ``tabs`` and ``title_filter`` (a predicate on the
+    workbook title) are evaluated on file metadata and prune files before anything is opened. The
+    parts of a tab follow each other by name; a tab with a part that cannot be read gives no row.
     """
-    from urllib.parse import quote
+    def wanted(uri):
+        place = export_place(_decoded_path(uri))
+        keep = place["tab"].isin(*tabs) if tabs else F.lit(True)
+        return keep & title_filter(place["file_name"]) if title_filter is not None else keep
+
+    scan = scan_csv_grids(spark, _export_paths(roots, tabs), max_cols, file_filter=wanted)
+    place = export_place(_decoded_path(F.col("file_id")))
+    sheet = ["folder", "file_id", "file_name", "tab"]
+    failures = scan.failures.select(*[place[c].alias(c) for c in sheet], "reason")
+    failures = failures.groupBy(*sheet).agg(F.min("reason").alias("reason"))
+    # a part's rows go on where the parts before it end; per sheet there are few parts
+    parts = scan.files.select(F.col("file_id").alias("_uri"), "n_rows", *[place[c].alias(c) for c in sheet])
+    parts = parts.join(sized_side(failures.select("file_id", "tab")), ["file_id", "tab"], "left_anti")
+    before = Window.partitionBy(*sheet).orderBy("_uri").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_uri", *sheet, F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("_start"))
+    grid = scan.grid.select(F.col("file_id").alias("_uri"), "row_idx", "cells").join(sized_side(parts), "_uri")
+    return Scan(grid.select(*sheet, (F.col("row_idx") + F.col("_start")).alias("row_idx"), "cells"), failures, scan.files)
 
-    pattern = "*.csv" if not tabs else "{" + ",".join(f"{quote(t, safe='')}.csv" for t in tabs) + "}"
-    paths = [f"{r.rstrip('/')}/*/*/{pattern}" for r in roots]
-    file_filter = (lambda uri: title_filter(workbook_title(uri))) if title_filter is not None else None
-    return _export_names(read_csv_grids(spark, paths, max_cols=max_cols, file_filter=file_filter))
+
+def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int | None = None, tabs: list[str] | None = None,
+                          title_filter=None) -> DataFrame:
+    """The rows of :func:`scan_workbook_exports`: tabs that cannot be read are left out."""
+    return scan_workbook_exports(spark, roots, max_cols, tabs, title_filter).grid
 
 
 def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """Workbooks and their tabs under ``<root>/<folder>/<workbook>/<tab>.csv`` from file metadata
-    only (no content is read): ``folder, file_id, file_name, tab, path``."""
-    paths = [f"{r.rstrip('/')}/*/*/*.csv" for r in roots]
+    """Workbooks and their tabs under ``roots`` (either layout) from file metadata only (no content is
+    read): ``folder, file_id, file_name, tab, path``; a tab in parts has a row per part."""
+    paths = _export_paths(roots)
     if not any_match(spark, paths):
         return spark.createDataFrame([], "folder string, file_id string, file_name string, tab string, path string")
     # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
-    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("p"))
-    parts = F.split(F.col("p"), "/")
-    return files.select(
-        _decoded_path(F.element_at(parts, -3)).alias("folder"),
-        F.regexp_replace(F.col("p"), r"/[^/]*$", "").alias("file_id"),
-        _decoded_path(F.element_at(parts, -2)).alias("file_name"),
-        _decoded_path(F.regexp_replace(F.element_at(parts, -1), r"\.csv$", "")).alias("tab"),
-        F.col("p").alias("path"))
+    files = spark.read.format("binaryFile").load(existing(spark, paths))
+    place = export_place(F.col("path"))
+    return files.select("path").select(*[place[c].alias(c) for c in ("folder", "file_id", "file_name", "tab")], "path")
+
+
+class UnreadableFile(ValueError):
+    """A table that a job cannot do without cannot be read."""
 
 
 def read_table_export(spark: SparkSession, path: str) -> DataFrame:
     """A tab exported with its header row (rates, project master): every column as text, named by
-    the header's stripped names, blanks ``Unnamed`` and repeats numbered; blank cells are ''."""
-    grid = read_csv_grids(spark, [path])
-    head = grid.where("row_idx = 0").select("cells").first()
+    the header's stripped names, blanks ``Unnamed`` and repeats numbered; blank cells are ''.
+    :class:`UnreadableFile` if it cannot be read."""
+    folder = f"{path.rstrip('/')}/*.csv"        # a table that Spark wrote is a folder of parts
+    scan = scan_csv_grids(spark, [folder] if any_match(spark, [folder]) else [path])
+    failed = scan.failures.first()
+    if failed is not None:
+        raise UnreadableFile(f"{path}: {failed['reason']}")
+    heads = scan.grid.where("row_idx = 0")
+    head = heads.orderBy("file_id").select("cells").first()
     if head is None:
         return spark.createDataFrame([], "Unnamed string")
-    return grid.where("row_idx > 0").select(*[
+    return scan.grid.where("row_idx > 0").select(*[
         F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(counted_names(head["cells"]))])

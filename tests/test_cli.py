@@ -39,11 +39,15 @@ def test_finance_job(spark):
     assert list_books(spark, [root], 20) == [("Presupuestos", "NUEVO P1", 3), ("Presupuestos", "NUEVO P1 (Copia)", 1),
                                              ("Presupuestos", "NUEVO P2 sin gastos", 1)]
     failed = spark.read.option("header", True).csv(os.path.join(out, "Archivos_con_error")).collect()
-    assert [r["file_name"] for r in failed] == ["NUEVO P2 sin gastos"]
+    assert [(r["file_name"], r["motivo"]) for r in failed] == [("NUEVO P2 sin gastos", "Proyección - Gastos: missing tab")]
     base = spark.read.option("header", True).csv(os.path.join(out, "Base_Looker")).collect()
     assert sorted((r["Tipo_Movimiento"], r["Fecha"], r["USD"]) for r in base) == [("Gasto", "2025-02-01", None), ("Ingreso", "2025-01-05", "250.5")]
     lines = [r[0] for r in spark.read.text(os.path.join(out, "Base_Looker")).collect()]
-    assert any(line.startswith("NUEVO P1,Gasto,2025-02-01,P2,,,,,,") for line in lines)   # null exported as ''
+    # columns that no sheet has are not exported; null is exported as ''
+    assert lines == ["archivo_origen,Tipo_Movimiento,Fecha,Proyecto,Monto sin Impuestos,Monto con Impuestos,USD,"
+                     "Fecha de emisión del comprobante,Situación,Fecha de factura proveedor",
+                     "NUEVO P1,Ingreso,2025-01-05,P1,,\"S/ 1.000,00\",250.5,2025-01-05,Real,",
+                     "NUEVO P1,Gasto,2025-02-01,P2,\"8,47\",\"S/ 10,00\",,,Proyectado,2025-02-01"]
 
     assert {r["archivo_origen"] for r in base} == {"NUEVO P1"}
 
