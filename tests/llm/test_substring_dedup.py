@@ -33,31 +33,47 @@ def _units(text):
 
 
 def brute_spans(rows):
-    owners, docs = {}, [(d, _units(t)) for d, t in rows]
+    """A run goes from a unit to the next where their pair occurs earlier; alone a unit counts from ``MIN_LINE`` words on."""
+    docs = [(d, _units(t)) for d, t in rows]
     rank = lambda d: SD.LAST if d is None else d
+
+    def keys(us):
+        words = [u[0] for u in us]
+        return [w if len(w) >= SD.MIN_LINE else None for w in words], [*zip(words, words[1:])]
+    owners = {}
     for d, us in docs:
-        for u in us:
-            owners[u[0]] = min(owners.get(u[0], rank(d)), rank(d))
+        for x in [x for part in keys(us) for x in part if x]:
+            owners[x] = min(owners.get(x, rank(d)), rank(d))
     spans = []
     for d, us in docs:
-        seen, marks = set(), []
-        for u in us:
-            marks.append(owners[u[0]] if owners[u[0]] < rank(d) else None if u[0] in seen else -2)
-            seen.add(u[0])
+        def marks(found):
+            seen, out = set(), []
+            for x in found:
+                out.append(-2 if x is None else owners[x] if owners[x] < rank(d) else None if x in seen else -2)
+                seen.add(x)
+            return out
+        alone, linked = map(marks, keys(us))
+        linked.append(-2)
+        size = [len(u[0]) for u in us]
         i = 0
         while i < len(us):
+            if alone[i] == -2 and linked[i] == -2:
+                i += 1
+                continue
             j = i
-            while j < len(us) and marks[j] != -2:
+            while linked[j] != -2:
                 j += 1
-            if sum(len(u[0]) for u in us[i:j]) >= SD.MIN_RUN:
-                spans.append((d, us[i][1], us[j - 1][2], sum(len(u[0]) for u in us[i:j]), marks[i]))
+            j += 1
+            owner = [linked[min(k, j - 2)] if j > i + 1 else alone[i] for k in range(i, j)]
+            if sum(size[i:j]) >= SD.MIN_RUN:
+                spans.append((d, us[i][1], us[j - 1][2], sum(size[i:j]), owner[0]))
             else:
                 for number in sorted({u[3] for u in us[i:j]}):
                     whole = [k for k, u in enumerate(us) if u[3] == number]
-                    words = sum(len(us[k][0]) for k in whole)
+                    words = sum(size[k] for k in whole)
                     if i <= whole[0] and whole[-1] < j and words >= SD.MIN_LINE:
-                        spans.append((d, us[whole[0]][1], us[whole[-1]][2], words, marks[whole[0]]))
-            i = max(j, i + 1)
+                        spans.append((d, us[whole[0]][1], us[whole[-1]][2], words, owner[whole[0] - i]))
+            i = j
     return sorted(spans, key=str)
 
 
