@@ -24,7 +24,7 @@ def test_ids_equal_the_tokenizer(plain):
     r = random.Random(3)
     parts = ["'s", "'", "''", "'ll", " ", "  ", "\n", "\t", "\xa0", "　", "a", "é", "é", "́", "漢", "1", "²", "!", "<|endoftext|>",
              "<|STARTOFTEXT|>", "<|startoftext|>", "\x1c", "\x85", "Don't", "\r\n", "𝄞", "​", "İ", "Σ", "ΑΣ", "ا", "word",
-             "\x00", "\x0b", "\x0c"]
+             "\x00", "\x0b", "\x0c", "ß", "ÜŁ", "ŉ", "Ÿ", "ſ", "J\u030c", "a,b.c", "x<|endoftext|>y."]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(5000)] + ["", " ", "x" * 3000, "ab cd " * 90000]
     want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
     enc = Encoder(PATH, slots=64, most=500, added=True, spaces=False)
