@@ -69,9 +69,15 @@ def test_dedup_keeps_one_of_each_group(spark, rows):
     out = ND.near_dedup(df)
     assert out.columns == df.columns
     got = sorted((x.doc_id for x in out.collect()), key=str)
-    want = [g for g in brute.near_groups(rows) if g[3]]
-    full = {(g[0], g[2]) for g in want if g[1]}
-    assert got == sorted([g[0] for g in want if not g[1]] + [d for d, _ in full], key=str)
+    # of a group the rows with its smallest id, and of those that share it one; texts without words all stay
+    sets = [brute.shingles(t) for _, t in rows]
+    alike = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j]
+             and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    first = {}
+    for (d, _), s, root in zip(rows, sets, brute.components(len(rows), alike)):
+        if s and (root not in first or d is not None and (first[root] is None or d < first[root])):
+            first[root] = d
+    assert got == sorted([d for (d, _), s in zip(rows, sets) if not s] + list(first.values()), key=str)
 
 
 def test_empty_table(spark):
@@ -146,3 +152,56 @@ def test_all_looks_together_keep_the_miss():
     limits = ND.fewest_matches(0.75)
     assert dropped(0.75, limits) <= ND.MISS and dropped(0.76, limits) <= dropped(0.75, limits)
     assert dropped(0.3, limits) > 0.999
+
+
+def thue_morse(n):
+    t = "a"
+    while len(t) < n:
+        t += t.translate(str.maketrans("ab", "ba"))
+    return t, t.translate(str.maketrans("ab", "ba"))
+
+
+def test_patterned_words_keep_apart(spark):
+    a, b = thue_morse(1024)
+    assert len(set(W.words_of([a.encode(), b.encode()]).digests.tolist())) == 2
+    words = ["\x00", "\x00\x00", "a", "a\x00", "A\x00b", "x" * 8, "x" * 16, "x" * 17, "xxxxxxxxy", "yxxxxxxxx", *thue_morse(4096)]
+    assert len(set(W.words_of([w.encode() for w in words]).digests.tolist())) == len(words)
+    out = ND.near_groups(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.component_id) for x in out) == [(1, 1), (2, 2)]
+
+
+def _bucket(r, n, edits):
+    """Rows as one block holds them: near copies of one text, all in components of their own."""
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(n):
+        t = list(base)
+        for i in r.sample(range(150), edits):
+            t[i] = f"x{r.randrange(10 ** 9)}"
+        texts.append(" ".join(t).encode())
+    return W.shingle_sets(W.words_of(texts))
+
+
+@pytest.mark.parametrize("edits", [2, 4, 5])
+def test_links_of_a_block_are_fewer_than_its_members(edits):
+    import pyarrow as pa
+
+    for n in (50, 100, 200):
+        sets = _bucket(random.Random(n), n, edits)
+        sig = [ND.signature(s)[:ND.BANDS * ND.ROWS] for s in sets]
+        out = []
+        for band in range(ND.BANDS):        # every bucket of every band
+            by = {}
+            for i in range(n):
+                by.setdefault(sig[i][band * ND.ROWS:(band + 1) * ND.ROWS].tobytes(), []).append(i)
+            rows = [(k, i) for k, ids in enumerate(by.values()) for i in ids]
+            batch = pa.RecordBatch.from_pydict({
+                "part": [k for k, _ in rows], "block": [0] * len(rows), "single": [True] * len(rows), "band": [band] * len(rows),
+                "node": [i for _, i in rows], "root": [i for _, i in rows], "n_shingles": [len(sets[i]) for _, i in rows],
+                "sig": [sig[i].tobytes() for _, i in rows], "shingles": [sets[i].tobytes() for _, i in rows]})
+            links = [(a, b) for x in ND._compare_blocks(75)(iter([batch])) for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
+            assert len(links) <= len(rows) - len(by)
+            out += links
+        want = [(i, j) for i in range(n) for j in range(i) if ND.alike(sets[i], sets[j], 75)]
+        got, full = brute.components(n, out), brute.components(n, want)
+        assert len(set(zip(got, full))) == len(set(got)) == len(set(full))
