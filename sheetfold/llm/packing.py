@@ -21,11 +21,13 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces packed together by one task; bins left open at a group's end are what grouping costs.
 GROUP = 4_000
+#: Words whose ids a Python worker keeps.
+REMEMBER = 1 << 20
 
 
-def _pieces(path: str, capacity: int, end_id: int):
+def _pieces(path: str, capacity: int, end_id: int, remember: int):
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, slots=remember)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
@@ -44,14 +46,16 @@ def _pieces(path: str, capacity: int, end_id: int):
     return run
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
+                 remember: int = REMEMBER) -> DataFrame:
     """``doc_id, piece, start, length, ids``: each document's ids and ``end_id``, cut into pieces of
     ``capacity`` if there are more (the first piece is then the shorter one). ``ids`` are
     little-endian unsigned 32-bit numbers. Null and empty texts are the end id alone; rows that
     share an id are documents of their own. ``tokenizer``: the path of a ``tokenizers`` file that
-    every executor can read."""
+    every executor can read; ``remember``: words whose ids a Python worker keeps, twice as many at most
+    (about 150 bytes each)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_pieces(tokenizer, capacity, end_id), "doc_id long, piece int, start long, length long, ids binary")
+    return rows.mapInArrow(_pieces(tokenizer, capacity, end_id, remember), "doc_id long, piece int, start long, length long, ids binary")
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
