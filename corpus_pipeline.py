@@ -14,6 +14,9 @@ from sheetfold.llm import mixing, near_dedup, packing, quality, substring_dedup
 from sheetfold.llm.common import store
 from sheetfold.sources.fixtures import table
 
+#: Words that a worker's tokenizer keeps: fewer than where packing has the executors to itself.
+REMEMBER = 1 << 16
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the co-trained quality classifier keeps."""
@@ -37,7 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequences: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), remember=REMEMBER)
     packed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
