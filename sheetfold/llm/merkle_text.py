@@ -1,10 +1,11 @@
 """Document fingerprints: a Merkle tree over sections and paragraphs, DataFrame functions only.
 
-A text splits at blank lines into sections and a section at line breaks into paragraphs. A
-paragraph's node is the SHA-256 of its text, a section's that of its paragraphs' nodes in order,
-the root that of the sections' nodes in order; so two roots are equal exactly when the texts are
-equal, and unequal trees are descended along their unequal branches only. Below a paragraph lie
-its blocks (``BLOCK`` code points each), which grade how much of two texts is alike.
+A text splits at blank lines into sections, a section at line breaks into paragraphs and a paragraph
+into leaves of ``LEAF`` code points. A leaf's node is the SHA-256 of its text, and every other
+node that of its children's nodes in order; so two roots are equal exactly when the texts are
+equal, and unequal trees are descended along their unequal branches only. The fingerprint
+writes the tree out, leaves included, with shortened nodes; how much of two texts is alike is
+read from the leaves that two fingerprints hold.
 """
 
 from __future__ import annotations
@@ -17,39 +18,53 @@ from pyspark.sql import functions as F
 from sheetfold.llm.common import let
 from sheetfold.operators.joins import sized_side
 
-#: Code points of a paragraph's blocks, the leaves that ``likeness`` compares.
-BLOCK = 16
+#: Code points of a leaf.
+LEAF = 16
+#: Hex digits of a node in a fingerprint.
+DIGITS = 8
 
 
 def tree(text: Column) -> Column:
-    """The Merkle tree of a text (null counts as empty):
-    ``struct<root, sections array<struct<node, paragraphs array<string>>>, blocks array<long>>``.
-    Nodes are lower-case hex; ``blocks`` are 64-bit digests of distinct blocks."""
+    """The Merkle tree of a text (null counts as empty): ``struct<root, sections array<struct<node,
+    paragraphs array<string>, leaves array<array<string>>>>>``. Nodes are lower-case hex; ``leaves``
+    are each paragraph's, shortened to ``DIGITS``."""
+    def node(nodes):
+        return F.sha2(F.array_join(nodes, ""), 256)
+
+    def paragraph(p):
+        leaves = F.transform(F.regexp_extract_all(p, F.lit(r"[^\n]{1,%d}" % LEAF), F.lit(0)), lambda x: F.sha2(x, 256))
+        return let(leaves, lambda x: F.struct(node(x).alias("node"), F.transform(x, lambda d: F.substring(d, 1, DIGITS)).alias("leaves")))
+
     def section(s):
-        return let(F.transform(F.split(s, "\n", -1), lambda p: F.sha2(p, 256)),
-                   lambda nodes: F.struct(F.sha2(F.array_join(nodes, ""), 256).alias("node"), nodes.alias("paragraphs")))
+        return let(F.transform(F.split(s, "\n", -1), paragraph), lambda ps: F.struct(
+            node(F.transform(ps, lambda p: p["node"])).alias("node"), F.transform(ps, lambda p: p["node"]).alias("paragraphs"),
+            F.transform(ps, lambda p: p["leaves"]).alias("leaves")))
 
-    def build(t):
-        sections = F.transform(F.split(t, "\n\n", -1), section)
-        blocks = F.transform(F.regexp_extract_all(t, F.lit(r"[^\n]{1,%d}" % BLOCK), F.lit(0)), lambda b: F.xxhash64(b))
-        return let(sections, lambda s: F.struct(
-            F.sha2(F.array_join(F.transform(s, lambda x: x["node"]), ""), 256).alias("root"),
-            s.alias("sections"), F.array_distinct(blocks).alias("blocks")))
-    return let(F.coalesce(text, F.lit("")), build)
+    sections = F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n", -1), section)
+    return let(sections, lambda s: F.struct(node(F.transform(s, lambda x: x["node"])).alias("root"), s.alias("sections")))
 
 
 def serialised(t: Column) -> Column:
-    """A tree as one string: the root, then each section's paragraphs' nodes, first eight digits each."""
+    """A tree as one string: the root, then by section (``/``) each paragraph's (``;``) node and leaves (``.``),
+    shortened to ``DIGITS``."""
+    def paragraph(node, leaves):
+        return F.array_join(F.concat(F.array(F.substring(node, 1, DIGITS)), leaves), ".")
     return F.concat_ws(":", t["root"], F.array_join(F.transform(t["sections"], lambda s: F.array_join(
-        F.transform(s["paragraphs"], lambda p: F.substring(p, 1, 8)), ".")), "/"))
+        F.zip_with(s["paragraphs"], s["leaves"], paragraph), ";")), "/"))
+
+
+def leaves(t: Column) -> Column:
+    """The distinct leaves of a tree, as its fingerprint holds them."""
+    return F.array_distinct(F.flatten(F.transform(t["sections"], lambda s: F.flatten(s["leaves"]))))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal roots, else twice the blocks in common over the blocks of both (Dice), below 1."""
-    both = F.size(a["blocks"]) + F.size(b["blocks"])
-    common = F.size(F.array_intersect(a["blocks"], b["blocks"]))
-    dice = F.when(both > 0, 2.0 * common / both).otherwise(F.lit(0.0))
-    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(F.least(dice, F.lit(0.999999)))
+    """1 for equal roots, else twice the leaves in common over the leaves of both (Dice), below 1."""
+    def dice(x, y):
+        both = F.size(x) + F.size(y)
+        return F.when(both > 0, 2.0 * F.size(F.array_intersect(x, y)) / both).otherwise(F.lit(0.0))
+    near = let(leaves(a), lambda x: let(leaves(b), lambda y: dice(x, y)))
+    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(F.least(near, F.lit(0.999999)))
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:

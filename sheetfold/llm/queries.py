@@ -71,45 +71,60 @@ def op2_mixing(spark, sf):
                        (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def _tree_sql(t: str) -> tuple[str, str, str]:
-    """DuckDB expressions over a text: the root, the fingerprint, the distinct blocks."""
-    sections = f"string_split({t}, chr(10) || chr(10))"
-    node = "lambda s: sha256(array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256(p)), ''))"
-    root = f"sha256(array_to_string(list_transform({sections}, {node}), ''))"
-    short = "lambda s: array_to_string(list_transform(string_split(s, chr(10)), lambda p: substr(sha256(p), 1, 8)), '.')"
-    return root, f"{root} || ':' || array_to_string(list_transform({sections}, {short}), '/')", \
-        f"list_distinct(regexp_extract_all({t}, '[^\\n]{{1,{MT.BLOCK}}}'))"
-
-
 def _op3_sql() -> str:
-    columns = ", ".join(f"{e} as {n}_{x}" for n, t in (("own", "t"), ("edited", "e"), ("next", "nt"))
-                        for x, e in zip(("root", "print", "blocks"), _tree_sql(t)))
+    sha, short = "lambda p: sha256(p)", f"lambda p: substr(p, 1, {MT.DIGITS})"
+
+    def tree(t):        # sections of paragraphs of leaves, then their nodes from below
+        return f"""list_transform(string_split({t}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
+      lambda p: list_transform(regexp_extract_all(p, '[^\\n]{{1,{MT.LEAF}}}'), {sha})))"""
+    names = ("own", "edited", "next")
+    trees = ", ".join(f"{tree(t)} as {n}_l" for n, t in zip(names, ("t", "e", "nt")))
+    nodes = ", ".join(f"list_transform({n}_l, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, '')))) as {n}_p" for n in names)
+    sections = ", ".join(f"list_transform({n}_p, lambda s: sha256(array_to_string(s, ''))) as {n}_s" for n in names)
+    roots = ", ".join(f"sha256(array_to_string({n}_s, '')) as {n}_root, "
+                      f"list_distinct(list_transform(flatten(flatten({n}_l)), {short})) as {n}_leaves" for n in names)
+
+    def text(n):
+        paragraph = f"concat(substr({n}_p[i][j], 1, {MT.DIGITS}), list_aggregate(list_transform({n}_l[i][j], lambda x: '.' || substr(x, 1, {MT.DIGITS})), 'string_agg', ''))"
+        return (f"{n}_root || ':' || array_to_string(list_transform(range(1, len({n}_p) + 1), lambda i: array_to_string("
+                f"list_transform(range(1, len({n}_p[i]) + 1), lambda j: {paragraph}), ';')), '/')")
 
     def near(n):
-        dice = f"2::double * len(list_intersect(own_blocks, {n}_blocks)) / (len(own_blocks) + len({n}_blocks))"
-        return (f"case when own_root = {n}_root then 1::double when len(own_blocks) + len({n}_blocks) = 0 then 0::double "
+        dice = f"2::double * len(list_intersect(own_leaves, {n}_leaves)) / (len(own_leaves) + len({n}_leaves))"
+        return (f"case when own_root = {n}_root then 1::double when len(own_leaves) + len({n}_leaves) = 0 then 0::double "
                 f"else least({dice}, 0.999999::double) end")
+    differing = """array_to_string(flatten(list_transform(list_filter(range(1, greatest(len(own_s), len(edited_s)) + 1),
+      lambda i: own_s[i] is distinct from edited_s[i]), lambda i: list_transform(list_filter(
+      range(1, greatest(coalesce(len(own_p[i]), 0), coalesce(len(edited_p[i]), 0)) + 1), lambda j: own_p[i][j] is distinct from edited_p[i][j]),
+      lambda j: (i - 1)::varchar || '.' || (j - 1)::varchar))), ',')"""
     return f"""
 with paired as (
   select doc_id, t, coalesce(lead(t) over (order by doc_id desc), first_value(t) over (order by doc_id desc)) as nt
   from (select doc_id, coalesce(text, '') as t from documents)),
 edited as (select *, substr(t, 1, length(t) - length(t) // 2) || substr(nt, 1, length(t) // 2) as e from paired),
-trees as (select doc_id, length(t) as n_chars, sha256(e) as edited_sha256, {columns} from edited)
-select doc_id, n_chars, edited_sha256, own_print as fingerprint, edited_print as edited_fingerprint,
-  {near("edited")} as near_edited, {near("next")} as near_next
-from trees
+leaved as (select doc_id, length(t) as n_chars, sha256(e) as edited_sha256, {trees} from edited),
+noded as (select *, {nodes} from leaved),
+sectioned as (select *, {sections} from noded),
+rooted as (select *, {roots} from sectioned)
+select doc_id, n_chars, edited_sha256, {text("own")} as fingerprint, {text("edited")} as edited_fingerprint,
+  {near("edited")} as near_edited, {near("next")} as near_next, {differing} as edited_paragraphs
+from rooted
 """
 
 
 @query("op3_fingerprints", _op3_sql())
 def op3_fingerprints(spark, sf):
-    """Merkle fingerprints of every text and of its edited text, and their likenesses."""
+    """Merkle fingerprints of every text and of its edited text, their likenesses, and the paragraphs
+    (``section.paragraph``, from 0) that the descent of both trees finds edited."""
     t = MT.fingerprints(table(spark, sf, "documents"))
+    edited = F.transform(MT.differing_paragraphs(F.col("tree"), F.col("edited_tree")),
+                         lambda p: F.concat_ws(".", p["section"].cast("string"), p["paragraph"].cast("string")))
     return t.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
                     MT.serialised(F.col("tree")).alias("fingerprint"),
                     MT.serialised(F.col("edited_tree")).alias("edited_fingerprint"),
                     MT.likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
-                    MT.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"))
+                    MT.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
+                    F.array_join(edited, ",").alias("edited_paragraphs"))
 
 
 OP1_SQL = r"""

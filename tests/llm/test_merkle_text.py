@@ -43,7 +43,23 @@ def test_tree_roots_and_branches(spark):
     assert got[2].d == [] and got[2].l == 1.0
     assert got[3].d and got[3].l < 1 and got[4].d
     h = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    assert got[0].r == h(h(h("one") + h("two")) + h(h("three") + h("four")))
+    node = lambda p: h("".join(h(p[i:i + MT.LEAF]) for i in range(0, len(p), MT.LEAF)))
+    assert got[0].r == h(h(node("one") + node("two")) + h(node("three") + node("four")))
+
+
+def test_likeness_is_read_from_the_fingerprints(spark):
+    r = random.Random(8)
+    rows = [("".join(r.choice("ab c\n") for _ in range(r.randint(0, 400))),) * 2 for _ in range(60)]
+    rows = [(a, a if i % 4 == 0 else a[:len(a) // (i % 4)] + b[::-1]) for i, (a, b) in enumerate(rows)] + [("x" * 100_000, "x" * 99_999)]
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("x", MT.tree(F.col("a"))).withColumn("y", MT.tree(F.col("b")))
+    out = df.select("a", "b", MT.serialised(F.col("x")).alias("p"), MT.serialised(F.col("y")).alias("q"),
+                    MT.likeness(F.col("x"), F.col("y")).alias("near")).collect()
+    for x in out:
+        def leaves(print_):
+            return {leaf for s in print_.split(":")[1].split("/") for p in s.split(";") for leaf in p.split(".")[1:]}
+        own, other = leaves(x.p), leaves(x.q)
+        dice = 2 * len(own & other) / (len(own) + len(other)) if own or other else 0.0
+        assert x.near == (1.0 if x.a == x.b else min(dice, 0.999999)) and (x.p == x.q) == (x.a == x.b)
 
 
 def test_empty_table(spark):
