@@ -8,7 +8,7 @@
     python -m sheetfold ingest     --input ROOT --out GRID.parquet   (CSV exports → Parquet grid)
 
 Workbooks are read from ``ROOT/<folder>/<workbook>/<tab>.csv`` (names percent-encoded as path
-segments, so titles may hold ``:``); rates and project master are
+segments, so titles may hold ``:``) or from ``ROOT/folder=/workbook=/tab=/part-*``; rates and project master are
 tabs exported with their header row. Each output table is written to ``DIR/<table>`` (Parquet,
 or CSV with ``--format csv``: header first, null as '', dates as text); an empty result leaves
 the previous output in place.
@@ -30,7 +30,8 @@ from sheetfold.plans import timesheets as TS
 from sheetfold.session import build_session, scale_conf
 from sheetfold.sources import grid as G
 from sheetfold.sources import listing as LS
-from sheetfold.sources.sinks import write_table
+from sheetfold.sources.catalog import Folder
+from sheetfold.sources.sinks import check_destination, write_table
 
 
 def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: list[str],
@@ -39,6 +40,12 @@ def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, protected: lis
             for name, df in outputs.items()}
 
 
+def _save(outputs: dict[str, DataFrame], folder: Folder, skip_empty: bool = True) -> dict[str, int | None]:
+    """The outputs as named tables of a catalog folder, found by name or created."""
+    saved = {name: folder.save(df, name, skip_empty=skip_empty) for name, df in outputs.items()}
+    return {name: None if did == "skipped" else rows for name, (did, rows) in saved.items()}
+
+
 def _tab_listing(spark, inputs: list[str], grid_format: str, tabs: list[str] | None = None) -> DataFrame:
     """Every workbook tab under the inputs: ``folder, file_id, file_name, tab``. CSV exports are
     listed from file metadata only; Parquet grids by their key columns."""
@@ -167,6 +174,8 @@ def parser() -> argparse.ArgumentParser:
                     help="budget: only these workbook titles, numbered in this order")
     ap.add_argument("--replace-empty", action="store_true",
                     help="write empty results too (default: an empty result keeps the previous output)")
+    ap.add_argument("--catalog", metavar="FOLDER", help="save the outputs as named tables of this catalog folder; "
+                    "--out is where a new folder's files go")
     ap.add_argument("--master", default=None)
     return ap
 
@@ -211,6 +220,9 @@ def run_cli(spark, argv: list[str]) -> dict[str, int | None]:
             ap.error("timesheets needs --rates and --projects")
         outputs = timesheets(spark, a.input, dict(s.split("=", 1) for s in a.sector), a.rates, a.projects,
                              a.grid_format)
+    if a.catalog:
+        check_destination(spark, a.out, a.input)
+        return _save(outputs, Folder(spark, a.catalog, a.out), skip_empty=not a.replace_empty)
     return _write(outputs, a.out, a.format, protected=a.input,
                   skip_empty=not a.replace_empty)
 

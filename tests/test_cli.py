@@ -67,6 +67,23 @@ def test_budget_and_timesheet_jobs(spark):
     assert sorted(r["ID_Presupuesto"] for r in fact.values()) == [1, 2]
     assert fact["LUIS"]["proyecto_id"] == "2024_01"
 
+    # as named tables of a catalog folder
+    from sheetfold.sources.catalog import Folder
+    cat, title = tempfile.mkdtemp(prefix="cat-", dir="/tmp"), f"DWH {os.path.basename(out)}"
+    args = ["budget", "--input", root, "--rates", rates, "--out", cat, "--catalog", title]
+    assert run_cli(spark, args)["Fact_Presupuesto_Horas"] == 2 and run_cli(spark, args)["Archivos_con_error"] is None
+    assert Folder(spark, title).find("Fact_Presupuesto_Horas").count() == 2
+
+    # an unreadable workbook is reported and costs the others nothing
+    bad = os.path.join(root, "books", "Productividad%3A%202024-09%20Z", "Equipo.csv")
+    os.makedirs(os.path.dirname(bad))
+    with open(bad, "wb") as f:
+        f.write("Nombre completo,año\n".encode("latin-1"))
+    again = run_cli(spark, ["budget", "--input", root, "--rates", rates, "--out", out])
+    assert (again["Fact_Presupuesto_Horas"], again["Archivos_con_error"]) == (2, 1)
+    assert [(r["file_name"], r["motivo"]) for r in spark.read.parquet(os.path.join(out, "Archivos_con_error")).collect()] == \
+        [("Productividad: 2024-09 Z", "Equipo: not UTF-8 text")]
+
     # a fixed list of workbooks: only those, numbered in list order
     team2 = [["Nombre completo", "Cantidad de horas"], ["EVA", "4"]]
     _csv(os.path.join(root, "books", "Productividad: 2024-02 Z", "Equipo.csv"), team2)
