@@ -20,7 +20,7 @@ from itertools import chain
 import numpy as np
 
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_WITH_SPACE = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+_WITH_SPACE = re.compile(rb"\s*\S+|\s+")
 #: Behind a letter or digit and before a sign of ASCII tokens always end.
 _SIGNS = re.compile(rb"(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])")
 #: ASCII and Latin letters whose normal form and lower case have as many bytes as they have.
@@ -63,11 +63,8 @@ class Encoder:
             at = end.end()
         yield text[at:] if at else text
 
-    def _learn(self, pieces: list[list[bytes]]) -> None:
-        """Make all ``pieces`` known."""
-        if len(self.known) > self.slots or self.used > self.most:
-            self.known, self.older, self.used = {}, self.known, 0
-        missing = set(chain.from_iterable(pieces)).difference(self.known)
+    def _learn(self, missing: set[bytes]) -> None:
+        """Make all pieces known."""
         again = [p for p in missing if p in self.older]
         self.known.update((p, self.older[p]) for p in again)
         missing.difference_update(again)
@@ -135,12 +132,30 @@ class Encoder:
                     ids = self.tokenizer.encode(t.decode(), add_special_tokens=False).ids
                     found[i], texts[i] = [np.array(ids, "<u4").tobytes()], None
         for group in self._groups(texts):
-            pieces = [self._pieces(segment) for _, segment in group]
-            self._learn(pieces)
-            for (i, _), own in zip(group, pieces):
-                found[i].append(b"".join(map(self.known.__getitem__, own)))
+            for (i, _), ids in zip(group, self._look_up([self._pieces(segment) for _, segment in group])):
+                found[i].append(ids)
         return [np.frombuffer(b"".join(x), "<u4") for x in found]
 
+    def _look_up(self, pieces: list[list[bytes]]) -> list[bytes]:
+        """The ids of lists of pieces, each list's joined."""
+        if len(self.known) > self.slots or self.used > self.most:
+            self.known, self.older, self.used = {}, self.known, 0
+        get = self.known.get
+        out, lacking, missing = [], [], set()
+        for k, own in enumerate(pieces):
+            values = list(map(get, own))
+            try:
+                out.append(b"".join(values))
+            except TypeError:       # a piece is not known: None
+                out.append(b"")
+                lacking.append((k, values))
+                missing.update([p for p, x in zip(own, values) if x is None])
+        if missing:
+            self._learn(missing)
+            for k, values in lacking:
+                out[k] = b"".join([self.known[p] if x is None else x for p, x in zip(pieces[k], values)])
+        return out
+
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
