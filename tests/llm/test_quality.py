@@ -50,3 +50,17 @@ def test_views_teach_each_other():
     taught = Q.CoTrained(content[few], metadata[few], y[few], content[30:3000], metadata[30:3000])
     right = lambda m, j: ((m.score(content[3000:], metadata[3000:])[:, j] > 0.5) == y[3000:]).mean()
     assert right(taught, 2) >= right(alone, 2) - 0.01 and right(taught, 2) > 0.95
+
+
+def test_exchange_teaches_what_the_labels_alone_do_not():
+    # labelled documents all have the same metadata: only content, by its pseudo-labels, can teach that view
+    r = np.random.default_rng(5)
+    y = (r.random(6000) < 0.5).astype(float)
+    content, metadata = ((y[:, None] * 2 - 1) * 1.5 + r.normal(size=(6000, 3)) for _ in range(2))
+    metadata[:200] = 0.0
+    content[4000:] = 0.0        # and the documents to judge show nothing but their metadata
+    views = content[:200], metadata[:200], y[:200], content[200:4000], metadata[200:4000]
+    right = lambda m: ((m.score(content[4000:], metadata[4000:])[:, 2] > 0.5) == y[4000:]).mean()
+    alone, taught = right(Q.CoTrained(*views, rounds=0)), right(Q.CoTrained(*views))
+    print("right alone, after the exchange:", alone, taught)
+    assert alone < 0.6 and taught > 0.9
