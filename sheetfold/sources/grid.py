@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
-from itertools import islice
+import re
 from typing import NamedTuple
 from urllib.parse import quote
 
@@ -55,22 +55,28 @@ def _parse(max_cols: int | None, trim: bool):
 
     def run(batches):
         csv.field_size_limit(MAX_FILE_BYTES)
+        held = []
+
+        def sent():
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held.clear()
+            return out
         for batch in batches:
             for uri, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = content.as_py()
                 # a file is read through before its first row leaves: a broken one gives no row
                 n, reason = _failure(raw)
-                yield pa.RecordBatch.from_pylist([{"uri": uri, "n_rows": None if reason else n, "reason": reason}], schema=schema)
-                records = enumerate(_records(raw)) if n else iter(())
-                while some := list(islice(records, _ROWS)):
-                    cells = [row[:max_cols] for _, row in some]
+                held.append((uri, None, None, None if reason else n, reason))
+                for i, row in enumerate(_records(raw) if n else ()):
+                    cells = row[:max_cols]
                     if trim:
-                        for row in cells:
-                            while row and row[-1] == "":
-                                row.pop()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([uri] * len(some)), pa.array([i for i, _ in some], pa.int64()), pa.array(cells, pa.list_(pa.string())),
-                         pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.string())], schema=schema)
+                        while cells and cells[-1] == "":
+                            cells.pop()
+                    held.append((uri, i, cells, None, None))
+                    if len(held) >= _ROWS:
+                        yield sent()
+        if held:
+            yield sent()
     return run
 
 
@@ -87,17 +93,27 @@ def scan_csv_grids(spark: SparkSession, paths: list[str], max_cols: int | None =
     ``file_filter`` (a function of the file's URI column) prunes files before they are opened.
     Parsed rows are written once to the shared folder: no later step opens an export again.
     """
+    found = existing(spark, paths)
+    return _scan(spark, _load(spark, found, guarded=True) if found else None, max_cols, trim_trailing_blanks, file_filter)
+
+
+def _load(spark: SparkSession, paths: list[str], guarded: bool = False, **options) -> DataFrame:
+    """Files as rows; ``guarded``: one that cannot be read gives none."""
+    reader = spark.read.format("binaryFile").options(**options)
+    return (reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True) if guarded else reader).load(paths)
+
+
+def _scan(spark: SparkSession, files: DataFrame | None, max_cols: int | None, trim: bool, file_filter) -> Scan:
+    """:func:`scan_csv_grids` of loaded files (None: there are none)."""
     uri = F.col("_metadata.file_path")
-    if not any_match(spark, paths):
+    if files is None:
         grid = spark.createDataFrame([], "file_id string, file_name string, row_idx long, cells array<string>")
         return Scan(grid, spark.createDataFrame([], "file_id string, file_name string, reason string"),
                     spark.createDataFrame([], "file_id string, n_rows long"))
-    files = (spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-             .load(existing(spark, paths)))
     if file_filter is not None:
         files = files.where(file_filter(uri))
     contents = files.where(F.col("length") <= MAX_FILE_BYTES).select(uri.alias("uri"), "content")
-    parsed = materialize(contents.mapInArrow(_parse(max_cols, trim_trailing_blanks), _PARSED))
+    parsed = materialize(contents.mapInArrow(_parse(max_cols, trim), _PARSED))
     name = F.element_at(F.split("file_id", "/"), -1)
     grid = parsed.where("row_idx is not null").select(F.col("uri").alias("file_id"), "row_idx", "cells")
     status = parsed.where("row_idx is null").select(F.col("uri").alias("file_id"), "n_rows", "reason", F.lit(True).alias("_read"))
@@ -153,10 +169,40 @@ def _decoded_path(c):
 PLAIN, PARTITIONED = "<root>/<folder>/<workbook>/<tab>.csv", "<root>/folder=<folder>/workbook=<workbook>/tab=<tab>/part-*"
 
 
-def _export_paths(roots: list[str], tabs: list[str] | None = None) -> list[str]:
-    """File patterns of both layouts under ``roots``, of all tabs or the named ones."""
-    plain = "*.csv" if not tabs else "{" + ",".join(f"{quote(t, safe='')}.csv" for t in tabs) + "}"
-    return [f"{r.rstrip('/')}/*/*/{plain}" for r in roots] + [f"{r.rstrip('/')}/folder=*/workbook=*/tab=*/part-*" for r in roots]
+#: Names that Spark passes over when it lists the folders below a given one.
+_PASSED_OVER = "{[_.]*,*._COPYING_}"
+
+
+def _export_folders(spark: SparkSession, roots: list[str]) -> dict[int, list[str]]:
+    """Folders whose files, all together, are all exports under ``roots``, by the depth of the exports' folders:
+    these themselves, and workbooks that Spark would pass over on its way down. The driver lists the
+    entries of ``roots`` and of their folders; workbooks and tabs are left to the tasks of Spark's listing."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out: dict[int, dict[str, None]] = {}
+    for root in roots:
+        for depth, pattern in ((0, "*"), (1, f"*/{_PASSED_OVER}")):
+            path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pattern}")
+            for status in path.getFileSystem(conf).globStatus(path) or ():
+                if status.isDirectory():
+                    out.setdefault(status.getPath().depth() - depth, {})[status.getPath().toString()] = None
+    # names are no patterns
+    return {depth: [re.sub(r"([{}\[\]*?\\])", r"\\\1", p) for p in paths] for depth, paths in out.items()}
+
+
+def _export_files(spark: SparkSession, roots: list[str], guarded: bool = False) -> DataFrame | None:
+    """The files of both layouts under ``roots`` (None: there are none), listed by Spark's tasks."""
+    out = None
+    for depth, folders in _export_folders(spark, roots).items():
+        # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
+        parts = F.split(F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/")
+        levels = F.size(parts) - 1 - depth
+        parted = F.lit(True)
+        for i, start in ((-4, "folder="), (-3, "workbook="), (-2, "tab="), (-1, "part-")):
+            parted = parted & F.element_at(parts, i).startswith(start)
+        plain = (levels == 2) & F.element_at(parts, -1).endswith(".csv")
+        files = _load(spark, folders, guarded, recursiveFileLookup=True).where(plain | ((levels == 3) & parted))
+        out = files if out is None else out.unionByName(files)
+    return out
 
 
 def export_place(on_disk) -> dict[str, Column]:
@@ -194,17 +240,17 @@ def scan_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int |
         keep = place["tab"].isin(*tabs) if tabs else F.lit(True)
         return keep & title_filter(place["file_name"]) if title_filter is not None else keep
 
-    scan = scan_csv_grids(spark, _export_paths(roots, tabs), max_cols, file_filter=wanted)
+    scan = _scan(spark, _export_files(spark, roots, guarded=True), max_cols, True, wanted)
     place = export_place(_decoded_path(F.col("file_id")))
     sheet = ["folder", "file_id", "file_name", "tab"]
     failures = scan.failures.select(*[place[c].alias(c) for c in sheet], "reason")
     failures = failures.groupBy(*sheet).agg(F.min("reason").alias("reason"))
     # a part's rows go on where the parts before it end; per sheet there are few parts
     parts = scan.files.select(F.col("file_id").alias("_uri"), "n_rows", *[place[c].alias(c) for c in sheet])
-    parts = parts.join(sized_side(failures.select("file_id", "tab")), ["file_id", "tab"], "left_anti")
+    parts = parts.join(sized_side(failures.select("file_id", "tab"), checkpoint=True), ["file_id", "tab"], "left_anti")
     before = Window.partitionBy(*sheet).orderBy("_uri").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("_uri", *sheet, F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("_start"))
-    grid = scan.grid.select(F.col("file_id").alias("_uri"), "row_idx", "cells").join(sized_side(parts), "_uri")
+    grid = scan.grid.select(F.col("file_id").alias("_uri"), "row_idx", "cells").join(sized_side(parts, checkpoint=True), "_uri")
     return Scan(grid.select(*sheet, (F.col("row_idx") + F.col("_start")).alias("row_idx"), "cells"), failures, scan.files)
 
 
@@ -217,11 +263,9 @@ def read_workbook_exports(spark: SparkSession, roots: list[str], max_cols: int |
 def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Workbooks and their tabs under ``roots`` (either layout) from file metadata only (no content is
     read): ``folder, file_id, file_name, tab, path``; a tab in parts has a row per part."""
-    paths = _export_paths(roots)
-    if not any_match(spark, paths):
+    files = _export_files(spark, roots)
+    if files is None:
         return spark.createDataFrame([], "folder string, file_id string, file_name string, tab string, path string")
-    # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
-    files = spark.read.format("binaryFile").load(existing(spark, paths))
     place = export_place(F.col("path"))
     return files.select("path").select(*[place[c].alias(c) for c in ("folder", "file_id", "file_name", "tab")], "path")
 

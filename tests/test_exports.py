@@ -94,6 +94,40 @@ def test_partitioned_exports_round_trip(spark, tmp_path):
     assert {tuple(r) for r in listed} == {(f, b, t) for f, b, t, _, _ in rows}
 
 
+def test_exports_are_written_without_a_process_per_file_and_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Six hundred workbooks and odd names: parts without Hadoop's local writer (which starts processes for each
+    file), one Spark listing from the folders down, and no pattern that makes the driver open every workbook."""
+    odd = [("_f", "_libro.", "t"), (None, "", "%41 {x}[y]"), (".f", ".libro", "_t"), ("f*?", "a=b/c:d\\", "ñ")]
+    rows = [("f", f"NUEVO {i}", "t", r, ["x", str(r)]) for i in range(600) for r in range(2)] + [(*k, r, ["é", "", '"']) for k in odd for r in range(2)]
+    grid = spark.createDataFrame(rows, "folder string, file_name string, tab string, row_idx long, cells array<string>")
+    root = str(tmp_path / "out")
+    write_workbook_exports(grid, root)
+    found = [(d, f) for d, _, names in os.walk(root) for f in names]
+    assert len(found) >= 604 and all(f.startswith("part-") for _, f in found) and os.listdir(tmp_path) == ["out"]
+    with pytest.raises(FileExistsError):
+        write_workbook_exports(grid, root)
+    monkeypatch.setattr(G, "any_match", None)
+    name = lambda x: x or "__HIVE_DEFAULT_PARTITION__"
+    want = sorted((name(b), t, i, tuple(c)) for _, b, t, i, c in rows)
+    assert _rows(G.read_workbook_exports(spark, [root])) == want
+    listed = {tuple(r) for r in G.list_workbook_exports(spark, [root]).select("folder", "file_name", "tab").collect()}
+    assert listed == {(name(f), name(b), name(t)) for f, b, t, _, _ in rows}
+
+
+def test_both_layouts_and_only_their_depths_are_listed(spark, tmp_path):
+    root = str(tmp_path / "[r]")
+    for folder, book, tab in [("_f", ".libro", "t"), ("f", "_libro", "t"), ("f", "libro", "t"), ("f", "libro", "_t")]:
+        _put(root, folder, book, tab, "a,b\n")
+    for other in ("suelto.csv", "f/suelto.csv", "f/libro/mas/hondo.csv", "f/libro/t.txt", "folder=g/workbook=b/part-0", "folder=g/workbook=b/tab=t/part-0"):
+        os.makedirs(os.path.dirname(os.path.join(root, other)), exist_ok=True)
+        with open(os.path.join(root, other), "w") as f:
+            f.write("a,b\n")
+    roots = [str(tmp_path / "\\[r\\]"), str(tmp_path / "none")]
+    want = {("_f", ".libro", "t"), ("f", "_libro", "t"), ("f", "libro", "t"), ("g", "b", "t")}
+    assert sorted(tuple(r)[:1] + tuple(r)[2:4] for r in G.list_workbook_exports(spark, roots).collect()) == sorted(want)
+    assert sorted(tuple(r) for r in G.read_workbook_exports(spark, roots).select("folder", "file_name", "tab").collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("text, want", [
     ("'Proyección - Ingresos'!A:Z", Range("Proyección - Ingresos", 0, None, 0, 26)),
     ("A2:I", Range(None, 1, None, 0, 9)), ("a2:i", Range(None, 1, None, 0, 9)), ("B3:D10", Range(None, 2, 10, 1, 4)),
