@@ -8,6 +8,7 @@ fitted to, and a last calibration combines both views' log-odds into the score o
 
 from __future__ import annotations
 
+import pickle
 import zlib
 
 import numpy as np
@@ -192,11 +193,38 @@ def _view_columns(docs: DataFrame) -> DataFrame:
                        F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
+_EMPTY = (np.zeros((0, CONTENT)), np.zeros((0, METADATA)))
+
+
+def _model_row(model: CoTrained) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
+def _fit(batches):
+    """The sample's rows (``doc_id, y, content, metadata, at``) → the classifier fitted to them, in bytes."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        yield _model_row(CoTrained(*_EMPTY, np.zeros(0), *_EMPTY))
+        return
+    rows = pa.Table.from_batches(batches)
+    # rows of one id in the order in which the tables gave them
+    rows = rows.sort_by([("doc_id", "ascending"), ("at", "ascending")])
+    y, ids = rows.column("y"), rows.column("doc_id").fill_null(0).to_numpy()
+    known = np.flatnonzero(y.is_valid().to_numpy())
+    rest = np.flatnonzero(y.is_null().to_numpy())
+    known = known[np.unique(ids[known], return_index=True)[1]]
+
+    def view(name: str, width: int, some: np.ndarray) -> np.ndarray:
+        return pa.concat_arrays([c.flatten() for c in rows.column(name).chunks]).to_numpy().reshape(-1, width)[some]
+    views = [view(name, width, some) for some in (known, rest) for name, width in (("content", CONTENT), ("metadata", METADATA))]
+    yield _model_row(CoTrained(*views[:2], y.to_numpy()[known].astype(float), *views[2:]))
+
+
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTrained:
     """A classifier from ``labels`` (``doc_id, quality`` 0 or 1; nulls are no labels; of several
-    labels of an id the largest holds) and ``docs``. It is fitted on the driver to about
+    labels of an id the largest holds) and ``docs``. It is fitted by a task to about
     ``labelled`` labelled and ``unlabelled`` other documents, chosen by digest of the id over the
-    whole tables; only their features come to the driver."""
+    whole tables; only the classifier comes to the driver."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("double").alias("y"))
     known = store(known, "quality-labels")
     chosen = known.where(_portion(known.count(), labelled))
@@ -205,13 +233,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     others = rows.where(_portion(docs.count(), unlabelled)).join(known.select("doc_id"), "doc_id", "left_anti").withColumn("y", F.lit(None).cast("double"))
     columns = ["doc_id", "y", *_INPUT]
     sample = some.select(columns).unionByName(others.select(columns))
-    found = sample.mapInArrow(_feature_rows, "doc_id long, y double, content array<double>, metadata array<double>").toPandas()
-    found = found.sort_values("doc_id", kind="stable", ignore_index=True)
-    stack = lambda part, c, width: np.stack(part[c].to_numpy()) if len(part) else np.zeros((0, width))
-    a, b = found[found["y"].notna()], found[found["y"].isna()]
-    a = a.drop_duplicates("doc_id")
-    return CoTrained(stack(a, "content", CONTENT), stack(a, "metadata", METADATA), a["y"].to_numpy(dtype=float),
-                     stack(b, "content", CONTENT), stack(b, "metadata", METADATA))
+    found = sample.mapInArrow(_feature_rows, "doc_id long, y double, content array<double>, metadata array<double>")
+    fitted = found.withColumn("at", F.monotonically_increasing_id()).repartition(1).mapInArrow(_fit, "model binary").collect()
+    return pickle.loads(fitted[0]["model"]) if fitted else CoTrained(*_EMPTY, np.zeros(0), *_EMPTY)
 
 
 def scores(docs: DataFrame, model: CoTrained) -> DataFrame:

@@ -41,6 +41,26 @@ def test_odd_rows_and_empty_tables(spark):
     assert Q.scores(docs.limit(0), real).count() == 0 and Q.quality_filter(docs.limit(0), real).count() == 0
 
 
+def test_the_driver_gets_the_classifier_only(spark, monkeypatch):
+    """Features stay in the tasks, and the classifier is the one fitted to the same rows by hand."""
+    r = np.random.default_rng(5)
+    rows = [(int(i), " ".join(r.choice(["la", "casa", "#$%", "Verde", "x"], 20 + i % 7)), f"s{i % 3}", "es", int(i)) for i in range(300)]
+    rows += [rows[7], (9, "otra cosa", None, None, None), (None, "sin id", "s1", "es", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, int("#$%" in rows[i][1][:20])) for i in range(0, 300, 2)] + [(9, 1), (None, 1)], "doc_id long, quality int")
+    for name in ("toPandas", "toArrow"):
+        monkeypatch.setattr(type(docs), name, lambda *a: (_ for _ in ()).throw(AssertionError("rows came to the driver")))
+    model = Q.train(docs, labels)
+    monkeypatch.undo()
+    y = {i: float("#$%" in rows[i][1][:20]) for i in range(0, 300, 2)} | {9: 1.0}
+    views = [Q.content_features([x[1].encode() for x in rows]), Q.metadata_features(*([x[i] for x in rows] for i in (2, 3, 4)))]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0], i))
+    known = [i for n, i in enumerate(order) if rows[i][0] in y and (not n or rows[order[n - 1]][0] != rows[i][0])]
+    rest = [i for i in order if rows[i][0] not in y]
+    hand = Q.CoTrained(views[0][known], views[1][known], np.array([y[rows[i][0]] for i in known]), views[0][rest], views[1][rest])
+    assert model.constant is None and np.allclose(model.score(*views), hand.score(*views), rtol=0, atol=1e-9)
+
+
 def test_views_teach_each_other():
     r = np.random.default_rng(1)
     y = (r.random(4000) < 0.5).astype(float)
