@@ -71,8 +71,8 @@ def write_workbook_exports(grid: DataFrame, root: str, line: Column | None = Non
     that follow each other by name. ``line`` replaces the record of a row (default: its cells).
 
     On a mounted folder the tasks write the parts themselves, beside ``root``, which appears at the end by one
-    rename: Hadoop's local file system starts six processes a file to set permissions (it does without its
-    native library), and there is a file for each sheet. Elsewhere Spark's text writer is used.
+    rename: without its native library Hadoop's local file system starts processes for every file (8.0 new
+    processes and threads a file, as counted), and there is a file for each sheet. Elsewhere Spark's text writer is used.
     """
     rows = grid.select("folder", F.col("file_name").alias("workbook"), "tab", "row_idx",
                        (csv_line(F.col("cells")) if line is None else line).alias("value"))
