@@ -39,7 +39,9 @@ def sized_side(df: DataFrame, max_rows: int | None = None, checkpoint: bool = Fa
     """Return ``df`` marked for broadcast only if it is within both bounds: rows (``max_rows``,
     else ``sheetfold.broadcast.maxRows``, else :data:`BROADCAST_MAX_ROWS`) and bytes
     (``sheetfold.broadcast.maxBytes``, else :data:`BROADCAST_MAX_BYTES`, measured as the
-    JSON-encoded size of the rows). One job that reads at most ``max_rows + 1`` rows.
+    JSON-encoded size of the rows). One job that reads at most ``max_rows + 1`` rows. Beyond the bounds
+    it is marked for a merge join: left to itself, Spark broadcasts a stored table by the compressed size
+    of its files, a small part of what the driver then holds.
 
     ``checkpoint=True`` first materialises it, so measuring does not run its plan twice (use it
     for sides computed from large inputs, such as per-sheet layouts).
@@ -51,7 +53,7 @@ def sized_side(df: DataFrame, max_rows: int | None = None, checkpoint: bool = Fa
     row_bytes = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     stats = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
                                        F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if stats["n"] <= max_rows and stats["b"] <= max_bytes else df
+    return F.broadcast(df) if stats["n"] <= max_rows and stats["b"] <= max_bytes else df.hint("merge")
 
 
 def left_join_small(big: DataFrame, small: DataFrame, on, max_rows: int | None = None,

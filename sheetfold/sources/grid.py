@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import quote
 
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sheetfold.operators.headers import counted_names
 from sheetfold.operators.joins import materialize, sized_side
+from sheetfold.sources.mounted import list_exports, read_exports
 
 
 #: Files above this size are reported, not read: a file is one value of its task.
@@ -32,6 +35,15 @@ class Scan(NamedTuple):
     files: DataFrame
 
 
+class _Files(NamedTuple):
+    """Files that were found: ``listed`` (``path``, ``length``; nothing is opened), the URI of a file of
+    ``listed``, and how rows of ``listed`` become ``uri, content``."""
+
+    listed: DataFrame
+    uri: Column
+    contents: Callable[[DataFrame], DataFrame]
+
+
 def _records(raw: bytes):
     """The records of a CSV export: RFC 4180 quotes, strict; UTF-8 with or without its mark."""
     return csv.reader(io.TextIOWrapper(io.BytesIO(raw), encoding="utf-8-sig", newline=""), strict=True)
@@ -94,30 +106,31 @@ def scan_csv_grids(spark: SparkSession, paths: list[str], max_cols: int | None =
     Parsed rows are written once to the shared folder: no later step opens an export again.
     """
     found = existing(spark, paths)
-    return _scan(spark, _load(spark, found, guarded=True) if found else None, max_cols, trim_trailing_blanks, file_filter)
+    return _scan(spark, [_load(spark, found, guarded=True)] if found else [], max_cols, trim_trailing_blanks, file_filter)
 
 
-def _load(spark: SparkSession, paths: list[str], guarded: bool = False, **options) -> DataFrame:
-    """Files as rows; ``guarded``: one that cannot be read gives none."""
+def _load(spark: SparkSession, paths: list[str], guarded: bool = False, **options) -> _Files:
+    """Files by Spark's reader; ``guarded``: one that cannot be read gives no contents."""
     reader = spark.read.format("binaryFile").options(**options)
-    return (reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True) if guarded else reader).load(paths)
+    files = (reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True) if guarded else reader).load(paths)
+    uri = F.col("_metadata.file_path")
+    return _Files(files, uri, lambda some: some.select(uri.alias("uri"), "content"))
 
 
-def _scan(spark: SparkSession, files: DataFrame | None, max_cols: int | None, trim: bool, file_filter) -> Scan:
-    """:func:`scan_csv_grids` of loaded files (None: there are none)."""
-    uri = F.col("_metadata.file_path")
-    if files is None:
+def _scan(spark: SparkSession, files: list[_Files], max_cols: int | None, trim: bool, file_filter) -> Scan:
+    """:func:`scan_csv_grids` of files that were found."""
+    if not files:
         grid = spark.createDataFrame([], "file_id string, file_name string, row_idx long, cells array<string>")
         return Scan(grid, spark.createDataFrame([], "file_id string, file_name string, reason string"),
                     spark.createDataFrame([], "file_id string, n_rows long"))
     if file_filter is not None:
-        files = files.where(file_filter(uri))
-    contents = files.where(F.col("length") <= MAX_FILE_BYTES).select(uri.alias("uri"), "content")
+        files = [f._replace(listed=f.listed.where(file_filter(f.uri))) for f in files]
+    contents = reduce(DataFrame.unionByName, [f.contents(f.listed.where(F.col("length") <= MAX_FILE_BYTES)) for f in files])
     parsed = materialize(contents.mapInArrow(_parse(max_cols, trim), _PARSED))
     name = F.element_at(F.split("file_id", "/"), -1)
     grid = parsed.where("row_idx is not null").select(F.col("uri").alias("file_id"), "row_idx", "cells")
     status = parsed.where("row_idx is null").select(F.col("uri").alias("file_id"), "n_rows", "reason", F.lit(True).alias("_read"))
-    listed = files.select(uri.alias("file_id"), "length")          # metadata only: nothing is opened
+    listed = reduce(DataFrame.unionByName, [f.listed.select(f.uri.alias("file_id"), "length") for f in files])     # nothing is opened
     failures = (listed.join(sized_side(status), "file_id", "left").where("_read is null or reason is not null")
                 .withColumn("reason", F.coalesce("reason", F.when(F.col("length") > MAX_FILE_BYTES, F.lit("too large"))
                                                  .otherwise(F.lit("could not be read")))))
@@ -173,6 +186,21 @@ PLAIN, PARTITIONED = "<root>/<folder>/<workbook>/<tab>.csv", "<root>/folder=<fol
 _PASSED_OVER = "{[_.]*,*._COPYING_}"
 
 
+def _mounted(spark: SparkSession, roots: list[str]) -> tuple[list[str], list[str]]:
+    """The folders of ``roots`` (patterns) on a mounted file system, as it names them, and those of ``roots`` that
+    are elsewhere."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    here, elsewhere = {}, []
+    for root in roots:
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(conf)
+        if fs.getUri().getScheme() == "file":
+            here.update((s.getPath().toUri().getPath(), None) for s in fs.globStatus(path) or () if s.isDirectory())
+        else:
+            elsewhere.append(root)
+    return list(here), elsewhere
+
+
 def _export_folders(spark: SparkSession, roots: list[str]) -> dict[int, list[str]]:
     """Folders whose files, all together, are all exports under ``roots``, by the depth of the exports' folders:
     these themselves, and workbooks that Spark would pass over on its way down. The driver lists the
@@ -189,10 +217,12 @@ def _export_folders(spark: SparkSession, roots: list[str]) -> dict[int, list[str
     return {depth: [re.sub(r"([{}\[\]*?\\])", r"\\\1", p) for p in paths] for depth, paths in out.items()}
 
 
-def _export_files(spark: SparkSession, roots: list[str], guarded: bool = False) -> DataFrame | None:
-    """The files of both layouts under ``roots`` (None: there are none), listed by Spark's tasks."""
-    out = None
-    for depth, folders in _export_folders(spark, roots).items():
+def _export_files(spark: SparkSession, roots: list[str], guarded: bool = False) -> list[_Files]:
+    """The files of both layouts under ``roots``. Below a mounted folder tasks list and open them; elsewhere
+    Spark's reader does, whose driver keeps every file's name."""
+    here, elsewhere = _mounted(spark, roots)
+    out = [_Files(list_exports(spark, here), F.col("uri"), read_exports)] if here else []
+    for depth, folders in _export_folders(spark, elsewhere).items():
         # binaryFile's ``path`` is the plain on-disk path (``_metadata.file_path`` is URI-encoded)
         parts = F.split(F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/")
         levels = F.size(parts) - 1 - depth
@@ -200,8 +230,8 @@ def _export_files(spark: SparkSession, roots: list[str], guarded: bool = False)
         for i, start in ((-4, "folder="), (-3, "workbook="), (-2, "tab="), (-1, "part-")):
             parted = parted & F.element_at(parts, i).startswith(start)
         plain = (levels == 2) & F.element_at(parts, -1).endswith(".csv")
-        files = _load(spark, folders, guarded, recursiveFileLookup=True).where(plain | ((levels == 3) & parted))
-        out = files if out is None else out.unionByName(files)
+        files = _load(spark, folders, guarded, recursiveFileLookup=True)
+        out.append(files._replace(listed=files.listed.where(plain | ((levels == 3) & parted))))
     return out
 
 
@@ -264,10 +294,10 @@ def list_workbook_exports(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Workbooks and their tabs under ``roots`` (either layout) from file metadata only (no content is
     read): ``folder, file_id, file_name, tab, path``; a tab in parts has a row per part."""
     files = _export_files(spark, roots)
-    if files is None:
+    if not files:
         return spark.createDataFrame([], "folder string, file_id string, file_name string, tab string, path string")
     place = export_place(F.col("path"))
-    return files.select("path").select(*[place[c].alias(c) for c in ("folder", "file_id", "file_name", "tab")], "path")
+    return reduce(DataFrame.unionByName, [f.listed.select("path") for f in files]).select(*[place[c].alias(c) for c in ("folder", "file_id", "file_name", "tab")], "path")
 
 
 class UnreadableFile(ValueError):

@@ -227,3 +227,39 @@ def test_a_save_that_fails_leaves_the_named_table(spark, tmp_path):
     with pytest.raises(Exception):
         f.save(spark.range(9).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), "t")
     assert f.find("t").count() == 3
+
+
+def test_the_driver_holds_no_name_of_a_mounted_export(spark, tmp_path, monkeypatch):
+    """Tasks list and open what lies on a mounted folder: no frame has the exports among the files that its driver keeps."""
+    root = str(tmp_path / "out")
+    rows = [("f", f"NUEVO {i}", "t", r, ["x", str(r)]) for i in range(40) for r in range(3)]
+    write_workbook_exports(spark.createDataFrame(rows, "folder string, file_name string, tab string, row_idx long, cells array<string>"), root)
+    _put(root, "f", "roto", "t", b"\0")
+    monkeypatch.setattr(G, "_load", None)
+    scan, listed = G.scan_workbook_exports(spark, [root, f"file://{root}/", str(tmp_path / "none")]), G.list_workbook_exports(spark, [root])
+    assert [f for df in (*scan, listed) for f in df.inputFiles() if str(tmp_path) in f] == []
+    assert _rows(scan.grid) == sorted((b, t, i, tuple(c)) for _, b, t, i, c in rows) and listed.count() == 41
+    assert [tuple(r) for r in scan.failures.select("file_name", "reason").collect()] == [("roto", "holds NUL bytes: not a text file")]
+
+
+def test_mounted_exports_are_listed_and_opened_as_by_sparks_reader(spark, tmp_path):
+    root = str(tmp_path / "a b")
+    data = b"a,b\n" * 400
+    sums = lambda raw, n=512: b"crc\0" + struct.pack(">I", n) + b"".join(struct.pack(">I", zlib.crc32(raw[i:i + n])) for i in range(0, len(raw), n))
+    crc = {"ok": sums(data), "100": sums(data, 100), "short": sums(data)[:-4], "long": sums(data) + b"1234", "bad": sums(data[1:]),
+           "magic": b"x" + sums(data), "cut": b"crc\0\0", "zero": sums(data)[:4] + b"\0" * 4 + sums(data)[8:]}
+    for name in [*crc, "t", "_t", "_t=1", ".t", "_metadata", "é  %41+;[{^}]'", "\U0001f600"]:
+        os.makedirs(d := os.path.join(root, "f ü", "w"), exist_ok=True)
+        with open(os.path.join(d, f"{name}.csv"), "wb") as f:
+            f.write(data)
+        if name in crc:
+            with open(os.path.join(d, f".{name}.csv.crc"), "wb") as f:
+                f.write(crc[name])
+    open(os.path.join(d, "vacía.csv"), "w").close()
+    os.symlink("/none", os.path.join(d, "nada.csv"))
+    os.symlink(d, os.path.join(root, "f ü", "otro"))
+    own = G._load(spark, [os.path.join(root, "f ü", b) for b in ("w", "otro")], guarded=True, pathGlobFilter="*.csv")
+    files = G.list_exports(spark, [root])
+    as_rows = lambda df: sorted(map(tuple, df.collect()))
+    assert as_rows(files) == as_rows(own.listed.select("path", own.uri.alias("uri"), "length")) and files.count() == 24
+    assert as_rows(G.read_exports(files)) == as_rows(own.contents(own.listed)) and G.read_exports(files).count() == 18
